@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from webgrain.functions.binding import let
 from webgrain.functions.strings import clean_lines, keyword_form, strip
 from webgrain.functions.urls import normalize_url, path, resolve
 from webgrain.lookups import ABOUT_WORDS, HOME_PREFIX, REGION_WORD, TERMS_PATTERNS
@@ -178,7 +179,7 @@ def first_node(dom: Column, tag: str) -> Column:
 
 
 def title(dom: Column) -> Column:
-    return node_text(dom, first_node(dom, "title"))
+    return let(first_node(dom, "title"), lambda n: node_text(dom, n))
 
 
 def page_text(dom: Column) -> Column:
@@ -188,7 +189,7 @@ def page_text(dom: Column) -> Column:
 
 def body_text(dom: Column) -> Column:
     """Stripped text pieces of the body, one per line; null without a body."""
-    return node_stripped(dom, first_node(dom, "body"), "\n")
+    return let(first_node(dom, "body"), lambda n: node_stripped(dom, n, "\n"))
 
 
 def url_metadata(dom: Column, url: Column, fallback: bool = True) -> Column:
@@ -199,8 +200,13 @@ def url_metadata(dom: Column, url: Column, fallback: bool = True) -> Column:
     name = title(dom)
     if fallback:
         name = F.concat(F.when(path(url) == "/", F.lit(HOME_PREFIX)).otherwise(F.lit("")), name)
-    full = F.concat(name, F.lit(". "), description)
-    return F.coalesce(full, name) if fallback else full
+    both = F.struct(name.alias("name"), description.alias("description"))
+
+    def join(x):
+        full = F.concat(x["name"], F.lit(". "), x["description"])
+        return F.coalesce(full, x["name"]) if fallback else full
+
+    return let(both, join)
 
 
 def anchors(dom: Column) -> Column:
@@ -210,12 +216,14 @@ def anchors(dom: Column) -> Column:
 def about_link(dom: Column, base: Column, words=tuple(ABOUT_WORDS)) -> Column:
     """First link whose text is one of the words or whose address holds one."""
 
+    listed = F.array(*[F.lit(w) for w in words])
+
     def is_about(n):
-        address = keyword_form(attr(n, "href"), slashes=True)
-        hit = keyword_form(node_text(dom, n)).isin(*words)
-        for word in words:
-            hit = hit | F.contains(address, F.lit(word))
-        return hit
+        in_address = let(
+            keyword_form(attr(n, "href"), slashes=True),
+            lambda address: F.exists(listed, lambda word: F.contains(address, word)),
+        )
+        return keyword_form(node_text(dom, n)).isin(*words) | in_address
 
     return resolve(base, attr(F.get(F.filter(anchors(dom), is_about), F.lit(0)), "href"))
 
@@ -233,25 +241,30 @@ def terms_link(dom: Column, base: Column, patterns=tuple(TERMS_PATTERNS)) -> Col
 
     Relative addresses are put after the normalised site with the double slash kept.
     """
-    links = anchors(dom)
-    passes = []
-    for p in patterns:
-        dashed = p.replace(" ", "-")
-        passes += [
-            F.filter(links, lambda n, p=p: n["string"].rlike(f"(?iu){p}")),
-            F.filter(links, lambda n, p=dashed: attr(n, "href").rlike(f"(?iu){p}")),
-        ]
-    href = F.coalesce(*[attr(F.get(hits, F.lit(0)), "href") for hits in passes])
-    tail = F.regexp_replace(href, "^/+", "")
-    return F.when(href.startswith("http"), href).otherwise(
-        F.concat(normalize_url(base), F.lit("/"), tail)
-    )
+
+    def by_text(links, p):
+        return F.filter(links, lambda n: n["string"].rlike(f"(?iu){p}"))
+
+    def by_address(links, p):
+        return F.filter(links, lambda n: attr(n, "href").rlike(f"(?iu){p.replace(' ', '-')}"))
+
+    def first_href(links):
+        passes = [found(links, p) for p in patterns for found in (by_text, by_address)]
+        return F.coalesce(*[attr(F.get(hits, F.lit(0)), "href") for hits in passes])
+
+    def absolute(href):
+        tail = F.regexp_replace(href, "^/+", "")
+        return F.when(href.startswith("http"), href).otherwise(
+            F.concat(normalize_url(base), F.lit("/"), tail)
+        )
+
+    return let(let(anchors(dom), first_href), absolute)
 
 
 def text_by_id(dom: Column, tag: str, node_id: str) -> Column:
     """Text of the first such element, null when there is none."""
     hits = F.filter(nodes_of(dom, tag), lambda n: attr(n, "id") == node_id)
-    return node_text(dom, F.get(hits, F.lit(0)))
+    return let(F.get(hits, F.lit(0)), lambda n: node_text(dom, n))
 
 
 def has_class(node: Column, name: str) -> Column:

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from webgrain.functions.binding import let
+
 _SCHEME = r"[a-zA-Z][a-zA-Z0-9+.-]*"
 _HEAD = rf"^(?:{_SCHEME}:)?(?://[^/?#]*)?"
 
@@ -73,31 +75,49 @@ def _squash_dots(segments: Column) -> Column:
 
 def resolve(base: Column, href: Column) -> Column:
     """Absolute URL of ``href`` seen from ``base`` (RFC 3986 rules)."""
-    href = F.regexp_replace(href, r"^//(?=[/?#]|$)", "")  # an empty authority counts for nothing
-    site = F.concat(scheme(base), F.lit("://"), netloc(base))
-    base_path = _full_path(base)
-    no_fragment = F.regexp_replace(base, r"#.*$", "")
-    no_query = F.regexp_replace(base, r"[?#].*$", "")
+    parts = F.struct(
+        base.alias("base"),
+        # an empty authority counts for nothing
+        F.regexp_replace(href, r"^//(?=[/?#]|$)", "").alias("href"),
+        F.concat(scheme(base), F.lit("://"), netloc(base)).alias("site"),
+    )
+    return let(parts, lambda p: _resolve(p["base"], p["href"], p["site"]))
+
 
+def _resolve(base: Column, href: Column, site: Column) -> Column:
     ref_path = F.regexp_extract(href, r"^([^?#]*)", 1)
     ref_rest = F.regexp_replace(F.regexp_extract(href, r"^[^?#]*(.*)$", 1), r"\?(?=#|$)|#$", "")
-    folder = F.split(F.regexp_replace(base_path, r"[^/]*$", ""), "/", -1)
-    folder = F.when(base_path == "", F.array(F.lit(""))).otherwise(
-        F.slice(folder, 1, F.greatest(F.size(folder) - 1, F.lit(1)))
-    )
-    joined = F.concat(folder, F.split(ref_path, "/", -1))
-    # inner empty segments would double the slashes
-    inner = F.filter(F.slice(joined, 2, F.greatest(F.size(joined) - 2, F.lit(0))), lambda s: s != "")
-    relative = F.concat(F.slice(joined, 1, 1), inner, F.slice(joined, -1, 1))
-
-    dotted = ref_path.rlike(r"(^|/)\.\.?(/|$)")
+    dotted = href.rlike(r"^[^?#]*(?<![^/])\.\.?([/?#]|$)")
     rooted = F.when(dotted, _squash_dots(F.split(ref_path, "/", -1))).otherwise(ref_path)
     return (
         F.when(href == "", base)
         .when(href.rlike(rf"^{_SCHEME}:"), href)
         .when(href.startswith("//"), F.concat(scheme(base), F.lit(":"), href))
         .when(href.startswith("/"), F.concat(site, rooted, ref_rest))
-        .when(href.startswith("?"), F.concat(no_query, ref_rest))
-        .when(href.startswith("#"), F.concat(no_fragment, ref_rest))
-        .otherwise(F.concat(site, _squash_dots(relative), ref_rest))
+        .when(href.startswith("?"), F.concat(F.regexp_replace(base, r"[?#].*$", ""), ref_rest))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), ref_rest))
+        .otherwise(F.concat(site, let(_segments(base, ref_path), _squash_dots), ref_rest))
+    )
+
+
+def _segments(base: Column, ref_path: Column) -> Column:
+    """Folder of the base and the relative path, without empty segments in between."""
+
+    def combine(p):
+        folder = F.when(p["path"] == "", F.array(F.lit(""))).otherwise(
+            F.slice(p["folder"], 1, F.greatest(F.size(p["folder"]) - 1, F.lit(1)))
+        )
+        return F.concat(folder, p["ref"])
+
+    def tidy(joined):
+        inner = F.slice(joined, 2, F.greatest(F.size(joined) - 2, F.lit(0)))
+        return F.concat(
+            F.slice(joined, 1, 1), F.filter(inner, lambda s: s != ""), F.slice(joined, -1, 1))
+
+    base_path = _full_path(base)
+    parts = F.struct(
+        base_path.alias("path"),
+        F.split(F.regexp_replace(base_path, r"[^/]*$", ""), "/", -1).alias("folder"),
+        F.split(ref_path, "/", -1).alias("ref"),
     )
+    return let(let(parts, combine), tidy)

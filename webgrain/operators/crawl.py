@@ -84,17 +84,17 @@ def role_elements(df: DataFrame, roles=tuple(L.ELEMENT_ROLES), keep: list[str] =
                   attribute: str = "role", dom: str = "dom") -> DataFrame:
     """(role, ord, text): elements per role in the given order, then in page order."""
     d = F.col(dom)
-    found = [
-        F.transform(
-            F.filter(d["nodes"], lambda n, r=r: D.attr(n, attribute) == r),
-            lambda n, r=r: F.struct(
-                F.lit(r).alias("role"), n["ord"].alias("ord"),
+
+    def rows(role):
+        return F.transform(
+            F.filter(d["nodes"], lambda n: D.attr(n, attribute) == role),
+            lambda n: F.struct(
+                F.lit(role).alias("role"), n["ord"].alias("ord"),
                 strip(D.node_text(d, n)).alias("text"),
             ),
         )
-        for r in roles
-    ]
-    return df.select(*keep, F.inline(F.concat(*found)))
+
+    return df.select(*keep, F.inline(F.concat(*[rows(r) for r in roles])))
 
 
 def interaction_evidence(df: DataFrame, selectors=tuple(L.INTERACTION_SELECTORS),

@@ -112,12 +112,14 @@ def suggest(queries: DataFrame | list[str], catalog: DataFrame, n: int = 5,
         queries = spark.createDataFrame([(q,) for q in queries], "query string")
     asked = queries.select("query", F.lower("query").alias("_part")).distinct()
     lengths = sorted(r[0] for r in asked.select(F.length("_part")).distinct().collect())
-    cuts = []
-    for size in lengths:
+
+    def cuts(size):
         starts = F.when(
             F.length(lowered) >= size, F.sequence(F.lit(1), F.length(lowered) - size + 1)
         ).otherwise(F.array().cast("array<int>"))
-        cuts.append(F.transform(starts, lambda i, size=size: F.substr(lowered, i, F.lit(size))))
-    parts = catalog.select(F.explode(F.array_distinct(F.concat(*cuts))).alias("_part"), term, pos)
+        return F.transform(starts, lambda i: F.substr(lowered, i, F.lit(size)))
+
+    pieces = F.array_distinct(F.concat(*[cuts(size) for size in lengths]))
+    parts = catalog.select(F.explode(pieces).alias("_part"), term, pos)
     firsts = top_n_per_key(parts, ["_part"], [pos], n)
     return asked.join(firsts, "_part").select("query", term, pos)

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webgrain.functions.binding import let
 from webgrain.functions.strings import split_lines, strip
 from webgrain.functions.urls import path_and_rest, unquote
 
@@ -59,21 +60,26 @@ def robots_rules(df: DataFrame, host: str, text: str) -> DataFrame:
 
 def agent_rules(rules: Column, agent: str) -> Column:
     """Directives of the group that speaks to the agent: the first group that names it, else
-    the first ``*`` group."""
+    the first ``*`` group. Groups without rules do not count."""
     token = F.lit(agent.split("/")[0].lower())
-    with_rules = F.transform(
-        F.filter(rules, lambda r: r["kind"] != "user-agent"), lambda r: r["group"]
-    )
-    agents = F.filter(
-        rules, lambda r: (r["kind"] == "user-agent") & F.array_contains(with_rules, r["group"])
-    )
-    star = F.transform(F.filter(agents, lambda r: r["value"] == "*"), lambda r: r["group"])
-    named = F.filter(
-        agents,
-        lambda r: ~F.array_contains(star, r["group"]) & F.contains(token, F.lower(r["value"])),
-    )
-    chosen = F.coalesce(F.array_min(F.transform(named, lambda r: r["group"])), F.array_min(star))
-    return F.filter(rules, lambda r: r["group"] == chosen)
+
+    def groups(rs, test):
+        return F.transform(F.filter(rs, test), lambda r: r["group"])
+
+    def pick(rs):
+        sets = F.struct(
+            groups(rs, lambda r: r["kind"] != "user-agent").alias("ruled"),
+            groups(rs, lambda r: (r["kind"] == "user-agent") & (r["value"] == "*")).alias("star"),
+            groups(rs, lambda r: (r["kind"] == "user-agent")
+                   & F.contains(token, F.lower(r["value"]))).alias("named"),
+        )
+        chosen = let(sets, lambda s: F.coalesce(
+            F.array_min(F.array_except(F.array_intersect(s["named"], s["ruled"]), s["star"])),
+            F.array_min(F.array_intersect(s["star"], s["ruled"])),
+        ))
+        return let(chosen, lambda c: F.filter(rs, lambda r: r["group"] == c))
+
+    return let(rules, pick)
 
 
 def _tidy(url: Column) -> Column:
@@ -82,15 +88,20 @@ def _tidy(url: Column) -> Column:
 
 def allows(rules: Column, url: Column) -> Column:
     """Decision of the first rule whose path starts the URL's path; no match allows."""
-    target = _tidy(path_and_rest(unquote(url)))
-    target = F.when(target == "", F.lit("/")).otherwise(target)
-    hits = F.filter(
-        rules,
-        lambda r: r["kind"].isin("allow", "disallow")
-        & ((_tidy(r["value"]) == "*") | target.startswith(_tidy(r["value"]))),
-    )
-    first = F.get(hits, F.lit(0))
-    return F.coalesce((first["kind"] == "allow") | (first["value"] == ""), F.lit(True))
+    path = let(_tidy(path_and_rest(unquote(url))),
+               lambda p: F.when(p == "", F.lit("/")).otherwise(p))
+
+    def decide(target):
+        hits = F.filter(
+            rules,
+            lambda r: r["kind"].isin("allow", "disallow") & let(
+                _tidy(r["value"]), lambda p: (p == "*") | target.startswith(p)),
+        )
+        return F.get(hits, F.lit(0))
+
+    first = let(path, decide)
+    return let(first, lambda r: F.coalesce(
+        (r["kind"] == "allow") | (r["value"] == ""), F.lit(True)))
 
 
 def robots_allowed(urls: DataFrame, robots: DataFrame, agent: str, url: str = "url",
@@ -114,22 +125,24 @@ def crawl_delay(rules: Column) -> Column:
 
 def request_rate(rules: Column) -> Column:
     """``struct<requests, seconds>`` from ``n/s``."""
-    parts = F.split(_last_value(rules, "request-rate", r"^\s*\d+\s*/\s*\d+\s*$"), "/")
-    return F.when(
+    value = _last_value(rules, "request-rate", r"^\s*\d+\s*/\s*\d+\s*$")
+    return let(F.split(value, "/"), lambda parts: F.when(
         parts.isNotNull(),
         F.struct(
             strip(parts[0]).try_cast("int").alias("requests"),
             strip(parts[1]).try_cast("int").alias("seconds"),
         ),
-    )
+    ))
 
 
 def visit_time(text: Column) -> Column:
     """Bounds of the first ``Visit-time`` line, an optional colon allowed; null when malformed."""
     lines = F.filter(split_lines(text), lambda line: line.startswith("Visit-time"))
-    first = F.get(lines, F.lit(0))
 
-    def bound(i):
-        return F.regexp_extract(first, r"^Visit-time\s*:?\s*(\d+)\s*-\s*(\d+)\s*$", i).try_cast("int")
+    def bound(line, i):
+        return F.regexp_extract(line, r"^Visit-time\s*:?\s*(\d+)\s*-\s*(\d+)\s*$", i).try_cast("int")
 
-    return F.struct(bound(1).alias("start"), bound(2).alias("end"))
+    return let(
+        F.get(lines, F.lit(0)),
+        lambda line: F.struct(bound(line, 1).alias("start"), bound(line, 2).alias("end")),
+    )
