@@ -6,10 +6,10 @@ from webgrain.catalog.registry import query, table
 from webgrain.functions import strings as S
 from webgrain.operators import filters as P
 from webgrain.operators import joins as J
+from webgrain.operators import keyed
 from webgrain.operators import matching as M
 from webgrain.operators import ordering as O
 from webgrain.operators.enrich import enrich
-from webgrain.operators.keyed import apply_keyed
 from webgrain.plans.scale import fresh_path
 from webgrain.sources import readers as R
 from webgrain.sources import sinks as K
@@ -446,8 +446,8 @@ def intersect_sets(spark, sf):
 @query("""
 select distinct p_name, upper(p_name) as result from part where not starts_with(p_name, 'red')
 """)
-def apply_keyed_names(spark, sf):
-    return apply_keyed(
+def apply_keyed(spark, sf):
+    return keyed.apply_keyed(
         table(spark, sf, "part"), "p_name", lambda s: None if s.startswith("red") else s.upper())
 
 

@@ -48,15 +48,15 @@ def page_items_of(pages: DataFrame) -> DataFrame:
     return page_items(shred(pages.select("url", "html"), tags=["title", "body"]))
 
 
-def capture_pages(captures: DataFrame, records: DataFrame, **where) -> DataFrame:
-    """Capture index and stored records to clean text and metadata.
+def capture_pages(captures: DataFrame, records: DataFrame, on, **where) -> DataFrame:
+    """Capture index and stored records (joined by ``on``) to clean text and metadata.
 
     Latest capture per key first, then the exact filters, then the join with the records: only
     wanted payloads are decoded.
     """
     wanted = filter_captures(
         latest_per_key(captures, "urlkey", "timestamp", ["url", "filename", "offset"]))
-    bodies = read_bodies(wanted.join(records, "urlkey"), **where)
+    bodies = read_bodies(wanted.join(records, on), **where)
     dom = shred(bodies, tags=["title", "meta"])
     d = F.col("dom")
     return filter_nonempty(

@@ -50,11 +50,13 @@ def _precut(df, key, order, n):
     """At most n rows per key from each task, lowest ``order`` first, so that a hot key is
     thinned out before the shuffle."""
 
+    columns = df.columns
+
     def run(batches):
         kept = {}
         for pdf in batches:
             for place, row in enumerate(pdf.itertuples(index=False, name=None)):
-                record = dict(zip(pdf.columns, row))
+                record = dict(zip(columns, row))
                 rank = tuple(record[c] for c in order)
                 heap = kept.setdefault(record[key], [])
                 # a max-heap by way of the reversed rank
@@ -65,7 +67,7 @@ def _precut(df, key, order, n):
                     heapq.heapreplace(heap, item)
         rows = [item[3] for heap in kept.values() for item in heap]
         if rows:
-            yield pd.DataFrame(rows, columns=df.columns)
+            yield pd.DataFrame(rows, columns=columns)
 
     return df.mapInPandas(run, df.schema)
 
