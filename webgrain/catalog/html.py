@@ -235,7 +235,7 @@ from m join d using (page_id) group by 1, 2
 """)
 def site_page_counts(spark, sf):
     return jobs.site_page_counts(
-        table(spark, sf, "pages"),
+        spread(table(spark, sf, "pages").select("page_id", "url", "html")),
         lambda df: registered_domain(df, "url", suffixes(spark), max_labels=2))
 
 
@@ -259,7 +259,7 @@ def capture_pages(spark, sf):
         return pa.array([gzip.compress((head + t.as_py()).encode(), 1) for t in texts], pa.binary())
 
     key = F.regexp_replace("url", "^https?://|[?#].*$", "")
-    source = table(spark, sf, "pages").withColumn("urlkey", key)
+    source = spread(table(spark, sf, "pages")).withColumn("urlkey", key)
     number = F.lpad(F.col("page_id").cast("string"), 12, "0")
     captures = source.select(
         "urlkey", "url", number.alias("timestamp"), F.lit("text/html").alias("mime"),

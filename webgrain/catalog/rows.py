@@ -10,7 +10,7 @@ from webgrain.operators import keyed
 from webgrain.operators import matching as M
 from webgrain.operators import ordering as O
 from webgrain.operators.enrich import enrich
-from webgrain.plans.scale import fresh_path
+from webgrain.plans.scale import fresh_path, local_table, spread
 from webgrain.sources import readers as R
 from webgrain.sources import sinks as K
 
@@ -50,7 +50,8 @@ def decode_gzip(spark, sf):
     def pack(texts: pa.Array) -> pa.Array:
         return pa.array([gzip.compress(t.as_py().encode(), 1) for t in texts], pa.binary())
 
-    packed = table(spark, sf, "documents").select("doc_id", pack("text").alias("payload"))
+    packed = spread(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", pack("text").alias("payload"))
     return R.decode_records(packed).select(
         "doc_id", F.md5("data").alias("digest"), F.length("data").alias("n_chars"))
 
@@ -168,8 +169,8 @@ def filter_required(spark, sf):
 
 
 def config(spark):
-    return spark.createDataFrame(
-        [("click", 0, "v1"), ("purchase", 1, None), ("view", 2, "v3")],
+    return local_table(
+        spark, [("click", 0, "v1"), ("purchase", 1, None), ("view", 2, "v3")],
         "system_id string, ord int, prompt_tag string")
 
 
@@ -327,7 +328,7 @@ qualify row_number() over (partition by query order by p_partkey) <= 5
 def autocomplete_table(spark, sf):
     part = table(spark, sf, "part")
     typed = part.select(F.substring("p_name", 2, 3).alias("query")).distinct().union(
-        spark.createDataFrame([("",)], "query string"))
+        local_table(spark, [("",)], "query string"))
     return M.suggest(typed, part.select(F.col("p_name").alias("term"), F.col("p_partkey").alias("pos")))
 
 

@@ -9,12 +9,17 @@ from webgrain.operators import joins as J
 from webgrain.operators import ordering as O
 from webgrain.operators import robots as B
 from webgrain.operators.domains import registered_domain as add_domain
+from webgrain.plans.scale import local_table, spread
 from webgrain.operators.enrich import first_article_title
 
 # RE2 class with the characters of Python's str.strip()
 SQL_SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def texts(spark, sf):
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query(rf"""
 with l as (select doc_id, list_filter(list_transform(
     regexp_split_to_array(text, '[\x0a-\x0d\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]'),
@@ -23,7 +28,7 @@ with l as (select doc_id, list_filter(list_transform(
 select doc_id, md5(coalesce(array_to_string(lines, chr(10)), '')) as digest, len(lines) as n_lines from l
 """)
 def clean_lines(spark, sf):
-    cleaned = table(spark, sf, "documents").select("doc_id", S.clean_lines(F.col("text")).alias("t"))
+    cleaned = texts(spark, sf).select("doc_id", S.clean_lines(F.col("text")).alias("t"))
     lines = F.when(F.col("t") == "", 0).otherwise(F.size(F.split("t", "\n")))
     return cleaned.select("doc_id", F.md5("t").alias("digest"), lines.alias("n_lines"))
 
@@ -51,7 +56,7 @@ union all select doc_id, 0, md5('') from ws where len(ws[1]) >= {n}
 @query(PARTITION_SQL.format(n=2048))
 def partition_text(spark, sf):
     chunks = S.partition_text(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf).select(
         "doc_id", F.posexplode(chunks).alias("chunk", "body")
     ).select("doc_id", "chunk", F.md5("body").alias("digest"))
 
@@ -143,7 +148,7 @@ d as (select h.page_id, h.url, h.host,
 
 
 def suffixes(spark):
-    return spark.createDataFrame([(s,) for s in SUFFIXES], "suffix string")
+    return local_table(spark, [(s,) for s in SUFFIXES], "suffix string")
 
 
 def paged_domains(spark, sf, *columns):

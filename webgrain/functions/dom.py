@@ -144,7 +144,8 @@ def shred(html: Column, tags=None) -> Column:
     def _shred(pages: pa.Array) -> pa.Array:
         return pa.array([read_page(p.as_py(), wanted) for p in pages], type=_DOM)
 
-    return _shred(html)
+    # a page is parsed once: the optimizer may not repeat the step to push a filter below it
+    return _shred.asNondeterministic()(html)
 
 
 # --- columns over a shredded page -----------------------------------------------------------
@@ -187,6 +188,10 @@ def page_text(dom: Column) -> Column:
     return clean_lines(F.array_join(dom["texts"], ""))
 
 
+def has_body(dom: Column) -> Column:
+    return F.exists(dom["nodes"], lambda n: n["tag"] == "body")
+
+
 def body_text(dom: Column) -> Column:
     """Stripped text pieces of the body, one per line; null without a body."""
     return let(first_node(dom, "body"), lambda n: node_stripped(dom, n, "\n"))

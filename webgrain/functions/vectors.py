@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from webgrain.functions.binding import let
+
 
 def vector_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
@@ -20,7 +22,8 @@ def softmax(vec: Column, stable: bool = False) -> Column:
     """``exp(x) / sum(exp(x))``; without ``stable`` large values overflow to NaN, as written."""
     shift = F.array_max(vec) if stable else F.lit(0.0)
     powers = F.transform(vec, lambda x: F.exp(x.cast("double") - shift))
-    return F.transform(powers, lambda e: e / vector_sum(powers))
+    both = let(powers, lambda p: F.struct(p.alias("p"), vector_sum(p).alias("total")))
+    return let(both, lambda b: F.transform(b["p"], lambda e: e / b["total"]))
 
 
 def relu(x: Column) -> Column:

@@ -17,9 +17,8 @@ def shred(df: DataFrame, html: str = "html", tags=None, name: str = "dom") -> Da
 def page_items(df: DataFrame, url: str = "url", dom: str = "dom") -> DataFrame:
     """(url, title, body); pages without a body are dropped."""
     d = F.col(dom)
-    return df.select(url, D.title(d).alias("title"), D.body_text(d).alias("body")).filter(
-        F.col("body").isNotNull()
-    )
+    return df.filter(D.has_body(d)).select(
+        url, D.title(d).alias("title"), D.body_text(d).alias("body"))
 
 
 def link_edges(df: DataFrame, domains: list[str] | None = None, keep: list[str] = (),

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webgrain.functions.binding import let
 from webgrain.lookups import SCORE_NAMES
 from webgrain.plans.scale import materialize, running_totals
 
@@ -31,8 +32,8 @@ def histogram(df: DataFrame, by: list[str], value: str, n: str = "n") -> DataFra
 
 
 def median_of_counts(counts: DataFrame, by: list[str], value: str, n: str = "n") -> DataFrame:
-    """Exact median and count per group from a histogram (mean of the middle two)."""
-    placed = running_totals(counts, by, [value], [n])
+    """Exact median and count per group from a stored histogram (mean of the middle two)."""
+    placed = running_totals(counts, by, [value], [n], stored=True)
     totals = counts.groupBy(*by).agg(F.sum(n).alias("n_total"))
     first, after = F.col(f"{n}_before"), F.col(f"{n}_before") + F.col(n)
 
@@ -186,7 +187,6 @@ def _compared(scores: DataFrame, alpha: float, min_n: int):
         best.join(own, ["metric", "a"]).join(others, "metric").filter("a <> b")
         .withColumn("enough", (F.col("a_n") >= min_n) & (F.col("b_n") >= min_n))
     )
-    pairs = materialize(pairs, "pairs")
     tests = mann_whitney(counts, pairs.filter("enough")).select("metric", "a", "b", "u", "z", "p_value")
     report = pairs.join(tests, ["metric", "a", "b"], "left").select(
         "metric", "a", "b", "b_ord", "u", "z", "p_value",
@@ -258,7 +258,13 @@ def _words(c: Column) -> Column:
 
 def lexical_scores(query: Column, reference: Column, response: Column) -> Column:
     """Deterministic word-overlap scores under the five score names; null without words."""
-    q, ref, res = _words(query), _words(F.array_join(reference, "\n")), _words(response)
+    words = F.struct(
+        _words(query).alias("q"), _words(F.array_join(reference, "\n")).alias("ref"),
+        _words(response).alias("res"))
+    return let(words, lambda w: _overlap(w["q"], w["ref"], w["res"]))
+
+
+def _overlap(q, ref, res):
     shared = F.size(F.array_intersect(res, ref))
 
     def share(part, whole):
@@ -290,6 +296,6 @@ def score_items(df: DataFrame, scorer, inputs: list[str], names: list[str] = SCO
                 rows.append({n: None for n in names} | {"error": str(e)})
         return pd.DataFrame(rows, columns=[*names, "error"]).astype({n: float for n in names})
 
-    return df.withColumn("_s", run(*inputs)).select("*", "_s.*").drop("_s")
+    return df.withColumn("_s", run.asNondeterministic()(*inputs)).select("*", "_s.*").drop("_s")
 
 

@@ -12,6 +12,6 @@ def apply_keyed(df: DataFrame, key: str, fn, value: str = "result") -> DataFrame
     def run(keys: pa.Array) -> pa.Array:
         return pa.array([fn(k.as_py()) for k in keys], pa.string())
 
-    return df.select(key).distinct().withColumn(value, run(F.col(key))).filter(
+    return df.select(key).distinct().withColumn(value, run.asNondeterministic()(F.col(key))).filter(
         F.col(value).isNotNull()
     )

@@ -8,7 +8,7 @@ matched once and spread to their rows afterwards.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webgrain.plans.scale import top_n_per_key
+from webgrain.plans.scale import local_table, top_n_per_key
 
 
 def _positions(s: Column) -> Column:
@@ -37,7 +37,7 @@ def _pairs_one_edit(queries: DataFrame, terms: DataFrame) -> DataFrame:
     q = queries.select("query", F.explode(_keys(F.col("query"), "i", "d")).alias("k"))
     t = terms.select("term", F.explode(_keys(F.col("term"), "d", "i")).alias("k"))
     return (
-        q.join(t, "k")
+        q.join(t.hint("merge"), "k")  # exploded rows: their size is not known, never broadcast
         # equal terms also share all their substitution keys
         .filter((F.col("query") != F.col("term")) | (F.col("k") == F.xxhash64(F.lit("="), "query")))
         .filter(F.levenshtein("query", "term", 1) >= 0)  # guards against hash collisions
@@ -62,7 +62,7 @@ def _pairs_k_edits(queries: DataFrame, terms: DataFrame, k: int) -> DataFrame:
     t = terms.select("term", F.explode(_deletions(F.col("term"), k)).alias("k"))
     near = F.abs(F.length("query") - F.length("term")) <= k
     return (
-        q.join(t, "k").filter(near).select("query", "term").distinct()
+        q.join(t.hint("merge"), "k").filter(near).select("query", "term").distinct()
         .filter(F.levenshtein("query", "term", k) >= 0)
     )
 
@@ -109,7 +109,7 @@ def suggest(queries: DataFrame | list[str], catalog: DataFrame, n: int = 5,
         return top_n_per_key(found, ["query"], [pos], n)
     if isinstance(queries, list):
         spark = catalog.sparkSession
-        queries = spark.createDataFrame([(q,) for q in queries], "query string")
+        queries = local_table(spark, [(q,) for q in queries], "query string")
     asked = queries.select("query", F.lower("query").alias("_part")).distinct()
     lengths = sorted(r[0] for r in asked.select(F.length("_part")).distinct().collect())
 

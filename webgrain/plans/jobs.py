@@ -3,11 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webgrain.functions import dom as D
 from webgrain.functions.urls import hostname
-from webgrain.operators.crawl import page_items, shred
+from webgrain.operators.crawl import shred
 from webgrain.operators.filters import filter_captures, filter_nonempty
 from webgrain.operators.ordering import latest_per_key
-from webgrain.functions import dom as D
 from webgrain.sources.readers import read_bodies
 
 
@@ -25,29 +25,30 @@ def split_extract_aggregate(df: DataFrame, extract, keys: list[str], aggregates:
 
 
 def site_page_counts(pages: DataFrame, suffix_domain) -> DataFrame:
-    """Latest page per address, with its body text, counted per host and registered domain.
+    """Pages and characters of body text per host and registered domain, latest page per
+    address (the url without query and fragment).
 
-    The address is the url without query and fragment. The heavy html column stays out of the
-    dedup: keys are ranked on narrow rows and the pages are then picked by id.
+    Pages are parsed where they are read and only their body length goes on: the dedup shuffles
+    narrow rows, never markup. A latest page without a body still replaces the ones before it
+    and is dropped afterwards.
     """
-    address = F.regexp_replace("url", r"[?#].*$", "")
-    keyed = pages.select("page_id", "url", address.alias("urlkey"))
-    latest = latest_per_key(keyed, "urlkey", "page_id", ["url"])
-    items = page_items_of(pages.join(latest.select("page_id"), "page_id", "left_semi"))
+    d = F.col("dom")
+    lengths = shred(pages, tags=["body"]).select(
+        "page_id", "url", F.regexp_replace("url", r"[?#].*$", "").alias("urlkey"),
+        F.when(D.has_body(d), F.length(D.body_text(d))).alias("n_chars"),
+    )
+    latest = latest_per_key(lengths, "urlkey", "page_id", ["url"]).filter(
+        F.col("n_chars").isNotNull())
 
     def extract(df):
         return suffix_domain(df.withColumn("host", hostname(F.col("url"))))
 
     return split_extract_aggregate(
-        items, extract, ["domain", "host"],
-        [F.count("*").alias("n_pages"), F.sum(F.length("body")).alias("n_chars")],
+        latest, extract, ["domain", "host"],
+        [F.count("*").alias("n_pages"), F.sum("n_chars").alias("n_chars")],
     )
 
 
-def page_items_of(pages: DataFrame) -> DataFrame:
-    return page_items(shred(pages.select("url", "html"), tags=["title", "body"]))
-
-
 def capture_pages(captures: DataFrame, records: DataFrame, on, **where) -> DataFrame:
     """Capture index and stored records (joined by ``on``) to clean text and metadata.
 

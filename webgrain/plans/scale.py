@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 # row_number() filters up to this n get a per-partition limit before the shuffle
 GROUP_LIMIT_MAX = 1000
+# a whole table of this many narrow rows may go through one plain window
+PLAIN_WINDOW_ROWS = 1_000_000
+
+_local_dirs = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,9 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="webgrain-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="webgrain-")
+    return _local_dirs[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -44,6 +49,19 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A short list as a table whose size the planner knows, so that it is broadcast where it
+    fits and never makes the other side shuffle."""
+    shape = spark.createDataFrame([], schema).schema
+    if not rows:
+        return spark.createDataFrame([], schema)
+    cells = F.array(*[
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, shape)])
+        for row in rows
+    ])
+    return spark.range(1, numPartitions=1).select(F.inline(cells))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even out a plain scan before per-row Python work when it has fewer partitions than
     cores (one file, one row group). Scans of many files pass through without a shuffle.
@@ -86,13 +104,31 @@ def global_index(df: DataFrame, order: list, name: str, start: int = 0) -> DataF
     )
 
 
-def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[str]) -> DataFrame:
+def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[str],
+                   window_rows: int = PLAIN_WINDOW_ROWS, stored: bool = False) -> DataFrame:
     """Add ``<c>_before`` for each c in ``sums``: the sum of c over the earlier rows of the
     same ``by`` group (``order`` unique within the group).
 
-    The window runs inside one range partition. Only the first group of a partition can have
-    started in an earlier one, so the offsets are at most one row per partition (broadcast).
+    The input is written once (unless it is ``stored`` already) and counted from the file
+    footers. A table of at most ``window_rows`` rows fits a plain window; a larger one goes
+    through range partitions.
     """
+    table = df if stored else materialize(df, "totals")
+    if table.count() <= window_rows:
+        earlier = (
+            Window.partitionBy(*by).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        return table.select(
+            "*",
+            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in sums],
+        )
+    return _totals_by_range(table, by, order, sums)
+
+
+def _totals_by_range(df, by, order, sums):
+    """The window runs inside one range partition. Only the first group of a partition can have
+    started in an earlier one, so the offsets are at most one row per partition (broadcast)."""
     base = _sorted_parts(df, by, order, "totals")
     local = (
         Window.partitionBy("_part", *by).orderBy("_local")

@@ -58,7 +58,7 @@ def gunzip(payload: Column) -> Column:
 
         return pa.array([one(v.as_py()) for v in values], pa.binary())
 
-    return _gunzip(payload)
+    return _gunzip.asNondeterministic()(payload)
 
 
 def decode_records(df: DataFrame, payload: str = "payload", offset: str | None = None,
