@@ -120,8 +120,9 @@ def test_popup_evidence_order(spark):
     assert found("<p aria-modal='true'>x</p><b role='dialog'>y</b>") == (
         True, "selector", "b", "[role='dialog']")
     assert found("<p class='popups'>terms</p>") == (False, None, None, None)
-    assert found("<div>te<b> r</b>ms</div>") == (False, None, None, None)
-    assert found("<div>te<b> rms </b></div>") == (True, "text", "div", "terms")
+    # pieces are stripped and joined without a separator
+    assert found("<div>te<b> r</b>ms</div>") == (True, "text", "div", "terms")
+    assert found("<div>te<b> r r</b>ms</div>") == (False, None, None, None)
 
 
 def test_role_elements(spark):
@@ -132,7 +133,8 @@ def test_role_elements(spark):
 
 def test_interaction_evidence(spark):
     rows = C.interaction_evidence(page(spark, PAGE)).collect()
-    assert rows == []  # "Log" and "in" join to "login" only without the inner blank
+    # "Log" and "in" join to "login"; the input has no text and never counts
+    assert [(r["selector"], r["text"]) for r in rows] == [("button[type='submit']", "login")]
     html = ("<button type='submit'>Log<b>in</b></button><input type='text' value='login'>"
             "<a href='/x/login'>Sign in</a><a href='/login'>go</a><iframe>email</iframe>")
     got = [(r["selector"], r["tag"], r["text"]) for r in C.interaction_evidence(page(spark, html)).collect()]

@@ -61,7 +61,8 @@ def frontier(df: DataFrame, url: str, domains: DataFrame, max_depth: int = L.DEP
 def within_hours(ts: Column, start: Column, end: Column) -> Column:
     """``start <= hour < end`` without wrap at midnight; open when a bound is missing."""
     hour = F.hour(ts)
-    return F.coalesce((hour >= start) & (hour < end), F.lit(True))
+    bounded = start.isNotNull() & end.isNotNull()
+    return F.when(bounded, (hour >= start) & (hour < end)).otherwise(F.lit(True))
 
 
 def build_prompt(df: DataFrame, content: str, summary: str, name: str = "prompt") -> DataFrame:

@@ -32,7 +32,8 @@ def _seeded(df, key, seed):
 
 def sample_exact(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """Exactly n rows without replacement, repeatable for a seed; fails if there are fewer."""
-    if df.limit(n).count() < n:
+    keys = df.select(key)
+    if (keys.limit(n) if n <= TOP_K_MAX else keys).count() < n:
         raise ValueError(f"sample of {n} rows asked from a smaller table")
     hashed = _seeded(df, key, seed)
     if n <= TOP_K_MAX:
