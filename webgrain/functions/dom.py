@@ -46,6 +46,10 @@ class _PageReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes, self.texts, self.stack, self.pending = [], [], [], []
         self.only = []  # per node: its single child (text, or node number), or None if more
+        self.silent = self.verbatim = 0  # open elements without text / with kept blanks
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
 
     def _add_child(self, child):
         if self.stack:
@@ -59,17 +63,19 @@ class _PageReader(HTMLParser):
         self.pending.clear()
         if not text:
             return
-        tags = {self.nodes[i]["tag"] for i in self.stack}
-        if not text.strip(" \n\t\f\r") and not tags & _KEEP_SPACE:
+        if not self.verbatim and not text.strip(" \n\t\f\r"):
             text = "\n" if "\n" in text else " "
         self._add_child(text)
-        if not tags & _NOT_TEXT:
+        if not self.silent:
             self.texts.append(text)
 
     def _close(self, upto):
         for i in self.stack[upto:]:
-            self.nodes[i]["end_ord"] = len(self.nodes)
-            self.nodes[i]["t1"] = len(self.texts)
+            node = self.nodes[i]
+            node["end_ord"] = len(self.nodes)
+            node["t1"] = len(self.texts)
+            self.silent -= node["tag"] in _NOT_TEXT
+            self.verbatim -= node["tag"] in _KEEP_SPACE
         del self.stack[upto:]
 
     def handle_starttag(self, tag, attrs):
@@ -78,10 +84,13 @@ class _PageReader(HTMLParser):
         self._add_child(number)
         self.nodes.append({
             "ord": number, "depth": len(self.stack), "tag": tag, "string": None,
-            "attrs": list({k: v or "" for k, v in attrs}.items()), "t0": len(self.texts),
+            "attrs": list({k: v or "" for k, v in attrs}.items()) if attrs else [],
+            "t0": len(self.texts),
         })
         self.only.append(())
         self.stack.append(number)
+        self.silent += tag in _NOT_TEXT
+        self.verbatim += tag in _KEEP_SPACE
         if tag in _VOID:
             self._close(len(self.stack) - 1)
 

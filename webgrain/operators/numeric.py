@@ -20,8 +20,8 @@ def minmax_scale(df: DataFrame, col: str, new_min=0.0, new_max=1.0, by: str | No
     value = F.col(col)
     bounds = [F.min(col).alias("_lo"), F.max(col).alias("_hi")]
     if by is None:
-        low = df.agg(bounds[0]).scalar()
-        high = df.agg(bounds[1]).scalar()
+        pair = df.agg(F.struct(*bounds)).scalar()
+        low, high = pair["_lo"], pair["_hi"]
     else:
         df = df.join(df.groupBy(by).agg(*bounds), by)
         low, high = F.col("_lo"), F.col("_hi")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # row_number() filters up to this n get a per-partition limit before the shuffle
-GROUP_LIMIT_MAX = 1000
+GROUP_LIMIT_MAX = 100
 # a whole table of this many narrow rows may go through one plain window
 PLAIN_WINDOW_ROWS = 1_000_000
 

@@ -8,8 +8,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # merge sessions before the shuffle, so a hot key travels as a few sessions
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

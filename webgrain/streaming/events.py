@@ -23,6 +23,9 @@ def read_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 def sessions(df: DataFrame, key: str, gap: str, ts: str = "ts", delay: str | None = None) -> DataFrame:
     """(key, session_start, last_event, n): activity until a pause longer than ``gap``. An event
     exactly ``gap`` after the last one still belongs to the session."""
+    # merge before the shuffle: a hot key travels as a few sessions
+    df.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
     if delay:
         timed = timed.withWatermark(ts, delay)
