@@ -121,13 +121,14 @@ def _p_value(u: Column, z: Column, n1: Column, n2: Column, tied: Column) -> Colu
 
 
 def mann_whitney(counts: DataFrame, pairs: DataFrame, metric: str = "metric",
-                 system: str = "system", value: str = "score", with_p: bool = True) -> DataFrame:
+                 system: str = "system", value: str = "score", with_p: bool = True,
+                 at_most: int | None = None) -> DataFrame:
     """One-sided rank test (first greater) for each (metric, a, b) of ``pairs``.
 
     ``counts`` is the histogram per (metric, system, value). U adds, over the values of a, the
     number of smaller values of b and half of the equal ones. z has the tie and continuity
     corrections and is null when all values are equal (p = 1). p is exact when a sample has at
-    most 8 values and nothing is tied.
+    most 8 values and nothing is tied. ``at_most`` is a known bound on the pooled rows.
     """
     by = [metric, "a", "b"]
     zero = F.lit(0).cast("long")
@@ -141,7 +142,7 @@ def mann_whitney(counts: DataFrame, pairs: DataFrame, metric: str = "metric",
         .groupBy(*by, value).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
     )
     t = F.col("n_a") + F.col("n_b")
-    stats = running_totals(pooled, by, [value], ["n_b"]).groupBy(*by).agg(
+    stats = running_totals(pooled, by, [value], ["n_b"], at_most=at_most).groupBy(*by).agg(
         F.sum(F.col("n_a") * (F.col("n_b_before") + F.col("n_b") / 2)).alias("u"),
         F.sum("n_a").alias("n1"),
         F.sum("n_b").alias("n2"),
@@ -187,7 +188,10 @@ def _compared(scores: DataFrame, alpha: float, min_n: int):
         best.join(own, ["metric", "a"]).join(others, "metric").filter("a <> b")
         .withColumn("enough", (F.col("a_n") >= min_n) & (F.col("b_n") >= min_n))
     )
-    tests = mann_whitney(counts, pairs.filter("enough")).select("metric", "a", "b", "u", "z", "p_value")
+    # every value meets at most every system of its metric
+    bound = counts.count() * medians.count()
+    tests = mann_whitney(counts, pairs.filter("enough"), at_most=bound).select(
+        "metric", "a", "b", "u", "z", "p_value")
     report = pairs.join(tests, ["metric", "a", "b"], "left").select(
         "metric", "a", "b", "b_ord", "u", "z", "p_value",
         F.when(F.col("enough"), F.col("best_median") - F.col("b_median")).alias("median_diff"),

@@ -8,6 +8,7 @@ matched once and spread to their rows afterwards.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webgrain.functions.binding import let
 from webgrain.plans.scale import local_table, top_n_per_key
 
 
@@ -25,12 +26,15 @@ def _without(s: Column, i: Column) -> Column:
 def _keys(s: Column, own: str, cut: str) -> Column:
     """Hashed join keys of a term: itself, itself less one character at a known place (for
     substitutions) and less any one character (for insertions and deletions)."""
-    places = _positions(s)
-    swaps = F.transform(places, lambda i: F.xxhash64(F.lit("s"), i, _without(s, i)))
-    cuts = F.transform(F.array_distinct(F.transform(places, lambda i: _without(s, i))),
-                       lambda v: F.xxhash64(F.lit(cut), v))
+    shorter = F.transform(_positions(s), lambda i: _without(s, i))
+
+    def hashed(variants):
+        swaps = F.transform(variants, lambda v, i: F.xxhash64(F.lit("s"), i, v))
+        cuts = F.transform(F.array_distinct(variants), lambda v: F.xxhash64(F.lit(cut), v))
+        return F.concat(swaps, cuts)
+
     whole = F.array(F.xxhash64(F.lit("="), s), F.xxhash64(F.lit(own), s))
-    return F.concat(whole, swaps, cuts)
+    return F.concat(whole, let(shorter, hashed))
 
 
 def _pairs_one_edit(queries: DataFrame, terms: DataFrame) -> DataFrame:
@@ -47,12 +51,17 @@ def _pairs_one_edit(queries: DataFrame, terms: DataFrame) -> DataFrame:
 
 def _deletions(s: Column, k: int) -> Column:
     """The term with up to k characters removed."""
-    level = found = F.array(s)
-    for _ in range(k):
-        level = F.array_distinct(F.flatten(F.transform(
-            level, lambda v: F.transform(_positions(v), lambda i: _without(v, i))
-        )))
-        found = F.concat(found, level)
+
+    def shorter(level):
+        return F.array_distinct(F.flatten(F.transform(
+            level, lambda v: F.transform(_positions(v), lambda i: _without(v, i)))))
+
+    def with_shorter(level, steps):
+        if steps == 0:
+            return level
+        return let(level, lambda x: F.concat(x, with_shorter(shorter(x), steps - 1)))
+
+    found = with_shorter(F.array(s), k)
     return F.array_distinct(F.transform(found, lambda v: F.xxhash64(v)))
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 GROUP_LIMIT_MAX = 100
 # a whole table of this many narrow rows may go through one plain window
 PLAIN_WINDOW_ROWS = 1_000_000
+# scans up to this size may be spread over the cores
+SPREAD_BYTES = 256 << 20
 
 _local_dirs = {}
 
@@ -63,11 +65,14 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Even out a plain scan before per-row Python work when it has fewer partitions than
-    cores (one file, one row group). Scans of many files pass through without a shuffle.
+    """Even out a small scan before costly per-row work when it has fewer partitions than
+    cores (one file, one row group). Anything over ``SPREAD_BYTES`` passes without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def _sorted_parts(df, by, order, label):
@@ -105,16 +110,21 @@ def global_index(df: DataFrame, order: list, name: str, start: int = 0) -> DataF
 
 
 def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[str],
-                   window_rows: int = PLAIN_WINDOW_ROWS, stored: bool = False) -> DataFrame:
+                   window_rows: int = PLAIN_WINDOW_ROWS, stored: bool = False,
+                   at_most: int | None = None) -> DataFrame:
     """Add ``<c>_before`` for each c in ``sums``: the sum of c over the earlier rows of the
     same ``by`` group (``order`` unique within the group).
 
-    The input is written once (unless it is ``stored`` already) and counted from the file
-    footers. A table of at most ``window_rows`` rows fits a plain window; a larger one goes
-    through range partitions.
+    A table of at most ``window_rows`` rows fits a plain window; a larger one goes through
+    range partitions. Where the caller can prove no bound (``at_most``), the input is written
+    once (unless it is ``stored`` already) and counted from the file footers.
     """
-    table = df if stored else materialize(df, "totals")
-    if table.count() <= window_rows:
+    if at_most is not None and at_most <= window_rows:
+        table, rows = df, at_most
+    else:
+        table = df if stored else materialize(df, "totals")
+        rows = table.count()
+    if rows <= window_rows:
         earlier = (
             Window.partitionBy(*by).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, -1)
