@@ -41,6 +41,9 @@ def test_flagship(spark):
 @pytest.mark.parametrize("name", entry.queries())
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "BatchEvalPython" not in plan  # no row-at-a-time functions
     got = check.rows_of(df.columns, df.collect())
     sql = entry.oracle_sql().get(name)
     if sql is None:

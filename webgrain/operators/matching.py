@@ -1,78 +1,68 @@
 """Approximate string matching as equi-joins.
 
-For at most one edit, every key that two terms share is a true match, so the join emits
-results and nothing else, and a group holds no pairs to be thrown away. Repeated terms are
-matched once and spread to their rows afterwards.
+Two terms within k edits agree after some characters are blanked out on both sides (the
+substitutions) and some are dropped on one side or the other. The join keys spell that out, with
+the number of drops on either side, so that every pair with a common key is a match: the join
+emits results and nothing that has to be thrown away, whatever the terms look like. Repeated
+terms are matched once and spread to their rows afterwards.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webgrain.functions.binding import let
 from webgrain.plans.scale import local_table, top_n_per_key
 
 
-def _positions(s: Column) -> Column:
-    """1..length, empty for the empty string."""
-    return F.when(F.length(s) > 0, F.sequence(F.lit(1), F.length(s))).otherwise(
-        F.array().cast("array<int>")
-    )
-
+def _span(first: Column, last: Column) -> Column:
+    """first..last, empty when last comes before first."""
+    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
-def _without(s: Column, i: Column) -> Column:
-    return F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1))
 
+# stands for a blanked character; terms that hold it themselves only cost extra checks
+_BLANK = "\x00"
 
-def _keys(s: Column, own: str, cut: str) -> Column:
-    """Hashed join keys of a term: itself, itself less one character at a known place (for
-    substitutions) and less any one character (for insertions and deletions)."""
-    shorter = F.transform(_positions(s), lambda i: _without(s, i))
 
-    def hashed(variants):
-        swaps = F.transform(variants, lambda v, i: F.xxhash64(F.lit("s"), i, v))
-        cuts = F.transform(F.array_distinct(variants), lambda v: F.xxhash64(F.lit(cut), v))
-        return F.concat(swaps, cuts)
+def _edited(level: Column, blank: bool) -> Column:
+    """All ways to blank (or drop) one more character behind the last one changed."""
 
-    whole = F.array(F.xxhash64(F.lit("="), s), F.xxhash64(F.lit(own), s))
-    return F.concat(whole, let(shorter, hashed))
+    def change(v):
+        x = v["x"]
 
+        def at(i):
+            head, tail = F.substr(x, F.lit(1), i - 1), F.substr(x, i + 1)
+            if blank:
+                return F.struct(F.concat(head, F.lit(_BLANK), tail).alias("x"), (i + 1).alias("start"))
+            return F.struct(F.concat(head, tail).alias("x"), i.alias("start"))
 
-def _pairs_one_edit(queries: DataFrame, terms: DataFrame) -> DataFrame:
-    q = queries.select("query", F.explode(_keys(F.col("query"), "i", "d")).alias("k"))
-    t = terms.select("term", F.explode(_keys(F.col("term"), "d", "i")).alias("k"))
-    return (
-        q.join(t.hint("merge"), "k")  # exploded rows: their size is not known, never broadcast
-        # equal terms also share all their substitution keys
-        .filter((F.col("query") != F.col("term")) | (F.col("k") == F.xxhash64(F.lit("="), "query")))
-        .filter(F.levenshtein("query", "term", 1) >= 0)  # guards against hash collisions
-        .select("query", "term")
-    )
+        return F.transform(_span(v["start"], F.length(x)), at)
 
+    return F.flatten(F.transform(level, change))
 
-def _deletions(s: Column, k: int) -> Column:
-    """The term with up to k characters removed."""
 
-    def shorter(level):
-        return F.array_distinct(F.flatten(F.transform(
-            level, lambda v: F.transform(_positions(v), lambda i: _without(v, i)))))
+def _keys(term: Column, k: int, is_query: bool) -> Column:
+    """``array<struct<h, e>>``: hashed keys of a term and the number of edits each stands for."""
+    by_edits = {e: [] for e in range(k + 1)}
+    dropped = F.array(F.struct(term.alias("x"), F.lit(1).alias("start")))
+    for drops in range(k + 1):
+        level = F.transform(dropped, lambda v: F.struct(v["x"].alias("x"), F.lit(1).alias("start")))
+        for blanks in range(k + 1 - drops):
+            for other in range(k + 1 - blanks - drops):
+                e = blanks + drops + other
+                sides = (drops, other) if is_query else (other, drops)
+                by_edits[e].append(_hashes(level, e, *sides))
+            level = _edited(level, blank=True)
+        dropped = _edited(dropped, blank=False)
 
-    def with_shorter(level, steps):
-        if steps == 0:
-            return level
-        return let(level, lambda x: F.concat(x, with_shorter(shorter(x), steps - 1)))
+    def rows(e):
+        hashes = F.array_distinct(F.concat(*by_edits[e]))
+        return F.transform(hashes, lambda h: F.struct(h.alias("h"), F.lit(e).alias("e")))
 
-    found = with_shorter(F.array(s), k)
-    return F.array_distinct(F.transform(found, lambda v: F.xxhash64(v)))
+    return F.concat(*[rows(e) for e in by_edits])
 
 
-def _pairs_k_edits(queries: DataFrame, terms: DataFrame, k: int) -> DataFrame:
-    """Terms within k edits have a common form after at most k deletions on each side."""
-    q = queries.select("query", F.explode(_deletions(F.col("query"), k)).alias("k"))
-    t = terms.select("term", F.explode(_deletions(F.col("term"), k)).alias("k"))
-    near = F.abs(F.length("query") - F.length("term")) <= k
-    return (
-        q.join(t.hint("merge"), "k").filter(near).select("query", "term").distinct()
-        .filter(F.levenshtein("query", "term", k) >= 0)
+def _hashes(level, e, query_drops, term_drops):
+    return F.transform(
+        level, lambda v: F.xxhash64(F.lit(e), F.lit(query_drops), F.lit(term_drops), v["x"])
     )
 
 
@@ -82,7 +72,17 @@ def match_terms(queries: DataFrame, catalog: DataFrame, k: int = 1) -> DataFrame
     t = catalog.select("term").filter(F.col("term").isNotNull()).distinct()
     if k == 0:
         return q.join(t, F.col("query") == F.col("term"))
-    return _pairs_one_edit(q, t) if k == 1 else _pairs_k_edits(q, t, k)
+    q = q.select("query", F.inline(_keys(F.col("query"), k, is_query=True)))
+    t = t.select("term", F.inline(_keys(F.col("term"), k, is_query=False)).alias("h", "_e"))
+    # exploded rows: their size is not known, so they are never broadcast
+    pairs = (
+        q.join(t.drop("_e").hint("merge"), "h")
+        # only at the true distance: fewer repeats, and a check against equal hashes
+        .filter(F.levenshtein("query", "term", k) == F.col("e"))
+        .select("query", "term")
+    )
+    # one edit has one key; more edits can be split up in several ways
+    return pairs if k == 1 else pairs.distinct()
 
 
 def match_edit1(queries: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
-"""Streaming operators. Each takes and returns a streaming DataFrame (they also run on batch
-tables); the caller chooses output mode, sink and trigger.
+"""Streaming operators. Each takes and returns a streaming DataFrame; the caller chooses output
+mode, sink and trigger.
 
 ``TIMESTAMP_NTZ`` columns are cast to timestamps (session zone UTC), since watermarks need them.
 """
