@@ -2,6 +2,8 @@
 
 import importlib.util
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -38,6 +40,24 @@ def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
 
+FOREIGN = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("entry", {f"{ROOT}/__spark_entry__.py"!r})
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("rows", entry.entry(spark).count())
+"""
+
+
+def test_a_session_made_elsewhere_gets_the_package(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", FOREIGN], cwd=tmp_path, env=env, timeout=180,
+                          capture_output=True, text=True)
+    assert "rows " in done.stdout, done.stderr[-2000:]
+
+
 @pytest.mark.parametrize("name", entry.queries())
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)

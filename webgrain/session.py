@@ -1,7 +1,13 @@
 """Session settings the operators are written for (used by tests and the bench)."""
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_shipped = set()
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -11,6 +17,20 @@ SETTINGS = {
 }
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that sessions made
+    elsewhere can run the Python steps too."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="webgrain-"), "webgrain")
+    archive = shutil.make_archive(
+        base, "zip", root_dir=os.path.dirname(package), base_dir=os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def build_session(master="local[8]", shuffle_partitions=8, app="webgrain", memory="8g"):
     builder = (
         SparkSession.builder.master(master)
@@ -23,4 +43,5 @@ def build_session(master="local[8]", shuffle_partitions=8, app="webgrain", memor
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
