@@ -31,3 +31,24 @@ def op5_quality_rules(spark, sf):
     from webgrain.llm.quality import rate
 
     return rate(common.documents(spark, sf).select("doc_id", "text", "lang")).drop("text", "lang")
+
+
+@query()
+def op9_sharding(spark, sf):
+    from webgrain.llm.sharding import shard
+
+    return shard(common.documents(spark, sf).select("doc_id", "text"), shards=24)
+
+
+@query()
+def op10_secret_scans(spark, sf):
+    from webgrain.llm.secrets import BASE_RULES, listed, scan
+
+    docs = common.documents(spark, sf).select("doc_id", "text")
+    found = F.col("findings")
+    count = lambda kind: F.size(F.filter(found, lambda f: f["kind"] == kind)).cast("long")
+    return scan(docs, common.fresh(spark, "ledger")).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(found, [r.kind for r in BASE_RULES]).cast("binary"), 256).alias("base_sha256"),
+        listed(found).alias("spans"))
