@@ -52,3 +52,13 @@ def op10_secret_scans(spark, sf):
         count("hex").alias("n_hex"),
         F.sha2(listed(found, [r.kind for r in BASE_RULES]).cast("binary"), 256).alias("base_sha256"),
         listed(found).alias("spans"))
+
+
+@query()
+def op8_sentencepiece(spark, sf):
+    import public_tokenizers
+
+    from webgrain.llm.pieces import digest
+
+    docs = common.documents(spark, sf).select("doc_id", "text")
+    return digest(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
