@@ -62,3 +62,10 @@ def op8_sentencepiece(spark, sf):
 
     docs = common.documents(spark, sf).select("doc_id", "text")
     return digest(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
+@query()
+def op4_html_extraction(spark, sf):
+    from webgrain.llm.wrappers import extract
+
+    return extract(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html"))
