@@ -69,3 +69,17 @@ def op4_html_extraction(spark, sf):
     from webgrain.llm.wrappers import extract
 
     return extract(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html"))
+
+
+@query()
+def op1_substring_dedup(spark, sf):
+    from webgrain.llm.substrings import dedup_substrings
+
+    return dedup_substrings(common.documents(spark, sf)).drop("kept_text")
+
+
+@query()
+def op6_suffix_dedup(spark, sf):
+    from webgrain.llm.suffixes import dedup_bytes
+
+    return dedup_bytes(common.documents(spark, sf)).drop("kept")
