@@ -83,3 +83,10 @@ def op6_suffix_dedup(spark, sf):
     from webgrain.llm.suffixes import dedup_bytes
 
     return dedup_bytes(common.documents(spark, sf)).drop("kept")
+
+
+@query()
+def op2_minhash_near_dedup(spark, sf):
+    from webgrain.llm.neardup import near_duplicates
+
+    return near_duplicates(common.documents(spark, sf), words=3, percent=85)
