@@ -90,3 +90,14 @@ def op2_minhash_near_dedup(spark, sf):
     from webgrain.llm.neardup import near_duplicates
 
     return near_duplicates(common.documents(spark, sf), words=3, percent=85)
+
+
+@query()
+def op3_decontamination(spark, sf):
+    from webgrain.llm.decontaminate import mark
+
+    docs = common.documents(spark, sf).select("doc_id", "text")
+    return mark(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).select(
+        "doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
+        F.transform("items", lambda x: x["item_id"]).alias("item_ids"),
+        F.exists("items", lambda x: ~x["same"]).alias("other_values"))
