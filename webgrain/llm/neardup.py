@@ -68,7 +68,7 @@ def sketch(docs: DataFrame, words: int, text: str, doc_id: str) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, sig): size, two sums that name the set, and its signature."""
 
     def step(batches):
-        for batch in batches:
+        for batch in W.slices(batches, "t"):
             prints, offsets = shingle_sets(batch.column(1), words)
             n = np.diff(offsets)
             some = np.flatnonzero(n > 0)
@@ -236,7 +236,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, text: s
     two = one.join(texts, F.col("b") == F.col("v")).select("a", "b", "ta", F.col("t").alias("tb"))
 
     def step(batches):
-        for batch in batches:
+        for batch in W.slices(batches, "ta", "tb"):
             (x, xo), (y, yo) = shingle_sets(batch.column(2), words), shingle_sets(batch.column(3), words)
             good = np.zeros(batch.num_rows, bool)
             for r in range(batch.num_rows):

@@ -101,3 +101,10 @@ def op3_decontamination(spark, sf):
         "doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
         F.transform("items", lambda x: x["item_id"]).alias("item_ids"),
         F.exists("items", lambda x: ~x["same"]).alias("other_values"))
+
+
+@query()
+def op7_lm_scoring(spark, sf):
+    from webgrain.llm.classlm import score_held_out
+
+    return score_held_out(common.documents(spark, sf))

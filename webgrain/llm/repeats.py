@@ -72,7 +72,7 @@ class Finder:
         window, gram, of_words = self.window, self.gram, self.of_words
 
         def step(batches):
-            for batch in batches:
+            for batch in W.slices(batches, "_t"):
                 units, offsets = _units(batch.column(1), of_words)
                 if not len(units):
                     continue
@@ -92,7 +92,7 @@ class Finder:
         spare = (window - gram) - (size - gram)  # an anchor up to here leaves room behind it
 
         def step(batches):
-            for batch in batches:
+            for batch in W.slices(batches, "_t"):
                 units, offsets = _units(batch.column(batch.schema.get_field_index("_t")), of_words)
                 if not len(units):
                     continue
@@ -123,7 +123,7 @@ class Finder:
         window, gram, of_words = self.window, self.gram, self.of_words
 
         def step(batches):
-            for batch in batches:
+            for batch in W.slices(batches, "_t"):
                 units, offsets = _units(batch.column(batch.schema.get_field_index("_t")), of_words)
                 if not len(units):
                     continue
@@ -156,7 +156,7 @@ class Finder:
             "_d", "_h", "_t", "_lo", "_n")
 
         def step(batches):
-            for batch in batches:
+            for batch in W.slices(batches, "_t"):
                 units, offsets = _units(batch.column(2), of_words)
                 lo = _listed(batch, "_lo", offsets)
                 n = np.asarray(batch.column(4).flatten()).astype(np.int64)

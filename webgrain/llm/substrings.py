@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from webgrain.llm.repeats import Finder, identified, removal_mask, repeated, with_spans
-from webgrain.llm.windows import text_bytes, word_units
+from webgrain.llm.windows import slices, text_bytes, word_units
 
 
 def levels(window: int, start: int) -> list[int]:
@@ -47,7 +47,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, start: int = 5, text: st
     null_id = (1 << 63) - 1
 
     def kept(batches):
-        for batch in batches:
+        for batch in slices(batches, "_t"):
             raw, offsets = text_bytes(batch.column(2))
             _, starts, ends, counts = word_units(raw, offsets)
             data = raw.tobytes()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from webgrain.llm.repeats import Finder, identified, removal_mask, repeated, with_spans
 from webgrain.llm.substrings import levels
-from webgrain.llm.windows import text_bytes
+from webgrain.llm.windows import slices, text_bytes
 
 
 def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str = "text",
@@ -37,7 +37,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
     null_id = (1 << 63) - 1
 
     def kept(batches):
-        for batch in batches:
+        for batch in slices(batches, "_t"):
             raw, offsets = text_bytes(batch.column(2))
             out = []
             for r, (lo, hi) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):

@@ -6,6 +6,9 @@ work on the long array; windows that would cross the end of a document are marke
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+SLICE_BYTES = 4 << 20  # text that is worked on at a time; a longer text is a slice of its own
 
 _B = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling fingerprints
 _C = np.uint64(0xC2B2AE3D27D4EB4F)  # of a second, independent one
@@ -21,6 +24,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def slices(batches, *columns: str):
+    """The batches cut by the bytes of some text columns: the arrays made from a slice are tens of
+    times its size."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lengths = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(c))), 0)).astype(
+            np.int64) for c in columns)
+        part = np.cumsum(lengths) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts and the offsets of the documents. Null texts are empty."""
     column = column.cast(pa.large_string()).fill_null("")
