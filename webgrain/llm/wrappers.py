@@ -296,7 +296,8 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     its pages are joined to their wrapper by a join that can be split.
     """
     read = stored(read_pages(pages, html, url), "pages")
-    slots_of = content_slots(read, infer(read)).select("host", "content")
+    # stored, so that its size is known: few hosts are broadcast by Spark's own limit
+    slots_of = stored(content_slots(read, infer(read)).select("host", "content"), "slots")
     keep = [c for c in read.columns if c not in ("host", "blocks", "stream", "text", "n_chars")]
     text = F.array_join(F.transform(
         F.filter("blocks", lambda b: F.array_contains("content", b["path"])), lambda b: b["text"]), " ")
