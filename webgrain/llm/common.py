@@ -14,6 +14,15 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
 
 
+def packed(columns: list[str]) -> Column:
+    """The given columns as one struct ``_row``, so that no name of theirs meets one of an operator."""
+    return F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in columns]).alias("_row")
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [F.col("_row")[c].alias(c) for c in columns]
+
+
 def stage_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. It may be unset under a local master
     only (tests), where it is set to a new folder below the warehouse."""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webgrain.llm import windows as W
-from webgrain.llm.common import stored
+from webgrain.llm.common import packed, stored, unpacked
 
 # Words for numbers and units.
 NUMBER_WORDS = frozenset(
@@ -226,6 +226,6 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str
     keep = [c for c in docs.columns if c != "items"]
     hits = contaminated(docs, benchmark, text=text, doc_id=doc_id, **options)
     h = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
-    return docs.select(*keep, h.alias("_h")).join(
-        hits, F.col(doc_id).cast("long").eqNullSafe(F.col("d")) & (F.col("_h") == F.col("h")), "left").select(
-        *keep, F.coalesce("items", F.array().cast("array<struct<item_id:long,share:double,same:boolean>>")).alias("items"))
+    return docs.select(packed(keep), F.col(doc_id).cast("long").alias("_d"), h.alias("_h")).join(
+        hits, F.col("_d").eqNullSafe(F.col("d")) & (F.col("_h") == F.col("h")), "left").select(
+        *unpacked(keep), F.coalesce("items", F.array().cast("array<struct<item_id:long,share:double,same:boolean>>")).alias("items"))

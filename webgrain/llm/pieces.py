@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webgrain.llm.common import packed, unpacked
+
 SPACE = "▁"
 CACHE_SEGMENTS = 1_000_000  # segments whose ids a Python worker remembers
 CACHE_PAIRS = 4_000_000  # answers of the pair test a worker remembers
@@ -212,4 +214,4 @@ def digest(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
             yield pd.DataFrame(rows, columns=kind.names)
 
     keep = [c for c in docs.columns if c not in kind.names]
-    return docs.select(*keep, digests(F.col(text)).alias("_d")).select(*keep, "_d.*")
+    return docs.select(packed(keep), digests(F.col(text)).alias("_d")).select(*unpacked(keep), "_d.*")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgrain.functions.binding import let
-from webgrain.llm.common import stored, words
+from webgrain.llm.common import packed, stored, unpacked, words
 
 # Frequent words of each language, most frequent first.
 COMMON_WORDS = {
@@ -20,6 +20,8 @@ COMMON_WORDS = {
     "es": "de la que el en y los se del un las por para una con no su es al lo".split(),
 }
 CLASSES = ["upper", "digit", "blank", "punctuation", "symbol", "other"]
+OUT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+       "class_distance", "word_distance", "kept"]
 SLOTS = max(map(len, COMMON_WORDS.values()))
 # one character per place in a list of common words, the first for all other words
 CODES = "".join(chr(ord("A") + i) for i in range(SLOTS + 1))
@@ -51,13 +53,16 @@ def _repeated_words(grams: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """All columns of ``docs`` and one column ``_stat`` (struct) with the base counts and the two
-    histograms. A null text counts as empty; an unknown or null language has no common words."""
+    """The columns of ``docs`` packed in ``_row``, ``_lang``, and ``_stat`` (struct) with the base
+    counts and the two histograms. A null text counts as empty; an unknown or null language has no
+    common words."""
     listed = F.array().cast("array<string>")
     for code, entries in COMMON_WORDS.items():
-        listed = F.when(F.col(lang) == code, F.array(*[F.lit(w) for w in entries])).otherwise(listed)
-    base = docs.withColumn("_t", F.coalesce(F.col(text).cast("string"), F.lit(""))).withColumn(
-        "_w", words(F.col("_t")))
+        listed = F.when(F.col("_lang") == code, F.array(*[F.lit(w) for w in entries])).otherwise(listed)
+    base = docs.select(
+        packed(docs.columns), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("_lang"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"),
+    ).withColumn("_w", words(F.col("_t")))
     w, t = F.col("_w"), F.col("_t")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     grams = F.transform(
@@ -67,7 +72,7 @@ def text_statistics(docs: DataFrame, text: str = "text", lang: str = "lang") ->
         w, lambda x: F.substring(
             F.lit(CODES), F.array_position(entries, F.lower(x)).cast("int") + 1, F.lit(1))), ""))
     base = base.select(
-        *docs.columns,
+        "_row", "_lang",
         F.size(w).cast("long").alias("_n"),
         F.length(t).cast("long").alias("_chars"),
         F.length(F.array_join(w, "")).cast("long").alias("_wc"),
@@ -81,7 +86,7 @@ def text_statistics(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     base = base.select(
         "*", _count(m, SYMBOLS).alias("_sym"), _count(m, UPPER).alias("_up"),
         _count(m, DIGITS).alias("_dig"), _count(m, PUNCTUATION).alias("_pun"))
-    return base.select(*docs.columns, F.struct(
+    return base.select("_row", "_lang", F.struct(
         F.col("_n").alias("n_words"),
         F.col("_wc").alias("word_chars"),
         F.col("_sym").alias("n_symbols"),
@@ -133,13 +138,8 @@ def rate(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int
     The counts are stored once, so that the texts are read once: the references are sums over
     these narrow rows, one row per language, joined back by language.
     """
-    out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-           "class_distance", "word_distance", "kept"]
-    keep = [c for c in docs.columns if c not in out]
-    rated = stored(
-        text_statistics(docs.select(*keep), text, lang)
-        .select(*keep, "_stat", F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("_lang")),
-        "quality")
+    keep = [c for c in docs.columns if c not in OUT]
+    rated = stored(text_statistics(docs.select(*[F.col(f"`{c}`") for c in keep]), text, lang), "quality")
     return judge(rated, keep, min_words, max_class_distance, max_word_distance, guard_chars,
                  guard_words)
 
@@ -156,7 +156,7 @@ def judge(rated, keep, min_words, max_class_distance, max_word_distance, guard_c
     return (
         rated.join(reference, F.col("_lang") == F.col("_ref"))
         .select(
-            *keep, s["n_words"].alias("n_words"), s["word_chars"].alias("word_chars"),
+            "_row", s["n_words"].alias("n_words"), s["word_chars"].alias("word_chars"),
             s["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
             s["n_repeat_words"].alias("n_repeat_words"), s["n_chars"].alias("_chars"),
             ((s["n_words"] < min_words) | (100 * s["n_repeat_words"] > 50 * s["n_words"])).alias("base_failed"),
@@ -165,4 +165,4 @@ def judge(rated, keep, min_words, max_class_distance, max_word_distance, guard_c
         .withColumn("kept", ~F.col("base_failed")
                     & ((F.col("_chars") < guard_chars) | near)
                     & ((F.col("n_words") < guard_words) | usual))
-        .drop("_chars"))
+        .select(*unpacked(keep), *OUT))

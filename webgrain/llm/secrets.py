@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webgrain.functions.binding import let
+from webgrain.llm.common import packed, unpacked
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,7 @@ def scan(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text") ->
     """
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c not in (text, "blob", "findings")]
-    rows = docs.withColumn("_t", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    rows = docs.select(packed(keep), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"))
     rows = rows.withColumn("blob", F.sha2(F.col("_t").cast("binary"), 256))
     ledger = read_ledger(spark, ledger_path)
     blobs = rows.select("blob", "_t").groupBy("blob").agg(F.any_value("_t").alias("_t"))
@@ -125,8 +126,8 @@ def scan(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text") ->
             F.col("kind").alias("kind"), s["stop"].alias("stop")))).alias("_f"))
         .groupBy("_b").agg(F.sort_array(F.collect_set("_f")).alias("_f")))
     return (
-        rows.select(*keep, "blob").join(found, F.col("blob") == F.col("_b"), "left")
-        .select(*keep, "blob", F.transform(
+        rows.select("_row", "blob").join(found, F.col("blob") == F.col("_b"), "left")
+        .select(*unpacked(keep), "blob", F.transform(
             F.coalesce("_f", F.array().cast("array<struct<start:bigint,rank:bigint,kind:string,stop:bigint>>")),
             lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["stop"].alias("stop"))
         ).alias("findings")))
@@ -139,11 +140,11 @@ def listed(findings: Column, kinds=None) -> Column:
     return F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["stop"])), ",")
 
 
-def mask(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text", key: str = "doc_id",
+def mask(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text", length: str | None = None,
          with_: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of a finding in the text replaced; all other columns and rows as
-    they are. Overlapping spans are replaced as one. The findings come back through the blob, so
-    rows need no unique key."""
+    they are, but for the column named by ``length``, which follows a changed text. Overlapping
+    spans are replaced as one. The findings come back through the blob, so rows need no key."""
     spark = docs.sparkSession
     scan(docs.select(text), ledger_path, rules, text)
     wanted = F.array(*[F.lit(f"{r.kind}:{r.version}") for r in rules])
@@ -153,8 +154,9 @@ def mask(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text", key
         .select(F.col("blob").alias("_b"), F.explode("spans").alias("_f"))
         .groupBy("_b").agg(F.sort_array(F.collect_set("_f")).alias("_f")))
     blob = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"), 256)
-    rows = docs.withColumn("_blob", blob).join(found, F.col("_blob") == F.col("_b"), "left")
-    t = F.col(text)
+    rows = docs.select(packed(docs.columns), blob.alias("_blob"), F.col(text).alias("_t")).join(
+        found, F.col("_blob") == F.col("_b"), "left")
+    t = F.col("_t")
 
     def replaced(spans):
         state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
@@ -167,5 +169,9 @@ def mask(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text", key
                     F.lit(with_))).alias("out")),
             lambda s: F.concat(s["out"], F.substring(t, (s["at"] + 1).cast("int"), F.length(t))))
 
-    return rows.withColumn(text, F.when(F.col("_f").isNull(), t).otherwise(replaced(F.col("_f")))) \
-        .select(*docs.columns)
+    out = rows.withColumn("_new", F.when(F.col("_f").isNull(), t).otherwise(replaced(F.col("_f"))))
+    changed = {text: F.col("_new").alias(text)}
+    if length:
+        changed[length] = F.when(F.col("_f").isNull(), F.col("_row")[length]).otherwise(
+            F.length("_new").cast(docs.schema[length].dataType)).alias(length)
+    return out.select(*[changed.get(c, old) for c, old in zip(docs.columns, unpacked(docs.columns))])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webgrain.functions.markup import attributes, scan
-from webgrain.llm.common import stored
+from webgrain.llm.common import packed, stored, unpacked
 
 # Elements that set text apart from what stands before and after.
 BLOCKS = frozenset(
@@ -135,12 +135,26 @@ def fold(tokens: list) -> list:
     return tokens
 
 
+def _placed(items: list) -> list[str]:
+    """Tokens with the open elements around them: only tokens of one place can be aligned."""
+    out, stack = [], []
+    for x in items:
+        token = x[1][0] if x[0] == "?" and len(x[1]) == 1 else x
+        if isinstance(token, str) and token.startswith("</") and token[2:-1] in stack:
+            while stack.pop() != token[2:-1]:
+                pass
+        out.append("/".join(stack) + json.dumps(token))
+        if isinstance(token, str) and token[0] == "<" and token[1] != "/":
+            stack.append(token[1:-1])
+    return out
+
+
 def align(a: list, b: list) -> list:
     """The wrapper that covers both: common tokens stay, parts of one side only become optional
     groups ["?", group]; two repeated groups at the same place are aligned inside."""
     if a == b:
         return a
-    keys = [[json.dumps(x[1] if x[0] == "?" and len(x[1]) == 1 else x) for x in side] for side in (a, b)]
+    keys = [_placed(side) for side in (a, b)]
     out = []
 
     def optional(part):
@@ -208,8 +222,8 @@ def _merge_round(streams: DataFrame, buckets: int) -> DataFrame:
 
 
 def read_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """The columns of ``pages`` without the markup, and host, blocks, stream."""
-    keep = [c for c in pages.columns if c not in (html, "host", "blocks", "stream")]
+    """The columns of ``pages`` without the markup in ``_row``, and host, blocks, stream."""
+    keep = [c for c in pages.columns if c != html]
     kind = "blocks array<struct<path:string,text:string>>, stream string"
 
     @F.pandas_udf(kind)
@@ -222,7 +236,7 @@ def read_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
             yield pd.DataFrame(rows, columns=["blocks", "stream"])
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    return pages.withColumn("_p", parsed(F.col(html))).select(*keep, host.alias("host"), "_p.*")
+    return pages.select(packed(keep), host.alias("host"), parsed(F.col(html)).alias("_p")).select("_row", "host", "_p.*")
 
 
 def infer(read: DataFrame) -> DataFrame:
@@ -289,7 +303,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
 
     Null or empty markup and pages without main content give an empty text; a null url belongs to
     the host "". Pages are never cut. Repeated rows and ties give equal texts; an empty table gives
-    an empty result; columns named host, blocks, stream, text or n_chars are replaced.
+    an empty result; columns named text or n_chars are replaced.
 
     Pages are read once, into a stored table of blocks. A host's template is small (distinct token
     streams), so a host with a third of all pages costs no more in the inference than any other;
@@ -298,10 +312,10 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     read = stored(read_pages(pages, html, url), "pages")
     # stored, so that its size is known: few hosts are broadcast by Spark's own limit
     slots_of = stored(content_slots(read, infer(read)).select("host", "content"), "slots")
-    keep = [c for c in read.columns if c not in ("host", "blocks", "stream", "text", "n_chars")]
+    keep = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     text = F.array_join(F.transform(
         F.filter("blocks", lambda b: F.array_contains("content", b["path"])), lambda b: b["text"]), " ")
     return (
         read.drop("stream").join(slots_of, "host", "left")
-        .select(*keep, F.coalesce(text, F.lit("")).alias("text"))
+        .select(*unpacked(keep), F.coalesce(text, F.lit("")).alias("text"))
         .withColumn("n_chars", F.length("text").cast("long")))
