@@ -2,17 +2,17 @@
 
 No window is looked up for its own sake. Every window of ``window`` units holds an anchor, a short
 sequence picked by its content alone, so equal windows have equal anchors at the same place inside.
-Anchors are few (about one in ten words or forty bytes), and only repeated ones are followed up, at
-growing lengths. The windows of one anchor in one document form a zone (they overlap), and what is
+Anchors are few (about one in eight words or forty bytes), and only repeated ones are followed up,
+at growing lengths. The windows of one anchor in one document form a zone (they overlap), and what is
 compared in the end are zones: equal zones but the first are removed whole, and only where one
 anchor stands in different zones are their single windows compared.
 
-Every exchange is by a fingerprint, behind a partial aggregation or under a join that can be split,
-so that a passage found in a third of all documents loads no single task.
+Each comparison is one aggregation by a fingerprint, which combines before the exchange: a passage
+in a third of all documents loads no single task. It returns to the documents what is unique (or
+first) as lists of places, so that no row is joined back by its fingerprint. A list is never longer
+than its text. The texts are exchanged once, by document, and shared by all passes over them.
 """
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,208 +20,206 @@ from pyspark.sql import functions as F
 
 from webgrain.llm import windows as W
 
-SPANS = "array<struct<lo:int,hi:int>>"
+NULL_ID = (1 << 63) - 1
 
 
 def identified(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(_d, _h, _t): the order of documents is by id (null last), then by the hash of the text.
-    Rows equal in both are one document."""
+    """(_r, _d, _h, _t): the order of documents is by id (null last), then by the hash of the text.
+    Rows equal in both are one document, named _r."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)).alias("_d"),
-        F.xxhash64(t).alias("_h"), t.alias("_t"))
+    d = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
+    return docs.select(F.xxhash64(d, t).alias("_r"), d.alias("_d"), F.xxhash64(t).alias("_h"), t.alias("_t"))
 
 
-def _units(column, of_words):
-    raw, offsets = W.text_bytes(column)
-    if of_words:
-        units, _, _, counts = W.word_units(raw, offsets)
-        return units, counts
-    return W.mixed(raw.astype(np.uint64) + np.uint64(1)), offsets
+def _column(batch, name):
+    return batch.column(batch.schema.get_field_index(name))
 
 
-def _listed(batch, name, offsets):
-    """The values of a list column as places in the batch's long array of units."""
-    column = batch.column(batch.schema.get_field_index(name))
-    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    lengths = np.asarray(lists.value_lengths().fill_null(0))
-    return np.asarray(lists.flatten()).astype(np.int64) + np.repeat(offsets[:-1], lengths)
+def _signed(x):
+    return pa.array(x.view(np.int64))
 
 
-def _rows(places, offsets):
-    return np.searchsorted(offsets, places, side="right") - 1
+class Texts:
+    """The documents of a batch as one array of units, with their anchors."""
 
+    def __init__(self, batch, finder):
+        self.batch, self.window, self.gram = batch, finder.window, finder.gram
+        raw, offsets = W.text_bytes(_column(batch, "_t"))
+        if finder.of_words:
+            self.units, _, _, self.offsets = W.word_units(raw, offsets)
+        else:
+            self.units, self.offsets = W.mixed(raw.astype(np.uint64) + np.uint64(1)), offsets
+        self.prints = W.fingerprints(self.units, self.gram)
+        if len(self.units):
+            self.at, self.lo, self.hi = W.anchors(
+                self.prints, W.room(self.offsets, len(self.units)), self.window, self.gram)
+        else:
+            self.at = self.lo = self.hi = np.zeros(0, np.int64)
 
-def _take(batch, name, rows):
-    return batch.column(batch.schema.get_field_index(name)).take(pa.array(rows))
+    def keep(self, chosen):
+        self.at, self.lo, self.hi = self.at[chosen], self.lo[chosen], self.hi[chosen]
 
+    def listed(self, name, scale=1):
+        """The places of a list column, in the array of units; with ``scale`` 2 twice that plus a bit."""
+        lists = _column(self.batch, name)
+        counts = np.asarray(lists.value_lengths().fill_null(0))
+        values = np.asarray(lists.flatten()).astype(np.int64)
+        return values + scale * np.repeat(self.offsets[:-1], counts)
 
-def _signed(x):
-    return pa.array(x.view(np.int64))
+    def rows(self, places):
+        return np.searchsorted(self.offsets, places, side="right") - 1
+
+    def own(self, name, rows):
+        return _column(self.batch, name).take(pa.array(rows))
+
+    def local(self, places, rows):
+        return pa.array((places - self.offsets[rows]).astype(np.int32))
+
+    def zones(self):
+        """Fingerprints of the text under the windows of each anchor and of the anchor's place in it."""
+        z, spans = np.zeros(len(self.at), np.uint64), self.hi - self.lo + self.window
+        for size in np.unique(spans):
+            same = np.flatnonzero(spans == size)
+            z[same] = _prints_at(self.units, self.lo[same], int(size)) + np.uint64(size)
+        return W.mixed(z ^ W.mixed((self.at - self.lo).astype(np.uint64)))
 
 
 class Finder:
-    """``window``: units that must repeat. ``gram``: units of an anchor. ``of_words``: units are
-    words, else bytes."""
+    """``window``: units that must repeat. ``lengths``: of the sequences compared, the anchors' first.
+    ``of_words``: units are words, else bytes."""
 
-    def __init__(self, window: int, gram: int, of_words: bool):
-        self.window, self.gram, self.of_words = window, gram, of_words
+    def __init__(self, window: int, lengths: list[int], of_words: bool):
+        self.window, self.gram, self.longer, self.of_words = window, lengths[0], lengths[1:], of_words
 
-    def first_keys(self, docs: DataFrame) -> DataFrame:
-        """(k, d, a): the fingerprint of every anchor and its place."""
-        window, gram, of_words = self.window, self.gram, self.of_words
+    def _run(self, docs, step, schema):
+        finder = self
 
-        def step(batches):
+        def pass_(batches):
             for batch in W.slices(batches, "_t"):
-                units, offsets = _units(batch.column(1), of_words)
-                if not len(units):
-                    continue
-                prints = W.fingerprints(units, gram)
-                at, _, _ = W.anchors(prints, W.room(offsets, len(units)), window, gram)
-                rows = _rows(at, offsets)
-                yield pa.record_batch([
-                    _signed(W.mixed(prints[at])), _take(batch, "_d", rows),
-                    pa.array((at - offsets[rows]).astype(np.int32))], names=["k", "d", "a"])
-
-        return docs.select("_d", "_t").mapInArrow(step, "k long, d long, a int")
-
-    def longer_keys(self, docs: DataFrame, held: DataFrame, size: int) -> DataFrame:
-        """(k, d, a): for every anchor still held, the sequences of ``size`` units that start or end
-        with it. A window holds one of the two, whatever the anchor's place in it."""
-        window, gram, of_words = self.window, self.gram, self.of_words
-        spare = (window - gram) - (size - gram)  # an anchor up to here leaves room behind it
-
-        def step(batches):
-            for batch in W.slices(batches, "_t"):
-                units, offsets = _units(batch.column(batch.schema.get_field_index("_t")), of_words)
-                if not len(units):
-                    continue
-                prints = W.fingerprints(units, gram)
-                at, lo, hi = W.anchors(prints, W.room(offsets, len(units)), window, gram)
-                kept = np.isin(at, _listed(batch, "_at", offsets))
-                at, lo, hi = at[kept], lo[kept], hi[kept]
-                longer = W.fingerprints(units, size)
-                right, left = at[at - hi <= spare], at[at - lo > spare]
-                keys = np.concatenate([W.mixed(longer[right]), W.mixed(longer[left - (size - gram)] ^ W._C)])
-                places = np.concatenate([right, left])
-                rows = _rows(places, offsets)
-                yield pa.record_batch([
-                    _signed(keys), _take(batch, "_d", rows),
-                    pa.array((places - offsets[rows]).astype(np.int32))], names=["k", "d", "a"])
-
-        return self.with_held(docs, held).mapInArrow(step, "k long, d long, a int")
-
-    @staticmethod
-    def with_held(docs: DataFrame, held: DataFrame) -> DataFrame:
-        """Documents with the list of their held anchors; a list is no longer than its text."""
-        lists = held.groupBy("d").agg(F.collect_list("a").alias("_at"))
-        return docs.join(lists, F.col("_d") == F.col("d")).select("_d", "_h", "_t", "_at")
-
-    def zones(self, docs: DataFrame, held: DataFrame) -> DataFrame:
-        """(z, k, d, h, lo, n): per held anchor the n windows from ``lo`` on that it stands for, with
-        the fingerprint of the text they cover (z) and of the anchor (k)."""
-        window, gram, of_words = self.window, self.gram, self.of_words
-
-        def step(batches):
-            for batch in W.slices(batches, "_t"):
-                units, offsets = _units(batch.column(batch.schema.get_field_index("_t")), of_words)
-                if not len(units):
-                    continue
-                prints = W.fingerprints(units, gram)
-                at, lo, hi = W.anchors(prints, W.room(offsets, len(units)), window, gram)
-                kept = np.isin(at, _listed(batch, "_at", offsets))
-                at, lo, hi = at[kept], lo[kept], hi[kept]
-                z = np.zeros(len(at), np.uint64)
-                spans = hi - lo + window
-                for size in np.unique(spans):
-                    same = np.flatnonzero(spans == size)
-                    z[same] = _prints_at(units, lo[same], int(size)) + np.uint64(size)
-                # where the anchor stands in its zone is part of the zone
-                z = W.mixed(z ^ W.mixed((at - lo).astype(np.uint64)))
-                rows = _rows(at, offsets)
-                yield pa.record_batch([
-                    _signed(z), _signed(W.mixed(prints[at])), _take(batch, "_d", rows), _take(batch, "_h", rows),
-                    pa.array((lo - offsets[rows]).astype(np.int32)), pa.array((hi - lo + 1).astype(np.int32))],
-                    names=["z", "k", "d", "h", "lo", "n"])
-
-        return self.with_held(docs, held).mapInArrow(step, "z long, k long, d long, h long, lo int, n int")
-
-    def single_windows(self, docs: DataFrame, zones: DataFrame) -> DataFrame:
-        """(w1, w2, d, h, p): two fingerprints of every window of the given zones."""
-        window, of_words = self.window, self.of_words
-        lists = zones.groupBy("d", "h").agg(
-            F.sort_array(F.collect_list(F.struct("lo", "n"))).alias("_z")).select(
-            "d", "h", F.col("_z.lo").alias("_lo"), F.col("_z.n").alias("_n"))
-        joined = docs.join(lists, (F.col("_d") == F.col("d")) & (F.col("_h") == F.col("h"))).select(
-            "_d", "_h", "_t", "_lo", "_n")
-
-        def step(batches):
-            for batch in W.slices(batches, "_t"):
-                units, offsets = _units(batch.column(2), of_words)
-                lo = _listed(batch, "_lo", offsets)
-                n = np.asarray(batch.column(4).flatten()).astype(np.int64)
-                if not len(lo):
-                    continue
-                steps = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                p = np.repeat(lo, n) + steps
-                rows = _rows(p, offsets)
-                yield pa.record_batch([
-                    _signed(W.mixed(W.fingerprints(units, window)[p])),
-                    _signed(W.mixed(W.fingerprints(units, window, W._C)[p])),
-                    _take(batch, "_d", rows), _take(batch, "_h", rows),
-                    pa.array((p - offsets[rows]).astype(np.int32))], names=["w1", "w2", "d", "h", "p"])
-
-        return joined.mapInArrow(step, "w1 long, w2 long, d long, h long, p int")
-
-    def covered(self, docs: DataFrame, held: DataFrame) -> DataFrame:
-        """(d, h, spans): the units of each document that are covered by a window which also starts
-        earlier, as sorted spans (they may overlap)."""
-        zones = self.zones(docs, held)
-        first = F.min(F.struct("d", "h", "lo")).alias("first")
-        heads = zones.groupBy("z", "k").agg(first, F.count("*").alias("times"), F.first("n").alias("n"))
-        place = F.struct("d", "h", "lo")
-        again = heads.filter("times > 1").select(F.col("z").alias("z1"), F.col("k").alias("k1"), "first")
-        whole = zones.join(again, (F.col("z") == F.col("z1")) & (F.col("k") == F.col("k1"))).filter(
-            place != F.col("first")).select(
-            "d", "h", F.col("lo"), (F.col("lo") + F.col("n") - 1 + self.window).alias("hi"))
-        # windows of one anchor in different zones; equal zones are one here
-        mixed = heads.groupBy("k").agg(F.count("*").alias("kinds")).filter("kinds > 1").select(F.col("k").alias("k2"))
-        odd = heads.join(mixed, F.col("k") == F.col("k2")).select("first.d", "first.h", "first.lo", "n")
-        single = self.single_windows(docs, odd)
-        at = F.struct("d", "h", "p")
-        earliest = single.groupBy("w1", "w2").agg(F.min(at).alias("first"), F.count("*").alias("times")).filter(
-            "times > 1").select(F.col("w1").alias("v1"), F.col("w2").alias("v2"), "first")
-        later = single.join(earliest, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2"))).filter(
-            at != F.col("first")).select("d", "h", F.col("p").alias("lo"), (F.col("p") + self.window).alias("hi"))
-        return whole.unionByName(later).groupBy("d", "h").agg(
-            F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+                yield from step(finder, Texts(batch, finder))
+
+        return docs.mapInArrow(pass_, schema)
+
+    def _held(self, texts, upto):
+        """Drop the anchors that are unique at the lengths compared so far."""
+        if upto:
+            texts.keep(~np.isin(texts.at, texts.listed("_x0")))
+        for k, size in enumerate(self.longer[:max(0, upto - 1)], 1):
+            right, left = self._sides(texts, size)
+            unique = texts.listed(f"_x{k}", 2)
+            texts.keep((right & ~np.isin(2 * texts.at, unique)) | (left & ~np.isin(2 * texts.at + 1, unique)))
+
+    def _sides(self, texts, size):
+        """Which anchors have windows with room for ``size`` units from the anchor on, and which have
+        windows that hold as many up to its end. A window is in one of the two groups."""
+        spare = self.window - size
+        return texts.at - texts.hi <= spare, texts.at - texts.lo > spare
+
+    def unique_anchors(self, docs: DataFrame) -> DataFrame:
+        def step(finder, x):
+            rows = x.rows(x.at)
+            yield pa.record_batch([_signed(W.mixed(x.prints[x.at])), x.own("_r", rows), x.local(x.at, rows)],
+                                  names=["k", "r", "a"])
+
+        return _unique(self._run(docs, step, "k long, r long, a int"), "_x0")
+
+    def unique_longer(self, docs: DataFrame, k: int) -> DataFrame:
+        size = self.longer[k - 1]
+
+        def step(finder, x):
+            finder._held(x, k)
+            right, left = finder._sides(x, size)
+            longer = W.fingerprints(x.units, size)
+            right, left = x.at[right], x.at[left]
+            keys = np.concatenate([W.mixed(longer[right]), W.mixed(longer[left + finder.gram - size] ^ W._C)])
+            places = np.concatenate([right, left])
+            rows = x.rows(places)
+            side = np.concatenate([np.zeros(len(right), np.int64), np.ones(len(left), np.int64)])
+            yield pa.record_batch(
+                [_signed(keys), x.own("_r", rows),
+                 pa.array((2 * (places - x.offsets[rows]) + side).astype(np.int64))], names=["k", "r", "a"])
+
+        return _unique(self._run(docs, step, "k long, r long, a long"), f"_x{k}")
+
+    def zones(self, docs: DataFrame) -> DataFrame:
+        def step(finder, x):
+            finder._held(x, 1 + len(finder.longer))
+            rows = x.rows(x.at)
+            yield pa.record_batch(
+                [_signed(x.zones()), _signed(W.mixed(x.prints[x.at])), x.own("_d", rows), x.own("_h", rows),
+                 x.own("_r", rows), x.local(x.lo, rows)], names=["z", "k", "d", "h", "r", "lo"])
+
+        return self._run(docs, step, "z long, k long, d long, h long, r long, lo int")
+
+    def _odd(self, texts):
+        """Split the held anchors: those of zones that stand earlier, and those of first zones whose
+        anchor has other zones too."""
+        self._held(texts, 1 + len(self.longer))
+        first = np.isin(texts.lo, texts.listed("_first"))
+        odd = first & ~np.isin(texts.lo, texts.listed("_alone"))
+        return ~first, odd
+
+    def _windows(self, lo, hi):
+        n = hi - lo + 1
+        return np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+    def first_windows(self, docs: DataFrame) -> DataFrame:
+        def step(finder, x):
+            _, odd = finder._odd(x)
+            p = finder._windows(x.lo[odd], x.hi[odd])
+            rows = x.rows(p)
+            second = W.mixed(W.fingerprints(x.units, finder.window, W._C)[p])
+            yield pa.record_batch(
+                [_signed(W.mixed(W.fingerprints(x.units, finder.window)[p])), _signed(second),
+                 x.own("_d", rows), x.own("_h", rows), x.own("_r", rows), x.local(p, rows)],
+                names=["w1", "w2", "d", "h", "r", "p"])
+
+        single = self._run(docs, step, "w1 long, w2 long, d long, h long, r long, p int")
+        return single.groupBy("w1", "w2").agg(F.min(F.struct("d", "h", "p", "r")).alias("f")).groupBy(
+            F.col("f.r").alias("r")).agg(F.collect_list("f.p").alias("_single"))
+
+    def removed(self, texts: "Texts"):
+        """First units and ends of what goes, in the array of units."""
+        whole, odd = self._odd(texts)
+        p = self._windows(texts.lo[odd], texts.hi[odd])
+        p = p[~np.isin(p, texts.listed("_single"))]
+        return np.concatenate([texts.lo[whole], p]), np.concatenate([texts.hi[whole], p]) + self.window
+
+    def compared(self, docs: DataFrame) -> DataFrame:
+        """``docs`` (see ``identified``) with the lists that ``removed`` reads."""
+        docs = _with(docs, self.unique_anchors(docs))
+        for k in range(1, len(self.longer) + 1):
+            docs = _with(docs, self.unique_longer(docs, k))
+        heads = self.zones(docs).groupBy("z", "k").agg(F.min(F.struct("d", "h", "lo", "r")).alias("f"))
+        first = heads.groupBy(F.col("f.r").alias("r")).agg(F.collect_list("f.lo").alias("_first"))
+        alone = heads.groupBy("k").agg(
+            F.count("*").alias("n"), F.min("f.r").alias("r"), F.min("f.lo").alias("lo")).filter("n = 1").groupBy(
+            "r").agg(F.collect_list("lo").alias("_alone"))
+        docs = _with(_with(docs, first), alone)
+        return _with(docs, self.first_windows(docs))
+
+
+def _unique(keys: DataFrame, name: str) -> DataFrame:
+    """(r, name): per document the places of the keys that occur once."""
+    once = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("r").alias("r"), F.min("a").alias("a")).filter("n = 1")
+    return once.groupBy("r").agg(F.collect_list("a").alias(name))
+
+
+def _with(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    return docs.join(lists, F.col("_r") == F.col("r"), "left").drop("r")
 
 
 def _prints_at(units, starts, size):
     """Fingerprints of ``size`` units at some places only."""
     if len(starts) * 8 > len(units):
         return W.fingerprints(units, size)[starts]
-    out, power = np.zeros(len(starts), np.uint64), np.uint64(1)
+    out, power = np.zeros(len(starts), np.uint64), 1
     for j in range(size):
-        out += units[starts + j] * power
-        power = np.uint64(int(power) * int(W._B) & ((1 << 64) - 1))
+        out += units[starts + j] * np.uint64(power)
+        power = power * int(W._B) & ((1 << 64) - 1)
     return out
 
 
-def repeated(keys: DataFrame) -> DataFrame:
-    """Rows of (k, d, a) whose key occurs again."""
-    twice = keys.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("k").alias("k1"))
-    return keys.join(twice, F.col("k") == F.col("k1")).select("d", "a")
-
-
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(_d, _h, _t, _lo, _hi) for every distinct document, with empty lists where nothing goes."""
-    none = F.array().cast("array<int>")
-    return docs.join(spans, (F.col("_d") == F.col("d")) & (F.col("_h") == F.col("h")), "left").select(
-        "_d", "_h", "_t", F.coalesce(F.col("spans.lo"), none).alias("_lo"),
-        F.coalesce(F.col("spans.hi"), none).alias("_hi"))
-
-
 def removal_mask(lo: np.ndarray, hi: np.ndarray, size: int) -> np.ndarray:
     edges = np.zeros(size + 1, np.int32)
     np.add.at(edges, lo, 1)

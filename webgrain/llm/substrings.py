@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from webgrain.llm.repeats import Finder, identified, removal_mask, repeated, with_spans
+from webgrain.llm.repeats import NULL_ID, Finder, Texts, identified, removal_mask
 from webgrain.llm.windows import slices, text_bytes, word_units
 
 
@@ -38,31 +38,25 @@ def dedup_substrings(docs: DataFrame, window: int = 20, start: int = 5, text: st
     """
     if not 0 < start <= window:
         raise ValueError("start must be between 1 and window")
-    rows = identified(docs, text, doc_id)
-    finder = Finder(window, start, of_words=True)
-    held = repeated(finder.first_keys(rows))
-    for size in levels(window, start)[1:]:
-        held = repeated(finder.longer_keys(rows, held, size)).distinct()
-    joined = with_spans(rows, finder.covered(rows, held))
-    null_id = (1 << 63) - 1
+    finder = Finder(window, levels(window, start), of_words=True)
 
     def kept(batches):
         for batch in slices(batches, "_t"):
-            raw, offsets = text_bytes(batch.column(2))
+            texts = Texts(batch, finder)
+            gone = removal_mask(*finder.removed(texts), len(texts.units))
+            raw, offsets = text_bytes(batch.column(batch.schema.get_field_index("_t")))
             _, starts, ends, counts = word_units(raw, offsets)
             data = raw.tobytes()
             out = []
-            for r, (lo, hi) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
-                first, n = counts[r], int(counts[r + 1] - counts[r])
-                gone = removal_mask(np.array(lo, np.int64), np.array(hi, np.int64), n)
-                stay = np.flatnonzero(~gone) + first
-                text_ = b" ".join([data[s:e] for s, e in zip(starts[stay].tolist(), ends[stay].tolist())])
-                out.append((text_.decode(), n, n - len(stay), hashlib.sha256(text_).hexdigest()))
-            ids = [None if d == null_id else d for d in batch.column(0).to_pylist()]
+            for d, first, end in zip(batch.column(1).to_pylist(), counts[:-1], counts[1:]):
+                stay = np.flatnonzero(~gone[first:end]) + first
+                rest = b" ".join([data[s:e] for s, e in zip(starts[stay].tolist(), ends[stay].tolist())])
+                out.append((None if d == NULL_ID else d, rest.decode(), int(end - first),
+                            int(end - first) - len(stay), hashlib.sha256(rest).hexdigest()))
             yield pa.record_batch(
-                [pa.array(ids, pa.int64()), *[pa.array([x[k] for x in out], t) for k, t in enumerate(
-                    (pa.string(), pa.int64(), pa.int64(), pa.string()))]],
+                [pa.array([x[k] for x in out], t) for k, t in enumerate(
+                    (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
                 names=["doc_id", "kept_text", "n_words", "n_removed", "kept_sha256"])
 
-    return joined.mapInArrow(
+    return finder.compared(identified(docs, text, doc_id)).mapInArrow(
         kept, "doc_id long, kept_text string, n_words long, n_removed long, kept_sha256 string")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from webgrain.llm.repeats import Finder, identified, removal_mask, repeated, with_spans
+from webgrain.llm.repeats import NULL_ID, Finder, Texts, identified, removal_mask
 from webgrain.llm.substrings import levels
 from webgrain.llm.windows import slices, text_bytes
 
@@ -28,29 +28,24 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
     the hash of their text, and rows equal in both are one document: each gets its result. Texts of
     any length are used whole. An empty table gives an empty result. Other columns are not read.
     """
-    rows = identified(docs, text, doc_id)
-    finder = Finder(window, start, of_words=False)
-    held = repeated(finder.first_keys(rows))
-    for size in levels(window, start)[1:]:
-        held = repeated(finder.longer_keys(rows, held, size)).distinct()
-    joined = with_spans(rows, finder.covered(rows, held))
-    null_id = (1 << 63) - 1
+    finder = Finder(window, levels(window, start), of_words=False)
 
     def kept(batches):
         for batch in slices(batches, "_t"):
-            raw, offsets = text_bytes(batch.column(2))
+            texts = Texts(batch, finder)
+            gone = removal_mask(*finder.removed(texts), len(texts.units))
+            raw, offsets = text_bytes(batch.column(batch.schema.get_field_index("_t")))
             out = []
-            for r, (lo, hi) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
-                doc = raw[offsets[r]:offsets[r + 1]]
-                gone = removal_mask(np.array(lo, np.int64), np.array(hi, np.int64), len(doc))
-                spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0])
-                rest = doc[~gone].tobytes()
-                out.append((rest, len(doc), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest()))
-            ids = [None if d == null_id else d for d in batch.column(0).to_pylist()]
+            for d, first, end in zip(batch.column(1).to_pylist(), offsets[:-1], offsets[1:]):
+                mine = gone[first:end]
+                spans = int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(len(mine) > 0 and mine[0])
+                rest = raw[first:end][~mine].tobytes()
+                out.append((None if d == NULL_ID else d, rest, int(end - first), int(mine.sum()), spans,
+                            hashlib.sha256(rest).hexdigest()))
             yield pa.record_batch(
-                [pa.array(ids, pa.int64()), *[pa.array([x[k] for x in out], t) for k, t in enumerate(
-                    (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()))]],
+                [pa.array([x[k] for x in out], t) for k, t in enumerate(
+                    (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()))],
                 names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined.mapInArrow(
+    return finder.compared(identified(docs, text, doc_id)).mapInArrow(
         kept, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

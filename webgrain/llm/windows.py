@@ -113,22 +113,21 @@ def room(offsets: np.ndarray, size: int) -> np.ndarray:
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
     """For each place p the leftmost place of the least value in p .. p + width - 1 (cut off at the
-    end of the array), by doubling."""
-    best, at, size = values, np.arange(len(values), dtype=np.int64), 1
-    n = len(values)
-
-    def joined(step):
-        b, i = best.copy(), at.copy()
-        if step < n:
-            less = best[step:] < best[:-step]
-            b[:n - step][less] = best[step:][less]
-            i[:n - step][less] = at[step:][less]
-        return b, i
-
-    while size * 2 <= width:
-        (best, at), size = joined(size), size * 2
-    if size < width:
-        best, at = joined(width - size)
+    end of the array), by doubling. Values are compared by their upper 40 bits."""
+    high, n = values >> np.uint64(24), len(values)
+    if n < 1 << 24:  # value and place in one number
+        least, size = (high << np.uint64(24)) | np.arange(n, dtype=np.uint64), 1
+        while size < width:
+            step = min(size, width - size)
+            if step < n:
+                least = np.append(np.minimum(least[:-step], least[step:]), least[-step:])
+            size += step
+        return (least & np.uint64((1 << 24) - 1)).astype(np.int64)
+    at, size = np.arange(n, dtype=np.int64), 1
+    while size < width:
+        step = min(size, width - size)
+        other = at[np.minimum(np.arange(n) + step, n - 1)]
+        at, size = np.where(high[other] < high[at], other, at), size + step
     return at
 
 
