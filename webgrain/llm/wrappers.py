@@ -105,7 +105,7 @@ def read_page(source: str) -> tuple[list[tuple[str, str]], list]:
             label = _label(name, rest)
             stack.append((name, label))
             tokens.append(f"<{label}>")
-        else:
+        elif kind == "close":
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     close(k)
