@@ -170,3 +170,21 @@ def test_pages_are_parsed_once(spark):
     items = C.page_items(df).filter(F.length("body") > 3)
     plan = items._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("html,texts", [
+    ("a<![foo]>b", ["a", "b"]), ("a<![CDATA[x<y]]>b", ["a", "x<y", "b"]), ("a<!x>b<?y>c", ["a", "b", "c"]),
+    ("a<!-- never closed", ["a"]), ("a<![", ["a"]), ("a<!", ["a"]), ("x < y <3 <", ["x < y <3 <"]),
+    ("<p a='b>c", ["c"]), ("<p>a</p", ["a"]), ("<script>if (a < b) {", []), ("a</>b", ["ab"]),
+])
+def test_broken_markup_is_read_on(html, texts):
+    assert D.read_page(html)["texts"] == texts
+
+
+@pytest.mark.parametrize("piece", ["<a <a ", "<!--", "<p x='", "</", "<", "<![", "<a b", "</p <"])
+def test_broken_markup_takes_linear_time(piece):
+    import time
+
+    started = time.time()
+    D.read_page(piece * (1_000_000 // len(piece)))
+    assert time.time() - started < 4

@@ -73,3 +73,10 @@ def test_suggestions_on_both_ways(spark):
         got = {q: sorted(r["pos"] for r in rows if r["query"] == q) for q in asked}
         assert got == want
     assert len(want["inc"]) == 5
+
+
+def test_suggestions_without_usable_queries(spark):
+    names = spark.createDataFrame([(0, "Acme"), (1, None)], "pos int, term string")
+    for given in ([], [None], spark.createDataFrame([], "query string"), spark.createDataFrame([(None,)], "query string")):
+        assert M.suggest(given, names).count() == 0
+    assert [tuple(r) for r in M.suggest([None, "cm"], names).collect()] == [("cm", "Acme", 0)]

@@ -52,7 +52,7 @@ def brute_knn(train, labels, test, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "block": 30}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 700, "cells": 40}])
 def test_knn_on_both_ways(spark, options):
     rng = np.random.default_rng(2)
     train, test = rng.integers(0, 4, (150, 3)).astype(float), rng.integers(0, 4, (40, 3)).astype(float)
@@ -201,3 +201,9 @@ def test_centroid_mean(spark):
     df = vectors(spark, [[1, 2], [3, 4], [10, 20]], [0, 0, 1])
     got = {(r["label"], r["pos"]): r["mean"] for r in N.centroid_mean(df, "label", "vec").collect()}
     assert got == {(0, 0): 2.0, (0, 1): 3.0, (1, 0): 10.0, (1, 1): 20.0}
+
+
+def test_knn_leaves_out_null_vectors(spark):
+    rows = [(0, [0.0], 1), (1, None, 2), (2, [5.0], 3)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label long")
+    assert {r["id"]: r["label"] for r in N.knn_classify(df, df.drop("label"), 1).collect()} == {0: 1, 2: 3}

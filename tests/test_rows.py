@@ -163,12 +163,6 @@ def test_samples(spark):
     assert [r["id"] for r in sorted(ranks, key=lambda r: r["rank"])] != list(range(50))
 
 
-def test_large_samples_are_numbered(spark, monkeypatch):
-    small = {r[0] for r in O.sample_exact(spark.range(50), "id", 20).collect()}
-    monkeypatch.setattr(O, "TOP_K_MAX", 5)
-    assert {r[0] for r in O.sample_exact(spark.range(50), "id", 20).collect()} == small
-
-
 def test_chunks(spark):
     got = dict(map(tuple, O.chunk_id(spark.range(7), ["id"], 3).collect()))
     assert got == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1, 5: 1, 6: 2}
@@ -195,3 +189,14 @@ def test_sets(spark):
     assert J.concat(a, b).filter("v is null").count() == 3
     assert [r[0] for r in J.common(a.select("id"), b).collect()] == [1]
     assert tuple(J.shape(a).first()) == (2, 2)
+
+
+def test_missing_order_value_is_the_latest(spark):
+    df = spark.createDataFrame([("a", "1", 1), ("a", None, 2), ("b", "3", 3), ("b", "4", 4)], "k string, t string, i int")
+    assert {r["i"] for r in O.latest_per_key(df, "k", "t", ["i"]).collect()} == {2, 4}
+
+
+def test_default_only_where_there_is_no_row(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    known = spark.createDataFrame([("a", "x"), ("b", None)], "k string, v string")
+    assert {r["k"]: r["v"] for r in P.lookup_default(df, known, "k", "v", "d").collect()} == {"a": "x", "b": None, "c": "d"}

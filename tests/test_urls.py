@@ -74,3 +74,15 @@ def test_domain_lookup_is_broadcast_and_shuffles_nothing(spark):
     df = spark.createDataFrame([("http://a.com",)], "url string")
     plan = registered_domain(df, "url", suffixes, max_labels=2)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_domain_rules_with_wildcards_and_exceptions(spark):
+    cases = {"http://www.ck/": "www.ck", "http://a.www.ck/": "www.ck", "http://x.ck/": None, "http://a.x.ck/": "a.x.ck",
+             "http://b.a.x.ck/": "a.x.ck", "http://ck/": None, "http://a.jp/": "a.jp", "http://b.kobe.jp/": None,
+             "http://c.b.kobe.jp/": "c.b.kobe.jp", "http://city.kobe.jp/": "city.kobe.jp"}
+    rules = [(s,) for s in ("*.ck", "!www.ck", "jp", "*.kobe.jp", "!city.kobe.jp")]
+    suffixes = local_table(spark, rules, "suffix string")
+    df = spark.createDataFrame([(u,) for u in cases], "url string")
+    for labels in (None, 3):
+        got = registered_domain(df, "url", suffixes, max_labels=labels).collect()
+        assert {r["url"]: r["domain"] for r in got} == cases

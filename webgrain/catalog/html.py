@@ -8,7 +8,7 @@ from webgrain.functions import dom as D
 from webgrain.operators import crawl as C
 from webgrain.operators.domains import registered_domain
 from webgrain.plans import jobs
-from webgrain.plans.scale import fresh_path, spread
+from webgrain.plans.scale import fresh_path
 from webgrain.sources import sinks as K
 
 ENTITIES = """regexp_replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'),
@@ -43,7 +43,7 @@ TITLE = ENTITIES.format("regexp_extract(html, '<title>([^<]*)', 1)")
 
 def pages(spark, sf, tags=None, html=None):
     """The page table with its markup shredded."""
-    df = spread(table(spark, sf, "pages"))
+    df = table(spark, sf, "pages")
     if html is not None:
         df = df.withColumn("html", html)
     return C.shred(df, tags=tags)
@@ -235,7 +235,7 @@ from m join d using (page_id) group by 1, 2
 """)
 def site_page_counts(spark, sf):
     return jobs.site_page_counts(
-        spread(table(spark, sf, "pages").select("page_id", "url", "html")),
+        table(spark, sf, "pages").select("page_id", "url", "html"),
         lambda df: registered_domain(df, "url", suffixes(spark), max_labels=2))
 
 
@@ -259,7 +259,7 @@ def capture_pages(spark, sf):
         return pa.array([gzip.compress((head + t.as_py()).encode(), 1) for t in texts], pa.binary())
 
     key = F.regexp_replace("url", "^https?://|[?#].*$", "")
-    source = spread(table(spark, sf, "pages")).withColumn("urlkey", key)
+    source = table(spark, sf, "pages").withColumn("urlkey", key)
     number = F.lpad(F.col("page_id").cast("string"), 12, "0")
     captures = source.select(
         "urlkey", "url", number.alias("timestamp"), F.lit("text/html").alias("mime"),

@@ -159,13 +159,14 @@ def kmeans_3_iters(spark, sf):
 
 
 @query("""
-with v as (select vec_id, label, cast(embedding as double[64]) as v from embeddings),
+with v as (select vec_id, label, cast(embedding as double[64]) as v from embeddings where vec_id % 50 <> 7),
 d as (select a.vec_id as id, b.label, array_distance(a.v, b.v) as dist, b.vec_id as other from v a, v b
   qualify row_number() over (partition by a.vec_id order by array_distance(a.v, b.v), b.vec_id) <= 5),
 n as (select id, label, count(*) as n from d group by 1, 2)
 select id, arg_max(label, (n, -label)) as label from n group by 1
 """)
 def knn_classify(spark, sf):
+    """Some vectors are made null: they take no part on either side."""
     vectors = table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("id"), "label", F.col("embedding").alias("vec"))
+        F.col("vec_id").alias("id"), "label", F.when(F.col("vec_id") % 50 != 7, F.col("embedding")).alias("vec"))
     return N.knn_classify(vectors, vectors.drop("label"), 5)

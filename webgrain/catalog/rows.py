@@ -10,7 +10,7 @@ from webgrain.operators import keyed
 from webgrain.operators import matching as M
 from webgrain.operators import ordering as O
 from webgrain.operators.enrich import enrich
-from webgrain.plans.scale import fresh_path, local_table, spread
+from webgrain.plans.scale import fresh_path, local_table
 from webgrain.sources import readers as R
 from webgrain.sources import sinks as K
 
@@ -50,16 +50,25 @@ def decode_gzip(spark, sf):
     def pack(texts: pa.Array) -> pa.Array:
         return pa.array([gzip.compress(t.as_py().encode(), 1) for t in texts], pa.binary())
 
-    packed = spread(table(spark, sf, "documents").select("doc_id", "text")).select(
+    packed = table(spark, sf, "documents").select("doc_id", "text").select(
         "doc_id", pack("text").alias("payload"))
     return R.decode_records(packed).select(
         "doc_id", F.md5("data").alias("digest"), F.length("data").alias("n_chars"))
 
 
-@query()
+@query("""
+select 'n_name=' || n_name as folder, cast(1 as bigint) as files, cast(strlen(c.r_name) + 1 as bigint) as length
+from nation join region c on n_regionkey = c.r_regionkey
+""")
 def list_files(spark, sf):
-    return R.list_files(spark, sf, "*.parquet").select(
-        F.substring_index("path", "/", -1).alias("file"), "length")
+    """A table written as one text file of known size per row, then listed."""
+    path = fresh_path(spark, "listing")
+    nation = table(spark, sf, "nation").join(
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    nation.select("n_name", "r_name").write.partitionBy("n_name").text(path)
+    folder = F.regexp_replace(F.element_at(F.split("path", "/"), -2), "%20", " ")
+    return R.list_files(spark, path, "*.txt").groupBy(folder.alias("folder")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("length"))
 
 
 @query("select *, 2 as n from nation")
@@ -185,7 +194,8 @@ def filter_configured(spark, sf):
 
 @query("""
 select event_id, event_type as system_id,
-  case event_type when 'click' then 'v1' when 'view' then 'v3' else 'unknown' end as prompt_tag
+  case event_type when 'click' then 'v1' when 'view' then 'v3' when 'purchase' then null else 'unknown' end
+    as prompt_tag
 from events
 """)
 def lookup_default(spark, sf):
@@ -328,7 +338,7 @@ qualify row_number() over (partition by query order by p_partkey) <= 5
 def autocomplete_table(spark, sf):
     part = table(spark, sf, "part")
     typed = part.select(F.substring("p_name", 2, 3).alias("query")).distinct().union(
-        local_table(spark, [("",)], "query string"))
+        local_table(spark, [("",), (None,)], "query string"))
     return M.suggest(typed, part.select(F.col("p_name").alias("term"), F.col("p_partkey").alias("pos")))
 
 
@@ -363,11 +373,13 @@ def last_value_per_key(spark, sf):
 
 
 @query("""
-select user_id, event_id, ts, event_type from events
-qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1
+select user_id, event_id, if(event_id % 97 = 5, null, ts) as ts, event_type from events
+qualify row_number() over (
+  partition by user_id order by if(event_id % 97 = 5, null, ts) desc nulls first, event_id desc) = 1
 """)
 def latest_per_key(spark, sf):
-    events = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
+    events = table(spark, sf, "events").select(
+        "user_id", "event_id", F.when(F.col("event_id") % 97 != 5, F.col("ts")).alias("ts"), "event_type")
     return O.latest_per_key(events, "user_id", "ts", ["event_id"])
 
 

@@ -9,7 +9,7 @@ from webgrain.operators import joins as J
 from webgrain.operators import ordering as O
 from webgrain.operators import robots as B
 from webgrain.operators.domains import registered_domain as add_domain
-from webgrain.plans.scale import local_table, spread
+from webgrain.plans.scale import local_table
 from webgrain.operators.enrich import first_article_title
 
 # RE2 class with the characters of Python's str.strip()
@@ -17,7 +17,7 @@ SQL_SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x
 
 
 def texts(spark, sf):
-    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 @query(rf"""
@@ -161,6 +161,20 @@ def registered_domain(spark, sf):
     return paged_domains(spark, sf).select("page_id", "domain")
 
 
+@query(r"""
+with h as (select page_id, regexp_extract(url, '://([^/?#]*)', 1) as host from pages)
+select page_id, nullif(case
+  when host like '%example.com' then 'example.com'
+  when host like '%thther.example.org' then 'thther.example.org'
+  else regexp_extract(host, '([^.]+[.][^.]+[.]example[.](?:net|org))$', 1) end, '') as domain from h
+""")
+def registered_domain_rules(spark, sf):
+    """Wildcard rules and an exception to one."""
+    rules = [(s,) for s in ("com", "net", "org", "*.example.net", "*.example.org", "!thther.example.org")]
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return add_domain(pages, "url", local_table(spark, rules, "suffix string"), max_labels=3).select("page_id", "domain")
+
+
 @query(DOMAIN_CTE + "select domain, count(*) as n from d where domain is not null group by 1")
 def count_by_domain(spark, sf):
     return J.count_by(paged_domains(spark, sf), "domain")

@@ -1,17 +1,16 @@
 """HTML as a nested column.
 
-``shred`` is the one Python step: the standard library tokenizer turns a page into flat lists
+``shred`` is the one Python step: a linear scanner turns a page into flat lists
 of nodes and text pieces. A node keeps the range ``[t0, t1)`` of text pieces below it, so a
 page is stored once however deep it nests. Everything after that is JVM column work on the row.
 """
 
-from html.parser import HTMLParser
-
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from webgrain.functions.binding import let
+from webgrain.functions.markup import attributes, scan
 from webgrain.functions.strings import clean_lines, keyword_form, strip
 from webgrain.functions.urls import normalize_url, path, resolve
 from webgrain.lookups import ABOUT_WORDS, HOME_PREFIX, REGION_WORD, TERMS_PATTERNS
@@ -38,110 +37,90 @@ _KEEP_SPACE = {"pre", "textarea"}
 # ----------------------------------------
 
 
-class _PageReader(HTMLParser):
-    """Collects nodes and text pieces; an end tag closes the nearest open element of its name
-    and all inside it, and is ignored when none is open."""
+class _Elements:
+    """Columns of all elements of a page; rows are only built for those that are asked for."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.nodes, self.texts, self.stack, self.pending = [], [], [], []
-        self.only = []  # per node: its single child (text, or node number), or None if more
-        self.silent = self.verbatim = 0  # open elements without text / with kept blanks
-
-    def updatepos(self, i, j):
-        return j  # line numbers are not needed
-
-    def _add_child(self, child):
-        if self.stack:
-            top = self.stack[-1]
-            self.only[top] = child if self.only[top] == () else None
-
-    def flush_text(self):
-        if not self.pending:
-            return
-        text = "".join(self.pending)
-        self.pending.clear()
-        if not text:
-            return
-        if not self.verbatim and not text.strip(" \n\t\f\r"):
-            text = "\n" if "\n" in text else " "
-        self._add_child(text)
-        if not self.silent:
-            self.texts.append(text)
-
-    def _close(self, upto):
-        for i in self.stack[upto:]:
-            node = self.nodes[i]
-            node["end_ord"] = len(self.nodes)
-            node["t1"] = len(self.texts)
-            self.silent -= node["tag"] in _NOT_TEXT
-            self.verbatim -= node["tag"] in _KEEP_SPACE
-        del self.stack[upto:]
-
-    def handle_starttag(self, tag, attrs):
-        self.flush_text()
-        number = len(self.nodes)
-        self._add_child(number)
-        self.nodes.append({
-            "ord": number, "depth": len(self.stack), "tag": tag, "string": None,
-            "attrs": list({k: v or "" for k, v in attrs}.items()) if attrs else [],
-            "t0": len(self.texts),
-        })
-        self.only.append(())
-        self.stack.append(number)
-        self.silent += tag in _NOT_TEXT
-        self.verbatim += tag in _KEEP_SPACE
-        if tag in _VOID:
-            self._close(len(self.stack) - 1)
-
-    def handle_endtag(self, tag):
-        self.flush_text()
-        for level in range(len(self.stack) - 1, -1, -1):
-            if self.nodes[self.stack[level]]["tag"] == tag:
-                self._close(level)
-                return
-
-    def handle_data(self, data):
-        self.pending.append(data)
-
-    def handle_comment(self, data):
-        self.flush_text()
-        self._add_child(data)
-
-    def handle_decl(self, decl):
-        self.flush_text()
-        self._add_child(decl)
-
-    handle_pi = handle_decl
-
-    def unknown_decl(self, data):
-        if data.upper().startswith("CDATA["):
-            self.flush_text()
-            self.pending.append(data[6:])
-            self.flush_text()
-        else:
-            self.handle_decl(data)
+        self.tag, self.source, self.depth, self.t0, self.t1, self.end = [], [], [], [], [], []
+        self.only = []  # single child: its text, or its number, or None if more
 
 
 def read_page(html, tags=None):
-    """One page as ``{nodes, texts}``; with ``tags`` only those nodes are returned."""
+    """One page as ``{nodes, texts}``; with ``tags`` only those nodes are returned.
+
+    An end tag closes the nearest open element of its name and all inside it, and is ignored when
+    none is open. Broken markup never fails: what can be read is kept.
+    """
     if html is None:
         return None
-    reader = _PageReader()
-    reader.feed(html)
-    reader.close()
-    reader.flush_text()
-    reader._close(0)
-    nodes, only = reader.nodes, reader.only
-    for i in range(len(nodes) - 1, -1, -1):  # children come after their parent
-        child = only[i]
-        if isinstance(child, str):
-            nodes[i]["string"] = child
-        elif isinstance(child, int):
-            nodes[i]["string"] = nodes[child]["string"]
-    if tags is not None:
-        nodes = [n for n in nodes if n["tag"] in tags]
-    return {"nodes": nodes, "texts": reader.texts}
+    e, texts, stack, pending = _Elements(), [], [], []
+    silent = verbatim = 0  # open elements without text / with kept blanks
+
+    def add_child(child):
+        if stack:
+            top = stack[-1]
+            e.only[top] = child if e.only[top] == () else None
+
+    def flush():
+        text = "".join(pending)
+        pending.clear()
+        if text:
+            if not verbatim and not text.strip(" \n\t\f\r"):
+                text = "\n" if "\n" in text else " "
+            add_child(text)
+            if not silent:
+                texts.append(text)
+
+    def close(upto):
+        nonlocal silent, verbatim
+        for i in stack[upto:]:
+            e.end[i], e.t1[i] = len(e.tag), len(texts)
+            silent -= e.tag[i] in _NOT_TEXT
+            verbatim -= e.tag[i] in _KEEP_SPACE
+        del stack[upto:]
+
+    open_tags = {}  # name -> how many are open
+    for kind, content, rest in scan(html):
+        if kind in ("text", "raw"):
+            pending.append(content)
+            continue
+        flush()
+        if kind == "cdata":
+            pending.append(content)
+            flush()
+        elif kind == "note":
+            add_child(content)
+        elif kind == "open":
+            number = len(e.tag)
+            add_child(number)
+            for column, value in ((e.tag, content), (e.source, rest), (e.depth, len(stack)), (e.t0, len(texts)),
+                                  (e.t1, 0), (e.end, 0), (e.only, ())):
+                column.append(value)
+            stack.append(number)
+            open_tags[content] = open_tags.get(content, 0) + 1
+            silent += content in _NOT_TEXT
+            verbatim += content in _KEEP_SPACE
+            if content in _VOID or rest.endswith("/"):
+                open_tags[content] -= 1
+                close(len(stack) - 1)
+        elif open_tags.get(content):
+            level = len(stack) - 1
+            while e.tag[stack[level]] != content:
+                open_tags[e.tag[stack[level]]] -= 1
+                level -= 1
+            open_tags[content] -= 1
+            close(level)
+    flush()
+    close(0)
+    for i in range(len(e.tag) - 1, -1, -1):  # children come after their parent
+        child = e.only[i]
+        if isinstance(child, int):
+            e.only[i] = e.only[child]
+    return {"texts": texts, "nodes": [
+        {"ord": i, "end_ord": e.end[i], "depth": e.depth[i], "tag": e.tag[i],
+         "attrs": list(attributes(e.source[i]).items()) if e.source[i] else [],
+         "string": e.only[i] if isinstance(e.only[i], str) else None, "t0": e.t0[i], "t1": e.t1[i]}
+        for i in range(len(e.tag)) if tags is None or e.tag[i] in tags]}
 
 
 def shred(html: Column, tags=None) -> Column:

@@ -14,19 +14,20 @@ _NO_TEXT = frozenset(["script", "style", "xmp", "iframe", "noembed", "noframes"]
 
 
 def attributes(source: str) -> dict[str, str]:
-    """Names in lower case; of two equal ones the first counts."""
+    """Names in lower case; of two equal ones the last counts."""
     found = {}
     for name, a, b, c in _ATTR.findall(source):
-        found.setdefault(name.lower(), html.unescape(a or b or c))
+        found[name.lower()] = html.unescape(a or b or c)
     return found
 
 
 def scan(source: str) -> Iterator[tuple[str, str, str]]:
-    """(kind, name or text, attribute source) with kind ``open``, ``close`` or ``text``, in order.
+    """(kind, name or content, attribute source) in order, with kind ``open``, ``close``, ``text``,
+    ``raw`` (inside scripts, styles and the like), ``cdata`` or ``note`` (comments, declarations,
+    instructions and other marked sections, closed or not).
 
-    Comments, declarations, processing instructions and marked sections, closed or not, are left
-    out. The content of raw elements is one text (for scripts and styles: none), up to their end
-    tag or the end of the page. Texts are decoded.
+    The content of raw elements reaches up to their end tag or the end of the page. Texts are
+    decoded, raw ones and notes are not.
     """
     at, size = 0, len(source)
     lower = None
@@ -47,7 +48,16 @@ def scan(source: str) -> Iterator[tuple[str, str, str]]:
                 mark, end = ">", (-1 if gone.get(">") else source.find(">", lt))
             if end < 0:
                 gone[">"] = True
+                yield "note", source[lt + 2:], ""
                 return
+            if mark == "-->":
+                yield "note", source[lt + 4:end], ""
+            elif source.startswith("<![CDATA[", lt):
+                stop = source.find("]]>", lt)
+                end, mark = (stop, "]]>") if stop >= 0 else (end, mark)
+                yield "cdata", source[lt + 9:end], ""
+            else:
+                yield "note", source[lt + 2:end], ""
             at = end + len(mark)
             continue
         m = None if gone.get(">") else _TAG.match(source, lt)
@@ -77,6 +87,7 @@ def scan(source: str) -> Iterator[tuple[str, str, str]]:
                     lower = re.sub("[A-Z]+", lambda x: x[0].lower(), source)
             end = lower.find(f"</{name}", at)
             end = size if end < 0 else end
-            if name not in _NO_TEXT and end > at:
-                yield "text", html.unescape(source[at:end]), ""
+            if end > at:
+                content = source[at:end]
+                yield ("raw", content, "") if name in _NO_TEXT else ("text", html.unescape(content), "")
             at = end

@@ -72,3 +72,13 @@ PROMPT_TEMPLATE = (
     "easy-to-understand manner:\n    Content: {content}\n    Summary: {summary}\n    "
 )
 # ------------------------------------------------------------------------------------------
+
+# --- fixed values: texts of the comparison report ---
+TOO_FEW = "Insufficient data (need >=%s samples per group, got %s vs %s)"
+NO_DATA = "No valid data found for any system for this metric."
+NO_OTHERS = (
+    "%s has the highest median (%.3f), but no other systems had valid data for comparison on this metric.")
+HIGHER = "%s median (%.3f) is significantly higher than all other comparable systems (p < %s)."
+NOT_HIGHER = (
+    "%s has the highest median (%.3f), but was not significantly higher than all comparable systems "
+    "(alpha=%s). Check details.")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgrain.functions.binding import let
-from webgrain.lookups import SCORE_NAMES
+from webgrain import lookups as L
 from webgrain.plans.scale import materialize, running_totals
 
 
@@ -33,7 +33,7 @@ def histogram(df: DataFrame, by: list[str], value: str, n: str = "n") -> DataFra
 
 def median_of_counts(counts: DataFrame, by: list[str], value: str, n: str = "n") -> DataFrame:
     """Exact median and count per group from a stored histogram (mean of the middle two)."""
-    placed = running_totals(counts, by, [value], [n], stored=True)
+    placed = running_totals(counts, by, [value], [n])
     totals = counts.groupBy(*by).agg(F.sum(n).alias("n_total"))
     first, after = F.col(f"{n}_before"), F.col(f"{n}_before") + F.col(n)
 
@@ -120,34 +120,68 @@ def _p_value(u: Column, z: Column, n1: Column, n2: Column, tied: Column) -> Colu
     return p(u, z, n1, n2, tied)
 
 
+def _ranked(counts: DataFrame, metric: str, system: str, value: str):
+    """(names, table): per (metric, value) the counts of all systems (``n``) and those of smaller
+    values (``before``), as arrays in the order of the names. One running total serves the medians
+    and all tests. The names are the systems compared, a list that fits a report."""
+    names = sorted(r[0] for r in counts.select(system).filter(F.col(system).isNotNull()).distinct().collect())
+    columns = [f"_n{k}" for k in range(len(names))]
+    wide = counts.groupBy(metric, value).agg(*[
+        F.sum(F.when(F.col(system) == s, F.col("n")).otherwise(0)).alias(c) for s, c in zip(names, columns)
+    ] or [F.count("*").alias("_rows")])
+    if not names:
+        none = F.array().cast("array<bigint>")
+        return names, wide.select(metric, value, none.alias("n"), none.alias("before"))
+    return names, running_totals(wide, [metric], [value], columns).select(
+        metric, value, F.array(*columns).alias("n"), F.array(*[f"{c}_before" for c in columns]).alias("before"))
+
+
+def _medians(names, ranked: DataFrame, metric: str, system: str, value: str) -> DataFrame:
+    """(metric, system, n, median) of every system with values."""
+    places = range(len(names))
+    totals = ranked.groupBy(metric).agg(F.array(*[F.sum(F.col("n")[k]) for k in places]).alias("_all"))
+
+    def at(k, position):
+        first = F.col("before")[k]
+        return F.max(F.when((first <= position) & (position < first + F.col("n")[k]), F.col(value)))
+
+    def middle(k):
+        n = F.col("_all")[k]
+        return (at(k, F.floor((n - 1) / 2)) + at(k, F.floor(n / 2))) / 2
+
+    found = ranked.join(totals, metric).groupBy(metric).agg(
+        F.first("_all").alias("_all"), *[middle(k).alias(f"_m{k}") for k in places])
+    rows = F.array(*[F.struct(F.lit(names[k]).alias(system), F.col("_all")[k].alias("n"), F.col(f"_m{k}").alias("median"))
+                     for k in places])
+    return found.select(metric, F.inline(rows)).filter("n > 0")
+
+
 def mann_whitney(counts: DataFrame, pairs: DataFrame, metric: str = "metric",
-                 system: str = "system", value: str = "score", with_p: bool = True,
-                 at_most: int | None = None) -> DataFrame:
+                 system: str = "system", value: str = "score", with_p: bool = True) -> DataFrame:
     """One-sided rank test (first greater) for each (metric, a, b) of ``pairs``.
 
     ``counts`` is the histogram per (metric, system, value). U adds, over the values of a, the
     number of smaller values of b and half of the equal ones. z has the tie and continuity
     corrections and is null when all values are equal (p = 1). p is exact when a sample has at
-    most 8 values and nothing is tied. ``at_most`` is a known bound on the pooled rows.
+    most 8 values and nothing is tied.
     """
-    by = [metric, "a", "b"]
-    zero = F.lit(0).cast("long")
+    return _tests(*_ranked(counts, metric, system, value), pairs, metric, with_p)
 
-    def side(role, n_a, n_b):
-        return pairs.select(*by).withColumn(system, F.col(role)).join(counts, [metric, system]).select(
-            *by, value, n_a.alias("n_a"), n_b.alias("n_b"))
 
-    pooled = (
-        side("a", F.col("n"), zero).unionByName(side("b", zero, F.col("n")))
-        .groupBy(*by, value).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
-    )
-    t = F.col("n_a") + F.col("n_b")
-    stats = running_totals(pooled, by, [value], ["n_b"], at_most=at_most).groupBy(*by).agg(
-        F.sum(F.col("n_a") * (F.col("n_b_before") + F.col("n_b") / 2)).alias("u"),
-        F.sum("n_a").alias("n1"),
-        F.sum("n_b").alias("n2"),
+def _tests(names, ranked: DataFrame, pairs: DataFrame, metric: str, with_p: bool = True) -> DataFrame:
+    """All tests from one table: a row meets the pairs of its metric in front of an aggregation that
+    combines first, so nothing is shuffled per pair."""
+    by = [metric, "a", "b"]
+    place = lambda c: F.array_position(F.array(*[F.lit(s) for s in names]).cast("array<string>"), F.col(c)) - 1
+    number = lambda counts, at: F.coalesce(F.get(counts, at.cast("int")), F.lit(0).cast("long"))
+    n_a, n_b = number(F.col("n"), place("a")), number(F.col("n"), place("b"))
+    t = n_a + n_b
+    stats = ranked.join(pairs.select(*by), metric).groupBy(*by).agg(
+        F.sum(n_a * (number(F.col("before"), place("b")) + n_b / 2)).alias("u"),
+        F.sum(n_a).alias("n1"),
+        F.sum(n_b).alias("n2"),
         F.sum(t.cast("double") * t * t - t).alias("tie_sum"),
-    )
+    ).filter("n1 + n2 > 0")
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
     spread = F.sqrt(n1 * n2 / 12 * (n + 1 - F.try_divide(F.col("tie_sum"), n * (n - 1))))
@@ -176,10 +210,10 @@ def best_system(medians: DataFrame, metric="metric", system="system") -> DataFra
 
 def _compared(scores: DataFrame, alpha: float, min_n: int):
     counts = materialize(histogram(scores, ["metric", "system"], "score"), "counts")
+    names, ranked = _ranked(counts, "metric", "system", "score")
     systems = scores.groupBy("system").agg(F.min("ord").alias("ord"))
-    medians = materialize(
-        median_of_counts(counts, ["metric", "system"], "score").join(systems, "system"), "medians"
-    )
+    medians = _medians(names, ranked, "metric", "system", "score").join(systems, "system") if names else (
+        counts.select("metric", "system", "n", F.col("score").cast("double").alias("median")).join(systems, "system"))
     best = best_system(medians)
     others = medians.select("metric", F.col("system").alias("b"), F.col("ord").alias("b_ord"),
                             F.col("median").alias("b_median"), F.col("n").alias("b_n"))
@@ -188,9 +222,7 @@ def _compared(scores: DataFrame, alpha: float, min_n: int):
         best.join(own, ["metric", "a"]).join(others, "metric").filter("a <> b")
         .withColumn("enough", (F.col("a_n") >= min_n) & (F.col("b_n") >= min_n))
     )
-    # every value meets at most every system of its metric
-    bound = counts.count() * medians.count()
-    tests = mann_whitney(counts, pairs.filter("enough"), at_most=bound).select(
+    tests = _tests(names, ranked, pairs.filter("enough"), "metric").select(
         "metric", "a", "b", "u", "z", "p_value")
     report = pairs.join(tests, ["metric", "a", "b"], "left").select(
         "metric", "a", "b", "b_ord", "u", "z", "p_value",
@@ -198,9 +230,7 @@ def _compared(scores: DataFrame, alpha: float, min_n: int):
         F.coalesce(F.col("p_value") < alpha, F.lit(False)).alias("significant"),
         F.when(
             ~F.col("enough"),
-            F.concat(F.lit(f"Insufficient data (need >={min_n} samples per group, got "),
-                     F.col("a_n").cast("string"), F.lit(" vs "), F.col("b_n").cast("string"),
-                     F.lit(")")),
+            F.format_string(L.TOO_FEW, F.lit(min_n), "a_n", "b_n"),
         ).alias("note"),
     )
     return systems, best, report
@@ -227,18 +257,13 @@ def compare_groups(scores: DataFrame, alpha: float = 0.05, min_n: int = 3) -> Da
         F.bool_and("significant").alias("all_significant"),
         F.sort_array(F.collect_list(entry)).alias("details"),
     )
-    median_text = F.format_string("%.3f", "best_median")
-    lead = F.concat("a", F.lit(" has the highest median ("), median_text)
+    fields = ("a", "best_median")
+    level = F.lit(str(alpha))
     notes = (
-        F.when(F.col("a").isNull(), F.lit("No valid data found for any system for this metric."))
-        .when(F.col("all_significant").isNull(), F.concat(
-            lead, F.lit("), but no other systems had valid data for comparison on this metric.")))
-        .when(F.col("all_significant"), F.concat(
-            "a", F.lit(" median ("), median_text,
-            F.lit(f") is significantly higher than all other comparable systems (p < {alpha}).")))
-        .otherwise(F.concat(
-            lead, F.lit("), but was not significantly higher than all comparable systems "
-                        f"(alpha={alpha}). Check details.")))
+        F.when(F.col("a").isNull(), F.lit(L.NO_DATA))
+        .when(F.col("all_significant").isNull(), F.format_string(L.NO_OTHERS, *fields))
+        .when(F.col("all_significant"), F.format_string(L.HIGHER, *fields, level))
+        .otherwise(F.format_string(L.NOT_HIGHER, *fields, level))
     )
     return (
         metrics.filter(enough_systems.scalar())
@@ -281,10 +306,10 @@ def _overlap(q, ref, res):
     critic = share(F.size(F.array_intersect(q, res)), q)
     values = [precision, recall, grounded, F.when(precision.isNotNull() & recall.isNotNull(), f1),
               critic]
-    return F.struct(*[v.alias(n) for v, n in zip(values, SCORE_NAMES)])
+    return F.struct(*[v.alias(n) for v, n in zip(values, L.SCORE_NAMES)])
 
 
-def score_items(df: DataFrame, scorer, inputs: list[str], names: list[str] = SCORE_NAMES) -> DataFrame:
+def score_items(df: DataFrame, scorer, inputs: list[str], names: list[str] = L.SCORE_NAMES) -> DataFrame:
     """Add scores from a Python function of one item; a failing item keeps its row with null
     scores and the message in ``error``."""
     fields = ",".join(f"{n}:double" for n in names)

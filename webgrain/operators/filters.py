@@ -43,10 +43,11 @@ def filter_configured(items: DataFrame, config: DataFrame, key: str = "system_id
 
 
 def lookup_default(df: DataFrame, table: DataFrame, key: str, value: str, default) -> DataFrame:
-    """Add ``value`` from a unique-key table, or the default."""
-    return df.join(table.select(key, value), key, "left").withColumn(
-        value, F.coalesce(value, F.lit(default))
-    )
+    """Add ``value`` from a unique-key table, or the default where the key has no row there. A
+    value that is present but null stays null."""
+    return df.join(table.select(key, value, F.lit(True).alias("_known")), key, "left").withColumn(
+        value, F.when(F.col("_known"), F.col(value)).otherwise(F.lit(default))
+    ).drop("_known")
 
 
 def frontier(df: DataFrame, url: str, domains: DataFrame, max_depth: int = L.DEPTH_LIMIT,

@@ -104,31 +104,28 @@ def match_edit(queries: DataFrame, catalog: DataFrame, k: int = 1) -> DataFrame:
 
 def suggest(queries: DataFrame | list[str], catalog: DataFrame, n: int = 5,
             term: str = "term", pos: str = "pos") -> DataFrame:
-    """First n catalog entries (by ``pos``) that contain the query, both in lower case.
+    """First n catalog entries (by ``pos``) that contain the query, both in lower case. Null
+    queries and entries match nothing.
 
-    A short list of typed queries is tested per catalog row without any join. A table of
-    queries is matched through the substrings of the catalog that have the length of some
-    query: n rows per substring survive the map side, then one equi-join.
+    Queries meet the substrings of the catalog that have the length of some query: n rows per
+    substring survive the map side, then one equi-join. The lengths come from the query table,
+    one row per length.
     """
     lowered = F.lower(F.col(term))
-    if isinstance(queries, list) and len(queries) <= 1000:
-        typed = F.array(*[F.lit(q) for q in dict.fromkeys(queries)]).cast("array<string>")
-        hits = F.filter(typed, lambda q: F.contains(lowered, F.lower(q)))
-        found = catalog.select(F.explode(hits).alias("query"), term, pos)
-        return top_n_per_key(found, ["query"], [pos], n)
     if isinstance(queries, list):
-        spark = catalog.sparkSession
-        queries = local_table(spark, [(q,) for q in queries], "query string")
-    asked = queries.select("query", F.lower("query").alias("_part")).distinct()
-    lengths = sorted(r[0] for r in asked.select(F.length("_part")).distinct().collect())
+        typed = [(q,) for q in queries]
+        queries = local_table(catalog.sparkSession, typed, "query string")
+    asked = queries.select("query", F.lower("query").alias("_part")).filter(F.col("query").isNotNull()).distinct()
+    lengths = asked.agg(F.sort_array(F.collect_set(F.length("_part")))).scalar()
 
     def cuts(size):
         starts = F.when(
             F.length(lowered) >= size, F.sequence(F.lit(1), F.length(lowered) - size + 1)
         ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substr(lowered, i, F.lit(size)))
+        return F.transform(starts, lambda i: F.substr(lowered, i, size))
 
-    pieces = F.array_distinct(F.concat(*[cuts(size) for size in lengths]))
-    parts = catalog.select(F.explode(pieces).alias("_part"), term, pos)
+    pieces = F.array_distinct(F.flatten(F.transform("_lengths", cuts)))
+    known = catalog.filter(F.col(term).isNotNull()).select(term, pos, lengths.alias("_lengths"))
+    parts = known.select(F.explode(pieces).alias("_part"), term, pos)
     firsts = top_n_per_key(parts, ["_part"], [pos], n)
     return asked.join(firsts, "_part").select("query", term, pos)

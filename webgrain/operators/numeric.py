@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from webgrain.lookups import LUMA
 from webgrain.plans.scale import top_n_per_key
 
-# the side sent to every task is limited to this many bytes
-BROADCAST_BYTES = 64 << 20
-
 
 def minmax_scale(df: DataFrame, col: str, new_min=0.0, new_max=1.0, by: str | None = None,
                  name: str = "scaled") -> DataFrame:
@@ -155,85 +152,83 @@ def kmeans(df: DataFrame, vec: str, k: int, order: str, max_iter: int = 100, rto
 # --- nearest neighbours ---------------------------------------------------------------------
 
 
-def _nearest(train_ids, train_labels, train, test_ids, test, k):
-    """k nearest train rows per test row (distance, then id). Distances from the fast product
-    form pick the candidates; the final order uses exact differences."""
-    out = []
-    rough = _square_distances(test, train)
-    slack = 1e-9 * (1 + (test * test).sum(1) + (train * train).sum(1).max())
-    kth = np.partition(rough, min(k, rough.shape[1]) - 1, axis=1)[:, min(k, rough.shape[1]) - 1]
-    for i, limit in enumerate(kth + slack):
-        near = np.flatnonzero(rough[i] <= limit)
-        exact = ((train[near] - test[i]) ** 2).sum(1)
-        best = np.lexsort((train_ids[near], exact))[:k]
-        out += [(test_ids[i], train_ids[near[j]], train_labels[near[j]], exact[j]) for j in best]
-    return out
-
-
 _NEIGHBOUR = "test_id long, train_id long, label long, dist double"
 
 
-def _neighbour_batch(rows):
-    columns = list(zip(*rows)) if rows else [[], [], [], []]
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
-    names = ("test_id", "train_id", "label", "dist")
-    return {n: pa.array(c, t) for n, c, t in zip(names, columns, types)}
-
-
-def _scan_against_test(train, test_rows, k):
-    """Small test side: every task holds it and keeps k neighbours per test row."""
-    ids = np.array([r[0] for r in test_rows], dtype=np.int64)
-    matrix = np.array([r[1] for r in test_rows], dtype=np.float64)
-    shared = train.sparkSession.sparkContext.broadcast((ids, matrix))
-
-    def run(batches):
-        test_ids, test = shared.value
-        for b in batches:
-            if b.num_rows:
-                rows = _nearest(np.asarray(b.column(0)), np.asarray(b.column(1)),
-                                _matrix(b.column(2)), test_ids, test, k)
-                yield pa.RecordBatch.from_pydict(_neighbour_batch(rows))
-
-    return train.mapInArrow(run, _NEIGHBOUR)
+def _candidates(train, test, k):
+    """Mask (test x train) that holds the k nearest of each test row: distances from the fast product
+    form with some slack."""
+    rough = _square_distances(test, train)
+    slack = 1e-9 * (1 + (test * test).sum(1) + (train * train).sum(1).max())
+    n = min(k, rough.shape[1])
+    kth = np.partition(rough, n - 1, axis=1)[:, n - 1]
+    return rough <= (kth + slack)[:, None]
+
+
+def _best(parts, k):
+    """k nearest per test row by exact distance, then id."""
+    test_id, train_id, label, dist = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((train_id, dist, test_id))
+    test_id = test_id[order]
+    start = np.flatnonzero(np.r_[True, test_id[1:] != test_id[:-1]])
+    place = np.arange(len(order)) - np.repeat(start, np.diff(np.r_[start, len(order)]))
+    kept = order[place < k]
+    return [np.concatenate(x)[kept] for x in zip(*parts)]
+
+
+def _tile_neighbours(train, test, k, cells):
+    """k nearest of one group; the distances are held for ``cells`` pairs at a time and the best so
+    far are kept from tile to tile."""
+    ids, labels, x = np.asarray(train["id"]), np.asarray(train["label"]), _matrix(train["vec"])
+    test_ids, y = np.asarray(test["id"]), _matrix(test["vec"])
+    if x.shape[1] != y.shape[1]:
+        raise ValueError("vectors of both sides must have one width")
+    wide = max(1, min(len(x), cells))
+    high = max(1, cells // wide)
+    found = []
+    for a in range(0, len(y), high):
+        best = []
+        for b in range(0, len(x), wide):
+            i, j = np.nonzero(_candidates(x[b:b + wide], y[a:a + high], k))
+            exact = ((x[b + j] - y[a + i]) ** 2).sum(1)
+            best = [_best([*best, (test_ids[a + i], ids[b + j], labels[b + j], exact)], k)]
+        found += best
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def nearest_neighbours(train: DataFrame, test: DataFrame, k: int, block_bytes: int = 16 << 20,
+                       cells: int = 1 << 20) -> DataFrame:
+    """Exact k nearest train rows (id, vec, label) for each test row (id, vec). Rows without a vector
+    are left out; all vectors must have one width.
+
+    Both sides are cut into even random blocks of about ``block_bytes``, and each pair of blocks
+    meets in one group, whatever the labels or values; a task holds two blocks and the distances of
+    ``cells`` pairs. The exact search compares all pairs, so its work grows with the product of
+    both sides: bound one of them.
+    """
+    train = train.filter(F.col("vec").isNotNull()).select(
+        F.col("id").cast("long"), F.col("label").cast("long"), "vec")
+    test = test.filter(F.col("vec").isNotNull()).select(F.col("id").cast("long"), F.lit(0).cast("long").alias("label"), "vec")
 
+    def blocks(df):
+        rows, width = df.agg(F.count("*"), F.max(F.size("vec"))).first()
+        return max(1, math.ceil(rows * max(1, width or 1) * 8 / block_bytes))
 
-def _grid_of_blocks(train, test, k, train_rows, test_rows, block):
-    """Any size: both sides are cut into even random blocks, each pair of blocks meets in one
-    group of bounded size, whatever the labels or values."""
-    rows, cols = math.ceil(train_rows / block), math.ceil(test_rows / block)
+    rows, cols = blocks(train), blocks(test)
 
-    def cells(df, side, own, others, n_own, n_others):
+    def cells_of(df, own, others, n_own, n_others):
         return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).withColumn(
-            others, F.explode(F.sequence(F.lit(0), F.lit(n_others - 1)))
-        ).withColumn("side", F.lit(side))
-
-    a = cells(train, 0, "_r", "_c", rows, cols).groupBy("_r", "_c")
-    b = cells(test, 1, "_c", "_r", cols, rows).groupBy("_r", "_c")
+            others, F.explode(F.sequence(F.lit(0), F.lit(n_others - 1)))).groupBy("_r", "_c")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
+        found = [[], [], [], []]
         if left.num_rows and right.num_rows:
-            found = _nearest(np.asarray(left["id"]), np.asarray(left["label"]),
-                             _matrix(left["vec"]), np.asarray(right["id"]),
-                             _matrix(right["vec"]), k)
-        return pa.table(_neighbour_batch(found))
-
-    return a.cogroup(b).applyInArrow(run, _NEIGHBOUR)
-
-
-def nearest_neighbours(train: DataFrame, test: DataFrame, k: int, block: int = 20_000,
-                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Exact k nearest train rows (id, vec, label) for each test row (id, vec)."""
-    train = train.select(F.col("id").cast("long"), F.col("label").cast("long"), "vec")
-    test = test.select(F.col("id").cast("long"), "vec")
-    size = test.agg(F.count("*"), F.max(F.size("vec"))).first()
-    if (size[0] or 0) * (size[1] or 0) * 8 <= broadcast_bytes:
-        local = _scan_against_test(train, test.collect(), k) if size[0] else None
-    else:
-        local = _grid_of_blocks(train, test.withColumn("label", F.lit(0).cast("long")), k,
-                                train.count(), size[0], block)
-    if local is None:
-        return train.sparkSession.createDataFrame([], _NEIGHBOUR)
+            found = _tile_neighbours(left, right, k, cells)
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("test_id", "train_id", "label", "dist"), found, types)})
+
+    local = cells_of(train, "_r", "_c", rows, cols).cogroup(cells_of(test, "_c", "_r", cols, rows)).applyInArrow(
+        run, _NEIGHBOUR)
     return top_n_per_key(local, ["test_id"], ["dist", "train_id"], k)
 
 

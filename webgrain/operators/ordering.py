@@ -6,14 +6,12 @@ from pyspark.sql import functions as F
 from webgrain.lookups import DOMAIN_CAP
 from webgrain.plans.scale import global_index, top_n_per_key
 
-# up to this many rows ``limit`` keeps a small heap per partition
-TOP_K_MAX = 100_000
-
 
 def latest_per_key(df: DataFrame, key: str, order: str, tiebreak: list[str]) -> DataFrame:
-    """Last row per key (a missing key is a key too). Apply before any filter on the rows: a key
+    """Last row per key (a missing key is a key too; a missing order value comes last). Apply before any filter on the rows: a key
     whose latest row fails the filter must vanish."""
-    return top_n_per_key(df, [key], [F.desc_nulls_last(c) for c in [order, *tiebreak]], 1)
+    return top_n_per_key(
+        df, [key], [F.desc_nulls_first(order), *[F.desc_nulls_last(c) for c in tiebreak]], 1)
 
 
 def cap_per_key(df: DataFrame, key: str, order: list, n: int = DOMAIN_CAP) -> DataFrame:
@@ -32,13 +30,9 @@ def _seeded(df, key, seed):
 
 def sample_exact(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """Exactly n rows without replacement, repeatable for a seed; fails if there are fewer."""
-    keys = df.select(key)
-    if (keys.limit(n) if n <= TOP_K_MAX else keys).count() < n:
+    if df.select(key).count() < n:
         raise ValueError(f"sample of {n} rows asked from a smaller table")
-    hashed = _seeded(df, key, seed)
-    if n <= TOP_K_MAX:
-        return hashed.orderBy("_h", key).limit(n).drop("_h")
-    return global_index(hashed, ["_h", key], "_i").filter(f"_i < {n}").drop("_h", "_i")
+    return _seeded(df, key, seed).orderBy("_h", key).limit(n).drop("_h")
 
 
 def shuffle(df: DataFrame, key: str, seed: int = 0, name: str = "rank") -> DataFrame:

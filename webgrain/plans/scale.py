@@ -10,15 +10,12 @@ import tempfile
 import uuid
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-
-# row_number() filters up to this n get a per-partition limit before the shuffle
-GROUP_LIMIT_MAX = 100
-# a whole table of this many narrow rows may go through one plain window
-PLAIN_WINDOW_ROWS = 1_000_000
-# scans up to this size may be spread over the cores
-SPREAD_BYTES = 256 << 20
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 _local_dirs = {}
 
@@ -64,17 +61,6 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.range(1, numPartitions=1).select(F.inline(cells))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a small scan before costly per-row work when it has fewer partitions than
-    cores (one file, one row group). Anything over ``SPREAD_BYTES`` passes without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def _sorted_parts(df, by, order, label):
     """Range-partitioned by (by, order), with the partition number and the row's place in it."""
     keys = [*by, *order]
@@ -109,82 +95,86 @@ def global_index(df: DataFrame, order: list, name: str, start: int = 0) -> DataF
     )
 
 
-def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[str],
-                   window_rows: int = PLAIN_WINDOW_ROWS, stored: bool = False,
-                   at_most: int | None = None) -> DataFrame:
+def _local_sums(sums):
+    """Running sums over sorted rows, started anew where the group (``_g``) changes; a partition is
+    read batch by batch and only the last group's sums are carried over."""
+
+    def run(batches):
+        group, carry, place = None, {}, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            g = np.asarray(batch.column(batch.schema.get_field_index("_g")))
+            new = np.ones(n, bool)
+            new[1:] = g[1:] != g[:-1]
+            new[0] = place == 0 or g[0] != group
+            start = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            added = []
+            for c in sums:
+                x = batch.column(batch.schema.get_field_index(c))
+                x = np.nan_to_num(x.to_numpy(zero_copy_only=False)) if x.null_count else np.asarray(x)
+                upto = np.concatenate([[0], np.cumsum(x)])
+                before = upto[:-1] - np.where(start >= 0, upto[np.maximum(start, 0)], -carry.get(c, 0))
+                added.append(pa.array(before, batch.schema.field(c).type))
+                carry[c] = before[-1] + x[-1]
+            group = g[-1]
+            local = pa.array(np.arange(place, place + n, dtype=np.int64))
+            place += n
+            part = pa.array(np.full(n, TaskContext.get().partitionId(), np.int32))
+            yield pa.record_batch(
+                [*batch.columns, *added, part, local],
+                names=[*batch.schema.names, *[f"_l_{c}" for c in sums], "_part", "_local"])
+
+    return run
+
+
+def running_totals(df: DataFrame, by: list[str], order: list[str], sums: list[str]) -> DataFrame:
     """Add ``<c>_before`` for each c in ``sums``: the sum of c over the earlier rows of the
-    same ``by`` group (``order`` unique within the group).
+    same ``by`` group (``order`` unique within the group; null counts as 0).
 
-    A table of at most ``window_rows`` rows fits a plain window; a larger one goes through
-    range partitions. Where the caller can prove no bound (``at_most``), the input is written
-    once (unless it is ``stored`` already) and counted from the file footers.
+    One range shuffle by (by, order) and one write. The sums run inside each partition; only the
+    first group of a partition can have started in an earlier one, so the offsets are at most one
+    row per partition (broadcast).
     """
-    if at_most is not None and at_most <= window_rows:
-        table, rows = df, at_most
-    else:
-        table = df if stored else materialize(df, "totals")
-        rows = table.count()
-    if rows <= window_rows:
-        earlier = (
-            Window.partitionBy(*by).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        return table.select(
-            "*",
-            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in sums],
-        )
-    return _totals_by_range(table, by, order, sums)
-
-
-def _totals_by_range(df, by, order, sums):
-    """The window runs inside one range partition. Only the first group of a partition can have
-    started in an earlier one, so the offsets are at most one row per partition (broadcast)."""
-    base = _sorted_parts(df, by, order, "totals")
-    local = (
-        Window.partitionBy("_part", *by).orderBy("_local")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    typed = df.select("*", *[F.col(c).cast("double" if dict(df.dtypes)[c] in ("float", "double") else "long")
+                             .alias(f"_v_{c}") for c in sums])
+    values = [f"_v_{c}" for c in sums]
+    keys = [*by, *order]
+    inner = typed.withColumn("_g", F.xxhash64(*by)).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    schema = StructType([
+        *inner.schema.fields, *[StructField(f"_l_{v}", inner.schema[v].dataType) for v in values],
+        StructField("_part", IntegerType()), StructField("_local", LongType())])
+    base = materialize(inner.mapInArrow(_local_sums(values), schema), "totals")
     earlier = (
         Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
         base.groupBy("_part", *by)
-        .agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
+        .agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
         .select(
             F.col("_part").alias("_p"),
             *[F.col(k).alias(f"_k_{k}") for k in by],
-            *[F.sum(f"_s_{c}").over(earlier).alias(f"_o_{c}") for c in sums],
+            *[F.sum(f"_s_{v}").over(earlier).alias(f"_o_{v}") for v in values],
         )
-        .filter(reduce(lambda a, b: a | b, [F.col(f"_o_{c}").isNotNull() for c in sums]))
+        .filter(reduce(lambda a, b: a | b, [F.col(f"_o_{v}").isNotNull() for v in values]))
     )
     match = reduce(
         lambda a, k: a & F.col(k).eqNullSafe(F.col(f"_k_{k}")), by, F.col("_part") == F.col("_p")
     )
-    with_local = base.select(
-        "*",
-        *[F.coalesce(F.sum(c).over(local), F.lit(0)).alias(f"_l_{c}") for c in sums],
-    )
-    return with_local.join(F.broadcast(offsets), match, "left").select(
+    return base.join(F.broadcast(offsets), match, "left").select(
         *df.columns,
-        *[
-            (F.col(f"_l_{c}") + F.coalesce(F.col(f"_o_{c}"), F.lit(0))).alias(f"{c}_before")
-            for c in sums
-        ],
+        *[(F.col(f"_l_{v}") + F.coalesce(F.col(f"_o_{v}"), F.lit(0))).alias(f"{c}_before")
+          for c, v in zip(sums, values)],
     )
 
 
 def top_n_per_key(df: DataFrame, keys: list, order: list, n: int) -> DataFrame:
     """First n rows per key (null keys form one group).
 
-    Up to ``GROUP_LIMIT_MAX`` the planner limits each key inside every input partition before
-    the shuffle, so a hot key moves n rows per partition. Beyond it, exact numbering through
-    range partitions takes over.
+    The planner limits each key inside every input partition before the shuffle, up to the n of
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000; raise it for more), so a hot key
+    moves n rows per partition.
     """
-    if n <= GROUP_LIMIT_MAX:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn("_rn", F.row_number().over(w)).filter(f"_rn <= {n}").drop("_rn")
-    named = df.select("*", *[F.col(k).alias(f"_by{i}") if isinstance(k, str)
-                             else k.alias(f"_by{i}") for i, k in enumerate(keys)])
-    by = [f"_by{i}" for i in range(len(keys))]
-    numbered = running_totals(named.withColumn("_one", F.lit(1)), by, order, ["_one"])
-    return numbered.filter(f"_one_before < {n}").drop("_one", "_one_before", *by)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(f"_rn <= {n}").drop("_rn")

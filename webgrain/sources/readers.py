@@ -17,14 +17,16 @@ NULL_TOKENS = [
 _LISTING = "path string, length bigint, mtime timestamp"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, null_tokens=tuple(NULL_TOKENS)) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, null_tokens=tuple(NULL_TOKENS),
+             line_breaks: bool = False) -> DataFrame:
     """CSV with header; every cell spelled like a missing value becomes null.
 
-    Cells are read as text and cast, so that the tokens work for all types.
+    Cells are read as text and cast, so that the tokens work for all types. Large files are split;
+    with ``line_breaks`` inside quoted cells a file is one task.
     """
     wanted = spark.createDataFrame([], schema).schema
     texts = ", ".join(f"`{f.name}` string" for f in wanted)
-    raw = spark.read.schema(texts).csv(path, header=True, multiLine=True, escape='"')
+    raw = spark.read.schema(texts).csv(path, header=True, multiLine=line_breaks, escape='"')
     return raw.select(*[
         F.when(~F.col(f"`{f.name}`").isin(*null_tokens), F.col(f"`{f.name}`"))
         .cast(f.dataType).alias(f.name)
