@@ -42,21 +42,25 @@ class Templates:
         self.clear()
 
     def clear(self):
+        self.index = {}
         # kind of each known word: 0 word, 1 number, 2 unit, 3 nothing left
-        self.index, self.prints, self.kinds, self.capital, self.ends = {}, [], [], [], []
-        self.arrays = None
+        self.prints, self.kinds = np.zeros(1024, np.uint64), np.zeros(1024, np.int8)
+        self.capital, self.ends = np.zeros(1024, bool), np.zeros(1024, bool)
 
     def _add(self, word: bytes) -> int:
-        core = _EDGES.sub(b"", word)
+        plain = word.isalpha()  # ASCII letters only
+        core = word if plain else _EDGES.sub(b"", word)
         low = core.lower()
         text = low.decode("utf-8", "replace")
-        kind = 3 if not core else 1 if _NUMBER.match(low) or text in NUMBER_WORDS else 2 if text in UNIT_WORDS else 0
-        self.prints.append(hash_text(text))
-        self.kinds.append(kind)
-        self.capital.append(len(core) > 1 and core[:1].isupper() and not core.isupper())
-        self.ends.append(word[-1:] in b".!?:\"'" or word[:1] in b"\"'(")
-        self.index[word] = n = len(self.prints) - 1
-        self.arrays = None
+        n = self.index[word] = len(self.index)
+        if n == len(self.prints):
+            self.prints, self.kinds, self.capital, self.ends = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.prints, self.kinds, self.capital, self.ends))
+        self.prints[n] = hash_text(text)
+        self.kinds[n] = (
+            3 if not core else 1 if not plain and _NUMBER.match(low) or text in NUMBER_WORDS else 2 if text in UNIT_WORDS else 0)
+        self.capital[n] = len(core) > 1 and core[:1].isupper() and not core.isupper()
+        self.ends[n] = word[-1:] in b".!?:\"'" or word[:1] in b"\"'("
         return n
 
     def of(self, text: str):
@@ -69,11 +73,8 @@ class Templates:
         ids = [known(w) for w in words]
         if None in ids:
             ids = [known(w) if w in self.index else add(w) for w in words]
-        if self.arrays is None:
-            self.arrays = (np.array(self.prints, np.uint64), np.array(self.kinds, np.int8),
-                           np.array(self.capital, bool), np.array(self.ends, bool))
         at = np.array(ids, np.int64)
-        prints, kinds, capital, ends = (x[at] for x in self.arrays)
+        prints, kinds, capital, ends = (x[at] for x in (self.prints, self.kinds, self.capital, self.ends))
         some = np.flatnonzero(kinds != 3)
         first = np.ones(len(at), bool)
         first[1:] = ends[:-1]
