@@ -105,11 +105,12 @@ ITEM = "Anna has 12 apples and gives Bob 5 km of rope before she walks to the ol
     ("some " + ITEM.replace("12", "40").replace("5", "9").replace("km", "miles").replace("Anna", "Carla").replace("Bob", "Dan"), [1]),
     ("some " + ITEM.replace("12 apples", "40 apples").replace("5", "9"), []),  # 12 stands for 40 and 12
     ("Anna has 12 apples and gives to the old market", []),
-    ("tiny ITEM here", [2]), ("", []), (None, []), ("... !!! ---", []),
+    ("x two RED birds sang very loudly today", [2]), ("a tiny item", []), ("", []), (None, []), ("... !!! ---", []),
 ])
 def test_contamination(spark, text, items):
     docs = spark.createDataFrame([(8, text, "x", 3), (None, text, "y", 4)], "doc_id long, text string, d string, h long")
-    bench = spark.createDataFrame([(1, ITEM), (2, "tiny item"), (3, None), (4, "")], "item_id long, text string")
+    items_ = [(1, ITEM), (2, "Two red birds sang very loudly."), (3, None), (4, ""), (5, "tiny item")]
+    bench = spark.createDataFrame(items_, "item_id long, text string")
     got = decontaminate.mark(docs, bench).collect()
     assert [[x.item_id for x in r["items"]] for r in got] == [items, items]
     assert sorted(r.d for r in got) == ["x", "y"]

@@ -101,14 +101,15 @@ def _templates() -> Templates:
     return _worker[0]
 
 
-def _template_windows(text: str, size: int):
-    """(places, keys, marks, words): windows of a text in both forms. A window keeps at least half of
-    its words; a text shorter than a window is one window."""
-    words, some, named, plain, slots_n, slots_p = _templates().of(text)
+def _template_windows(text: str, lengths: list[int]):
+    """(words, places of template words, form, starts, keys, slots, n) of the windows of a text with
+    ``n`` of ``lengths`` template words, in both forms. At least half of a window's words are words."""
+    found = _templates().of(text)
+    return [x for n in lengths if n <= len(found[1]) for x in _of_length(*found, n)]
+
+
+def _of_length(words, some, named, plain, slots_n, slots_p, n):
     out = []
-    n = min(size, len(some))
-    if not n:
-        return []
     for form, (units, slots) in enumerate(((named, slots_n), (plain, slots_p))):
         count = np.cumsum(np.concatenate([[0], slots]))
         whole = len(units) - n + 1
@@ -130,28 +131,30 @@ def _values(words, some, slots, p, n):
 _ROWS = "key long, form int, pos int, slots array<string>"
 
 
-def benchmark_windows(benchmark: DataFrame, size: int, text: str, item_id: str) -> DataFrame:
-    """(item_id, key, form, pos, slots, n_windows) of every item."""
+def benchmark_windows(benchmark: DataFrame, size: int, shortest: int, text: str, item_id: str) -> DataFrame:
+    """(item_id, key, form, pos, slots, n, n_windows) of every item; an item of less than ``size``
+    words is one window of its own length ``n``, one of less than ``shortest`` has none."""
 
     def step(batches):
         for batch in batches:
             rows = []
             for item, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = _template_windows(t or "", size)
+                length = min(size, len(_templates().of(t or "")[1]))
+                found = _template_windows(t or "", [length] if length >= shortest else [])
                 total = len({int(p) for f in found for p in f[3]})
                 for words, some, form, p, keys, slots, n in found:
                     for k, key in zip(p.tolist(), keys.view(np.int64).tolist()):
-                        rows.append((item, key, form, k, _values(words, some, slots, k, n), total))
-            columns = list(zip(*rows)) or [[]] * 6
+                        rows.append((item, key, form, k, _values(words, some, slots, k, n), n, total))
+            columns = list(zip(*rows)) or [[]] * 7
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (
-                pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32()))],
-                names=["item_id", "key", "form", "pos", "slots", "n_windows"])
+                pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32()))],
+                names=["item_id", "key", "form", "pos", "slots", "n", "n_windows"])
 
     return benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("t")).mapInArrow(
-        step, f"item_id long, {_ROWS}, n_windows int")
+        step, f"item_id long, {_ROWS}, n int, n_windows int")
 
 
-def _document_windows(docs: DataFrame, keys, size: int) -> DataFrame:
+def _document_windows(docs: DataFrame, keys, lengths: list[int]) -> DataFrame:
     """Windows of documents whose key is one of ``keys`` (a broadcast sorted array)."""
 
     def step(batches):
@@ -159,7 +162,7 @@ def _document_windows(docs: DataFrame, keys, size: int) -> DataFrame:
         for batch in batches:
             rows = []
             for d, h, t in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                for words, some, form, p, found, slots, n in _template_windows(t or "", size):
+                for words, some, form, p, found, slots, n in _template_windows(t or "", lengths):
                     at = np.searchsorted(wanted, found)
                     at[at == len(wanted)] = 0
                     for k in np.flatnonzero(wanted[at] == found):
@@ -173,18 +176,18 @@ def _document_windows(docs: DataFrame, keys, size: int) -> DataFrame:
     return docs.mapInArrow(step, f"d long, h long, {_ROWS}")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage: float = 0.3, text: str = "text",
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, shortest: int = 5, coverage: float = 0.3, text: str = "text",
                  doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(d, h, items): documents that hold benchmark items, by id and xxhash64 of the text, with
     (item_id, share, same) each: the share of the item's windows found under consistent slots, and
     whether all slot values are those of the item.
 
     A document is contaminated by an item if ``coverage`` of its windows of ``size`` template words
-    are found. Benchmark windows are taken in blocks of ``BLOCK_WINDOWS``, whatever their number, so
+    are found. Items of less than ``shortest`` words prove nothing and are never found. Benchmark windows are taken in blocks of ``BLOCK_WINDOWS``, whatever their number, so
     that the tasks hold a bounded array of keys; the windows found are joined by key with the block.
     """
     spark = docs.sparkSession
-    known = stored(benchmark_windows(benchmark, size, item_text, item_id), "benchmark")
+    known = stored(benchmark_windows(benchmark, size, shortest, item_text, item_id), "benchmark")
     blocks = max(1, -(-known.count() // BLOCK_WINDOWS))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("d"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("h"),
@@ -192,9 +195,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     found = []
     for k in range(blocks):
         block = known.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k)
-        keys = np.unique(np.array([r[0] for r in block.select("key").distinct().collect()], np.int64).view(np.uint64))
+        held = block.select("key", "n").distinct().collect()
+        keys = np.unique(np.array([r[0] for r in held], np.int64).view(np.uint64))
         if len(keys):
-            hits = _document_windows(rows, spark.sparkContext.broadcast(keys), size)
+            hits = _document_windows(rows, spark.sparkContext.broadcast(keys), sorted({r[1] for r in held}))
             theirs = block.select(
                 "item_id", "n_windows", F.col("key").alias("k1"), F.col("form").alias("f1"), F.col("pos").alias("at"),
                 F.col("slots").alias("theirs"))
