@@ -8,7 +8,7 @@ from webgrain.functions import dom as D
 from webgrain.operators import crawl as C
 from webgrain.operators.domains import registered_domain
 from webgrain.plans import jobs
-from webgrain.plans.scale import fresh_path
+from webgrain.plans.scale import fresh_path, materialize
 from webgrain.sources import sinks as K
 
 ENTITIES = """regexp_replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'),
@@ -248,10 +248,12 @@ t as (select urlkey, {ENTITIES.format("regexp_replace(html, '<[^>]*>', '', 'g')"
 select urlkey, md5({lines('t')}) as digest, title as url_metadata from t
 """)
 def capture_pages(spark, sf):
-    """Captures made of the pages: French ones have status 404 and must take their key along."""
+    """Captures made of the pages, ten records in a file: French ones have status 404 and must take
+    their key along."""
     import gzip
 
     import pyarrow as pa
+    from pyspark.sql import Window
 
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
@@ -259,13 +261,20 @@ def capture_pages(spark, sf):
         return pa.array([gzip.compress((head + t.as_py()).encode(), 1) for t in texts], pa.binary())
 
     key = F.regexp_replace("url", "^https?://|[?#].*$", "")
-    source = table(spark, sf, "pages").withColumn("urlkey", key)
+    file = F.floor(F.col("page_id") / 10)
+    source = materialize(table(spark, sf, "pages").select(
+        "page_id", "url", key.alias("urlkey"), file.alias("filename"), pack("html").alias("member")), "members")
     number = F.lpad(F.col("page_id").cast("string"), 12, "0")
+    size = F.octet_length("member")
+    before = Window.partitionBy("filename").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
     captures = source.select(
         "urlkey", "url", number.alias("timestamp"), F.lit("text/html").alias("mime"),
         F.when(F.col("url").contains("/fr/"), "404").otherwise("200").alias("status"),
         F.lit("eng").alias("languages"), F.lit("UTF-8").alias("encoding"),
-        number.alias("filename"), F.lit("0").alias("offset"))
-    records = source.select(number.alias("filename"), pack("html").alias("payload"))
+        "filename", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("string").alias("offset"),
+        size.cast("string").alias("length"))
+    members = F.sort_array(F.collect_list(F.struct("page_id", "member")))
+    records = source.groupBy("filename").agg(F.aggregate(
+        members, F.lit(b""), lambda file, m: F.concat(file, m["member"])).alias("payload"))
     return jobs.capture_pages(captures, records, "filename").select(
         "urlkey", F.md5("html_parsed").alias("digest"), "url_metadata")

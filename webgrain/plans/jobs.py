@@ -8,7 +8,7 @@ from webgrain.functions.urls import hostname
 from webgrain.operators.crawl import shred
 from webgrain.operators.filters import filter_captures, filter_nonempty
 from webgrain.operators.ordering import latest_per_key
-from webgrain.sources.readers import read_bodies
+from webgrain.sources.readers import cut_ranges, read_bodies
 
 
 def split_extract_aggregate(df: DataFrame, extract, keys: list[str], aggregates: list,
@@ -49,15 +49,15 @@ def site_page_counts(pages: DataFrame, suffix_domain) -> DataFrame:
     )
 
 
-def capture_pages(captures: DataFrame, records: DataFrame, on, **where) -> DataFrame:
-    """Capture index and stored records (joined by ``on``) to clean text and metadata.
+def capture_pages(captures: DataFrame, records: DataFrame, on: str, **where) -> DataFrame:
+    """Capture index and archive files (``on``, ``payload``) to clean text and metadata.
 
-    Latest capture per key first, then the exact filters, then the join with the records: only
-    wanted payloads are decoded.
+    Latest capture per key first, then the exact filters, then the byte ranges of the files: only
+    wanted records are decoded.
     """
     wanted = filter_captures(
         latest_per_key(captures, "urlkey", "timestamp", ["url", "filename", "offset"]))
-    bodies = read_bodies(wanted.join(records, on), **where)
+    bodies = read_bodies(cut_ranges(wanted, records, on, **where))
     dom = shred(bodies, tags=["title", "meta"])
     d = F.col("dom")
     return filter_nonempty(

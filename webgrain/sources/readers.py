@@ -75,6 +75,24 @@ def decode_records(df: DataFrame, payload: str = "payload", offset: str | None =
     return df.withColumn(name, F.coalesce(text, F.lit(""))).drop(payload)
 
 
+def cut_ranges(wanted: DataFrame, files: DataFrame, on: str, payload: str = "payload",
+               offset: str = "offset", length: str = "length") -> DataFrame:
+    """Rows of ``wanted`` with their byte range of the file as ``payload``.
+
+    The ranges wanted of a file are gathered first (no more than it has records) and cut inside the
+    file's row, so that a payload is moved once, however many ranges are read from it. Files nothing
+    is wanted of drop out in the join.
+    """
+    asked = wanted.groupBy(on).agg(F.collect_list(F.struct(*wanted.columns)).alias("_ranges"))
+
+    def piece(r):
+        start, size = r[offset].cast("int"), r[length].cast("int")
+        return F.struct(r.alias("row"), F.substring(F.col(payload), start + 1, size).alias(payload))
+
+    cut = files.select(on, payload).join(asked, on).select(F.explode(F.transform("_ranges", piece)).alias("_x"))
+    return cut.select("_x.row.*", F.col(f"_x.{payload}").alias(payload))
+
+
 def read_bodies(df: DataFrame, **where) -> DataFrame:
     """Decode records and keep the part after both header blocks as ``html``."""
     return decode_records(df, **where).withColumn("html", http_body(F.col("data"))).drop("data")
