@@ -4,8 +4,6 @@ mode, sink and trigger.
 ``TIMESTAMP_NTZ`` columns are cast to timestamps (session zone UTC), since watermarks need them.
 """
 
-import heapq
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +20,8 @@ def read_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 
 def sessions(df: DataFrame, key: str, gap: str, ts: str = "ts", delay: str | None = None) -> DataFrame:
     """(key, session_start, last_event, n): activity until a pause longer than ``gap``. An event
-    exactly ``gap`` after the last one still belongs to the session."""
-    # merge before the shuffle: a hot key travels as a few sessions
-    df.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    exactly ``gap`` after the last one still belongs to the session. The session setting that merges
+    sessions in front of the shuffle (``session.SETTINGS``) keeps a hot key narrow."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
     if delay:
         timed = timed.withWatermark(ts, delay)
@@ -50,41 +46,16 @@ def rate_flags(df: DataFrame, key: str, n: int, seconds: int, ts: str = "ts",
 
 
 def _precut(df, key, order, n):
-    """At most n rows per key from each task, lowest ``order`` first, so that a hot key is
-    thinned out before the shuffle."""
-
-    columns = df.columns
+    """At most n rows per key from each batch of a task, lowest ``order`` first, so that a hot key is
+    thinned out before the shuffle. Nothing is held from one batch to the next."""
 
     def run(batches):
-        kept = {}
         for pdf in batches:
-            for place, row in enumerate(pdf.itertuples(index=False, name=None)):
-                record = dict(zip(columns, row))
-                rank = tuple(record[c] for c in order)
-                heap = kept.setdefault(record[key], [])
-                # a max-heap by way of the reversed rank
-                item = (_Reversed(rank), id(record), place, record)
-                if len(heap) < n:
-                    heapq.heappush(heap, item)
-                elif rank < heap[0][0].rank:
-                    heapq.heapreplace(heap, item)
-        rows = [item[3] for heap in kept.values() for item in heap]
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield pdf.sort_values(order, kind="stable").groupby(key, sort=False, dropna=False).head(n)
 
     return df.mapInPandas(run, df.schema)
 
 
-class _Reversed:
-    __slots__ = ("rank",)
-
-    def __init__(self, rank):
-        self.rank = rank
-
-    def __lt__(self, other):
-        return other.rank < self.rank
-
-
 def cap_stream(df: DataFrame, key: str, order: list[str], n: int = DOMAIN_CAP,
                ttl_ms: int | None = None) -> DataFrame:
     """First n rows per key over the life of the stream (within a micro-batch by ``order``).
