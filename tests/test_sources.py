@@ -10,7 +10,7 @@ from webgrain.sources import sinks as K
 
 def test_csv_missing_cells(spark, tmp_path):
     (tmp_path / "c.csv").write_text('id,name,n\n1,"a, ""b""",5\n2,NA,null\n3,,7\nNaN,"two\nlines",n/a\n')
-    rows = R.read_csv(spark, str(tmp_path / "c.csv"), "id int, name string, n int").collect()
+    rows = R.read_csv(spark, str(tmp_path / "c.csv"), "id int, name string, n int", line_breaks=True).collect()
     assert [tuple(r) for r in rows] == [
         (1, 'a, "b"', 5), (2, None, None), (3, None, 7), (None, "two\nlines", None)]
 
@@ -18,13 +18,13 @@ def test_csv_missing_cells(spark, tmp_path):
 def test_capture_scan_prunes_snapshots(spark):
     path = fresh_path(spark, "captures")
     df = spark.createDataFrame(
-        [("http://covanta.com/a", "2023-14"), ("http://covanta.com/b", "1999-01"), ("http://x.com", "2023-14")],
+        [("http://example.org/a", "2023-14"), ("http://example.org/b", "1999-01"), ("http://x.com", "2023-14")],
         "url string, crawl string")
     df.write.partitionBy("crawl").parquet(path)
-    found = R.scan_captures(spark, path, "http://covanta.com/")
-    assert [r["url"] for r in found.collect()] == ["http://covanta.com/a"]
+    found = R.scan_captures(spark, path, "http://example.org/")
+    assert [r["url"] for r in found.collect()] == ["http://example.org/a"]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [crawl" in plan and "StringStartsWith(url,http://covanta.com/)" in plan
+    assert "PartitionFilters: [crawl" in plan and "StringStartsWith(url,http://example.org/)" in plan
 
 
 def record(html):
@@ -78,18 +78,20 @@ def test_items_round_trip(spark):
     assert K.read_items(spark, path).collect() == items.collect()
 
 
-def test_capture_job(spark):
-    captures = spark.createDataFrame(
-        [("k1", "2", "http://a.com/", "200", "r1"), ("k1", "1", "http://a.com/", "200", "r0"),
-         ("k2", "1", "http://a.com/x", "200", "r2"), ("k2", "2", "http://a.com/x", "404", "r2")],
-        "urlkey string, timestamp string, url string, status string, filename string"
-    ).withColumns({"mime": F.lit("text/html"), "languages": F.lit("eng"), "encoding": F.lit("UTF-8"),
-                   "offset": F.lit("0")})
+def test_capture_job_cuts_many_records_from_one_file(spark):
     html = "<title>T</title><p> one <script>x</script>\n\n two</p>"
-    records = spark.createDataFrame(
-        [("r0", record("<p>old")), ("r1", record(html)), ("r2", record(html))], "filename string, payload binary")
-    (row,) = jobs.capture_pages(captures, records, "filename").collect()
-    assert row["html_parsed"] == "T one\ntwo" and row["url_metadata"] == "Home Page of the company | T"
+    old, new, other = record("<p>old"), record(html), record("<title>O</title>")
+    file = old + new + other
+    captures = spark.createDataFrame(
+        [("k1", "2", "http://a.com/", "200", "f", len(old), len(new)), ("k1", "1", "http://a.com/", "200", "f", 0, len(old)),
+         ("k2", "1", "http://a.com/x", "200", "f", len(old) + len(new), len(other)),
+         ("k3", "1", "http://a.com/y", "200", "f", 0, len(old)), ("k3", "2", "http://a.com/y", "404", "f", 0, len(old)),
+         ("k4", "1", "http://a.com/z", "200", "missing", 0, 9)],
+        "urlkey string, timestamp string, url string, status string, filename string, offset long, length long"
+    ).withColumns({"mime": F.lit("text/html"), "languages": F.lit("eng"), "encoding": F.lit("UTF-8")})
+    files = spark.createDataFrame([("f", file), ("unused", b"x")], "filename string, payload binary")
+    got = {r["urlkey"]: (r["html_parsed"], r["url_metadata"]) for r in jobs.capture_pages(captures, files, "filename").collect()}
+    assert got == {"k1": ("T one\ntwo", "Home Page of the company | T"), "k2": ("O", "O")}
 
 
 def test_split_extract_aggregate_writes_partitions(spark):

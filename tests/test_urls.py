@@ -27,7 +27,7 @@ def test_resolve_equals_urljoin(spark):
 
 
 def test_parts_equal_urlparse(evaluate):
-    urls = BASES + ["//h.com/p", "no-scheme/path;x", "https://www.plante Moran.com/", "http://a_b.com/",
+    urls = BASES + ["//h.com/p", "no-scheme/path;x", "https://www.two Words.com/", "http://a_b.com/",
                     "http://h.com/a;b/c;d?e", ""]
     got = evaluate(urls, "string", U.netloc(V), U.path(V), U.scheme(V))
     assert got == [(p.netloc, p.path, p.scheme) for p in map(urlparse, urls)]
@@ -48,10 +48,10 @@ def test_small_ones(evaluate):
 
 def test_registered_domain(spark):
     cases = {
-        "https://www.gt.com/": "gt.com",
-        "www.bdo.com/global": "bdo.com",
-        "https://www.plante Moran.com/": None,
-        "https://www.fti consulting.com/": None,
+        "https://www.ab.com/": "ab.com",
+        "www.cde.com/global": "cde.com",
+        "https://www.two Words.com/": None,
+        "https://www.some words.com/": None,
         "http://a.b.example.co.uk:8080/x": "example.co.uk",
         "http://user@shop.net/": "shop.net",
         "http://127.0.0.1/": None,
