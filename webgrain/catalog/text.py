@@ -9,7 +9,8 @@ from webgrain.operators import joins as J
 from webgrain.operators import ordering as O
 from webgrain.operators import robots as B
 from webgrain.operators.domains import registered_domain as add_domain
-from webgrain.plans.scale import local_table
+from webgrain.plans import jobs
+from webgrain.plans.scale import fresh_path, local_table
 from webgrain.operators.enrich import first_article_title
 
 # RE2 class with the characters of Python's str.strip()
@@ -236,6 +237,49 @@ def first_hit_title(spark, sf):
     return first_article_title(hits, host=TRUST[0], trust_list=TRUST, prefix="/en/")
 
 
+@query("""
+with h as (select regexp_extract(url, '/(en|de|fr|es)/', 1) as query, page_id,
+  regexp_extract(url, '://([^/?#]*)', 1) as host,
+  replace(regexp_extract(url, '://[^/]*([^?#]*)', 1), '/en/', '') as title from pages),
+t as (select query, case when count(distinct host) filter (host in ('blog.tionsh.example.net',
+    'thther.example.org', 'm.ththth.example.net', 'blog.ththan.example.net')) >= 2
+  then coalesce(arg_min(title, page_id) filter (host = 'blog.tionsh.example.net'), '') else '' end as title
+  from h group by 1),
+r as (select title, cast(min(page_id) as varchar) as content from h where title <> '' group by 1)
+select c.company as "Company", coalesce(t.title, '') as title, r.content
+from (select distinct query as company from h union all select 'none of these') c
+left join t on t.query = c.company left join r on r.title = t.title
+""")
+def company_enrichment(spark, sf):
+    """Languages stand for companies: hits and responses come from their pages."""
+    pages = table(spark, sf, "pages").select(
+        F.regexp_extract("url", "/(en|de|fr|es)/", 1).alias("query"), F.col("page_id").alias("rank"), "url")
+    companies = pages.select(F.col("query").alias("Company")).distinct().union(
+        local_table(spark, [("none of these",), (None,)], "Company string"))
+    done = companies.filter("Company = 'en'").withColumn("seen", F.lit(True))
+    title = F.replace(U.path(F.col("url")), F.lit("/en/"), F.lit(""))
+    responses = pages.groupBy(title.alias("title")).agg(F.concat(
+        F.lit('{"query":{"pages":{"7":{"extract":"'), F.min("rank").cast("string"), F.lit('"}}}}')).alias("body"))
+    out = fresh_path(spark, "enriched")
+    found = jobs.company_enrichment(companies, done, pages, responses, out=out, host=TRUST[0], trust_list=TRUST,
+                                    prefix="/en/")
+    return spark.read.schema(found.schema).parquet(out)
+
+
+@query(DOMAIN_CTE + """
+, near as (select page_id, domain, url from d where domain in (select domain from d where page_id % 3 = 0)
+  and length(url) - length(replace(url, '/', '')) - 2 < 3),
+capped as (select domain from near qualify row_number() over (partition by domain
+  order by length(url) - length(replace(url, '/', '')), url, page_id) <= 10)
+select domain, count(*) as n from capped group by 1
+""")
+def crawl_report(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return jobs.crawl_report(
+        pages, pages.filter("page_id % 3 = 0"), lambda df: add_domain(df, "url", suffixes(spark), max_labels=2),
+        [U.depth(F.col("url")), "url", "page_id"], max_depth=3)
+
+
 # --- robots ---------------------------------------------------------------------------------
 
 
@@ -278,6 +322,28 @@ def robots_rules(spark, sf):
     return B.robots_rules(site_robots(spark, sf), "host", "robots_txt")
 
 
+@query("""
+with h as (select regexp_extract(url, '://([^/?#]*)', 1) as host, min(page_id) as p from pages group by 1)
+select host, case when starts_with(host, 'blog.') then null else cast(p % 9 as int) end as delay,
+  case when starts_with(host, 'blog.') then cast(p % 5 + 1 as int) end as requests,
+  case when starts_with(host, 'blog.') then 10 end as seconds,
+  case when p % 2 = 0 then 6 end as visit_start, case when p % 2 = 0 then cast(9 + p % 8 as int) end as visit_end
+from h
+""")
+def crawl_directives(spark, sf):
+    """Delays, rates and visit times per host; one group gives no delay, odd hosts a malformed time."""
+    p = F.min("page_id")
+    text = F.concat(
+        F.lit("User-agent: *\nDisallow: /x\nCrawl-delay: "), (p % 9).cast("string"),
+        F.when(F.first("host").startswith("blog."), F.concat(
+            F.lit("\n\nUser-agent: webbot\nCrawl-delay: soon\nRequest-rate: "), (p % 5 + 1).cast("string"), F.lit("/10")))
+        .otherwise(F.lit("")),
+        F.lit("\nVisit-time: 6-"), F.when(p % 2 == 0, (9 + p % 8).cast("string")).otherwise(F.lit("late")), F.lit("\n"))
+    hosts = table(spark, sf, "pages").select("page_id", U.netloc(F.col("url")).alias("host")).groupBy("host").agg(
+        text.alias("robots_txt"))
+    return B.crawl_directives(hosts, "webbot/1.0")
+
+
 # --- money ----------------------------------------------------------------------------------
 
 _P, _R = "abs(c_acctbal) + 100", "1 + c_nationkey / 7.0"

@@ -146,3 +146,14 @@ def visit_time(text: Column) -> Column:
         F.get(lines, F.lit(0)),
         lambda line: F.struct(bound(line, 1).alias("start"), bound(line, 2).alias("end")),
     )
+
+
+def crawl_directives(robots: DataFrame, agent: str, host: str = "host", text: str = "robots_txt") -> DataFrame:
+    """One row per host: delay, requests per seconds and visit hours that hold for the agent; null
+    where nothing (or nothing well formed) is said."""
+    rows = robots.select(
+        host, agent_rules(parse_rules(F.col(text)), agent).alias("_rules"), visit_time(F.col(text)).alias("_time"))
+    rate = request_rate(F.col("_rules"))
+    return rows.select(
+        host, crawl_delay(F.col("_rules")).alias("delay"), rate["requests"].alias("requests"),
+        rate["seconds"].alias("seconds"), F.col("_time.start").alias("visit_start"), F.col("_time.end").alias("visit_end"))

@@ -5,10 +5,14 @@ from pyspark.sql import functions as F
 
 from webgrain.functions import dom as D
 from webgrain.functions.urls import hostname
+from webgrain.lookups import DEPTH_LIMIT, DOMAIN_CAP
 from webgrain.operators.crawl import shred
-from webgrain.operators.filters import filter_captures, filter_nonempty
-from webgrain.operators.ordering import latest_per_key
+from webgrain.operators.enrich import enrich, first_article_title, pick_companies
+from webgrain.operators.filters import filter_captures, filter_nonempty, frontier
+from webgrain.operators.joins import count_by
+from webgrain.operators.ordering import cap_per_key, latest_per_key
 from webgrain.sources.readers import cut_ranges, read_bodies
+from webgrain.sources.sinks import append_table
 
 
 def split_extract_aggregate(df: DataFrame, extract, keys: list[str], aggregates: list,
@@ -65,3 +69,27 @@ def capture_pages(captures: DataFrame, records: DataFrame, on: str, **where) ->
                    D.url_metadata(d, F.col("url")).alias("url_metadata")),
         "url_metadata",
     )
+
+
+def company_enrichment(companies: DataFrame, done: DataFrame | None, hits: DataFrame, responses: DataFrame,
+                       key: str = "Company", out: str | None = None, **title_options) -> DataFrame:
+    """(key, title, content) of the companies, appended to ``out`` if named: joined with what is done,
+    titles from the search hits (``query``, ``rank``, ``url``) under the trust rule, texts from the
+    stored responses. A company without a trusted hit has an empty title, one without a response
+    no content."""
+    titles = first_article_title(hits, **title_options).select(F.col("query").alias(key), "title")
+    named = pick_companies(companies, done, key).select(key).join(titles, key, "left").select(
+        key, F.coalesce("title", F.lit("")).alias("title"))
+    found = enrich(named, responses, key)
+    if out is not None:
+        append_table(found, out)
+    return found
+
+
+def crawl_report(pages: DataFrame, starts: DataFrame, add_domain, order: list, max_depth: int = DEPTH_LIMIT,
+                 cap: int = DOMAIN_CAP, url: str = "url") -> DataFrame:
+    """(domain, n): crawled pages per registered domain. Start urls give the domains; of their pages
+    those above the depth limit are taken, at most ``cap`` per domain in the given order."""
+    domains = add_domain(starts).select("domain").filter(F.col("domain").isNotNull()).distinct()
+    near = frontier(add_domain(pages), url, domains, max_depth)
+    return count_by(cap_per_key(near, "domain", order, cap), "domain")
