@@ -140,65 +140,51 @@ def _compare_small(small: DataFrame, sketches: DataFrame, least: float) -> DataF
     return groups.mapInArrow(step, "a long, b long, est double")
 
 
-def _against_pivots(large: DataFrame, sketches: DataFrame, least: float, sample: int) -> DataFrame:
-    """(node, v, a, b, est): every document of a large node with the node's pivots.
+def _against_pivots(large: DataFrame, sketches: DataFrame, sample: int) -> DataFrame:
+    """(node, v, p, est): every document of a large node with the node's pivot.
 
-    The pivots are the documents that agree best with the tokens most common in the node; these
-    tokens are taken from a few of its documents (one per value of a hash), which only steers the
-    choice. One row per document and pivot, whatever the size of the node.
+    The pivot is the one of a few of the node's documents (one per value of a hash) that agrees best
+    with the tokens most common among them. Nodes of much the same documents have the same pivot,
+    and a pair of document and pivot is compared once, whatever the number of its nodes.
     """
-    rows = large.join(sketches.select("v", "sig"), "v").select("node", "v", "sig")
     few = (
-        rows.groupBy("node", F.pmod(F.xxhash64("node", "v"), F.lit(sample)).alias("_c"))
-        .agg(F.min_by("sig", F.xxhash64("v", "node")).alias("sig"))
-        .groupBy("node").agg(F.collect_list("sig").alias("s")))
+        large.groupBy("node", F.pmod(F.xxhash64("v"), F.lit(sample)).alias("_c"))
+        .agg(F.min_by("v", F.xxhash64("v", F.lit(1))).alias("v"))
+        .join(sketches.select("v", "sig"), "v")
+        .groupBy("node").agg(F.collect_list(F.struct("v", "sig")).alias("s")).select("node", "s.v", "s.sig"))
 
-    def modes(batches):
+    def best(batches):
         for batch in batches:
             out = []
-            for sigs in batch.column(1):
-                m = np.sort(_matrix(sigs.values), axis=0)
-                best, best_n = m[0].copy(), np.ones(COORDINATES, int)
-                run = np.ones(COORDINATES, int)
-                for k in range(1, len(m)):
-                    run = np.where(m[k] == m[k - 1], run + 1, 1)
-                    up = run > best_n
-                    best[up], best_n[up] = m[k][up], run[up]
-                out.append(best.tobytes())
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], names=["node", "mode"])
-
-    def agreement(batches):
-        for batch in batches:
-            if batch.num_rows:
-                est = (_matrix(batch.column(2)) == _matrix(batch.column(3))).mean(axis=1)
-                yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(est)],
-                                      names=["node", "v", "sig", "est"])
-
-    mode = few.mapInArrow(modes, "node long, mode binary")
-    rated = rows.join(mode, "node").select("node", "v", "sig", "mode").mapInArrow(
-        agreement, "node long, v long, sig binary, est double")
-    # the best of either half of the documents
-    half = F.pmod(F.xxhash64("v"), F.lit(2))
-    order = F.struct("est", (-F.col("v")).alias("o"))
-    pivots = rated.groupBy("node", half.alias("_half")).agg(F.max_by(F.struct("v", "sig"), order).alias("p")).select(
-        F.col("node").alias("n2"), F.col("p.v").alias("p"), F.col("p.sig").alias("psig"))
-    pairs = rated.join(pivots, F.col("node") == F.col("n2")).select("node", "v", "sig", "psig", "p")
+            for ids, sigs in zip(batch.column(1), batch.column(2)):
+                v, m = np.asarray(ids.values), _matrix(sigs.values)
+                order = np.argsort(v)
+                v, m = v[order], m[order]
+                agree = sum((m == row).astype(np.int64) for row in m)  # how common each token is
+                common = agree.max(axis=0)
+                out.append(int(v[(agree == common).sum(axis=1).argmax()]))
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.int64())], names=["node", "p"])
+
+    pivots = few.mapInArrow(best, "node long, p long")
+    rows = stored(large.join(pivots, "node").select("node", "v", "p"), "pivots")
+    pairs = (
+        rows.select("v", "p").distinct().join(sketches.select("v", "sig"), "v")
+        .join(sketches.select(F.col("v").alias("p"), F.col("sig").alias("psig")), "p").select("v", "p", "sig", "psig"))
 
     def estimate(batches):
         for batch in batches:
             if batch.num_rows:
                 est = (_matrix(batch.column(2)) == _matrix(batch.column(3))).mean(axis=1)
-                yield pa.record_batch([batch.column(0), batch.column(1), batch.column(4), pa.array(est)],
-                                      names=["node", "v", "p", "est"])
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(est)], names=["v", "p", "est"])
 
-    return pairs.mapInArrow(estimate, "node long, v long, p long, est double")
+    return rows.join(pairs.mapInArrow(estimate, "v long, p long, est double"), ["v", "p"])
 
 
 def candidates(sketches: DataFrame, least: float, near: float, trees: int, small: int) -> DataFrame:
     """(a, b, est): pairs proposed by the trees; sketches has one row (v, sig) per distinct set.
 
-    A large node compares all its documents with its pivots and sends on those that are not ``near``
-    a pivot; at the last depth the rest is dealt into blocks of ``small`` that are compared.
+    A large node compares all its documents with its pivot and sends on those that are not ``near``
+    it; at the last depth the rest is dealt into blocks of ``small`` that are compared.
     """
     seeds = F.explode(F.array(*[F.lit(int(x)) for x in W.mixed(
         np.arange(7001, 7001 + trees, dtype=np.uint64)).view(np.int64)])).alias("node")
@@ -212,7 +198,7 @@ def candidates(sketches: DataFrame, least: float, near: float, trees: int, small
         large = sized.filter(f"n > {small}").select("node", "v")
         if not large.limit(1).count():
             break
-        starred = stored(_against_pivots(large, sketches, least, small), "pivots")
+        starred = stored(_against_pivots(large, sketches, small), "starred")
         found.append(starred.filter(f"est >= {least} and v != p").select(
             F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b"), "est"))
         rest = starred.groupBy("node", "v").agg(F.max("est").alias("est")).filter(f"est < {near}").select("node", "v")
