@@ -116,15 +116,27 @@ def read_page(source: str) -> tuple[list[tuple[str, str]], list]:
     return blocks, fold(tokens)
 
 
+def _closed(group: list) -> bool:
+    depth = 0
+    for x in group:
+        if isinstance(x, str) and x != "#":
+            depth += -1 if x[1] == "/" else 1
+            if depth < 0:
+                return False
+    return depth == 0
+
+
 def fold(tokens: list) -> list:
-    """Runs of equal groups as one repeated group ["+", group], short groups first."""
+    """Runs of equal groups as one repeated group ["+", group], short groups first. A group closes
+    what it opens."""
     for period in range(1, LONGEST_PERIOD + 1):
         out, i, n = [], 0, len(tokens)
         while i < n:
             group = tokens[i:i + period]
             k = i + period
-            while len(group) == period and tokens[k:k + period] == group:
-                k += period
+            if tokens[k:k + period] == group and _closed(group):
+                while tokens[k:k + period] == group:
+                    k += period
             if k > i + period:
                 out.append(group[0] if period == 1 and group[0][0] == "+" else ["+", group])
                 i = k
