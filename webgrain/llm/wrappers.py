@@ -185,7 +185,7 @@ def align(a: list, b: list) -> list:
             optional(b[k:m])
     merged = []
     for x in out:  # the same optional part twice in a row is one that may repeat
-        if merged and x == merged[-1] and x[0] == "?":
+        if merged and x == merged[-1] and x[0] == "?" and _closed(x[1]):
             merged[-1] = ["?", [["+", x[1]]]]
         elif not (merged and x[0] == "?" and merged[-1] == ["?", [["+", x[1]]]]):
             merged.append(x)
