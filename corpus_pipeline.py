@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from webgrain.llm import common
 from webgrain.llm.decontaminate import mark
 from webgrain.llm.neardup import near_duplicates
-from webgrain.llm.pieces import decode, encode
+from webgrain.llm.pieces import encode_and_decode
 from webgrain.llm.quality import rate
 from webgrain.llm.secrets import mask
 from webgrain.session import ship
@@ -50,8 +50,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ship(spark)
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    return decode(encode(docs, path), path).withColumn("n_tokens", F.size("ids").cast("long"))
+    return encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -22,8 +23,8 @@ from pyspark.sql import types as T
 from webgrain.llm.common import packed, unpacked
 
 SPACE = "▁"
-CACHE_SEGMENTS = 1_000_000  # segments whose ids a Python worker remembers
-CACHE_PAIRS = 4_000_000  # answers of the pair test a worker remembers
+CACHE_SEGMENTS = 500_000  # segments whose ids a Python worker remembers
+CACHE_PAIRS = 1_000_000  # answers of the pair test a worker remembers
 
 
 class PieceEncoder:
@@ -178,7 +179,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         e = encoder(model_path)
         for texts in batches:
-            yield pd.Series([e.encode(t) if t else [] for t in texts])
+            yield pd.Series([np.array(e.encode(t or ""), np.int32) for t in texts])
 
     return docs.withColumn("ids", ids_of(F.col(text)))
 
@@ -195,6 +196,29 @@ def decode(docs: DataFrame, model_path: str, ids: str = "ids", out: str = "text"
     return docs.withColumn(out, text_of(F.col(ids)))
 
 
+def encode_and_decode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` with the text that the ids decode to, ``ids`` and ``n_tokens``: both ways
+    in one step, so that the ids of a batch are held once, as 32-bit numbers."""
+    kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("text", T.StringType())])
+
+    @F.pandas_udf(kind)
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        e = encoder(model_path)
+        for texts in batches:
+            ids, back = [], []
+            for t in texts:
+                found = e.encode(t or "")
+                ids.append(np.array(found, np.int32))
+                back.append(e.decode(found) if found else "")
+            yield pd.DataFrame({"ids": ids, "text": back})
+
+    keep = [c for c in docs.columns if c not in ("ids", "n_tokens")]
+    out = docs.select(packed(keep), both(F.col(text)).alias("_d"))
+    return out.select(
+        *[F.col("_d.text").alias(c) if c == text else old for c, old in zip(keep, unpacked(keep))],
+        F.col("_d.ids").alias("ids"), F.size("_d.ids").cast("long").alias("n_tokens"))
+
+
 def digest(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """The columns of ``docs`` and n_tokens, ids_sha256, decoded_sha256: encoding and decoding in one
     pass, without moving the ids. Null and empty texts: no tokens, hashes of the empty string."""
