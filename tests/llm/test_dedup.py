@@ -141,3 +141,33 @@ def test_components(spark):
     links = [(5, 4), (4, 3), (3, 9), (20, 21), (21, 21), (7, 7), (30, 31), (31, 32), (32, 33), (33, 34), (34, 35)]
     got = {r.v: r.c for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {3: 3, 4: 3, 5: 3, 9: 3, 20: 20, 21: 20, 7: 7, **{k: 30 for k in range(30, 36)}}
+
+
+def labels_of(spark, sets):
+    rows = [(k, " ".join(s)) for k, s in enumerate(sets)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 1, 85).collect()
+    return [r.component_id for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+def test_pairs_hidden_in_a_template_group(spark):
+    own = lambda k, n: [f"o{k}x{i}" for i in range(n)]
+    form = [f"form{i}" for i in range(160)]
+    sets = [form + own(k, 30) for k in range(2000)]  # similarity 0.73 each
+    want = list(range(2000))
+    for k in range(0, 400, 10):
+        gone = 15 if k % 20 else 16  # similarity 0.854, or 0.845
+        sets.append(form + own(k, 30)[gone:] + own(5000 + k, gone))
+        want.append(k if gone == 15 else len(want))
+    assert labels_of(spark, sets) == want
+
+
+def test_documents_linked_to_one_copy_of_a_large_group(spark):
+    page = [f"page{i}" for i in range(200)]
+    changed = lambda s, k, n: s[n:] + [f"c{k}x{i}" for i in range(n)]
+    sets = [changed(page, k, 2) for k in range(800)]
+    want = [0] * 800
+    for k in range(800, 1400, 10):
+        copy = changed(page, k, 7)
+        sets += [copy, changed(copy, k + 1, 15), changed(page, k + 2, 22)]  # of the last two, one is linked to the copy
+        want += [0, 0, len(want) + 2]
+    assert labels_of(spark, sets) == want

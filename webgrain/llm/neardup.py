@@ -3,7 +3,8 @@
 Documents are sets of word shingles. In every tree of the join a node holds documents that agree on
 a path of minwise tokens: at each node a few coordinates of the signature are selected by the node
 itself, and a document moves on to the child of its own token at each of them. Nodes with few
-documents are compared exhaustively. Independent trees are repeated until a pair at the threshold
+documents are compared exhaustively; documents of larger ones are joined exactly, by what they
+differ in from the consensus of the node. Independent trees are repeated until a pair at the threshold
 is missed with the wanted probability only. What the trees propose is confirmed on the full sets.
 """
 
@@ -21,6 +22,8 @@ from webgrain.llm.components import components
 COORDINATES = 128  # of a signature, 16 bits each
 BRANCHES = 2  # coordinates selected at a node
 MAX_DEPTH = 6
+ALIKE = 0.5  # agreement with a pivot from which a document of a large node is joined exactly
+LEVELS = 12  # of groups of common differences; larger ones left then are compared in blocks
 
 _A = W.mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _X = W.mixed(np.arange(1001, COORDINATES + 1001, dtype=np.uint64))
@@ -180,16 +183,133 @@ def _against_pivots(large: DataFrame, sketches: DataFrame, sample: int) -> DataF
     return rows.join(pairs.mapInArrow(estimate, "v long, p long, est double"), ["v", "p"])
 
 
-def candidates(sketches: DataFrame, least: float, near: float, trees: int, small: int) -> DataFrame:
+def _member_sets(members: DataFrame, docs: DataFrame, words: int, text: str, doc_id: str) -> DataFrame:
+    """(v, n, set): the sorted shingles of the documents named by ``members`` (v)."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("v"), F.col(text).cast("string").alias("t"))
+
+    def step(batches):
+        for batch in W.slices(batches, "t"):
+            prints, offsets = shingle_sets(batch.column(1), words)
+            sets = [prints[i:j].tobytes() for i, j in zip(offsets[:-1], offsets[1:])]
+            yield pa.record_batch([batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(sets, pa.binary())],
+                                  names=["v", "n", "set"])
+
+    return texts.join(members.select("v").distinct(), "v", "left_semi").mapInArrow(
+        step, "v long, n long, set binary").filter("n > 0").distinct()
+
+
+def _differences(large: DataFrame, sets: DataFrame, sample: int) -> DataFrame:
+    """(g, v, n, d): the shingles in which a document of a group differs from the group's consensus,
+    those rare in the group first. The consensus has the shingles of most of a few documents."""
+    few = (
+        large.groupBy("g", F.pmod(F.xxhash64("v"), F.lit(sample)).alias("_c"))
+        .agg(F.min_by("v", F.xxhash64("v", F.lit(1))).alias("v"))
+        .join(sets, "v").groupBy("g").agg(F.collect_list("set").alias("s")))
+
+    def agreed(batches):
+        for batch in batches:
+            known, counts, of = [], [], []
+            for some in batch.column(1):
+                one = [np.frombuffer(x, np.uint64) for x in some.as_py()]
+                token, count = np.unique(np.concatenate(one), return_counts=True)
+                often = (count > 1) | (2 * count > len(one))
+                known.append(token[often].tobytes())
+                counts.append(count[often].astype(np.uint16).tobytes())
+                of.append(len(one))
+            yield pa.record_batch([batch.column(0), pa.array(known, pa.binary()), pa.array(counts, pa.binary()),
+                                   pa.array(of, pa.int64())], names=["g", "known", "counts", "k"])
+
+    consensus = stored(few.mapInArrow(agreed, "g long, known binary, counts binary, k long"), "consensus")
+    rows = large.join(sets, "v").join(consensus, "g").select("g", "v", "n", "set", "known", "counts", "k")
+
+    def step(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            out = []
+            for mine, known, counts, k in zip(*(batch.column(c) for c in range(3, 7))):
+                token, count = np.frombuffer(known.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), np.uint16)
+                count, k = count.astype(np.int64), k.as_py()
+                most = 2 * count > k
+                d = np.setxor1d(np.frombuffer(mine.as_buffer(), np.uint64), token[most], assume_unique=True)
+                often = np.zeros(len(d), np.int64)  # how many of the few differ there too
+                if len(token):
+                    at = np.minimum(np.searchsorted(token, d), len(token) - 1)
+                    often = np.where(token[at] == d, np.where(most[at], k - count[at], count[at]), 0)
+                out.append(d[np.lexsort((d, often))].view(np.int64))
+            sizes = np.cumsum([0] + [len(x) for x in out])
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), batch.column(2),
+                 pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(out), pa.int64()))],
+                names=["g", "v", "n", "d"])
+
+    return rows.mapInArrow(step, "g long, v long, n long, d array<long>")
+
+
+def _all_blocks(large: DataFrame, small: int) -> DataFrame:
+    """(node, v): every two documents of a large group meet in a block of about ``small``."""
+    sizes = large.groupBy(F.col("g").alias("g1")).agg(F.ceil(2 * F.count("*") / small).cast("int").alias("m"))
+    mine = F.pmod(F.xxhash64("v", "g"), F.col("m")).cast("int")
+    return large.join(sizes, F.col("g") == F.col("g1")).select("g", "v", mine.alias("i"), F.explode(
+        F.sequence(F.lit(0), F.col("m") - 1)).alias("j")).select(
+            F.xxhash64("g", F.least("i", "j"), F.greatest("i", "j")).alias("node"), "v").distinct()
+
+
+def _join_groups(groups: DataFrame, sketches: DataFrame, docs: DataFrame, least: float, percent: int, small: int,
+                 words: int, text: str, doc_id: str) -> list:
+    """Pairs (a, b, est) that link all linked documents of each large group (g, v).
+
+    Documents are compared by their differences d to the group's consensus: the pair is linked if
+    (100 - percent) * (n + n') >= (100 + percent) * (|d| + |d'| - 2 * common). With the slack
+    (100 - percent) * n - (100 + percent) * |d| of each, two whose slacks add up to 0 at least are linked
+    whatever they have in common. All that are so linked with the one of most slack are one
+    component and not compared among each other. Every other linked pair has common differences,
+    one of them among the first few of both (prefix filter): these form the groups of the next level.
+    """
+    sets = stored(_member_sets(groups, docs, words, text, doc_id), "sets")
+    found, large = [], groups
+    for _ in range(LEVELS):
+        diffs = stored(_differences(large, sets, small), "differences").withColumn("slack", F.lit(100 - percent) * F.col("n")
+            - F.lit(100 + percent) * F.size("d"))
+        hubs = stored(diffs.groupBy(F.col("g").alias("g1")).agg(F.max(F.struct("slack", "v")).alias("hub"),
+                                                               F.min("slack").alias("low")), "hubs")
+        rows = diffs.join(hubs, F.col("g") == F.col("g1"))
+        top = F.col("hub.slack")
+        star = F.col("slack") + top >= 0
+        found.append(rows.filter(star & (F.col("v") != F.col("hub.v"))).select(
+            F.least("v", "hub.v").alias("a"), F.greatest("v", "hub.v").alias("b"), F.lit(1.0).alias("est")))
+        # least number of common differences of a linked pair that the star does not link
+        common = F.greatest(
+            F.when(star, F.floor((top - F.col("slack")) / (2 * (100 + percent))) + 1)
+            .otherwise(F.ceil(-(top + F.col("slack")) / (2 * (100 + percent)))),
+            F.size("d") - F.floor((100 - percent) * F.col("n") / percent))
+        length = (F.size("d") - common + 1).cast("int")
+        parts = rows.filter(F.col("low") + top < 0).select("g", "v", star.alias("star"), length.alias("l"), "d").filter(
+            "l > 0").select("v", "star", "g", F.explode(F.slice("d", F.lit(1), F.col("l"))).alias("x")).select(
+                "v", "star", F.xxhash64("g", "x").alias("g"))
+        sizes = parts.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("n"), F.min("star").alias("all")).filter(
+            "n > 1 and not all")
+        sized = stored(parts.join(sizes, F.col("g") == F.col("g2")).select("g", "v", "n").distinct(), "groups")
+        found.append(_compare_small(sized.filter(f"n <= {small}").select(F.col("g").alias("node"), "v"), sketches, least))
+        large = sized.filter(f"n > {small}").select("g", "v")
+        if not large.limit(1).count():
+            return found
+    return [*found, _compare_small(_all_blocks(large, small), sketches, least)]
+
+
+def candidates(sketches: DataFrame, docs: DataFrame, least: float, percent: int, trees: int, small: int, words: int,
+               text: str, doc_id: str) -> DataFrame:
     """(a, b, est): pairs proposed by the trees; sketches has one row (v, sig) per distinct set.
 
-    A large node compares all its documents with its pivot and sends on those that are not ``near``
-    it; at the last depth the rest is dealt into blocks of ``small`` that are compared.
+    The documents of a large node that look like its pivot, and all of one at the last depth, are
+    joined exactly; those that do not move on to the children. Two signatures that agree on ``least``
+    differ by 1 - ``least`` at most in their agreement with the pivot, so between ALIKE and
+    that much below it a document does both, and no pair is parted.
     """
     seeds = F.explode(F.array(*[F.lit(int(x)) for x in W.mixed(
         np.arange(7001, 7001 + trees, dtype=np.uint64)).view(np.int64)])).alias("node")
     live = _grow(sketches.select(seeds, "v", "sig"), 2)
-    found = []
+    found, groups = [], []
     for depth in range(2, MAX_DEPTH + 1):
         live = stored(live, "nodes")
         sizes = live.groupBy(F.col("node").alias("n1")).agg(F.count("*").alias("n")).filter("n > 1")
@@ -199,16 +319,16 @@ def candidates(sketches: DataFrame, least: float, near: float, trees: int, small
         if not large.limit(1).count():
             break
         starred = stored(_against_pivots(large, sketches, small), "starred")
-        found.append(starred.filter(f"est >= {least} and v != p").select(
-            F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b"), "est"))
-        rest = starred.groupBy("node", "v").agg(F.max("est").alias("est")).filter(f"est < {near}").select("node", "v")
-        if depth == MAX_DEPTH:
-            sizes = rest.groupBy(F.col("node").alias("n1")).agg(F.count("*").alias("n"))
-            blocks = rest.join(sizes, F.col("node") == F.col("n1")).select(F.xxhash64("node", F.pmod(
-                F.xxhash64("v", "node"), F.ceil(2 * F.col("n") / small))).alias("node"), "v")
-            found.append(_compare_small(blocks, sketches, least))
-        else:
-            live = _grow(rest.join(sketches.select("v", "sig"), "v"), 1)
+        alike = starred if depth == MAX_DEPTH else starred.filter(f"est >= {ALIKE - (1 - least)}")
+        groups.append(alike.select(F.col("p").alias("g"), "v"))
+        live = _grow(starred.filter(f"est < {ALIKE}").select("node", "v").distinct().join(
+            sketches.select("v", "sig"), "v"), 1)
+    if groups:
+        whole = groups[0]
+        for more in groups[1:]:
+            whole = whole.unionByName(more)
+        whole = stored(whole.distinct(), "groups")
+        found += _join_groups(whole, sketches, docs, least, percent, small, words, text, doc_id)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
@@ -258,7 +378,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     classes = stored(
         sketches.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(
             F.min("doc_id").alias("v"), F.first("sig").alias("sig")), "classes")
-    found = candidates(classes.select("v", "sig"), level - 4 * spread, 1 - (1 - level) / 2, trees, small)
+    found = candidates(classes.select("v", "sig"), docs, level - 4 * spread, percent, trees, small, words, text, doc_id)
     # first the best partner of every document, then what still stands between components
     ends = found.select(F.col("a").alias("x"), "a", "b", "est").union(found.select("b", "a", "b", "est"))
     best = ends.groupBy("x").agg(F.max_by(F.struct("a", "b"), F.struct("est", -F.col("a"), -F.col("b"))).alias("p"))
