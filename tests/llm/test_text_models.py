@@ -116,6 +116,30 @@ def test_contamination(spark, text, items):
     assert sorted(r.d for r in got) == ["x", "y"]
 
 
+def found_items(spark, text, item):
+    docs = spark.createDataFrame([(8, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return [x.item_id for x in decontaminate.mark(docs, bench).first()["items"]]
+
+
+NAMED = "then Anna met Bob and Carla near Paris while Dan saw Eve and Frank near Rome after Gina left"
+
+
+@pytest.mark.parametrize("change", [str.lower, str.upper, str.title])
+@pytest.mark.parametrize("item", [NAMED, "we found that small red birds sang very loudly in the old market today"])
+def test_copies_in_other_case(spark, item, change):
+    assert found_items(spark, "so " + change(item), item) == [1]
+
+
+@pytest.mark.parametrize("text,item,items", [
+    ("so 3 + 6 + 9 + 12 + 15 = ?", "3 + 6 + 9 + 12 + 15 = ?", [1]), ("so 3 + 6 + 9 + 12 + 16 = ?", "3 + 6 + 9 + 12 + 15 = ?", []),
+    ("1 2 4 8 16 32 64 128 256 512 and on", "1 2 4 8 16 32 64 128 256 512", [1]),
+    ("some " + ITEM.replace("12 apples", "40 apples"), ITEM, [1]),
+])
+def test_copies_with_many_or_torn_values(spark, text, item, items):
+    assert found_items(spark, text, item) == items
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 3)
     docs = spark.createDataFrame([(8, "x " + ITEM)], "doc_id long, text string")

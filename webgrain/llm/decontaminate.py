@@ -31,6 +31,7 @@ UNIT_WORDS = frozenset(
 _NUMBER = re.compile(rb"[+-]?(?:[$]|\xe2\x82\xac|\xc2\xa3)?\d[\d.,:/]*(?:%|st|nd|rd|th|[a-z]{1,3})?$")
 _EDGES = re.compile(rb"^[^0-9A-Za-z\x80-\xff+$-]+|[^0-9A-Za-z\x80-\xff%]+$")
 NUM, UNIT, NAME = (W.mixed(np.arange(901, 904, dtype=np.uint64))[i] for i in range(3))
+LITERAL = 2  # form of the windows that are mostly placeholders: compared with their values
 CACHE_WORDS = 1_000_000
 BLOCK_WINDOWS = 500_000  # benchmark windows that the tasks hold at a time
 
@@ -64,8 +65,8 @@ class Templates:
         return n
 
     def of(self, text: str):
-        """(words, with names, without names, placeholder marks of both): the template words of a
-        text twice, with names replaced and with names as words."""
+        """(words, with names, without names, literal, placeholder marks of the first two): the template
+        words of a text with names replaced, with names as words, and with nothing replaced."""
         words = text.encode("utf-8", "replace").split()
         if len(self.index) > CACHE_WORDS:
             self.clear()
@@ -85,7 +86,7 @@ class Templates:
         plain = np.where(number, NUM, np.where(unit, UNIT, prints))
         name = capital & ~first & ~number & ~unit
         named = np.where(name, NAME, plain)
-        return words, some, named, plain, number | unit | name, number | unit
+        return words, some, named, plain, prints, number | unit | name, number | unit
 
 
 def hash_text(text: str) -> int:
@@ -103,19 +104,21 @@ def _templates() -> Templates:
 
 def _template_windows(text: str, lengths: list[int]):
     """(words, places of template words, form, starts, keys, slots, n) of the windows of a text with
-    ``n`` of ``lengths`` template words, in both forms. At least half of a window's words are words."""
+    ``n`` of ``lengths`` template words, in both forms. At least half of a window's words are words; other windows are taken literally."""
     found = _templates().of(text)
     return [x for n in lengths if n <= len(found[1]) for x in _of_length(*found, n)]
 
 
-def _of_length(words, some, named, plain, slots_n, slots_p, n):
+def _of_length(words, some, named, plain, prints, slots_n, slots_p, n):
     out = []
-    for form, (units, slots) in enumerate(((named, slots_n), (plain, slots_p))):
+    for form, (units, slots) in enumerate(((named, slots_n), (plain, slots_p), (prints, slots_p))):
         count = np.cumsum(np.concatenate([[0], slots]))
         whole = len(units) - n + 1
         fixed = n - (count[n:] - count[:whole])
-        p = np.flatnonzero(2 * fixed >= n)
-        if form:  # the forms differ only where a window has a name
+        p = np.flatnonzero(2 * fixed < n if form == LITERAL else 2 * fixed >= n)
+        if form == LITERAL:
+            slots = np.zeros(len(units), bool)
+        elif form:  # the forms differ only where a window has a name
             names = np.cumsum(np.concatenate([[0], slots_n & ~slots_p]))
             p = p[(names[n:] - names[:whole])[p] > 0]
         if len(p):
@@ -132,7 +135,7 @@ _ROWS = "key long, form int, pos int, slots array<string>"
 
 
 def benchmark_windows(benchmark: DataFrame, size: int, shortest: int, text: str, item_id: str) -> DataFrame:
-    """(item_id, key, form, pos, slots, n, n_windows) of every item; an item of less than ``size``
+    """(item_id, key, form, pos, slots, n, n_windows, n_free) of every item, n_free without literal windows; an item of less than ``size``
     words is one window of its own length ``n``, one of less than ``shortest`` has none."""
 
     def step(batches):
@@ -142,16 +145,17 @@ def benchmark_windows(benchmark: DataFrame, size: int, shortest: int, text: str,
                 length = min(size, len(_templates().of(t or "")[1]))
                 found = _template_windows(t or "", [length] if length >= shortest else [])
                 total = len({int(p) for f in found for p in f[3]})
+                free = len({int(p) for f in found for p in f[3] if f[2] != LITERAL})
                 for words, some, form, p, keys, slots, n in found:
                     for k, key in zip(p.tolist(), keys.view(np.int64).tolist()):
-                        rows.append((item, key, form, k, _values(words, some, slots, k, n), n, total))
-            columns = list(zip(*rows)) or [[]] * 7
+                        rows.append((item, key, form, k, _values(words, some, slots, k, n), n, total, free))
+            columns = list(zip(*rows)) or [[]] * 8
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (
-                pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32()))],
-                names=["item_id", "key", "form", "pos", "slots", "n", "n_windows"])
+                pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int32()))],
+                names=["item_id", "key", "form", "pos", "slots", "n", "n_windows", "n_free"])
 
     return benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("t")).mapInArrow(
-        step, f"item_id long, {_ROWS}, n int, n_windows int")
+        step, f"item_id long, {_ROWS}, n int, n_windows int, n_free int")
 
 
 def _document_windows(docs: DataFrame, keys, lengths: list[int]) -> DataFrame:
@@ -183,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, shortest:
     whether all slot values are those of the item.
 
     A document is contaminated by an item if ``coverage`` of its windows of ``size`` template words
-    are found. Items of less than ``shortest`` words prove nothing and are never found. Benchmark windows are taken in blocks of ``BLOCK_WINDOWS``, whatever their number, so
+    are found, of all or of those that are not taken literally. Items of less than ``shortest`` words prove nothing and are never found. Benchmark windows are taken in blocks of ``BLOCK_WINDOWS``, whatever their number, so
     that the tasks hold a bounded array of keys; the windows found are joined by key with the block.
     """
     spark = docs.sparkSession
@@ -199,26 +203,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, shortest:
         keys = np.unique(np.array([r[0] for r in held], np.int64).view(np.uint64))
         if len(keys):
             hits = _document_windows(rows, spark.sparkContext.broadcast(keys), sorted({r[1] for r in held}))
+            # equal keys have their placeholders at equal places, whatever the form
             theirs = block.select(
-                "item_id", "n_windows", F.col("key").alias("k1"), F.col("form").alias("f1"), F.col("pos").alias("at"),
-                F.col("slots").alias("theirs"))
-            found.append(hits.join(theirs, (F.col("key") == F.col("k1")) & (F.col("form") == F.col("f1"))).select(
-                "d", "h", "item_id", "n_windows", "at", (F.col("pos") - F.col("at")).alias("shift"), "slots", "theirs"))
+                "item_id", "n_windows", "n_free", F.col("key").alias("k1"), (F.col("form") == LITERAL).alias("literal"),
+                F.col("pos").alias("at"), F.col("slots").alias("theirs"))
+            found.append(hits.join(theirs, F.col("key") == F.col("k1")).select(
+                "d", "h", "item_id", "n_windows", "n_free", "literal", "at", (F.col("pos") - F.col("at")).alias("shift"),
+                "slots", "theirs"))
     if not found:
         return spark.createDataFrame([], "d long, h long, items array<struct<item_id:long,share:double,same:boolean>>")
     hits = found[0]
     for more in found[1:]:
         hits = hits.unionByName(more)
     pairs = F.arrays_zip(F.col("theirs").alias("x"), F.col("slots").alias("y"))
-    lines = hits.groupBy("d", "h", "item_id", "n_windows", "shift").agg(
-        F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    values = F.array_distinct(F.transform("pairs", lambda p: p["x"]))
-    fitting = lines.filter(F.size(values) == F.size("pairs"))  # one document value per benchmark value
+    item = ["d", "h", "item_id", "n_windows", "n_free"]
+    lines = hits.groupBy(*item, "shift").agg(F.collect_set(F.struct("at", "literal", pairs.alias("p"))).alias("w")).withColumn(
+        "pairs", F.array_distinct(F.flatten(F.col("w.p"))))
+    # benchmark values that stand for several document values: only what is word for word is left of the line
+    values = F.transform("pairs", lambda p: p["x"])
+    lines = lines.withColumn("torn", F.array_distinct(F.filter(
+        values, lambda x: F.size(F.filter("pairs", lambda p: p["x"] == x)) > 1)))
+    word_for_word = lambda w: F.forall(
+        w["p"], lambda p: (p["x"] == p["y"]) & ~F.array_contains(F.col("torn"), p["x"]))
+    lines = lines.withColumn("w", F.filter("w", lambda w: (F.size("torn") == 0) | word_for_word(w)))
     same = F.forall("pairs", lambda p: p["x"] == p["y"])
-    shares = fitting.groupBy("d", "h", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"), F.every(same).alias("same"))
-    return shares.filter(F.col("n") >= coverage * F.col("n_windows")).groupBy("d", "h").agg(F.sort_array(F.collect_list(
-        F.struct("item_id", (F.col("n") / F.col("n_windows")).alias("share"), "same"))).alias("items"))
+    places = lambda w: F.size(F.array_distinct(F.flatten(F.collect_list(F.transform(w, lambda x: x["at"])))))
+    shares = lines.filter(F.size("w") > 0).groupBy(*item).agg(
+        (places(F.col("w")) / F.col("n_windows")).alias("all"),
+        (places(F.filter("w", lambda w: ~w["literal"])) / F.expr("nullif(n_free, 0)")).alias("free"), F.every(same).alias("same"))
+    return shares.withColumn("share", F.greatest("all", "free")).filter(F.col("share") >= coverage).groupBy("d", "h").agg(
+        F.sort_array(F.collect_list(F.struct("item_id", "share", "same"))).alias("items"))
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
