@@ -1,9 +1,8 @@
-"""Substring dedup by distributed prefix doubling, as in the building of suffix arrays.
+"""Substring dedup on bytes, with fingerprints in place of prefix doubling.
 
-Positions are ranked by their first h bytes; pairs of a rank and what follows at offset h are sorted
-by Spark into ranks for 2h bytes, and so on. A position whose rank is unique is settled, and the
-doubling ends where the ranks are past the threshold. The sampled suffixes are the content-picked
-anchors of ``repeats``, which every string of the wanted length holds.
+Prefix doubling was replaced: nothing is ranked, sorted or reranked here. The ``Finder`` of ``repeats``
+compares fingerprints of 25 and 50 bytes at content-picked anchors, which every string of the wanted
+length holds, and then the zones and single windows around anchors that are still repeated.
 """
 
 import hashlib
