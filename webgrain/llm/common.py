@@ -1,10 +1,13 @@
 """Helpers shared by the operators: words, stored stages, wide hashes."""
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webgrain.plans.scale import fresh_path as fresh
+from webgrain.plans.scale import materialize as stored
+
+__all__ = ["BLANKS", "documents", "fresh", "packed", "stored", "unpacked", "words"]
+
 # space and the control characters from tab to carriage return; nothing else parts words
 BLANKS = "[\\x20\\x09-\\x0D]+"
 
@@ -23,30 +26,5 @@ def unpacked(columns: list[str]) -> list[Column]:
     return [F.col("_row")[c].alias(c) for c in columns]
 
 
-def stage_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. It may be unset under a local master
-    only (tests), where it is set to a new folder below the warehouse."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    path = f"{warehouse}/stages-{uuid.uuid4().hex}"
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
-def fresh(spark: SparkSession, label: str) -> str:
-    return f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back. Cuts lineage and survives lost executors."""
-    path = fresh(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")

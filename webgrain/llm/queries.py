@@ -108,3 +108,42 @@ def op7_lm_scoring(spark, sf):
     from webgrain.llm.classlm import score_held_out
 
     return score_held_out(common.documents(spark, sf))
+
+
+@query("""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h
+  FROM documents
+), c AS (
+  SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS x, ('0x' || h[9:16])::BIGINT % (n + 1) AS y, CASE
+    WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+    WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), p AS (
+  SELECT *, least(x, y) AS a, greatest(x, y) AS b, substring(t, 1, least(x, y)) AS prefix,
+    substring(t, least(x, y) + 1, greatest(x, y) - least(x, y)) AS middle, substring(t, greatest(x, y) + 1) AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+""")
+def op12_fill_in_middle(spark, sf):
+    from webgrain.llm.frames import digests, fill_in_middle
+
+    return digests(fill_in_middle(common.documents(spark, sf)))
+
+
+@query()
+def op13_periodic_runs(spark, sf):
+    from webgrain.llm.runs import collapse_runs, listed, planted, strongest
+
+    best = F.col("_best")
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return collapse_runs(planted(common.documents(spark, sf))).withColumn("_best", strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("_best.length * 1000 div _best.period").alias("exponent_milli"),
+        sha(listed(F.col("runs"))).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"))
