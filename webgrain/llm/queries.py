@@ -110,6 +110,18 @@ def op7_lm_scoring(spark, sf):
     return score_held_out(common.documents(spark, sf))
 
 
+@query()
+def op11_license_scans(spark, sf):
+    from webgrain.llm.licenses import labels, scan_licenses
+
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"])
+    return scan_licenses(common.documents(spark, sf)).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        "score")
+
+
 @query("""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h
