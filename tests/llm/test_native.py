@@ -175,8 +175,9 @@ def test_page_text(spark, body, text):
 
 
 def test_page_without_article_uses_the_wrapper(spark):
-    rows = [(k, "http://h.example/%d" % k, PAGE % f"<div class=story><div class=note2>Same on all</div><p>{'body %d ' % k * 20}</p>"
-             + "<p>more</p>" * (k % 3) + "</div><div class=sidebar>s</div>") for k in range(6)]
+    rows = [(k, "http://h.example/%d" % k, PAGE % (
+        f"<div class=story><div class=note2>Same on all</div><p>{'body %d ' % k * 20}</p>"
+        + "<p>more</p>" * (k % 3) + "</div><div class=sidebar>s</div>")) for k in range(6)]
     rows += [(90, None, None), (91, "", ""), (92, "http://h.example/x", "plain <b>text</b>")]
     got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[4].startswith("body 4 body 4") and "Same" not in got[4] and "Buy" not in got[4] and got[4].endswith("more")
@@ -228,4 +229,4 @@ def test_pipeline_stages(spark, tmp_path):
 def test_queries_are_registered():
     from webgrain.llm.queries import QUERIES
 
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))

@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -145,3 +146,27 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(8, "x " + ITEM)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, ITEM), (2, "tiny item")], "item_id long, text string")
     assert [x.item_id for x in decontaminate.mark(docs, bench).first()["items"]] == [1]
+
+
+def test_every_gain_is_the_change_of_the_likelihood():
+    rng = np.random.default_rng(7)
+    for _ in range(20):
+        n, k = 14, 4
+        pairs = rng.poisson(1.5, (n, n)).astype(float)
+        of, u = rng.integers(0, k, n), int(rng.integers(0, n))
+
+        def likelihood(of):
+            member = np.eye(k)[of]
+            both = member.T @ pairs @ member
+            return classlm._h(both).sum() - classlm._h(both.sum(0)).sum() - classlm._h(both.sum(1)).sum()
+
+        member = np.eye(k)[of]
+        member[u] = 0
+        both, own = member.T @ pairs @ member, pairs[u, u]
+        gain = classlm.gains(both, pairs[u] @ member, pairs[:, u] @ member, own)
+        whole = []
+        for b in range(k):
+            moved = of.copy()
+            moved[u] = b
+            whole.append(likelihood(moved))
+        assert np.allclose(gain - gain[0], np.array(whole) - whole[0])

@@ -22,6 +22,7 @@ COMMON_WORDS = {
 CLASSES = ["upper", "digit", "blank", "punctuation", "symbol", "other"]
 OUT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
        "class_distance", "word_distance", "kept"]
+FEW = 4096  # languages whose references are broadcast: 27 counts each
 SLOTS = max(map(len, COMMON_WORDS.values()))
 # one character per place in a list of common words, the first for all other words
 CODES = "".join(chr(ord("A") + i) for i in range(SLOTS + 1))
@@ -52,15 +53,15 @@ def _repeated_words(grams: Column) -> Column:
         let(ranked, covered))
 
 
-def text_statistics(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The columns of ``docs`` packed in ``_row``, ``_lang``, and ``_stat`` (struct) with the base
-    counts and the two histograms. A null text counts as empty; an unknown or null language has no
-    common words."""
+def text_statistics(docs: DataFrame, text: str = "text", lang: str = "lang", columns=None) -> DataFrame:
+    """The given columns of ``docs`` (all) packed in ``_row``, ``_lang``, and ``_stat`` (struct) with the
+    base counts and the two histograms. A null text counts as empty; an unknown or null language has
+    no common words."""
     listed = F.array().cast("array<string>")
     for code, entries in COMMON_WORDS.items():
         listed = F.when(F.col("_lang") == code, F.array(*[F.lit(w) for w in entries])).otherwise(listed)
     base = docs.select(
-        packed(docs.columns), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("_lang"),
+        packed(docs.columns if columns is None else columns), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("_lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"),
     ).withColumn("_w", words(F.col("_t")))
     w, t = F.col("_w"), F.col("_t")
@@ -125,9 +126,9 @@ def jensen_shannon(p: Column, q: Column) -> Column:
 
 def rate(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = 50,
          max_class_distance: float = 0.25, max_word_distance: float = 0.31,
-         guard_chars: int = 200, guard_words: int = 100) -> DataFrame:
-    """The columns of ``docs`` and: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, class_distance, word_distance, kept.
+         guard_chars: int = 200, guard_words: int = 100, columns: list[str] | None = None) -> DataFrame:
+    """The given ``columns`` of ``docs`` (all of them if None) and: n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept.
 
     ``base_failed``: under ``min_words`` words, or more than half of the words in repeated 3-word
     windows. ``kept``: not failed and, where the text is long enough to tell (``guard_chars``,
@@ -135,34 +136,39 @@ def rate(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int
     and repeated rows are rated alike, row by row; an empty table gives an empty result. Columns of
     ``docs`` named like an output are replaced.
 
-    The counts are stored once, so that the texts are read once: the references are sums over
-    these narrow rows, one row per language, joined back by language.
+    The counts are stored once with the wanted columns, so that the texts are read once: the
+    references are sums over these rows, one row per language. They are broadcast where there are few
+    languages; a table of more than ``FEW`` languages is joined by language.
     """
-    keep = [c for c in docs.columns if c not in OUT]
-    rated = stored(text_statistics(docs.select(*[F.col(f"`{c}`") for c in keep]), text, lang), "quality")
-    return judge(rated, keep, min_words, max_class_distance, max_word_distance, guard_chars,
-                 guard_words)
+    rows = judged(docs, text, lang, min_words, max_class_distance, max_word_distance, guard_chars, guard_words, columns)
+    keep = [c for c in (docs.columns if columns is None else columns) if c not in OUT]
+    return rows.select(*unpacked(keep), "_out.*")
 
 
-def judge(rated, keep, min_words, max_class_distance, max_word_distance, guard_chars, guard_words):
+def judged(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = 50,
+           max_class_distance: float = 0.25, max_word_distance: float = 0.31,
+           guard_chars: int = 200, guard_words: int = 100, columns: list[str] | None = None) -> DataFrame:
+    """As ``rate``, but in two structs: ``_row`` with the columns of ``docs``, whatever their names, and
+    ``_out`` with the results."""
+    rated = stored(text_statistics(docs, text, lang, columns), "quality")
+
     def summed(name, n):
         return F.array(*[F.sum(F.col(f"_stat.{name}")[i]) for i in range(n)])
 
-    reference = rated.groupBy(F.col("_lang").alias("_ref")).agg(
-        summed("classes", len(CLASSES)).alias("_classes"), summed("common", len(CODES)).alias("_common"))
-    s = F.col("_stat")
-    near = F.coalesce(F.col("class_distance") <= max_class_distance, F.lit(True))
-    usual = F.coalesce(F.col("word_distance") <= max_word_distance, F.lit(True))
+    reference = stored(rated.groupBy(F.col("_lang").alias("_ref")).agg(
+        summed("classes", len(CLASSES)).alias("_classes"), summed("common", len(CODES)).alias("_common")), "languages")
+    if reference.count() <= FEW:
+        reference = F.broadcast(reference)
+    s, out = F.col("_stat"), {}
+    out["class_distance"] = jensen_shannon(s["classes"], F.col("_classes"))
+    out["word_distance"] = jensen_shannon(s["common"], F.col("_common"))
+    failed = (s["n_words"] < min_words) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
+    near = F.coalesce(F.col("_d.class_distance") <= max_class_distance, F.lit(True))
+    usual = F.coalesce(F.col("_d.word_distance") <= max_word_distance, F.lit(True))
+    kept = ~failed & ((s["n_chars"] < guard_chars) | near) & ((s["n_words"] < guard_words) | usual)
+    counts = [s[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return (
         rated.join(reference, F.col("_lang") == F.col("_ref"))
-        .select(
-            "_row", s["n_words"].alias("n_words"), s["word_chars"].alias("word_chars"),
-            s["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
-            s["n_repeat_words"].alias("n_repeat_words"), s["n_chars"].alias("_chars"),
-            ((s["n_words"] < min_words) | (100 * s["n_repeat_words"] > 50 * s["n_words"])).alias("base_failed"),
-            jensen_shannon(s["classes"], F.col("_classes")).alias("class_distance"),
-            jensen_shannon(s["common"], F.col("_common")).alias("word_distance"))
-        .withColumn("kept", ~F.col("base_failed")
-                    & ((F.col("_chars") < guard_chars) | near)
-                    & ((F.col("n_words") < guard_words) | usual))
-        .select(*unpacked(keep), *OUT))
+        .select("_row", "_stat", F.struct(*[c.alias(n) for n, c in out.items()]).alias("_d"))
+        .select("_row", F.struct(
+            *counts, failed.alias("base_failed"), *[F.col("_d")[n].alias(n) for n in out], kept.alias("kept")).alias("_out")))

@@ -30,7 +30,7 @@ def query(sql=None):
 def op5_quality_rules(spark, sf):
     from webgrain.llm.quality import rate
 
-    return rate(common.documents(spark, sf).select("doc_id", "text", "lang")).drop("text", "lang")
+    return rate(common.documents(spark, sf), columns=["doc_id"])
 
 
 @query()
