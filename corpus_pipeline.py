@@ -11,7 +11,7 @@ from webgrain.llm import common
 from webgrain.llm.decontaminate import mark
 from webgrain.llm.neardup import near_duplicates
 from webgrain.llm.pieces import encode_and_decode
-from webgrain.llm.quality import rate
+from webgrain.llm.quality import judged
 from webgrain.llm.secrets import mask
 from webgrain.session import ship
 
@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drops the documents that the rules reject: failed counts, or histograms far from those of
     their language. Null and empty texts are rejected."""
     ship(spark)
-    return rate(docs).filter("kept").select(*docs.columns)
+    return judged(docs).filter("_out.kept").select(*common.unpacked(docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

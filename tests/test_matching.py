@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from webgrain.operators import matching as M
 
@@ -46,6 +47,49 @@ def test_equal_to_brute_force(spark, k, size):
     assert set(rows) == want
 
 
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_segments_equal_brute_force(spark, k):
+    """Terms near each other, longer than the edits; with and without segments that many terms share."""
+    rnd = random.Random(10 + k)
+
+    def edited(word):
+        word = list(word)
+        for _ in range(rnd.randint(0, k + 1)):
+            at = rnd.randrange(len(word) + 1)
+            change = rnd.choice(["add", "drop", "swap"])
+            if change == "add":
+                word.insert(at, rnd.choice("abcé"))
+            elif at < len(word):
+                word[at:at + 1] = [] if change == "drop" else [rnd.choice("abcé")]
+        return "".join(word)
+
+    roots = ["".join(rnd.choice("abcdefé") for _ in range(rnd.randint(5, 16))) for _ in range(25)]
+    words = sorted({edited(rnd.choice(roots)) for _ in range(120)} | {"", "a", "bc", "abé"})
+    want = {(q, t) for q in words for t in words if distance(q, t) <= k}
+    for shared in (1000,) if k == 4 else (1000, 2):
+        rows = [tuple(r) for r in M.match_terms(queries(spark, words), catalog(spark, words), k, shared=shared).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want
+    assert len(want) > 2 * len(words)
+
+
+def test_number_of_keys_depends_on_the_edits_alone(spark):
+    for k in (2, 3):
+        sizes = []
+        for n in (20, 200, 2000):
+            one = spark.createDataFrame([("".join(chr(97 + i * i % 26) for i in range(n)),)], "t string")
+            sizes.append(one.select(F.size(M._segment_keys(F.col("t"), k)), F.size(M._segment_probes(F.col("t"), k))).first())
+        assert all(a == k + 1 and b <= (k + 1) ** 3 for a, b in sizes)
+        assert sizes[1] == sizes[2]
+
+
+def test_a_shared_prefix_is_no_key(spark):
+    """Two thousand terms with one prefix: candidates stay near the true matches."""
+    words = [f"Customer#{i * 7919 % 10 ** 6:06d}" for i in range(2000)]
+    got = M.match_terms(queries(spark, words[:50]), catalog(spark, words), 2, shared=100)
+    want = {(q, t) for q in words[:50] for t in words if sum(a != b for a, b in zip(q, t)) <= 2 or distance(q, t) <= 2}
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def test_one_edit_is_case_sensitive_and_k_edits_lower_the_query(spark):
     terms = catalog(spark, ["free"])
     assert M.match_edit1(queries(spark, ["FREE"]), terms).first()["pos"] is None

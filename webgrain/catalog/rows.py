@@ -292,6 +292,20 @@ def editk_match(spark, sf):
     return M.match_edit(names.select(F.upper("term").alias("query")), names, k=2)
 
 
+@query("""
+with q as (select distinct lower(p_type) as query from part), c as (select p_name as term, min(p_partkey) as pos from part group by 1),
+m as (select q.query, c.pos, c.term from q, c where levenshtein(q.query, c.term) <= 3
+  union all select a.term, b.pos, b.term from c a, c b where levenshtein(a.term, b.term) <= 3)
+select q.query, m.pos, m.term from (select query from q union select term from c) q left join m using (query)
+""")
+def edit3_match(spark, sf):
+    """Names and types, of which most match nothing, against the names."""
+    part = table(spark, sf, "part")
+    names = part.groupBy(F.col("p_name").alias("term")).agg(F.min("p_partkey").alias("pos"))
+    asked = names.select(F.col("term").alias("query")).unionByName(part.select(F.col("p_type").alias("query")).distinct())
+    return M.match_edit(asked, names, k=3)
+
+
 STYLES = {"click": "question"}
 EXTENDER = {"view": "answer", "click": "tap"}
 

@@ -1,16 +1,22 @@
 """Approximate string matching as equi-joins.
 
-Two terms within k edits agree after some characters are blanked out on both sides (the
-substitutions) and some are dropped on one side or the other. The join keys spell that out, with
-the number of drops on either side, so that every pair with a common key is a match: the join
-emits results and nothing that has to be thrown away, whatever the terms look like. Repeated
-terms are matched once and spread to their rows afterwards.
+One edit: both sides list what is left when one character is blanked out (a substitution) or dropped
+on either side, with the number of drops. Every pair with a common key is a match.
+
+More edits, by the pigeonhole principle: a term is cut into k + 1 segments, and k edits leave one of
+them whole. So the catalog has k + 1 keys per term (length, number of the segment, its text), and a
+query is cut at the places where such a segment can stand: of the shifts up to k only those that no
+other segment makes needless, a number that depends on k alone. Candidates are verified by their
+distance. A segment that too many terms share (a common prefix) is no key; the terms that hold one
+are matched by the keys that spell out all k edits, which never meet without being a match.
+
+Repeated terms are matched once and spread to their rows afterwards.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webgrain.plans.scale import local_table, top_n_per_key
+from webgrain.plans.scale import local_table, materialize, top_n_per_key
 
 
 def _span(first: Column, last: Column) -> Column:
@@ -66,23 +72,87 @@ def _hashes(level, e, query_drops, term_drops):
     )
 
 
-def match_terms(queries: DataFrame, catalog: DataFrame, k: int = 1) -> DataFrame:
-    """Distinct (query, term) pairs within k edits."""
+def _cut(length: Column, k: int, i: int) -> tuple[Column, Column]:
+    """Start (from 0) and length of segment i when a term is cut evenly into k + 1; the last ones are
+    one longer."""
+    base, longer = F.floor(length / (k + 1)).cast("int"), length % (k + 1)
+    extra = F.greatest(F.lit(0), F.lit(i) - (k + 1 - longer))
+    return (base * i + extra).cast("int"), base + F.when(F.lit(i) >= k + 1 - longer, 1).otherwise(0)
+
+
+def _named(text: Column, length: Column, i: int, size: Column):
+    return lambda p: F.xxhash64(length, F.lit(i), F.substr(text, p + 1, size))
+
+
+def _segment_keys(term: Column, k: int) -> Column:
+    """Hashed keys of a term of more than k characters."""
+    length = F.length(term)
+    cuts = [_cut(length, k, i) for i in range(k + 1)]
+    return F.array(*[_named(term, length, i, size)(start) for i, (start, size) in enumerate(cuts)])
+
+
+def _segment_probes(query: Column, k: int) -> Column:
+    """Keys that a term within k edits of the query can have.
+
+    Segment i is looked for up to i places from where it starts, counted from the left, and up to
+    k - i places counted from the right: were it shifted further, more edits than segments would lie
+    on that side, and a segment on the other side would be whole too.
+    """
+    size, found = F.length(query), []
+    for more in range(-k, k + 1):  # characters that the query has more than the term
+        length = size - more
+        for i in range(k + 1):
+            start, wide = _cut(length, k, i)
+            first = F.greatest(F.lit(0), start - i, start + more - (k - i))
+            last = F.least(size - wide, start + i, start + more + (k - i))
+            places = F.when(length > k, _span(first, last)).otherwise(F.array().cast("array<int>"))
+            found.append(F.transform(places, _named(query, length, i, wide)))
+    return F.array_distinct(F.concat(*found))
+
+
+def _short_pairs(q: DataFrame, t: DataFrame, k: int, spread: int = 16) -> DataFrame:
+    """Candidates for terms of at most k characters. All queries of that size match; a longer one
+    keeps a character of the term."""
+    letters = lambda c: F.array_distinct(F.transform(F.split(F.col(c), ""), lambda x: F.xxhash64(x)))
+    any_of = F.transform(F.sequence(F.lit(0), F.lit(spread - 1)), lambda i: i.cast("long"))
+    q = q.filter(F.length("query") <= 2 * k).select("query", F.explode(F.when(
+        F.length("query") <= k, F.array(F.pmod(F.xxhash64("query"), F.lit(spread)))).otherwise(letters("query"))).alias("h"))
+    t = t.filter(F.length("term") <= k).select("term", F.explode(F.concat(any_of, letters("term"))).alias("h"))
+    return q.join(t.hint("merge"), "h").select("query", "term")
+
+
+def match_terms(queries: DataFrame, catalog: DataFrame, k: int = 1, shared: int = 1000) -> DataFrame:
+    """Distinct (query, term) pairs within k edits. For k over 1, a segment that more than ``shared``
+    terms have is not used as a key: no query meets more candidates by one key."""
     q = queries.select("query").filter(F.col("query").isNotNull()).distinct()
     t = catalog.select("term").filter(F.col("term").isNotNull()).distinct()
     if k == 0:
         return q.join(t, F.col("query") == F.col("term"))
+    if k == 1:
+        return _match_spelled(q, t, 1)
+    q, t = materialize(q, "queries"), materialize(t, "terms")
+    index = t.filter(F.length("term") > k).select("term", F.explode(_segment_keys(F.col("term"), k)).alias("h"))
+    probes = q.select("query", F.explode(_segment_probes(F.col("query"), k)).alias("h"))
+    common = materialize(index.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > shared).select("h"), "common")
+    some = not common.isEmpty()
+    rare = index.join(common, "h", "left_anti") if some else index
+    # exploded rows: their size is not known, so they are never broadcast
+    candidates = probes.join(rare.hint("merge"), "h").select("query", "term").unionByName(_short_pairs(q, t, k))
+    pairs = candidates.filter(F.levenshtein("query", "term", k) >= 0)
+    if some:
+        hard_q = probes.join(common, "h", "left_semi").select("query").distinct()
+        hard_t = index.join(common, "h", "left_semi").select("term").distinct()
+        pairs = pairs.unionByName(_match_spelled(hard_q, hard_t, k))
+    return pairs.distinct()
+
+
+def _match_spelled(q: DataFrame, t: DataFrame, k: int) -> DataFrame:
+    """Pairs within k edits, by keys that spell out the edits; for k over 1 a pair may come twice."""
     q = q.select("query", F.inline(_keys(F.col("query"), k, is_query=True)))
     t = t.select("term", F.inline(_keys(F.col("term"), k, is_query=False)).alias("h", "_e"))
-    # exploded rows: their size is not known, so they are never broadcast
-    pairs = (
-        q.join(t.drop("_e").hint("merge"), "h")
-        # only at the true distance: fewer repeats, and a check against equal hashes
-        .filter(F.levenshtein("query", "term", k) == F.col("e"))
-        .select("query", "term")
-    )
-    # one edit has one key; more edits can be split up in several ways
-    return pairs if k == 1 else pairs.distinct()
+    # only at the true distance: fewer repeats, and a check against equal hashes
+    return q.join(t.drop("_e").hint("merge"), "h").filter(
+        F.levenshtein("query", "term", k) == F.col("e")).select("query", "term")
 
 
 def match_edit1(queries: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -107,9 +177,9 @@ def suggest(queries: DataFrame | list[str], catalog: DataFrame, n: int = 5,
     """First n catalog entries (by ``pos``) that contain the query, both in lower case. Null
     queries and entries match nothing.
 
-    Queries meet the substrings of the catalog that have the length of some query: n rows per
-    substring survive the map side, then one equi-join. The lengths come from the query table,
-    one row per length.
+    Queries meet the substrings of the catalog that have the length of some query; only those that
+    are asked for are ranked, and n rows per substring survive the map side. The lengths come from the
+    query table, one row per length.
     """
     lowered = F.lower(F.col(term))
     if isinstance(queries, list):
@@ -127,5 +197,6 @@ def suggest(queries: DataFrame | list[str], catalog: DataFrame, n: int = 5,
     pieces = F.array_distinct(F.flatten(F.transform("_lengths", cuts)))
     known = catalog.filter(F.col(term).isNotNull()).select(term, pos, lengths.alias("_lengths"))
     parts = known.select(F.explode(pieces).alias("_part"), term, pos)
-    firsts = top_n_per_key(parts, ["_part"], [pos], n)
+    wanted = parts.join(asked.select("_part").distinct(), "_part", "left_semi")
+    firsts = top_n_per_key(wanted, ["_part"], [pos], n)
     return asked.join(firsts, "_part").select("query", term, pos)
