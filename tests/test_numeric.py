@@ -52,7 +52,7 @@ def brute_knn(train, labels, test, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 700, "cells": 40}])
+@pytest.mark.parametrize("options", [{}, {"cell_rows": 10, "block_rows": 7, "visit_rows": 3, "cells": 40}, {"cell_rows": 1}])
 def test_knn_on_both_ways(spark, options):
     rng = np.random.default_rng(2)
     train, test = rng.integers(0, 4, (150, 3)).astype(float), rng.integers(0, 4, (40, 3)).astype(float)
@@ -63,9 +63,39 @@ def test_knn_on_both_ways(spark, options):
         enumerate(brute_knn(train, labels, test, 5)))
 
 
-def test_knn_without_test_rows(spark):
+def test_knn_without_rows(spark):
     x = vectors(spark, [[1.0]])
     assert N.knn_classify(x, x.filter("id < 0"), 3).count() == 0
+    assert N.knn_classify(x.filter("id < 0"), x, 3).count() == 0
+
+
+def test_knn_compares_few_pairs_of_clustered_rows(spark):
+    """Twenty clusters, and one more that holds a third of all rows, half of them equal."""
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(21, 8)) * 30
+    of = np.r_[rng.integers(0, 20, 1000), np.full(500, 20)]
+    x = centers[of] + rng.normal(size=(1500, 8))
+    x[-250:] = x[-1]
+    y = x[::10] + 0.01
+    train, test = vectors(spark, x, of).repartition(6), vectors(spark, y).drop("label")
+    pairs = []
+    got = N.nearest_neighbours(train, test, 4, cell_rows=30, block_rows=40, visit_rows=16, measure=pairs).collect()
+    rows = {}
+    for r in sorted(got, key=lambda r: (r.test_id, r.dist, r.train_id)):
+        rows.setdefault(r.test_id, []).append(r.train_id)
+    for i, t in enumerate(y):
+        d = ((x - t) ** 2).sum(1)
+        assert rows[i] == np.lexsort((np.arange(1500), d))[:4].tolist()
+    assert sum(pairs) < 0.15 * len(x) * len(y)
+
+
+def test_knn_blocks_of_one_cell_are_bounded(spark):
+    x = np.r_[np.zeros((300, 2)), np.random.default_rng(5).normal(size=(30, 2))]
+    blocks, rings = N._ring_index(
+        vectors(spark, x, np.zeros(330, int)).selectExpr("cast(id as long) id", "cast(label as long) label", "vec"), 330, 8, 40, 25, 1000)
+    sizes = {r["block"]: r["count"] for r in blocks.groupBy("block").count().collect()}
+    assert max(sizes.values()) <= 25 and sizes == dict(zip(rings.block.tolist(), rings.size.tolist()))
+    assert sum(sizes.values()) == 330
 
 
 KERNEL = [[1, 2, 0], [0, -1, 3], [2, 0, 1]]

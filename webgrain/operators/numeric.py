@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webgrain.lookups import LUMA
-from webgrain.plans.scale import top_n_per_key
+from webgrain.plans.scale import materialize, running_totals, top_n_per_key
 
 
 def minmax_scale(df: DataFrame, col: str, new_min=0.0, new_max=1.0, by: str | None = None,
@@ -152,6 +152,7 @@ def kmeans(df: DataFrame, vec: str, k: int, order: str, max_iter: int = 100, rto
 # --- nearest neighbours ---------------------------------------------------------------------
 
 
+MAX_BLOCKS = 1 << 15  # blocks whose bounds every task holds
 _NEIGHBOUR = "test_id long, train_id long, label long, dist double"
 
 
@@ -196,40 +197,163 @@ def _tile_neighbours(train, test, k, cells):
     return [np.concatenate(c) for c in zip(*found)]
 
 
-def nearest_neighbours(train: DataFrame, test: DataFrame, k: int, block_bytes: int = 16 << 20,
-                       cells: int = 1 << 20) -> DataFrame:
-    """Exact k nearest train rows (id, vec, label) for each test row (id, vec). Rows without a vector
-    are left out; all vectors must have one width.
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(_square_distances(a, b), 0))
 
-    Both sides are cut into even random blocks of about ``block_bytes``, and each pair of blocks
-    meets in one group, whatever the labels or values; a task holds two blocks and the distances of
-    ``cells`` pairs. The exact search compares all pairs, so its work grows with the product of
-    both sides: bound one of them.
-    """
-    train = train.filter(F.col("vec").isNotNull()).select(
-        F.col("id").cast("long"), F.col("label").cast("long"), "vec")
-    test = test.filter(F.col("vec").isNotNull()).select(F.col("id").cast("long"), F.lit(0).cast("long").alias("label"), "vec")
 
-    def blocks(df):
-        rows, width = df.agg(F.count("*"), F.max(F.size("vec"))).first()
-        return max(1, math.ceil(rows * max(1, width or 1) * 8 / block_bytes))
+def _row_chunks(rows: int, columns: int, cells: int):
+    step = max(1, cells // max(1, columns))
+    return ((i, min(rows, i + step)) for i in range(0, rows, step))
 
-    rows, cols = blocks(train), blocks(test)
 
-    def cells_of(df, own, others, n_own, n_others):
-        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).withColumn(
-            others, F.explode(F.sequence(F.lit(0), F.lit(n_others - 1)))).groupBy("_r", "_c")
+def _in_cells(vectors: DataFrame, pivots: np.ndarray, cells: int) -> DataFrame:
+    """(id, label, vec) with the nearest pivot and the distance to it."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [[], [], [], []]
-        if left.num_rows and right.num_rows:
-            found = _tile_neighbours(left, right, k, cells)
+    def run(batches):
+        for batch in batches:
+            x = _matrix(batch.column(2)) if batch.num_rows else np.zeros((0, pivots.shape[1]))
+            cell, dist = np.zeros(len(x), np.int32), np.zeros(len(x))
+            for i, j in _row_chunks(len(x), len(pivots), cells):
+                d = _distances(x[i:j], pivots)
+                cell[i:j] = d.argmin(1)
+                dist[i:j] = d.min(1)
+            yield pa.record_batch([*batch.columns, pa.array(cell), pa.array(dist)],
+                                  names=["id", "label", "vec", "cell", "d"])
+
+    kind = vectors.schema["vec"].dataType.simpleString()
+    return vectors.mapInArrow(run, f"id long, label long, vec {kind}, cell int, d double")
+
+
+class _Rings:
+    """The blocks of the train rows: a cell's rows in the order of their distance to its pivot, cut
+    into rings of a bounded number of rows. A distance of a test row to any row of a block is bounded from
+    below by the triangle inequality, and by the plane between the pivots of both."""
+
+    def __init__(self, pivots, block, cell, low, high, size):
+        self.pivots, self.block, self.cell, self.low, self.high, self.size = pivots, block, cell, low, high, size
+        scale = 1 + np.sqrt((pivots * pivots).sum(1).max(initial=0)) + high.max(initial=0)
+        self.slack = 4e-6 * scale  # rounding of the distances
+        self.between = np.maximum(_distances(pivots, pivots), self.slack)
+
+    def bounds(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds (test rows x blocks)."""
+        to_pivot = _distances(y, self.pivots)
+        near = to_pivot.argmin(1)
+        own = to_pivot[np.arange(len(y)), near][:, None]
+        plane = (to_pivot ** 2 - own ** 2) / (2 * self.between[near])
+        plane[np.arange(len(y)), near] = 0
+        d = to_pivot[:, self.cell]
+        least = np.maximum(np.maximum(d - self.high, self.low - d), plane[:, self.cell])
+        return np.maximum(least - self.slack, 0), d + self.high + self.slack
+
+    def reach(self, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The lower bounds, the first block to look into, and a distance that the kth neighbour is
+        within: the blocks with the least upper bounds that hold k rows."""
+        least, most = self.bounds(y)
+        order = np.argsort(most, axis=1)
+        enough = np.minimum((np.cumsum(self.size[order], axis=1) < k).sum(1), most.shape[1] - 1)
+        rows = np.arange(len(y))
+        limit = most[rows, order[rows, enough]]
+        if self.size.sum() < k:
+            limit[:] = np.inf
+        return least, np.argmin(least + 1e-9 * most, axis=1), limit
+
+
+def _visits(test: DataFrame, rings: _Rings, k: int, cells: int, first: bool) -> DataFrame:
+    """(block, id, vec): the block that a test row looks into first, or all others that its kth
+    neighbour (within ``reach``, if it has one) may be in."""
+    kind = test.schema["vec"].dataType
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            y = _matrix(batch.column(batch.schema.get_field_index("vec")))
+            known = None if first else np.asarray(batch.column(batch.schema.get_field_index("reach")).fill_null(np.inf))
+            for i, j in _row_chunks(len(y), len(rings.block) * 4, cells):
+                least, start, limit = rings.reach(y[i:j], k)
+                if first:
+                    row, col = np.arange(j - i), start
+                else:
+                    limit = np.minimum(limit, known[i:j] + rings.slack)
+                    wanted = least <= limit[:, None]
+                    wanted[np.arange(j - i), start] = False
+                    row, col = np.nonzero(wanted)
+                part = batch.slice(i, j - i).select(["id", "vec"]).take(pa.array(row))
+                yield pa.record_batch([pa.array(rings.block[col]), *part.columns], names=["block", "id", "vec"])
+
+    return test.mapInArrow(run, f"block int, id long, vec {kind.simpleString()}")
+
+
+def _compared(blocks: DataFrame, visits: DataFrame, k: int, rows: int, cells: int) -> DataFrame:
+    """The k nearest of each visit inside its block. The visits of a block are dealt into groups of about
+    ``rows``, and the block goes to each of them, so that a block near many test rows is no hot key."""
+    parts = F.broadcast(  # at most MAX_BLOCKS rows
+        visits.groupBy("block").agg(F.ceil(F.count("*") / rows).cast("int").alias("parts")))
+    left = blocks.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    right = visits.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts")).cast("int"))
+
+    def run(train: pa.Table, test: pa.Table) -> pa.Table:
+        found = _tile_neighbours(train, test, k, cells) if train.num_rows and test.num_rows else [[], [], [], []]
         types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("test_id", "train_id", "label", "dist"), found, types)})
 
-    local = cells_of(train, "_r", "_c", rows, cols).cogroup(cells_of(test, "_c", "_r", cols, rows)).applyInArrow(
-        run, _NEIGHBOUR)
-    return top_n_per_key(local, ["test_id"], ["dist", "train_id"], k)
+    return left.select("block", "part", "id", "label", "vec").groupBy("block", "part").cogroup(
+        right.select("block", "part", "id", "vec").groupBy("block", "part")).applyInArrow(run, _NEIGHBOUR)
+
+
+def _ring_index(train: DataFrame, total: int, pivots: int, cell_rows: int, block_rows: int, cells: int) -> tuple[DataFrame, _Rings]:
+    """The train rows with their block, and the bounds of the blocks."""
+    sample = train.orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(min(pivots, math.ceil(total / cell_rows)))
+    chosen = np.array([r[0] for r in sample.select("vec").collect()], dtype=np.float64)
+    block_rows = max(block_rows, math.ceil(total / MAX_BLOCKS))
+    placed = running_totals(
+        _in_cells(train, chosen, cells).withColumn("one", F.lit(1)), ["cell"], ["d", "id"], ["one"])
+    blocks = placed.select(
+        "id", "label", "vec", "cell", "d", F.floor(F.col("one_before") / block_rows).cast("int").alias("ring"))
+    facts = blocks.groupBy("cell", "ring").agg(
+        F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("size")).orderBy("cell", "ring").toPandas()
+    first = facts.groupby("cell", sort=True).size().reindex(range(len(chosen)), fill_value=0).cumsum().shift(fill_value=0)
+    start = F.array(*[F.lit(int(x)) for x in first])
+    rings = _Rings(chosen, np.arange(len(facts), dtype=np.int32), facts["cell"].to_numpy(), facts["low"].to_numpy(float),
+                   facts["high"].to_numpy(float), facts["size"].to_numpy(np.int64))
+    return blocks.select((F.get(start, F.col("cell")) + F.col("ring")).alias("block"), "id", "label", "vec"), rings
+
+
+def nearest_neighbours(train: DataFrame, test: DataFrame, k: int, pivots: int = 512, cell_rows: int = 512,
+                       block_rows: int = 2048, visit_rows: int = 8192, cells: int = 1 << 20, measure: list | None = None) -> DataFrame:
+    """Exact k nearest train rows (id, vec, label) for each test row (id, vec). Rows without a vector
+    are left out; all vectors must have one width, ids of the test rows must be unique.
+
+    The train rows go to the nearest of some pivots (one for ``cell_rows`` rows, at most ``pivots``,
+    picked by hash) and, ordered by the distance to it, into blocks of ``block_rows``: a cell that
+    holds a third of all rows, or of equal ones, is many blocks. A test row is first compared with the
+    block it is nearest to; the kth distance found there, and the bounds of the blocks, leave only the
+    blocks that can hold something nearer, and it is sent to these alone. Only pivots and bounds of
+    the blocks (at most ``MAX_BLOCKS``) reach the driver. How much is pruned depends on the data: vectors
+    without any clusters in many dimensions are all about equally far, and all pairs are compared.
+
+    ``measure``, if given, gets the number of pairs compared (two more jobs).
+    """
+    train = train.filter(F.col("vec").isNotNull()).select(
+        F.col("id").cast("long"), F.col("label").cast("long"), "vec")
+    test = test.filter(F.col("vec").isNotNull()).select(F.col("id").cast("long"), "vec")
+    total = train.count()
+    if not total:
+        return test.sparkSession.createDataFrame([], _NEIGHBOUR)
+    blocks, rings = _ring_index(train, total, pivots, cell_rows, block_rows, cells)
+    start = materialize(_visits(test, rings, k, cells, first=True), "visits")
+    near = materialize(_compared(blocks, start, k, visit_rows, cells), "nearest")
+    # a test row with fewer than k rows in its first block has no bound from there
+    reach = near.groupBy("test_id").agg(F.sqrt(F.max("dist")).alias("reach"), F.count("*").alias("n")).filter(
+        F.col("n") >= k).select(F.col("test_id").alias("id"), "reach")
+    rest = materialize(_visits(start.select("id", "vec").join(reach, "id", "left"), rings, k, cells, first=False), "visits")
+    if measure is not None:
+        for visits in (start, rest):
+            counts = visits.groupBy("block").count().toPandas()
+            measure.append(int((rings.size[counts["block"]] * counts["count"]).sum()))
+    found = near.unionByName(_compared(blocks, rest, k, visit_rows, cells))
+    return top_n_per_key(found, ["test_id"], ["dist", "train_id"], k)
 
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int, **options) -> DataFrame:
