@@ -65,6 +65,95 @@ def test_late_rows_are_dropped(spark):
     assert second == {at(0): 2, at(100): 2}  # the row at 3 s came too late
 
 
+def test_timers_close_sessions_over_batches(spark):
+    """Four micro-batches: out of order within the delay, a row that joins two sessions, a late row."""
+    feed = Feed(spark)
+
+    def run():
+        out = feed.run(lambda df: X.closed_sessions(df, "user_id", 6, "10 seconds"))
+        return sorted((r.user_id, (r.session_start - T0).total_seconds(), (r.last_event - T0).total_seconds(), r.n)
+                      for r in out.collect())
+
+    feed.add([(1, 1, at(0), "a"), (1, 2, at(6), "a"), (1, 3, at(14), "a"), (2, 4, at(3), "a"), (3, 5, None, "a")])
+    assert run() == []
+    feed.add([(1, 6, at(10), "a"), (2, 7, at(20), "a")])  # 10 s joins both sessions of key 1
+    assert run() == [(2, 3.0, 3.0, 1)]
+    feed.add([(1, 8, at(100), "a"), (1, 9, at(12), "a")])
+    assert run() == [(1, 0.0, 14.0, 5), (2, 3.0, 3.0, 1), (2, 20.0, 20.0, 1)]
+    feed.add([(1, 10, at(15), "a"), (1, 11, at(106), "a"), (2, 12, at(200), "a")])  # 15 s is behind the watermark
+    assert run() == [(1, 0.0, 14.0, 5), (1, 100.0, 106.0, 2), (2, 3.0, 3.0, 1), (2, 20.0, 20.0, 1)]
+
+
+def test_closed_sessions_equal_those_of_a_batch(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 3), i, at(i + rnd.random() * 5), "a") for i in range(0, 400, 2)] + [(9, 999, at(10 ** 6), "a")]
+    path = X.replay(spark.createDataFrame(rows, SCHEMA), "ts", 5, fresh_path(spark, "feed"))
+    stream = X.read_stream(spark, path, "*.parquet", files=1)
+    out = X.write_table(X.closed_sessions(stream, "user_id", 6, "8 seconds"), fresh_path(spark, "out"), fresh_path(spark, "log"))
+    batch = X.sessions(spark.createDataFrame(rows[:-1], SCHEMA), "user_id", "6 seconds")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_cap_forgets_idle_keys(spark):
+    feed = Feed(spark)
+
+    def run():
+        out = feed.run(lambda df: X.cap_stream(df, "user_id", ["event_id"], n=2, ts="ts", idle_seconds=60))
+        return sorted(r["event_id"] for r in out.collect())
+
+    feed.add([(1, i, at(i), "a") for i in range(5)] + [(2, 50, at(0), "a"), (2, 51, at(1), "a")])
+    assert run() == [0, 1, 50, 51]
+    feed.add([(1, i, at(i + 50), "a") for i in range(5, 9)])  # still counted, and so is key 2 by now
+    assert run() == [0, 1, 50, 51]
+    feed.add([(1, 20, at(100), "a"), (2, 52, at(100), "a")])  # key 1 was seen at 58 s, key 2 at 1 s
+    assert run() == [0, 1, 50, 51]
+    feed.add([(2, 53, at(101), "a"), (3, 60, at(500), "a")])
+    assert run() == [0, 1, 50, 51, 60]
+    feed.add([(1, 21, at(501), "a"), (2, 54, at(501), "a")])
+    assert run() == [0, 1, 21, 50, 51, 54, 60]
+
+
+def test_latest_rows_over_batches_and_a_replayed_batch(spark):
+    rnd = random.Random(6)
+    feed, state = Feed(spark), {}
+
+    def upsert(log):
+        source = X.read_stream(spark, feed.folder, "*.parquet")
+        X.upsert_latest(source, ["user_id"], ["ts", "event_id"], feed.out, log, buckets=5).awaitTermination()
+        return {r.user_id: (r.ts, r.event_id) for r in X.read_latest(spark, feed.out, source.schema).collect()}
+
+    rows = []
+    for step in range(4):
+        new = [(rnd.choice([None, *range(12)]), 100 * step + i, rnd.choice([None, at(rnd.randint(0, 50))]), "a") for i in range(9)]
+        rows += new
+        feed.add(new)
+        for u, e, t, _ in new:
+            state[u] = max(state.get(u, (t, e)), (t, e), key=lambda x: (x[0] is not None, x[0] or T0, x[1]))
+        assert upsert(feed.log) == state
+    before = sorted(r[0] for r in spark.read.parquet(f"{feed.out}/versions/*").select("version").distinct().collect())
+    assert before == [0, 1, 2, 3]
+    # a new log runs all rows again as batch 0: only what batch 0 wrote is replaced
+    upsert(fresh_path(spark, "log"))
+    assert {r.user_id: (r.ts, r.event_id) for r in X.read_latest(spark, feed.out, spark.createDataFrame([], SCHEMA).schema).collect()} == state
+
+
+def test_latest_leaves_untouched_buckets_alone(spark):
+    feed = Feed(spark)
+
+    def upsert():
+        source = X.read_stream(spark, feed.folder, "*.parquet")
+        X.upsert_latest(source, ["user_id"], ["ts"], feed.out, feed.log, buckets=50).awaitTermination()
+
+    feed.add([(i, i, at(i), "a") for i in range(40)])
+    upsert()
+    feed.add([(7, 100, at(100), "b")])
+    upsert()
+    assert spark.read.parquet(f"{feed.out}/versions/1").count() == 1
+    assert spark.read.parquet(f"{feed.out}/data/version=1").count() < 10
+    got = {r.user_id: r.event_id for r in X.read_latest(spark, feed.out, spark.createDataFrame([], SCHEMA).schema).collect()}
+    assert got == {**{i: i for i in range(40)}, 7: 100}
+
+
 def test_cap_over_batches(spark):
     feed = Feed(spark)
     hot = [(1, i, at(i), "a") for i in range(500)]
