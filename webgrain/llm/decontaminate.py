@@ -64,29 +64,36 @@ class Templates:
         self.ends[n] = word[-1:] in b".!?:\"'" or word[:1] in b"\"'("
         return n
 
-    def of(self, text: str):
-        """(words, with names, without names, literal, placeholder marks of the first two): the template
-        words of a text with names replaced, with names as words, and with nothing replaced."""
-        words = text.encode("utf-8", "replace").split()
+    def of(self, texts: list[str]):
+        """(words, places of template words, their offsets by text, with names, without names, literal,
+        placeholder marks of the first two): the template words of all texts, in one long array, with names
+        replaced, with names as words, and with nothing replaced."""
         if len(self.index) > CACHE_WORDS:
             self.clear()
         known, add = self.index.get, self._add
-        ids = [known(w) for w in words]
+        words, offsets = [], [0]
+        for text in texts:
+            words += text.encode("utf-8", "replace").split()
+            offsets.append(len(words))
+        ids = list(map(known, words))
         if None in ids:
-            ids = [known(w) if w in self.index else add(w) for w in words]
+            ids = [k if k is not None else known(w) if w in self.index else add(w) for k, w in zip(ids, words)]
         at = np.array(ids, np.int64)
-        prints, kinds, capital, ends = (x[at] for x in (self.prints, self.kinds, self.capital, self.ends))
+        kinds, capital, ends = self.kinds[at], self.capital[at], self.ends[at]
         some = np.flatnonzero(kinds != 3)
         first = np.ones(len(at), bool)
         first[1:] = ends[:-1]
-        prints, kinds, capital, first = prints[some], kinds[some], capital[some], first[some]
+        first[[o for o in offsets if o < len(at)]] = True
+        cuts = np.searchsorted(some, offsets)
+        prints, kinds, capital, first = self.prints[at[some]], kinds[some], capital[some], first[some]
         number = kinds == 1
         unit = np.zeros(len(some), bool)
         unit[1:] = (kinds[1:] == 2) & number[:-1]
+        unit[cuts[cuts < len(some)]] = False  # the number stood in the text before
         plain = np.where(number, NUM, np.where(unit, UNIT, prints))
         name = capital & ~first & ~number & ~unit
         named = np.where(name, NAME, plain)
-        return words, some, named, plain, prints, number | unit | name, number | unit
+        return words, some, cuts, named, plain, prints, number | unit | name, number | unit
 
 
 def hash_text(text: str) -> int:
@@ -102,29 +109,35 @@ def _templates() -> Templates:
     return _worker[0]
 
 
-def _template_windows(text: str, lengths: list[int]):
-    """(words, places of template words, form, starts, keys, slots, n) of the windows of a text with
-    ``n`` of ``lengths`` template words, in both forms. At least half of a window's words are words; other windows are taken literally."""
-    found = _templates().of(text)
-    return [x for n in lengths if n <= len(found[1]) for x in _of_length(*found, n)]
+def _template_windows(texts: list[str], lengths: list[int]):
+    """(words, places of template words, offsets by text, form, starts, keys, slots, n) of the windows of
+    the texts with ``n`` of ``lengths`` template words, in both forms. At least half of a window's words
+    are words; other windows are taken literally."""
+    found = _templates().of(texts)
+    room = W.room(found[2], len(found[1]))
+    return [x for n in lengths for x in _of_length(*found, room, n)]
 
 
-def _of_length(words, some, named, plain, prints, slots_n, slots_p, n):
+def _of_length(words, some, cuts, named, plain, prints, slots_n, slots_p, room, n):
     out = []
-    for form, (units, slots) in enumerate(((named, slots_n), (plain, slots_p), (prints, slots_p))):
-        count = np.cumsum(np.concatenate([[0], slots]))
-        whole = len(units) - n + 1
-        fixed = n - (count[n:] - count[:whole])
-        p = np.flatnonzero(2 * fixed < n if form == LITERAL else 2 * fixed >= n)
+    whole = len(some) - n + 1
+    inside = room[:max(whole, 0)] >= n
+    if not inside.any():
+        return out
+    count = [np.cumsum(np.concatenate([[0], x])) for x in (slots_n, slots_p)]
+    fixed = [n - (c[n:] - c[:whole]) for c in count]
+    for form, units in enumerate((named, plain, prints)):
+        slots = (slots_n, slots_p, np.zeros(len(some), bool))[form]
         if form == LITERAL:
-            slots = np.zeros(len(units), bool)
+            p = np.flatnonzero((2 * fixed[1] < n) & inside)
         elif form:  # the forms differ only where a window has a name
-            names = np.cumsum(np.concatenate([[0], slots_n & ~slots_p]))
-            p = p[(names[n:] - names[:whole])[p] > 0]
+            p = np.flatnonzero((2 * fixed[1] >= n) & (fixed[0] != fixed[1]) & inside)
+        else:
+            p = np.flatnonzero((2 * fixed[0] >= n) & inside)
         if len(p):
             keys = W.mixed(W.fingerprints(units, n)[p] + np.uint64(n))
-            out.append((form, p, keys, slots, n))
-    return [(words, some, *x) for x in out]
+            out.append((words, some, cuts, form, p, keys, slots, n))
+    return out
 
 
 def _values(words, some, slots, p, n):
@@ -142,11 +155,11 @@ def benchmark_windows(benchmark: DataFrame, size: int, shortest: int, text: str,
         for batch in batches:
             rows = []
             for item, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                length = min(size, len(_templates().of(t or "")[1]))
-                found = _template_windows(t or "", [length] if length >= shortest else [])
-                total = len({int(p) for f in found for p in f[3]})
-                free = len({int(p) for f in found for p in f[3] if f[2] != LITERAL})
-                for words, some, form, p, keys, slots, n in found:
+                length = min(size, len(_templates().of([t or ""])[1]))
+                found = _template_windows([t or ""], [length] if length >= shortest else [])
+                total = len({int(p) for f in found for p in f[4]})
+                free = len({int(p) for f in found for p in f[4] if f[3] != LITERAL})
+                for words, some, _, form, p, keys, slots, n in found:
                     for k, key in zip(p.tolist(), keys.view(np.int64).tolist()):
                         rows.append((item, key, form, k, _values(words, some, slots, k, n), n, total, free))
             columns = list(zip(*rows)) or [[]] * 8
@@ -163,15 +176,18 @@ def _document_windows(docs: DataFrame, keys, lengths: list[int]) -> DataFrame:
 
     def step(batches):
         wanted = keys.value
-        for batch in batches:
+        for batch in W.slices(batches, "t"):
+            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
-            for d, h, t in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                for words, some, form, p, found, slots, n in _template_windows(t or "", lengths):
-                    at = np.searchsorted(wanted, found)
-                    at[at == len(wanted)] = 0
-                    for k in np.flatnonzero(wanted[at] == found):
-                        rows.append((d, h, int(found[k].view(np.int64)), form, int(p[k]),
-                                     _values(words, some, slots, int(p[k]), n)))
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            for words, some, cuts, form, p, found, slots, n in _template_windows(texts, lengths):
+                at = np.searchsorted(wanted, found)
+                at[at == len(wanted)] = 0
+                hits = np.flatnonzero(wanted[at] == found)
+                of = np.searchsorted(cuts, p[hits], side="right") - 1
+                for k, d in zip(hits.tolist(), of.tolist()):
+                    rows.append((ids[d], hashes[d], int(found[k].view(np.int64)), form, int(p[k] - cuts[d]),
+                                 _values(words, some, slots, int(p[k]), n)))
             columns = list(zip(*rows)) or [[]] * 6
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (
                 pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())))],
