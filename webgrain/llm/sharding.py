@@ -35,7 +35,7 @@ def find_splitters(keyed: DataFrame, weight: str, shards: int, tolerance: float)
 
     A round is one aggregation: bytes per (bracket, digit), at most ``(shards - 1) * 2 ** PROBE_BITS``
     rows to the driver whatever the input. A bracket is settled when a candidate boundary is within
-    ``tolerance`` of a shard's bytes, or when no row lies between two candidates.
+    ``tolerance`` of a shard's bytes, or when at most one row lies between two candidates.
     """
     total = keyed.agg(F.sum(weight)).first()[0] or 0
     digits = _key_digits()
@@ -55,18 +55,18 @@ def find_splitters(keyed: DataFrame, weight: str, shards: int, tolerance: float)
         else:
             rows = keyed.withColumn("_p", F.array().cast("array<bigint>"))
         counts = {}
-        for p, d, size in rows.groupBy("_p", digit.alias("_digit")).agg(F.sum(weight)).collect():
-            counts.setdefault(tuple(p), {})[d] = size
+        for p, d, size, n in rows.groupBy("_p", digit.alias("_digit")).agg(F.sum(weight), F.count("*")).collect():
+            counts.setdefault(tuple(p), {})[d] = size, n
         following = {}
         for p, (below, cuts) in open_at.items():
-            at, bounds = below, [((*p, 0), below, 0)]
-            for d in sorted(counts.get(p, {})):
-                bounds.append(((*p, d), at, counts[p][d]))
-                at += counts[p][d]
-            bounds.append(((*p, 1 << PROBE_BITS), at, 0))
+            at, bounds = below, [((*p, 0), below, 0, 0)]
+            for d, (size, n) in sorted(counts.get(p, {}).items()):
+                bounds += [((*p, d), at, size, n), ((*p, d + 1), at + size, 0, 0)]
+                at += size
+            bounds.append(((*p, 1 << PROBE_BITS), at, 0, 0))
             for cut in cuts:
-                key, gap = min(((k, abs(b - wanted[cut])) for k, b, _ in bounds), key=lambda x: x[1])
-                inside = [(k, b) for k, b, n in bounds if b < wanted[cut] < b + n]
+                key, gap = min(((k, abs(b - wanted[cut])) for k, b, _, _ in bounds), key=lambda x: x[1])
+                inside = [(k, b) for k, b, size, n in bounds if n > 1 and b < wanted[cut] < b + size]
                 if gap <= slack or not inside or depth + 1 == len(digits):
                     found[cut] = key
                 else:
