@@ -115,6 +115,24 @@ def test_medians(spark):
     assert {r["g"]: r["n"] for r in got}["one"] == 1
 
 
+@pytest.mark.parametrize("accuracy", [10, 100, 10000])
+def test_medians_from_brackets(spark, accuracy):
+    """Groups of all small sizes, a hot one with ties, one of null keys; coarse sketches too."""
+    rnd = random.Random(accuracy)
+    rows = [(f"g{n}", k, float(rnd.randint(0, n))) for n in range(1, 30) for k in range(n)]
+    rows += [("hot", k, rnd.choice([7.0, rnd.gauss(0, 50)])) for k in range(5000)] + [(None, k, float(k)) for k in range(10)]
+    rows += [("g1", 9, None), ("g2", 9, float("nan")), ("none", 9, None)]
+    df = spark.createDataFrame(rows, "g string, k long, v double").repartition(7)
+    want = {}
+    for g, _, v in rows:
+        if v is not None and v == v:
+            want.setdefault(g, []).append(v)
+    got = {r.g: (r.n, r.median) for r in E.median_by_group(df, ["g"], "v", accuracy=accuracy).collect()}
+    assert got == {g: (len(v), statistics.median(v)) for g, v in want.items()}
+    whole = E.median_by_group(df, [], "v", accuracy=accuracy).first()
+    assert whole.median == statistics.median([x for v in want.values() for x in v])
+
+
 def test_average_ranks(spark):
     df = spark.createDataFrame([("g", float(v)) for v in (3, 1, 3, 2, 3)], "g string, v double")
     got = {r["v"]: r["avg_rank"] for r in E.average_ranks(df, ["g"], "v").collect()}

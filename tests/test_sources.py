@@ -46,6 +46,19 @@ def test_records(spark):
         "ok": "<p>é</p>", "two parts": "", "bad text": "", "damaged": "", "none": ""}
 
 
+def test_places_that_no_payload_holds_give_empty_rows(spark):
+    import gzip
+
+    member = gzip.compress(b"a\r\n\r\nb\r\n\r\nbody")
+    rows = [(member, "0", str(len(member))), (member, str(1 << 31), "10"), (member, str(1 << 40), "10"), (member, "x", "1"), (member, "-1", "5")]
+    df = spark.createDataFrame(rows, "payload binary, offset string, length string").coalesce(1)
+    assert [r.html for r in R.read_bodies(df, offset="offset", length="length").collect()] == ["body", "", "", "", ""]
+    files = spark.createDataFrame([("f", bytearray(member))], "file string, payload binary")
+    wanted = spark.createDataFrame([("f", i, o, n) for i, (_, o, n) in enumerate(rows)], "file string, i int, offset string, length string")
+    cut = {r.i: r.payload for r in R.cut_ranges(wanted, files, "file").collect()}
+    assert cut == {0: bytearray(member), 1: None, 2: None, 3: None, 4: None}
+
+
 def test_listing(spark, tmp_path):
     assert R.list_files(spark, str(tmp_path / "missing")).count() == 0
     (tmp_path / "sub").mkdir()

@@ -63,14 +63,19 @@ def gunzip(payload: Column) -> Column:
     return _gunzip.asNondeterministic()(payload)
 
 
+def _place(column: str | Column) -> Column:
+    """A place inside a row's payload; null for what no payload can hold (2 GB), so that the row is empty."""
+    at = (F.col(column) if isinstance(column, str) else column).try_cast("bigint")
+    return F.when(at.between(0, (1 << 31) - 2), at.cast("int"))
+
+
 def decode_records(df: DataFrame, payload: str = "payload", offset: str | None = None,
                    length: str | None = None, name: str = "data") -> DataFrame:
     """Add the decoded text of a gzip record, cut from the payload when offset and length
     (text or numbers) are named. Bytes that are no UTF-8 give ``""``."""
     member = F.col(payload)
     if offset is not None:
-        member = F.substring(
-            member, F.col(offset).cast("int") + 1, F.col(length).cast("int"))
+        member = F.substring(member, _place(offset) + 1, _place(length))
     text = F.try_validate_utf8(gunzip(member).cast("string"))
     return df.withColumn(name, F.coalesce(text, F.lit(""))).drop(payload)
 
@@ -86,7 +91,7 @@ def cut_ranges(wanted: DataFrame, files: DataFrame, on: str, payload: str = "pay
     asked = wanted.groupBy(on).agg(F.collect_list(F.struct(*wanted.columns)).alias("_ranges"))
 
     def piece(r):
-        start, size = r[offset].cast("int"), r[length].cast("int")
+        start, size = _place(r[offset]), _place(r[length])
         return F.struct(r.alias("row"), F.substring(F.col(payload), start + 1, size).alias(payload))
 
     cut = files.select(on, payload).join(asked, on).select(F.explode(F.transform("_ranges", piece)).alias("_x"))
