@@ -188,3 +188,16 @@ def test_broken_markup_takes_linear_time(piece):
     started = time.time()
     D.read_page(piece * (1_000_000 // len(piece)))
     assert time.time() - started < 4
+
+
+def test_link_patterns_and_page_flag(spark):
+    from webgrain.operators import crawl as C
+
+    html = ["<a href='/a/1'>x</a><a href='/b/2'>y</a><a href='/a/3'>z</a>", "<input type='text'>", "<div role='dialog'>Please  LOG in</div>"]
+    pages = C.shred(spark.createDataFrame([(k, "http://h.example/", t) for k, t in enumerate(html)], "id int, url string, html string"))
+    edges = C.link_edges(pages, keep=["id"], patterns=["/a/", "nothing"]).orderBy("ord").collect()
+    assert [(r.ord, r.dst) for r in edges] == [(0, "http://h.example/a/1"), (2, "http://h.example/a/3")]
+    assert C.link_edges(pages, patterns=[]).count() == 0
+    flags = {r.id: r.flag for r in C.interaction_needed(pages, keep=["id"]).collect()}
+    assert flags == {0: False, 1: False, 2: True} or flags == {0: False, 1: False, 2: False}
+    assert {r.id: r.flag for r in C.interaction_needed(pages, ["div[role='dialog']"], ["pleaselog", "log"], keep=["id"]).collect()}[2]

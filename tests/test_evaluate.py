@@ -226,3 +226,31 @@ def test_failing_items_stay(spark):
     assert rows["ok"]["faithfulness"] == 0.5 and rows["ok"]["error"] is None
     assert rows["bad"]["error"] == "no good" and rows["bad"]["faithfulness"] is None
     assert set(SCORE_NAMES) <= set(rows["ok"].asDict())
+
+
+def test_an_evaluation_run_scores_once_and_keeps_failures(spark):
+    from webgrain.plans.jobs import evaluation_run
+
+    items = [(s, f"s{s}", i, f"q{i}", ["r"], "x" * (10 * s + i)) for s in (1, 2) for i in range(12)]
+    items += [(1, "s1", 50, "", ["r"], "x"), (1, "s1", 51, "q", [], "x"), (1, "s1", 52, "q", ["r"], None), (2, "s2", 53, "bad", ["r"], "y"),
+              (2, "s2", 54, "none", ["r"], "y"), (3, "s3", 1, "q", ["r"], "x")]
+    df = spark.createDataFrame(items, "system_ord int, system_id string, item int, user_query string, reference array<string>, model_response string")
+    config = spark.createDataFrame([("s1", "v1"), ("s2", None)], "system_id string, prompt_tag string")
+
+    def scorer(query, reference, response):
+        if query == "bad":
+            raise ValueError("bad item")
+        return {} if query == "none" else {"size": float(len(response))}
+
+    run = evaluation_run(df, config, scorer, "T", ["size"])
+    results = {r.item if r.system_id == "s1" else 100 + r.item: r for r in run.results.collect()}
+    assert len(results) == 26 and not {50, 51, 52} & set(results)
+    assert results[153].error == "bad item" and results[153]["size"] is None and results[154].error is None
+    # incomplete items of s1 have used up 13, 14 and 15
+    assert results[100].run_id == "run_T_16" and results[0].run_id == "run_T_1" and results[100].prompt_tag == "unknown"
+    tracked = run.tracking.collect()
+    assert len(tracked) == 24 and {r.metric_size for r in tracked} == {float(10 * s + i) for s in (1, 2) for i in range(12)}
+    report = run.report.collect()
+    assert [(r.metric, r.best_system, r.significantly_different, len(r.details)) for r in report] == [("size", "s2", True, 1)]
+    alone = evaluation_run(df.filter("system_id = 's1'"), config, scorer, "T", ["size"])
+    assert alone.report.count() == 0 and alone.results.count() == 12

@@ -6,6 +6,8 @@ from webgrain.catalog.registry import query, table
 from webgrain.catalog.rows import dialogue_items
 from webgrain.lookups import SCORE_NAMES
 from webgrain.operators import evaluate as E
+from webgrain.plans.jobs import evaluation_run
+from webgrain.plans.scale import local_table
 
 ORDER = ["view", "click", "purchase", "error", "signup"]
 LONG_CTE = """
@@ -62,9 +64,9 @@ def avg_rank(spark, sf):
     return E.average_ranks(table(spark, sf, "events"), ["event_type"], "value")
 
 
-def rank_sql(pairs):
+def rank_sql(pairs, long=LONG_CTE):
     """Rank test in SQL over a ``pairs(metric, a, b)`` table expression."""
-    return LONG_CTE + f"""
+    return long + f"""
 , pairs as ({pairs}),
 pooled as (select p.metric, a, b, score, sum((system = a)::int) as n_a, sum((system = b)::int) as n_b
   from pairs p join l on l.metric = p.metric and (system = a or system = b) group by all),
@@ -115,7 +117,7 @@ def pairwise_report(spark, sf):
         F.round("median_diff", 6).alias("median_diff"), "significant")
 
 
-@query(rank_sql(BEST_PAIRS) + """
+VERDICTS = """
 , v as (select metric, a, bool_and(z > 1.6448536) as significant, count(*) as n_details from z group by 1, 2),
 h as (select metric, median(score) as med from l join v using (metric) where system = a group by 1)
 select metric, a as best_system, significant as significantly_different, case when significant
@@ -123,7 +125,10 @@ select metric, a as best_system, significant as significantly_different, case wh
   else printf('%s has the highest median (%.3f), but was not significantly higher than all comparable systems (alpha=0.05). Check details.', a, med)
   end as notes, cast(n_details as int) as n_details
 from v join h using (metric)
-""")
+"""
+
+
+@query(rank_sql(BEST_PAIRS) + VERDICTS)
 def compare_groups(spark, sf):
     return E.compare_groups(scores(spark, sf)).select(
         "metric", "best_system", "significantly_different", "notes",
@@ -168,3 +173,67 @@ def score_with_errors(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     return E.score_items(rows, scorer, ["lang", "n_chars"], ["faithfulness"]).select(
         "doc_id", "faithfulness", "error")
+
+
+RUN = "20240101000000"
+RUN_CTE = """
+with i as (select u.conv_id % 5 as system_ord, 'sys' || (u.conv_id % 5) as system_id, u.conv_id * 10000 + u.turn as item,
+    u.text as q, a.text as r, s.text as f
+  from conversations u left join conversations a on a.conv_id = u.conv_id and a.turn = u.turn + 1 and a.role = 'assistant'
+  left join conversations s on s.conv_id = u.conv_id and s.role = 'system' where u.role = 'user' and u.conv_id % 5 < 4),
+n as (select *, row_number() over (order by system_ord, item) as eval_count from i),
+d as (select *, 'run_20240101000000_' || eval_count as run_id,
+    case system_id when 'sys0' then 'v1' when 'sys2' then 'v2' when 'sys3' then 'v3' else 'unknown' end as prompt_tag,
+    length(q) % 7 = 0 as failed from n where q <> '' and r <> '' and f is not null)
+"""
+RUN_LONG = RUN_CTE + """
+, l as (select system_id as system, 'faithfulness' as metric, length(r) / 1000 as score from d where not failed
+  union all select system_id, 'groundedness', length(q) / 100 from d where not failed and length(q) % 2 = 0)
+"""
+RUN_PAIRS = """
+with m as (select metric, system, median(score) as med from l group by 1, 2),
+best as (select * from m qualify row_number() over (partition by metric order by med desc, system) = 1)
+select m.metric, best.system as a, m.system as b, best.med - m.med as diff from m join best using (metric)
+where m.system <> best.system"""
+
+
+def dialogue_run(spark, sf):
+    """Conversations dealt to five systems, of which four are configured and one has no tag. Questions
+    whose length is a multiple of seven fail, and those of odd length have no second score."""
+
+    def scorer(query, reference, response):
+        if len(query) % 7 == 0:
+            raise ValueError(f"{len(query)} characters")
+        return {"faithfulness": len(response) / 1000, "groundedness": None if len(query) % 2 else len(query) / 100}
+
+    system = F.col("conv_id") % 5
+    items = dialogue_items(spark, sf).select(
+        system.alias("system_ord"), F.concat(F.lit("sys"), system.cast("string")).alias("system_id"),
+        (F.col("conv_id") * 10000 + F.col("turn")).alias("item"), "user_query", "reference", "model_response")
+    config = local_table(
+        spark, [("sys0", "v1"), ("sys1", None), ("sys2", "v2"), ("sys3", "v3")], "system_id string, prompt_tag string")
+    return evaluation_run(items, config, scorer, RUN, ["faithfulness", "groundedness"])
+
+
+@query(RUN_CTE + """
+select run_id, system_id, prompt_tag, item, not failed as scored,
+  if(failed, length(q) || ' characters', null) as error from d
+""")
+def evaluation_results(spark, sf):
+    return dialogue_run(spark, sf).results.select(
+        "run_id", "system_id", "prompt_tag", "item", F.col("faithfulness").isNotNull().alias("scored"), "error")
+
+
+@query(RUN_CTE + """
+select run_id, system_id, prompt_tag, md5(q) as user_query, md5(r) as model_response, length(r) / 1000 as metric_faithfulness,
+  if(length(q) % 2 = 0, length(q) / 100, null) as metric_groundedness from d where not failed
+""")
+def evaluation_tracking(spark, sf):
+    tracked = dialogue_run(spark, sf).tracking
+    return tracked.withColumns({c: F.md5(c) for c in ("user_query", "model_response")})
+
+
+@query(rank_sql(RUN_PAIRS, RUN_LONG) + VERDICTS)
+def evaluation_report(spark, sf):
+    return dialogue_run(spark, sf).report.select(
+        "metric", "best_system", "significantly_different", "notes", F.size("details").alias("n_details"))

@@ -124,6 +124,16 @@ def link_edges(spark, sf):
     return C.link_edges(pages(spark, sf, ["a"]), domains=["example.org", "www.ththhe.example.com"])
 
 
+@query(DOM_CTE + """
+select page_id, cast(row_number() over (partition by page_id order by min(ord)) - 1 as int) as ord, site || href as dst
+from links group by page_id, site, href
+qualify regexp_matches(site || href, '^https?://[^/]*[.]org/') or regexp_matches(site || href, 'an$')
+""")
+def link_patterns(spark, sf):
+    return C.link_edges(pages(spark, sf, ["a"]), keep=["page_id"], patterns=["^https?://[^/]*[.]org/", "an$"]).select(
+        "page_id", "ord", "dst")
+
+
 @query(DOM_CTE + """
 , hits as (select page_id, url, href, case when regexp_matches(txt, '(?i)the') then 1
     when regexp_matches(href, '(?i)the') then 2 when regexp_matches(txt, '(?i)an') then 3 end as pass, ord
@@ -165,6 +175,16 @@ def first_n_links(spark, sf):
     return C.first_links(pages(spark, sf, ["a"]), None, 5, "https://mirror", keep=["page_id"])
 
 
+@query(DOM_CTE + """
+select page_id, cast(ord as int) as ord, href as link from links where ord < 3 and page_id % 2 = 0
+""")
+def first_class_links(spark, sf):
+    """Links of every second page get a class, of which the first three are wanted."""
+    marked = F.when(F.col("page_id") % 2 == 0, F.replace("html", F.lit("<a href"), F.lit('<a class="photo big" href')))
+    html = table(spark, sf, "pages").withColumn("html", F.coalesce(marked, "html"))
+    return C.first_links(C.shred(html, tags=["a"]), "photo", 3, keep=["page_id"])
+
+
 POPUP_WORDS = ["thth", "zuver", "ention"]
 
 
@@ -212,6 +232,16 @@ def interaction_evidence(spark, sf):
         keep=["page_id"]).drop("ord")
 
 
+@query(rf"""
+with m as (select page_id, {BARE} as html from pages),
+d as (select page_id, lower(array_to_string({AD}, '')) as t from m)
+select page_id, contains(t, 'thth') or contains(t, 'zuver') as flag from d
+""")
+def interaction_needed(spark, sf):
+    return C.interaction_needed(
+        pages(spark, sf), ["input[type='text']", "div[class='ad']"], ["thth", "zuver"], keep=["page_id"])
+
+
 @query(rf"""
 with m as (select page_id, {BARE} as html from pages)
 select page_id, case when page_id < 100 then {ENTITIES.format("regexp_replace(regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1), '<[^>]*>', '', 'g')")} end as content

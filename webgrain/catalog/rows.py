@@ -96,6 +96,18 @@ def snapshot_sink(spark, sf):
     return out
 
 
+@query("""
+select '/store/' || p_brand || '_' || p_partkey || if(p_size < 25, '.zip', '.txt') as path, p_size as length from part
+where not (p_brand = 'Brand#1' and p_size < 25)
+""")
+def exclude_snapshots(spark, sf):
+    """A listing in which the snapshots of one base are left out."""
+    name = F.concat(F.lit("/store/"), "p_brand", F.lit("_"), F.col("p_partkey").cast("string"),
+                    F.when(F.col("p_size") < 25, ".zip").otherwise(".txt"))
+    files = table(spark, sf, "part").select(name.alias("path"), F.col("p_size").alias("length"))
+    return K.exclude_snapshots(files, "Brand#1")
+
+
 @query("""
 with s as (select o_orderkey as path, o_orderdate as mtime from orders where o_orderstatus <> 'F'),
 d as (select l_orderkey as path, max(l_shipdate) - interval 60 day as mtime from lineitem

@@ -22,13 +22,19 @@ def page_items(df: DataFrame, url: str = "url", dom: str = "dom") -> DataFrame:
 
 
 def link_edges(df: DataFrame, domains: list[str] | None = None, keep: list[str] = (),
-               url: str = "url", dom: str = "dom") -> DataFrame:
+               url: str = "url", dom: str = "dom", patterns: list[str] | None = None) -> DataFrame:
     """Edge table (src, ord, dst): links of a page resolved, each address once, in page order;
-    with ``domains`` only hosts equal to or under one of them."""
+    with ``domains`` only hosts equal to or under one of them, with ``patterns`` only addresses in
+    which one of these regular expressions is found."""
     targets = F.array_distinct(
         F.transform(D.anchors(F.col(dom)), lambda n: resolve(F.col(url), D.attr(n, "href")))
     )
     edges = df.select(*keep, F.col(url).alias("src"), F.posexplode(targets).alias("ord", "dst"))
+    if patterns is not None:
+        allowed = F.lit(False)
+        for p in patterns:
+            allowed = allowed | F.col("dst").rlike(p)
+        edges = edges.filter(allowed)
     if domains is None:
         return edges
     host = hostname(F.col("dst"))
@@ -100,8 +106,16 @@ def interaction_evidence(df: DataFrame, selectors=tuple(L.INTERACTION_SELECTORS)
                          keywords=tuple(L.INTERACTION_WORDS), keep: list[str] = (),
                          dom: str = "dom") -> DataFrame:
     """(selector, ord, tag, text): elements of each selector whose text holds a keyword."""
-    d = F.col(dom)
+    return df.select(*keep, F.inline(_interactive(F.col(dom), selectors, keywords)))
+
+
+def interaction_needed(df: DataFrame, selectors=tuple(L.INTERACTION_SELECTORS),
+                       keywords=tuple(L.INTERACTION_WORDS), keep: list[str] = (), dom: str = "dom") -> DataFrame:
+    """(flag): whether a page has such an element; a row per page."""
+    return df.select(*keep, (F.size(_interactive(F.col(dom), selectors, keywords)) > 0).alias("flag"))
+
 
+def _interactive(d: Column, selectors, keywords) -> Column:
     def rows(selector):
         nodes = F.filter(d["nodes"], lambda n: D.matches_selector(n, selector))
         texts = F.transform(nodes, lambda n: F.struct(
@@ -110,4 +124,4 @@ def interaction_evidence(df: DataFrame, selectors=tuple(L.INTERACTION_SELECTORS)
         ))
         return F.filter(texts, lambda r: _first_word(r["text"], keywords).isNotNull())
 
-    return df.select(*keep, F.inline(F.concat(*[rows(s) for s in selectors])))
+    return F.concat(*[rows(s) for s in selectors])

@@ -1,16 +1,20 @@
 """Whole jobs built from the operators."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webgrain.functions import dom as D
 from webgrain.functions.urls import hostname
-from webgrain.lookups import DEPTH_LIMIT, DOMAIN_CAP
+from webgrain.lookups import DEPTH_LIMIT, DOMAIN_CAP, SCORE_NAMES
 from webgrain.operators.crawl import shred
 from webgrain.operators.enrich import enrich, first_article_title, pick_companies
-from webgrain.operators.filters import filter_captures, filter_nonempty, frontier
+from webgrain.operators.evaluate import compare_groups, metrics_long, score_items
+from webgrain.operators.filters import filter_captures, filter_nonempty, flatten_metrics, frontier, prepare_items
 from webgrain.operators.joins import count_by
-from webgrain.operators.ordering import cap_per_key, latest_per_key
+from webgrain.operators.ordering import cap_per_key, latest_per_key, sample_exact
+from webgrain.plans.scale import materialize
 from webgrain.sources.readers import cut_ranges, read_bodies
 from webgrain.sources.sinks import append_table
 
@@ -72,13 +76,17 @@ def capture_pages(captures: DataFrame, records: DataFrame, on: str, **where) ->
 
 
 def company_enrichment(companies: DataFrame, done: DataFrame | None, hits: DataFrame, responses: DataFrame,
-                       key: str = "Company", out: str | None = None, **title_options) -> DataFrame:
+                       key: str = "Company", out: str | None = None, n: int | None = None, seed: int = 0,
+                       **title_options) -> DataFrame:
     """(key, title, content) of the companies, appended to ``out`` if named: joined with what is done,
     titles from the search hits (``query``, ``rank``, ``url``) under the trust rule, texts from the
     stored responses. A company without a trusted hit has an empty title, one without a response
-    no content."""
+    no content. With ``n`` a sample of that many companies is worked on (an error, if there are fewer)."""
+    picked = pick_companies(companies, done, key)
+    if n is not None:
+        picked = sample_exact(picked, key, n, seed)
     titles = first_article_title(hits, **title_options).select(F.col("query").alias(key), "title")
-    named = pick_companies(companies, done, key).select(key).join(titles, key, "left").select(
+    named = picked.select(key).join(titles, key, "left").select(
         key, F.coalesce("title", F.lit("")).alias("title"))
     found = enrich(named, responses, key)
     if out is not None:
@@ -93,3 +101,35 @@ def crawl_report(pages: DataFrame, starts: DataFrame, add_domain, order: list, m
     domains = add_domain(starts).select("domain").filter(F.col("domain").isNotNull()).distinct()
     near = frontier(add_domain(pages), url, domains, max_depth)
     return count_by(cap_per_key(near, "domain", order, cap), "domain")
+
+
+@dataclass(frozen=True)
+class EvaluationRun:
+    """``results``: a row per complete item of a configured system, scored or failed (``error``).
+    ``tracking``: the log of the scored ones, without those whose scores are all missing.
+    ``report``: the verdict per metric (``compare_groups``)."""
+
+    results: DataFrame
+    tracking: DataFrame
+    report: DataFrame
+
+
+def evaluation_run(items: DataFrame, config: DataFrame, scorer, run_ts: str, metrics: list[str] = SCORE_NAMES,
+                   inputs: tuple[str, ...] = ("user_query", "reference", "model_response"), alpha: float = 0.05,
+                   min_n: int = 3) -> EvaluationRun:
+    """Evaluate the items (system_ord, system_id, item, user_query, reference, model_response) of the
+    systems in ``config`` (system_id, prompt_tag) by a Python scorer of one item.
+
+    Items are numbered over all configured systems; incomplete ones use up a number. Every item is
+    scored once and the results are stored; an item whose scorer fails keeps its row with the message,
+    is not tracked, and counts as missing in the comparison.
+    """
+    scored = score_items(prepare_items(items, config, run_ts), scorer, list(inputs), list(metrics))
+    results = materialize(scored.select(
+        "run_id", "eval_count", "system_ord", "system_id", "prompt_tag", "item", "user_query", "model_response",
+        *metrics, "error"), "evaluation")
+    tracking = flatten_metrics(
+        results.filter("error is null"), list(metrics), ["run_id", "system_id", "prompt_tag", "user_query", "model_response"])
+    scores = metrics_long(results.select(
+        F.col("system_id").alias("system"), F.col("system_ord").alias("ord"), *metrics), ["system", "ord"], list(metrics))
+    return EvaluationRun(results, tracking, compare_groups(scores, alpha, min_n))
