@@ -192,6 +192,7 @@ def _document_windows(docs: DataFrame, keys, lengths: list[int]) -> DataFrame:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (
                 pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())))],
                 names=["d", "h", "key", "form", "pos", "slots"])
+        _templates().clear()  # workers live on into other stages
 
     return docs.mapInArrow(step, f"d long, h long, {_ROWS}")
 

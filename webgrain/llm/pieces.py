@@ -160,6 +160,10 @@ class PieceEncoder:
         listed = self.encode_listed(text)
         return list(map(int, listed.split(","))) if listed else []
 
+    def forget(self) -> None:
+        self.cache.clear()
+        self.pairs.clear()
+
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
 
@@ -211,6 +215,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, text: str = "text") -> D
                 ids.append(np.array(found, np.int32))
                 back.append(e.decode(found) if found else "")
             yield pd.DataFrame({"ids": ids, "text": back})
+        e.forget()  # workers live on into other stages
 
     keep = [c for c in docs.columns if c not in ("ids", "n_tokens")]
     out = docs.select(packed(keep), both(F.col(text)).alias("_d"))
