@@ -184,6 +184,24 @@ def test_page_without_article_uses_the_wrapper(spark):
     assert got[90] == got[91] == ""
 
 
+def test_layouts_of_one_host_have_their_own_region(spark):
+    body = "<p>Long text of page %d goes on and on.</p>"
+    rows = [(0, "http://m.example/0", PAGE % f"<article>{body % 0}</article>")]
+    rows += [(k, f"http://m.example/{k}", PAGE % f"<div id=content>{body % k}</div><div class=sidebar>s</div>") for k in range(1, 6)]
+    rows += [(6, "http://m.example/6", PAGE % f"<main>{body % 6}</main>")]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Long text of page {k} goes on and on." for k in range(7)}
+
+
+@pytest.mark.parametrize("open_,close", [
+    ("<article class='post has-sidebar'>", "</article>"), ("<div class='content no-comments'>", "</div>"),
+    ("<main id='main-with-sidebar' class='share'>", "</main>")])
+def test_class_words_that_tell_a_state_are_no_role(spark, open_, close):
+    rows = [(k, f"http://s.example/{k}", PAGE % f"{open_}<p>text {k} of it</p>{close}<div class='cookie-banner'>no</div>") for k in range(3)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"text {k} of it" for k in range(3)}
+
+
 def test_alignment_makes_optional_and_repeated_groups():
     a = wrappers.read_page("<div><h1>x</h1><p>a<p>b</div>")[1]
     b = wrappers.read_page("<div><p>a<p>b<ul><li>x</ul></div>")[1]

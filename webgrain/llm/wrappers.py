@@ -39,6 +39,8 @@ OUTSIDE_WORDS = frozenset(
     "pager pagination popup promo promoted promotion recommended related replies reply respond search share "
     "sharing sidebar signup site-header social sponsor sponsored subscribe subscription tagcloud toolbar "
     "widget widgets".split())
+# How class words begin that tell the state of an element.
+STATES = frozenset("has have with without no not is show hide hides enable enabled disable disabled".split())
 # An open element of the right side ends where one of the left side starts.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -48,6 +50,13 @@ _CLOSES_P = BLOCKS - {"button", "label", "option", "legend", "select", "textarea
 LONGEST_PERIOD = 12  # of a repeated group, in tokens
 
 
+def _names_outside(word: str) -> bool:
+    """Whether a class word names another part of a page. "has-sidebar" or "no-comments" tell of the
+    element what it holds or lacks, not what it is."""
+    parts = re.split("[-_]+", word)
+    return word in OUTSIDE_WORDS or parts[0] not in STATES and any(p in OUTSIDE_WORDS for p in parts)
+
+
 def _label(tag: str, attrs: str) -> str:
     """The element name; with "!" where the element is not main content."""
     if tag in OUTSIDE:
@@ -57,7 +66,7 @@ def _label(tag: str, attrs: str) -> str:
         if "hidden" in named or named.get("aria-hidden") == "true":
             return f"{tag}!"
         words = " ".join(named.get(k, "") for k in ("class", "id", "role")).lower()
-        if any(w in OUTSIDE_WORDS or any(p in OUTSIDE_WORDS for p in re.split("[-_]+", w)) for w in words.split()):
+        if tag not in ("article", "main") and any(map(_names_outside, words.split())):
             return f"{tag}!"
     return tag
 
@@ -261,12 +270,12 @@ def infer(read: DataFrame) -> DataFrame:
 
 
 def content_slots(read: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """(host, content): the paths of the slots of the main content.
+    """(host, content): the paths of the slots of the main content, for three layouts that the pages of a
+    host may have: those in articles, those in a main element, and those of pages without either.
 
-    Slots below elements that are not main content are out. Where the host has articles or a main
-    element, the rest of these is the content. Otherwise it is the deepest element that holds most
-    of the slots' text over all pages; there, a slot with the same text on every page (three at
-    least) belongs to the template.
+    Slots below elements that are not main content are out. Without article and main element the
+    content is the deepest element that holds most of the slots' text over all pages; there, a slot
+    with the same text on every page (three at least) belongs to the template.
     """
     text = F.col("b.text")
     rated = (
@@ -276,23 +285,22 @@ def content_slots(read: DataFrame, wrappers: DataFrame) -> DataFrame:
              (F.min(F.xxhash64(text)) == F.max(F.xxhash64(text))).alias("same"))
         .groupBy("host").agg(F.collect_list(F.struct("path", "chars", "times", "same")).alias("rated")))
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<array<string>>")
     def chosen(wrapper: pd.Series, rated: pd.Series) -> pd.Series:
         return pd.Series([choose(json.loads(w), r if r is not None else []) for w, r in zip(wrapper, rated)])
 
     return wrappers.join(rated, "host", "left").select("host", "wrapper", chosen("wrapper", "rated").alias("content"))
 
 
-def choose(wrapper: list, rated) -> list[str]:
+def choose(wrapper: list, rated) -> list[list[str]]:
     facts = {r["path"]: r for r in rated}
     found = [s for s in slots(wrapper) if s in facts]
     inner = [s for s in found if not any(x.endswith("!") for x in s.split("/"))]
     # of an article's own header only the headings are text of the article
     inner = [s for s in inner if not re.search(r"(^|/)header(/|$)", s) or re.search("(article|main)/.*header/.*h[1-6]$|(article|main)/header/h[1-6]$", s)]
-    for region in ("article", "main"):
-        inside = [s for s in inner if region in s.split("/")]
-        if inside:
-            return inside
+    in_article = [s for s in inner if "article" in s.split("/")]
+    in_main = [s for s in inner if "main" in s.split("/")]
+    inner = [s for s in inner if s not in in_article and s not in in_main]
     total = sum(facts[s]["chars"] for s in inner)
     prefix: list[str] = []
     while total:
@@ -307,7 +315,7 @@ def choose(wrapper: list, rated) -> list[str]:
         prefix.append(best)
     inside = [s for s in inner if s.split("/")[:len(prefix)] == prefix]
     varied = [s for s in inside if not (facts[s]["same"] and facts[s]["times"] >= 3)]
-    return varied or inside
+    return [in_article, in_main, varied or inside]
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
@@ -325,8 +333,10 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     # stored, so that its size is known: few hosts are broadcast by Spark's own limit
     slots_of = stored(content_slots(read, infer(read)).select("host", "content"), "slots")
     keep = [c for c in pages.columns if c not in (html, "text", "n_chars")]
-    text = F.array_join(F.transform(
-        F.filter("blocks", lambda b: F.array_contains("content", b["path"])), lambda b: b["text"]), " ")
+    # the first layout of which the page has a block
+    layouts = F.transform("content", lambda paths: F.filter("blocks", lambda b: F.array_contains(paths, b["path"])))
+    own = F.get(F.filter(layouts, lambda found: F.size(found) > 0), F.lit(0))
+    text = F.array_join(F.transform(own, lambda b: b["text"]), " ")
     return (
         read.drop("stream").join(slots_of, "host", "left")
         .select(*unpacked(keep), F.coalesce(text, F.lit("")).alias("text"))
