@@ -1,8 +1,12 @@
 """Substring dedup on bytes, with fingerprints in place of prefix doubling.
 
-Prefix doubling was replaced: nothing is ranked, sorted or reranked here. The ``Finder`` of ``repeats``
-compares fingerprints of 25 and 50 bytes at content-picked anchors, which every string of the wanted
-length holds, and then the zones and single windows around anchors that are still repeated.
+Prefix doubling was replaced: nothing is ranked, sorted or reranked here. Positions are anchors picked
+by content, which every string of the wanted length holds (``repeats``). What is compared grows: 25
+bytes at each anchor settle those that are unique, then all windows of an anchor are compared as one
+zone. Zones that share an anchor but not their text are cut into parts of ``STEP`` windows. A part has
+a core, the bytes that all its windows share: a part with a core of its own is settled, as is one whose
+bytes all stand in an earlier part. Single windows are compared only where parts share a core but not
+their ends, which is at the two ends of a repeated passage.
 """
 
 import hashlib
@@ -10,10 +14,126 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from webgrain.llm.repeats import NULL_ID, Finder, Texts, identified, removal_mask
-from webgrain.llm.substrings import levels
-from webgrain.llm.windows import slices, text_bytes
+from webgrain.llm import windows as W
+from webgrain.llm.repeats import NULL_ID, Finder, Texts, _signed, _unique, _with, identified, removal_mask
+
+STEP = 8  # windows of a part
+SLICE = 1 << 18  # bytes of text worked on at a time: the arrays stay in the processor's caches
+
+
+def _prints(units, base):
+    """A function of (starts, ends) that gives the fingerprints of these ranges, from prefix sums."""
+    n = len(units)
+    powers, back = np.full(n + 1, base), np.full(n + 1, np.uint64(pow(int(base), -1, 1 << 64)))
+    powers[0] = back[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    np.multiply.accumulate(back, out=back)
+    sums = np.zeros(n + 1, np.uint64)
+    np.add.accumulate(units * powers[:-1], out=sums[1:])
+    return lambda a, b: W.mixed((sums[b] - sums[a]) * back[a])
+
+
+class ByteFinder(Finder):
+    """``window``: bytes that must repeat. ``gram``: bytes of an anchor."""
+
+    def __init__(self, window: int, gram: int):
+        super().__init__(window, [gram], of_words=False)
+        self.step = min(STEP, window)
+
+    def _run(self, docs, step, schema):
+        finder = self
+
+        def pass_(batches):
+            for batch in W.slices(batches, "_t", size=SLICE):
+                yield from step(finder, Texts(batch, finder))
+
+        return docs.mapInArrow(pass_, schema)
+
+    def _rows(self, x, z, k, lo):
+        rows = x.rows(lo)
+        return pa.record_batch([_signed(z), _signed(k), x.own("_d", rows), x.own("_r", rows), x.local(lo, rows)],
+                               names=["z", "k", "d", "r", "lo"])
+
+    def zones(self, docs: DataFrame) -> DataFrame:
+        """A row for each zone whose anchor is repeated: all its bytes and the anchor's place (z), the
+        anchor (k)."""
+        def step(finder, x):
+            finder._held(x, 1)
+            if len(x.at):
+                whole = _prints(x.units, W._C)(x.lo, x.hi + finder.window)
+                z = W.mixed(whole + W.mixed(((x.at - x.lo) * 2 * finder.window + x.hi - x.lo).astype(np.uint64)))
+                yield finder._rows(x, z, W.mixed(x.prints[x.at]), x.lo)
+
+        return self._run(docs, step, "z long, k long, d long, r long, lo int")
+
+    def _parts(self, x, odd):
+        """(base, first, last): the parts of odd zones. Windows base .. base + step - 1 stand at the
+        same places to an anchor in all texts; first and last are those that the zone has."""
+        at, lo, hi = x.at[odd], x.lo[odd], x.hi[odd]
+        low, high = (lo - at) // self.step, (hi - at) // self.step
+        part = self._windows(low, high)
+        zone = np.repeat(np.arange(len(at)), high - low + 1)
+        base = at[zone] + part * self.step
+        return part, base, np.maximum(lo[zone], base), np.minimum(hi[zone], base + self.step - 1)
+
+    def parts(self, docs: DataFrame) -> DataFrame:
+        """A row for each part of an odd zone: all its bytes (z), its core (k)."""
+        def step(finder, x):
+            _, odd = finder._odd(x)
+            if odd.any():
+                part, base, first, last = finder._parts(x, odd)
+                core = _prints(x.units, W._B)(base + finder.step - 1, base + finder.window)
+                whole = _prints(x.units, W._C)(first, last + finder.window)
+                ends = (first - base) * finder.step + last - first
+                k = W.mixed(core + W.mixed(part.astype(np.uint64)))
+                yield finder._rows(x, W.mixed(whole + W.mixed(ends.astype(np.uint64))), k, first)
+
+        return self._run(docs, step, "z long, k long, d long, r long, lo int")
+
+    def _open(self, texts):
+        """First and last starts of the parts that stand earlier, and all starts that are left open."""
+        whole, odd = self._odd(texts)
+        _, _, first, last = self._parts(texts, odd)
+        own = np.isin(first, texts.listed("_pfirst"))
+        left = own & ~np.isin(first, texts.listed("_palone"))
+        gone = np.concatenate([texts.lo[whole], first[~own]]), np.concatenate([texts.hi[whole], last[~own]])
+        return gone, self._windows(first[left], last[left])
+
+    def first_windows(self, docs: DataFrame) -> DataFrame:
+        def step(finder, x):
+            _, p = finder._open(x)
+            if len(p):
+                one, two = (_prints(x.units, base)(p, p + finder.window) for base in (W._B, W._C))
+                yield finder._rows(x, one, two, p)
+
+        single = self._run(docs, step, "z long, k long, d long, r long, lo int")
+        return _heads(single).groupBy(F.col("f.r").alias("r")).agg(F.collect_list("f.lo").alias("_single"))
+
+    def removed(self, texts: Texts):
+        (lo, hi), p = self._open(texts)
+        p = p[~np.isin(p, texts.listed("_single"))]
+        return np.concatenate([lo, p]), np.concatenate([hi, p]) + self.window
+
+    def compared(self, docs: DataFrame) -> DataFrame:
+        docs = _with(docs, self.unique_anchors(docs))
+        docs = _told(docs, self.zones(docs), "_first", "_alone")
+        docs = _told(docs, self.parts(docs), "_pfirst", "_palone")
+        return _with(docs, self.first_windows(docs))
+
+
+def _heads(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("z", "k").agg(F.min(F.struct("d", "r", "lo")).alias("f"))
+
+
+def _told(docs: DataFrame, rows: DataFrame, first: str, alone: str) -> DataFrame:
+    """``docs`` with the places of the first rows of each (z, k), and of those that are the only z of
+    their k."""
+    heads = _heads(rows)
+    firsts = heads.groupBy(F.col("f.r").alias("r")).agg(F.collect_list("f.lo").alias(first))
+    single = _unique(heads.select("k", F.col("f.r").alias("r"), F.col("f.lo").alias("a")), alone)
+    return _with(_with(docs, firsts), single)
 
 
 def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str = "text",
@@ -24,16 +144,18 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
     documents. ``kept`` has the remaining bytes, ``n_spans`` counts the maximal removed runs.
 
     Null texts count as empty. A null id comes after all others; rows with equal ids are ordered by
-    the hash of their text, and rows equal in both are one document: each gets its result. Texts of
+    a hash of id and text, and rows equal in both are one document: each gets its result. Texts of
     any length are used whole. An empty table gives an empty result. Other columns are not read.
     """
-    finder = Finder(window, levels(window, start), of_words=False)
+    if not 0 < start <= window:
+        raise ValueError("start must be between 1 and window")
+    finder = ByteFinder(window, start)
 
     def kept(batches):
-        for batch in slices(batches, "_t"):
+        for batch in W.slices(batches, "_t", size=SLICE):
             texts = Texts(batch, finder)
             gone = removal_mask(*finder.removed(texts), len(texts.units))
-            raw, offsets = text_bytes(batch.column(batch.schema.get_field_index("_t")))
+            raw, offsets = W.text_bytes(batch.column(batch.schema.get_field_index("_t")))
             out = []
             for d, first, end in zip(batch.column(1).to_pylist(), offsets[:-1], offsets[1:]):
                 mine = gone[first:end]

@@ -24,7 +24,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(batches, *columns: str):
+def slices(batches, *columns: str, size: int = SLICE_BYTES):
     """The batches cut by the bytes of some text columns: the arrays made from a slice are tens of
     times its size."""
     for batch in batches:
@@ -32,7 +32,7 @@ def slices(batches, *columns: str):
             continue
         lengths = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(c))), 0)).astype(
             np.int64) for c in columns)
-        part = np.cumsum(lengths) // SLICE_BYTES
+        part = np.cumsum(lengths) // size
         cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
