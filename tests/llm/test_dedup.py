@@ -171,3 +171,35 @@ def test_documents_linked_to_one_copy_of_a_large_group(spark):
         sets += [copy, changed(copy, k + 1, 15), changed(page, k + 2, 22)]  # of the last two, one is linked to the copy
         want += [0, 0, len(want) + 2]
     assert labels_of(spark, sets) == want
+
+
+def test_byte_zones_parts_and_hot_passages(spark):
+    """Zones that differ on one side, at both ends and inside, periodic texts, a passage in a third
+    of the rows, texts longer than a slice."""
+    rng = random.Random(11)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    base, hot, long_one = draw(700), draw(260), draw(300_000)
+    rows = [base]
+    for k in range(60):
+        copy = list(base[rng.randrange(200):500 + rng.randrange(200)])
+        for _ in range(k % 5):
+            copy[rng.randrange(len(copy))] = "é"
+        rows.append(draw(rng.randrange(40)) + "".join(copy))
+    rows += [draw(50) + hot[rng.randrange(30):] + draw(50) for _ in range(40)]
+    rows += ["ab" * 130, "abc" * 90, "a" * 99, "a" * 100, "a" * 101, long_one, draw(9) + long_one[1000:1400], None, ""]
+    docs = spark.createDataFrame([(k * 7 % 1009, t) for k, t in enumerate(rows)], "doc_id long, text string").repartition(6)
+    for window, start in ((100, 25), (30, 5)):
+        want = brute([(k * 7 % 1009, t) for k, t in enumerate(rows)], window, lambda t: t.encode(),
+                     lambda u, g: bytes(c for c, x in zip(u, g) if not x))
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_bytes(docs, window, start).collect()}
+        assert got == want
+
+
+def test_byte_ids_that_are_null_or_repeated(spark):
+    text = "".join(chr(97 + k * k * 7 % 23) for k in range(60)) + "".join(chr(65 + k * k * 5 % 26) for k in range(90))
+    rows = [(None, text), (7, text), (7, text), (7, text + " more"), (None, None), (None, "")]
+    got = [(r.doc_id, r.n_bytes, r.n_removed) for r in dedup_bytes(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == 6 and got.count((None, 150, 150)) == 1 and got.count((None, 0, 0)) == 2
+    assert sorted(x for x in got if x[0] == 7) in (
+        [(7, 150, 0), (7, 150, 0), (7, 155, 150)], [(7, 150, 150), (7, 150, 150), (7, 155, 0)])

@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webgrain.llm import windows as W
-from webgrain.llm.repeats import NULL_ID, Finder, Texts, _signed, _unique, _with, identified, removal_mask
+from webgrain.llm.common import stored
+from webgrain.llm.repeats import NULL_ID, Finder, Texts, _signed, removal_mask
 
 STEP = 8  # windows of a part
+ROW = "z long, k long, d long, h long, lo int"
 SLICE = 1 << 18  # bytes of text worked on at a time: the arrays stay in the processor's caches
 
 
@@ -53,8 +55,18 @@ class ByteFinder(Finder):
 
     def _rows(self, x, z, k, lo):
         rows = x.rows(lo)
-        return pa.record_batch([_signed(z), _signed(k), x.own("_d", rows), x.own("_r", rows), x.local(lo, rows)],
-                               names=["z", "k", "d", "r", "lo"])
+        return pa.record_batch([_signed(z), _signed(k), x.own("_d", rows), x.own("_h", rows), x.local(lo, rows)],
+                               names=["z", "k", "d", "h", "lo"])
+
+    def repeated(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with the places of the anchors that are unique."""
+        def step(finder, x):
+            rows = x.rows(x.at)
+            yield pa.record_batch(
+                [_signed(W.mixed(x.prints[x.at])), x.own("_d", rows), x.own("_h", rows), x.local(x.at, rows)],
+                names=["k", "d", "h", "lo"])
+
+        return _with(docs, _unique(self._run(docs, step, "k long, d long, h long, lo int")), "_x0")
 
     def zones(self, docs: DataFrame) -> DataFrame:
         """A row for each zone whose anchor is repeated: all its bytes and the anchor's place (z), the
@@ -66,7 +78,7 @@ class ByteFinder(Finder):
                 z = W.mixed(whole + W.mixed(((x.at - x.lo) * 2 * finder.window + x.hi - x.lo).astype(np.uint64)))
                 yield finder._rows(x, z, W.mixed(x.prints[x.at]), x.lo)
 
-        return self._run(docs, step, "z long, k long, d long, r long, lo int")
+        return self._run(docs, step, ROW)
 
     def _parts(self, x, odd):
         """(base, first, last): the parts of odd zones. Windows base .. base + step - 1 stand at the
@@ -90,16 +102,21 @@ class ByteFinder(Finder):
                 k = W.mixed(core + W.mixed(part.astype(np.uint64)))
                 yield finder._rows(x, W.mixed(whole + W.mixed(ends.astype(np.uint64))), k, first)
 
-        return self._run(docs, step, "z long, k long, d long, r long, lo int")
+        return self._run(docs, step, ROW)
+
+    def _odd(self, texts):
+        self._held(texts, 1)
+        first, alone = _told(texts, "_zones", texts.lo)
+        return ~first, first & ~alone
 
     def _open(self, texts):
         """First and last starts of the parts that stand earlier, and all starts that are left open."""
         whole, odd = self._odd(texts)
-        _, _, first, last = self._parts(texts, odd)
-        own = np.isin(first, texts.listed("_pfirst"))
-        left = own & ~np.isin(first, texts.listed("_palone"))
-        gone = np.concatenate([texts.lo[whole], first[~own]]), np.concatenate([texts.hi[whole], last[~own]])
-        return gone, self._windows(first[left], last[left])
+        _, _, start, last = self._parts(texts, odd)
+        first, alone = _told(texts, "_parts", start)
+        left = first & ~alone
+        gone = np.concatenate([texts.lo[whole], start[~first]]), np.concatenate([texts.hi[whole], last[~first]])
+        return gone, self._windows(start[left], last[left])
 
     def first_windows(self, docs: DataFrame) -> DataFrame:
         def step(finder, x):
@@ -108,8 +125,7 @@ class ByteFinder(Finder):
                 one, two = (_prints(x.units, base)(p, p + finder.window) for base in (W._B, W._C))
                 yield finder._rows(x, one, two, p)
 
-        single = self._run(docs, step, "z long, k long, d long, r long, lo int")
-        return _heads(single).groupBy(F.col("f.r").alias("r")).agg(F.collect_list("f.lo").alias("_single"))
+        return _heads(self._run(docs, step, ROW)).select("f.*")
 
     def removed(self, texts: Texts):
         (lo, hi), p = self._open(texts)
@@ -117,23 +133,51 @@ class ByteFinder(Finder):
         return np.concatenate([lo, p]), np.concatenate([hi, p]) + self.window
 
     def compared(self, docs: DataFrame) -> DataFrame:
-        docs = _with(docs, self.unique_anchors(docs))
-        docs = _told(docs, self.zones(docs), "_first", "_alone")
-        docs = _told(docs, self.parts(docs), "_pfirst", "_palone")
-        return _with(docs, self.first_windows(docs))
+        docs = self.repeated(docs)
+        docs = _with(docs, _firsts(self.zones(docs)), "_zones")
+        docs = _with(docs, _firsts(self.parts(docs)), "_parts")
+        return _with(docs, self.first_windows(docs), "_single")
+
+
+def _named(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(_d, _h, _t): documents in order. _h is 0 where the id is the row's own (zeros cost next to
+    nothing in an exchange), else the hash of the text: rows equal in both are one document. The ids
+    in question are stored, so that Spark knows their size when it chooses the join."""
+    named = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("_d"),
+                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"))
+    shared = stored(named.groupBy(F.col("_d").alias("d")).agg(F.count("*").alias("n")).filter("n > 1").select("d"), "ids")
+    return named.join(shared, F.col("_d") == F.col("d"), "left").select(
+        "_d", F.when(F.col("d").isNull(), F.lit(0)).otherwise(F.xxhash64("_t")).cast("long").alias("_h"), "_t")
+
+
+def _with(docs: DataFrame, places: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the places (d, h, lo) as a list per document. They are dealt by document before
+    they are put together: most documents have few in any one task, so lists would only be larger."""
+    lists = places.repartition("d", "h").groupBy("d", "h").agg(F.collect_list("lo").alias(name))
+    return docs.join(lists, (F.col("_d") == F.col("d")) & (F.col("_h") == F.col("h")), "left").drop("d", "h")
 
 
 def _heads(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("z", "k").agg(F.min(F.struct("d", "r", "lo")).alias("f"))
+    return rows.groupBy("z", "k").agg(F.min(F.struct("d", "h", "lo")).alias("f"))
+
+
+def _unique(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("k").agg(
+        F.count("*").alias("n"), F.min("d").alias("d"), F.min("h").alias("h"), F.min("lo").alias("lo")).filter(
+        "n = 1").select("d", "h", "lo")
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """Twice the places of the first rows of each (z, k), and one more for those whose k has no other z."""
+    heads = _heads(rows).select("k", "f.*")
+    return heads.select("d", "h", (2 * F.col("lo").cast("long")).alias("lo")).unionAll(
+        _unique(heads).select("d", "h", 2 * F.col("lo").cast("long") + 1))
 
 
-def _told(docs: DataFrame, rows: DataFrame, first: str, alone: str) -> DataFrame:
-    """``docs`` with the places of the first rows of each (z, k), and of those that are the only z of
-    their k."""
-    heads = _heads(rows)
-    firsts = heads.groupBy(F.col("f.r").alias("r")).agg(F.collect_list("f.lo").alias(first))
-    single = _unique(heads.select("k", F.col("f.r").alias("r"), F.col("f.lo").alias("a")), alone)
-    return _with(_with(docs, firsts), single)
+def _told(texts: Texts, name: str, places):
+    """Which of ``places`` are first, and which are the only ones of their kind, by ``_firsts``."""
+    codes = texts.listed(name, 2)
+    return np.isin(2 * places, codes), np.isin(2 * places + 1, codes)
 
 
 def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str = "text",
@@ -144,7 +188,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
     documents. ``kept`` has the remaining bytes, ``n_spans`` counts the maximal removed runs.
 
     Null texts count as empty. A null id comes after all others; rows with equal ids are ordered by
-    a hash of id and text, and rows equal in both are one document: each gets its result. Texts of
+    the hash of their text, and rows equal in both are one document: each gets its result. Texts of
     any length are used whole. An empty table gives an empty result. Other columns are not read.
     """
     if not 0 < start <= window:
@@ -157,7 +201,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
             gone = removal_mask(*finder.removed(texts), len(texts.units))
             raw, offsets = W.text_bytes(batch.column(batch.schema.get_field_index("_t")))
             out = []
-            for d, first, end in zip(batch.column(1).to_pylist(), offsets[:-1], offsets[1:]):
+            for d, first, end in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:]):
                 mine = gone[first:end]
                 spans = int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(len(mine) > 0 and mine[0])
                 rest = raw[first:end][~mine].tobytes()
@@ -168,5 +212,5 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
                     (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()))],
                 names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return finder.compared(identified(docs, text, doc_id)).mapInArrow(
+    return finder.compared(_named(docs, text, doc_id)).mapInArrow(
         kept, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
