@@ -13,6 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ class ByteFinder(Finder):
         finder = self
 
         def pass_(batches):
-            for batch in W.slices(batches, "_t", size=SLICE):
+            for batch in _opened(batches):
                 yield from step(finder, Texts(batch, finder))
 
         return docs.mapInArrow(pass_, schema)
@@ -150,6 +151,30 @@ def _named(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         "_d", F.when(F.col("d").isNull(), F.lit(0)).otherwise(F.xxhash64("_t")).cast("long").alias("_h"), "_t")
 
 
+def _closed(docs: DataFrame) -> DataFrame:
+    """The texts as one zstandard frame each: they are exchanged once and read by every pass."""
+    def close(batches):
+        pack = zstandard.ZstdCompressor()
+        for batch in batches:
+            texts = (pack.compress(t.as_buffer()) for t in batch.column(2).cast(pa.large_binary()))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["_d", "_h", "_t"])
+
+    return docs.mapInArrow(close, "_d long, _h long, _t binary")
+
+
+def _opened(batches):
+    """The batches cut by the bytes of their texts, which are unpacked a cut at a time."""
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        at, first, texts, size = batch.schema.get_field_index("_t"), 0, [], 0
+        for k, frame in enumerate(batch.column(at)):
+            texts.append(unpack.decompress(frame.as_buffer()))
+            size += len(texts[-1])
+            if size >= SLICE or k + 1 == batch.num_rows:
+                yield batch.slice(first, k + 1 - first).set_column(at, "_t", pa.array(texts, pa.large_string()))
+                first, texts, size = k + 1, [], 0
+
+
 def _with(docs: DataFrame, places: DataFrame, name: str) -> DataFrame:
     """``docs`` with the places (d, h, lo) as a list per document. They are dealt by document before
     they are put together: most documents have few in any one task, so lists would only be larger."""
@@ -196,7 +221,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
     finder = ByteFinder(window, start)
 
     def kept(batches):
-        for batch in W.slices(batches, "_t", size=SLICE):
+        for batch in _opened(batches):
             texts = Texts(batch, finder)
             gone = removal_mask(*finder.removed(texts), len(texts.units))
             raw, offsets = W.text_bytes(batch.column(batch.schema.get_field_index("_t")))
@@ -212,5 +237,5 @@ def dedup_bytes(docs: DataFrame, window: int = 100, start: int = 25, text: str =
                     (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()))],
                 names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return finder.compared(_named(docs, text, doc_id)).mapInArrow(
+    return finder.compared(_closed(_named(docs, text, doc_id))).mapInArrow(
         kept, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
