@@ -21,7 +21,7 @@ from webgrain.llm import windows as W
 from webgrain.llm.common import stored
 from webgrain.llm.repeats import NULL_ID, Finder, Texts, _signed, removal_mask
 
-STEP = 8  # windows of a part
+STEP = 12  # windows of a part
 ROW = "z long, k long, d long, h long, lo int"
 SLICE = 1 << 18  # bytes of text worked on at a time: the arrays stay in the processor's caches
 
