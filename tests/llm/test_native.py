@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -161,6 +162,32 @@ PAGE = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>va
         "<nav><ul><li><a href='/'>Home</a><li>More</ul></nav><div class=\"ad top\">Buy</div>%s<footer>&copy; x</footer></body></html>")
 
 
+def brute_mask(text, spans):
+    out, at = [], 0
+    for start, stop in sorted(spans):
+        if start >= at:
+            out += [text[at:start], "[REDACTED]"]
+        at = max(at, stop)
+    return "".join([*out, text[at:]])
+
+
+def test_very_many_secrets_in_one_text(spark):
+    """Places and masks of 100,000 findings, over characters of one to four bytes; also runs of overlapping
+    findings longer than a block, and a finding that ends the text."""
+    key = "0123456789abcdef" * 2
+    many = "".join(f"é𝄞 {key[i % 7:]}\n" for i in range(100_000))
+    overlap = "x token=" + "ab12" * 400 + " y AKIA" + "A" * 700 + "=" + key
+    rows = [(1, many), (2, overlap), (3, key), (4, "é" * 1024 + key), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    began = time.time()
+    spans = {r.doc_id: [(f.start, f.stop) for f in r.findings] for r in secrets.scan(docs, fresh(spark, "ledger")).collect()}
+    assert spans[1] == [m.span() for m in re.finditer("[0-9a-f]{24,}", many)]
+    assert {m.span() for m in re.finditer("[0-9a-f]{24,}", overlap)} <= set(spans[2]) and (2, 1608) in spans[2]
+    masked = {r.doc_id: r.text for r in secrets.mask(docs, fresh(spark, "ledger")).collect()}
+    assert time.time() - began < 60
+    assert masked == {i: text and brute_mask(text, spans[i]) for i, text in rows}
+
+
 @pytest.mark.parametrize("body,text", [
     ("<article><h1>A &amp; B</h1><p>one <b>two</b>three<br>four<p>five\n six</article>", "A & B one twothree four five six"),
     ("<main><p>one<aside>side</aside><p>two<form><input>f</form><div id='comments'><p>c</div></main>", "one two"),

@@ -48,24 +48,35 @@ SPANS = "array<struct<start:bigint,stop:bigint>>"
 LEDGER = f"blob string, kind string, version int, spans {SPANS}"
 
 
+def _running(values: Column, combine) -> Column:
+    """Running totals of an array by an associative ``combine``: each round takes in the total that
+    ends twice as far back, so n values cost n log n steps and no array grows by single items."""
+    n = F.size(values)
+    rounds = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda shift: shift < n)
+
+    def step(a, shift):
+        size = F.size(a)
+        return F.concat(F.slice(a, 1, shift), F.zip_with(
+            F.slice(a, shift + 1, size - shift), F.slice(a, 1, size - shift), combine))
+
+    return F.aggregate(rounds, values, step)
+
+
 def rule_spans(text: Column, rule: Rule) -> Column:
     """Spans (code points, end exclusive) of a rule's findings in a text.
 
-    The text is cut at all candidates; the lengths of the pieces and candidates give the places.
+    The text is cut at all candidates; the lengths of the pieces and candidates give the places, as
+    running totals, so that a text of very many candidates stays cheap.
     """
     lengths = lambda a: F.transform(a, lambda x: F.length(x).cast("long"))
 
     def placed(p):
-        # candidate i starts behind i + 1 pieces and i candidates
-        step = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("out"))
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(p["hit"]) - 1), step,
-            lambda s, i: let(s["at"] + F.get(p["gap"], i), lambda start: F.struct(
-                (start + F.get(p["hit"], i)).alias("at"),
-                F.when(F.get(p["part"], i) >= rule.min_length, F.concat(s["out"], F.array(F.struct(
-                    start.alias("start"), (start + F.get(p["hit"], i)).alias("stop")))))
-                .otherwise(s["out"]).alias("out"))),
-            lambda s: s["out"])
+        # a candidate ends behind all pieces and candidates up to its own
+        both = F.zip_with(F.slice(p["gap"], 1, F.size(p["hit"])), p["hit"], lambda g, h: g + h)
+        return let(_running(both, lambda x, y: x + y), lambda stops: F.transform(F.filter(
+            F.arrays_zip(stops.alias("stop"), p["hit"].alias("hit"), p["part"].alias("part")),
+            lambda f: f["part"] >= rule.min_length),
+            lambda f: F.struct((f["stop"] - f["hit"]).alias("start"), f["stop"].alias("stop"))))
 
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     parts = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else hits
@@ -140,6 +151,35 @@ def listed(findings: Column, kinds=None) -> Column:
     return F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["stop"])), ",")
 
 
+_BLOCK = 512  # code points; only the work for a piece depends on it
+
+
+def _replaced(text: Column, spans: Column, with_: str) -> Column:
+    """``text`` with each run of overlapping spans (sorted by start) replaced. What is kept between is
+    taken from blocks of the text, so that a piece costs its own length and not that of all before."""
+    def built(p):
+        def piece(start, stop):
+            first = F.floor(start / _BLOCK).cast("int")
+            last = F.floor(stop / _BLOCK).cast("int")
+            near = F.array_join(F.slice(p["blocks"], first + 1, last - first + 1), "")
+            return F.substring(near, (start - first * _BLOCK + 1).cast("int"), (stop - start).cast("int"))
+
+        # a span that starts before an earlier one's end belongs to that one's run
+        heads = F.filter(
+            F.zip_with(p["starts"], F.concat(F.array(F.lit(0).cast("long")), p["ends"]),
+                       lambda start, before: F.struct(before.alias("before"), start.alias("start"))),
+            lambda f: f["start"] >= f["before"])
+        rest = piece(F.element_at(p["ends"], -1), p["size"])
+        return F.array_join(F.concat(F.transform(heads, lambda f: piece(f["before"], f["start"])), F.array(rest)), with_)
+
+    stops = F.transform(spans, lambda f: f["stop"])
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _BLOCK), F.lit(0)).alias("blocks"),
+        F.transform(spans, lambda f: f["start"]).alias("starts"),
+        _running(stops, lambda x, y: F.greatest(x, y)).alias("ends"), F.length(text).cast("long").alias("size"))
+    return let(parts, built)
+
+
 def mask(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text", length: str | None = None,
          with_: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of a finding in the text replaced; all other columns and rows as
@@ -157,19 +197,8 @@ def mask(docs: DataFrame, ledger_path: str, rules=RULES, text: str = "text", len
     rows = docs.select(packed(docs.columns), blob.alias("_blob"), F.col(text).alias("_t")).join(
         found, F.col("_blob") == F.col("_b"), "left")
     t = F.col("_t")
-
-    def replaced(spans):
-        state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-        return F.aggregate(
-            spans, state,
-            lambda s, f: F.struct(
-                F.greatest(s["at"], f["stop"]).alias("at"),
-                F.when(f["start"] < s["at"], s["out"]).otherwise(F.concat(
-                    s["out"], F.substring(t, (s["at"] + 1).cast("int"), (f["start"] - s["at"]).cast("int")),
-                    F.lit(with_))).alias("out")),
-            lambda s: F.concat(s["out"], F.substring(t, (s["at"] + 1).cast("int"), F.length(t))))
-
-    out = rows.withColumn("_new", F.when(F.col("_f").isNull(), t).otherwise(replaced(F.col("_f"))))
+    out = rows.withColumn("_new", F.when(F.col("_f").isNull(), t).otherwise(
+        _replaced(t, F.col("_f"), with_)))
     changed = {text: F.col("_new").alias(text)}
     if length:
         changed[length] = F.when(F.col("_f").isNull(), F.col("_row")[length]).otherwise(
