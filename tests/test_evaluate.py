@@ -105,6 +105,30 @@ def test_rank_test_against_brute_force(spark):
             assert r["p_value"] == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)))
 
 
+def test_states_of_several_runs_add_up(spark):
+    """Any split of the scores, also one that parts a system from its least place or its only NaN, gives
+    the comparison of the whole; many systems make no larger plan."""
+    rnd = random.Random(3)
+    systems = {f"s{i}": {m: [rnd.choice([rnd.randint(0, 9) / 2, None, float("nan")]) for _ in range(rnd.randint(1, 20))]
+                         for m in ("m1", "m2")} for i in range(40)}
+    systems["empty"] = {"m1": [None], "m3": [float("nan")]}
+    scores = table(spark, systems)
+    want = sorted(map(repr, E.compare_groups(scores).collect()))
+    assert len(want) == 3
+    parts = [E.score_counts(scores.filter(F.pmod(F.xxhash64("system", "score"), F.lit(3)) == k)) for k in range(3)]
+    merged = E.merge_counts(E.merge_counts(parts[2], parts[0]), parts[1])
+    assert sorted(map(repr, E.compare_counts(merged).collect())) == want
+    assert E.compare_counts(E.score_counts(scores.limit(0))).count() == 0
+
+
+def test_a_pair_with_an_absent_system(spark):
+    counts = materialize(E.histogram(table(spark, {"a": {"m": [1, 2]}, "b": {"m": [3]}}), ["metric", "system"], "score"))
+    pairs = spark.createDataFrame(
+        [("m", "a", "x"), ("m", "x", "a"), ("m", "x", "y"), ("z", "a", "b"), ("m", "a", "b"), ("m", "a", "b")], "metric string, a string, b string")
+    got = {(r.metric, r.a, r.b): (r.u, r.n1, r.n2) for r in E.mann_whitney(counts, pairs).collect()}
+    assert got == {("m", "a", "x"): (0, 2, 0), ("m", "x", "a"): (0, 0, 2), ("m", "a", "b"): (0, 2, 1)}
+
+
 def test_medians(spark):
     rnd = random.Random(4)
     groups = {"hot": [rnd.randint(0, 50) / 4 for _ in range(301)], "even": [1, 2, 3, 10], "one": [5],

@@ -135,6 +135,57 @@ def compare_groups(spark, sf):
         F.size("details").alias("n_details"))
 
 
+@query(rank_sql(BEST_PAIRS) + VERDICTS)
+def compare_merged(spark, sf):
+    """The comparison from two states, one of the events up to the middle and one of the rest."""
+    long = scores(spark, sf)
+    middle = table(spark, sf, "events").agg(F.floor(F.avg("event_id"))).scalar()
+    halves = [E.score_counts(long.filter(c)) for c in (F.col("event_id") <= middle, F.col("event_id") > middle)]
+    return E.compare_counts(E.merge_counts(*halves)).select(
+        "metric", "best_system", "significantly_different", "notes", F.size("details").alias("n_details"))
+
+
+BRANCH_CTE = """
+with raw as (select event_type as system, value, row_number() over (partition by event_type order by event_id) as place
+  from events),
+l as (select system, 'value' as metric, value as score from raw
+  union all select system, 'few', value from raw where system = 'view' or place = 1
+  union all select system, 'alone', value from raw where system = 'view')
+"""
+
+
+@query(rank_sql(BEST_PAIRS, BRANCH_CTE) + """
+, n as (select metric, system, count(*) as n, median(score) as med from l group by 1, 2),
+d as (select p.metric, p.a, p.b, diff, x.n as na, y.n as nb, x.med as med, x.n >= 3 and y.n >= 3 as enough, z
+  from pairs p join n x on x.metric = p.metric and x.system = p.a join n y on y.metric = p.metric and y.system = p.b
+  left join z on z.metric = p.metric and z.b = p.b),
+e as (select *, coalesce(enough and z > 1.6448536, false) as significant from d),
+v as (select metric, bool_and(significant) as all_significant from e group by 1)
+select metric, a as best_system, a || '_vs_' || b as pair, if(enough, round(diff, 6), null) as median_diff, significant,
+  if(enough, null, printf('Insufficient data (need >=3 samples per group, got %d vs %d)', na, nb)) as note,
+  if(all_significant, printf('%s median (%.3f) is significantly higher than all other comparable systems (p < 0.05).', a, med),
+    printf('%s has the highest median (%.3f), but was not significantly higher than all comparable systems (alpha=0.05). Check details.', a, med)) as notes
+from e join v using (metric)
+union all select 'alone', 'view', null, null, null, null,
+  printf('%s has the highest median (%.3f), but no other systems had valid data for comparison on this metric.', 'view', median(score))
+  from l where metric = 'alone'
+union all select 'nan', 'N/A', null, null, null, null, 'No valid data found for any system for this metric.'
+""")
+def comparison_details(spark, sf):
+    """All entries of the details, also of metrics with too few scores, with one system, without a number."""
+    events = table(spark, sf, "events").withColumnRenamed("event_type", "system")
+    first = events.groupBy("system").agg(F.min("event_id").alias("first"))
+    view = F.when(F.col("system") == "view", F.col("value"))
+    wide = events.join(first, "system").select(
+        "system", "value", F.coalesce(view, F.when(F.col("event_id") == F.col("first"), F.col("value"))).alias("few"),
+        view.alias("alone"), F.lit(float("nan")).alias("nan"))
+    order = F.array(*[F.lit(s) for s in ORDER])
+    long = E.metrics_long(wide, ["system"], ["value", "few", "alone", "nan"]).withColumn(
+        "ord", F.array_position(order, F.col("system")))
+    return E.compare_groups(long).select("metric", "best_system", "notes", F.inline_outer("details")).select(
+        "metric", "best_system", "pair", F.round("median_diff", 6).alias("median_diff"), "significant", "note", "notes")
+
+
 WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''))"
 
 

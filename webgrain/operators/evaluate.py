@@ -147,42 +147,6 @@ def _p_value(u: Column, z: Column, n1: Column, n2: Column, tied: Column) -> Colu
     return p(u, z, n1, n2, tied)
 
 
-def _ranked(counts: DataFrame, metric: str, system: str, value: str):
-    """(names, table): per (metric, value) the counts of all systems (``n``) and those of smaller
-    values (``before``), as arrays in the order of the names. One running total serves the medians
-    and all tests. The names are the systems compared, a list that fits a report."""
-    names = sorted(r[0] for r in counts.select(system).filter(F.col(system).isNotNull()).distinct().collect())
-    columns = [f"_n{k}" for k in range(len(names))]
-    wide = counts.groupBy(metric, value).agg(*[
-        F.sum(F.when(F.col(system) == s, F.col("n")).otherwise(0)).alias(c) for s, c in zip(names, columns)
-    ] or [F.count("*").alias("_rows")])
-    if not names:
-        none = F.array().cast("array<bigint>")
-        return names, wide.select(metric, value, none.alias("n"), none.alias("before"))
-    return names, running_totals(wide, [metric], [value], columns).select(
-        metric, value, F.array(*columns).alias("n"), F.array(*[f"{c}_before" for c in columns]).alias("before"))
-
-
-def _medians(names, ranked: DataFrame, metric: str, system: str, value: str) -> DataFrame:
-    """(metric, system, n, median) of every system with values."""
-    places = range(len(names))
-    totals = ranked.groupBy(metric).agg(F.array(*[F.sum(F.col("n")[k]) for k in places]).alias("_all"))
-
-    def at(k, position):
-        first = F.col("before")[k]
-        return F.max(F.when((first <= position) & (position < first + F.col("n")[k]), F.col(value)))
-
-    def middle(k):
-        n = F.col("_all")[k]
-        return (at(k, F.floor((n - 1) / 2)) + at(k, F.floor(n / 2))) / 2
-
-    found = ranked.join(totals, metric).groupBy(metric).agg(
-        F.first("_all").alias("_all"), *[middle(k).alias(f"_m{k}") for k in places])
-    rows = F.array(*[F.struct(F.lit(names[k]).alias(system), F.col("_all")[k].alias("n"), F.col(f"_m{k}").alias("median"))
-                     for k in places])
-    return found.select(metric, F.inline(rows)).filter("n > 0")
-
-
 def mann_whitney(counts: DataFrame, pairs: DataFrame, metric: str = "metric",
                  system: str = "system", value: str = "score", with_p: bool = True) -> DataFrame:
     """One-sided rank test (first greater) for each (metric, a, b) of ``pairs``.
@@ -191,23 +155,33 @@ def mann_whitney(counts: DataFrame, pairs: DataFrame, metric: str = "metric",
     number of smaller values of b and half of the equal ones. z has the tie and continuity
     corrections and is null when all values are equal (p = 1). p is exact when a sample has at
     most 8 values and nothing is tied.
+
+    Systems are rows: a running total over the counts of each first system, taken at the values of
+    the systems it meets, serves all its pairs, so the plan is the same for two systems and for a
+    million, and neither a system nor a pair has to fit in one task.
     """
-    return _tests(*_ranked(counts, metric, system, value), pairs, metric, with_p)
-
-
-def _tests(names, ranked: DataFrame, pairs: DataFrame, metric: str, with_p: bool = True) -> DataFrame:
-    """All tests from one table: a row meets the pairs of its metric in front of an aggregation that
-    combines first, so nothing is shuffled per pair."""
-    by = [metric, "a", "b"]
-    place = lambda c: F.array_position(F.array(*[F.lit(s) for s in names]).cast("array<string>"), F.col(c)) - 1
-    number = lambda counts, at: F.coalesce(F.get(counts, at.cast("int")), F.lit(0).cast("long"))
-    n_a, n_b = number(F.col("n"), place("a")), number(F.col("n"), place("b"))
-    t = n_a + n_b
-    stats = ranked.join(pairs.select(*by), metric).groupBy(*by).agg(
-        F.sum(n_a * (number(F.col("before"), place("b")) + n_b / 2)).alias("u"),
-        F.sum(n_a).alias("n1"),
-        F.sum(n_b).alias("n2"),
-        F.sum(t.cast("double") * t * t - t).alias("tie_sum"),
+    asked = pairs.select(metric, "a", "b").distinct()
+    n = F.col("n")
+    first = asked.select(metric, "a").distinct().join(
+        counts.select(metric, F.col(system).alias("a"), value, n), [metric, "a"])
+    second = asked.join(counts.select(metric, F.col(system).alias("b"), value, n), [metric, "b"])
+    places = first.unionByName(second.select(metric, "a", value, F.lit(0).cast("long").alias("n"))).groupBy(
+        metric, "a", value).agg(F.sum("n").alias("n_a"))
+    placed = running_totals(places, [metric, "a"], [value], ["n_a"])
+
+    def ties(count):
+        return count.cast("double") * count * count - count
+
+    n_a, n_b = F.col("n_a"), F.col("n")
+    own = placed.groupBy(metric, "a").agg(F.sum("n_a").alias("_n1"), F.sum(ties(n_a)).alias("_ties"))
+    met = second.join(placed, [metric, "a", value]).groupBy(metric, "a", "b").agg(
+        F.sum(n_b * (F.col("n_a_before") + n_a / 2)).alias("_below"), F.sum(n_b).alias("_n2"),
+        F.sum(ties(n_a + n_b) - ties(n_a)).alias("_more"))
+    sums = asked.join(own, [metric, "a"], "left").join(met, [metric, "a", "b"], "left").select(
+        metric, "a", "b", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("_n1", "_n2", "_below", "_ties", "_more")])
+    stats = sums.select(
+        metric, "a", "b", (F.col("_n1").cast("double") * F.col("_n2") - F.col("_below")).alias("u"),
+        F.col("_n1").alias("n1"), F.col("_n2").alias("n2"), (F.col("_ties") + F.col("_more")).alias("tie_sum"),
     ).filter("n1 + n2 > 0")
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
@@ -235,12 +209,31 @@ def best_system(medians: DataFrame, metric="metric", system="system") -> DataFra
     )
 
 
-def _compared(scores: DataFrame, alpha: float, min_n: int):
-    counts = materialize(histogram(scores, ["metric", "system"], "score"), "counts")
-    names, ranked = _ranked(counts, "metric", "system", "score")
-    systems = scores.groupBy("system").agg(F.min("ord").alias("ord"))
-    medians = _medians(names, ranked, "metric", "system", "score").join(systems, "system") if names else (
-        counts.select("metric", "system", "n", F.col("score").cast("double").alias("median")).join(systems, "system"))
+STATE = "metric string, system string, score double, n bigint, ord bigint"
+
+
+def score_counts(scores: DataFrame) -> DataFrame:
+    """The state of a comparison: rows per (metric, system, score) with their number ``n`` and the least
+    ``ord``. Missing scores (null) and NaN are kept as values of their own, so a system without any number
+    is still known. States of several runs add up (``merge_counts``)."""
+    return scores.groupBy("metric", "system", F.col("score").cast("double").alias("score")).agg(
+        F.count("*").alias("n"), F.min(F.col("ord").cast("long")).alias("ord"))
+
+
+def merge_counts(*states: DataFrame) -> DataFrame:
+    """One state of several: what is counted once is never read again."""
+    rows = reduce(DataFrame.unionByName, states)
+    return rows.groupBy("metric", "system", "score").agg(F.sum("n").alias("n"), F.min("ord").alias("ord"))
+
+
+def _compared(state: DataFrame, alpha: float, min_n: int):
+    state = materialize(state, "counts")
+    counts = state.filter(F.col("score").isNotNull() & ~F.isnan("score")).select("metric", "system", "score", "n")
+    systems = state.groupBy("system").agg(F.min("ord").alias("ord"))
+    listed = state.filter(F.col("score").isNotNull()).select("metric").distinct()
+    medians = materialize(
+        median_of_counts(counts.filter(F.col("system").isNotNull()), ["metric", "system"], "score")
+        .join(systems, "system"), "medians")
     best = best_system(medians)
     others = medians.select("metric", F.col("system").alias("b"), F.col("ord").alias("b_ord"),
                             F.col("median").alias("b_median"), F.col("n").alias("b_n"))
@@ -249,7 +242,7 @@ def _compared(scores: DataFrame, alpha: float, min_n: int):
         best.join(own, ["metric", "a"]).join(others, "metric").filter("a <> b")
         .withColumn("enough", (F.col("a_n") >= min_n) & (F.col("b_n") >= min_n))
     )
-    tests = _tests(names, ranked, pairs.filter("enough"), "metric").select(
+    tests = mann_whitney(counts, pairs.filter("enough")).select(
         "metric", "a", "b", "u", "z", "p_value")
     report = pairs.join(tests, ["metric", "a", "b"], "left").select(
         "metric", "a", "b", "b_ord", "u", "z", "p_value",
@@ -260,12 +253,12 @@ def _compared(scores: DataFrame, alpha: float, min_n: int):
             F.format_string(L.TOO_FEW, F.lit(min_n), "a_n", "b_n"),
         ).alias("note"),
     )
-    return systems, best, report
+    return listed, systems, best, report
 
 
 def pairwise_report(scores: DataFrame, alpha: float = 0.05, min_n: int = 3) -> DataFrame:
     """Best system against each other system with data, per metric."""
-    return _compared(scores, alpha, min_n)[2].drop("b_ord")
+    return _compared(score_counts(scores), alpha, min_n)[3].drop("b_ord")
 
 
 def compare_groups(scores: DataFrame, alpha: float = 0.05, min_n: int = 3) -> DataFrame:
@@ -275,8 +268,12 @@ def compare_groups(scores: DataFrame, alpha: float = 0.05, min_n: int = 3) -> Da
     listed when any score is a number, NaN included. ``details`` has one entry per compared
     system, so it is as long as the list of systems.
     """
-    systems, best, report = _compared(scores, alpha, min_n)
-    metrics = scores.filter(F.col("score").isNotNull()).select("metric").distinct()
+    return compare_counts(score_counts(scores), alpha, min_n)
+
+
+def compare_counts(state: DataFrame, alpha: float = 0.05, min_n: int = 3) -> DataFrame:
+    """``compare_groups`` from a state (``score_counts``, ``merge_counts``)."""
+    metrics, systems, best, report = _compared(state, alpha, min_n)
     enough_systems = systems.agg(F.count("*") >= 2)
     entry = F.struct("b_ord", F.concat("a", F.lit("_vs_"), "b").alias("pair"), "median_diff",
                      "p_value", "significant", "note")
