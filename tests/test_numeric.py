@@ -1,4 +1,5 @@
 import math
+import random
 import struct
 import zlib
 
@@ -132,6 +133,36 @@ def test_grid_functions_in_rows_and_as_pixels(spark):
         assert np.allclose(as_array(N.grid_maxpool(pixels, k, s)), want)
 
 
+@pytest.mark.parametrize("k, stride", [(3, 1), (3, 2), (2, 3), (5, 70), (1, 1), (9, 4)])
+def test_windows_over_many_tiles(spark, k, stride):
+    """Two images with holes, missing values and places below zero against brute force; few pixels are copied."""
+    rnd = random.Random(k * 100 + stride)
+    images = {i: {(y, x): rnd.choice([None, *[rnd.randint(-9, 9) / 2] * 9]) for y in range(-70, h) for x in range(-5, w)
+                  if rnd.random() < 0.995} for i, (h, w) in enumerate([(80, 140), (3, 4)])}
+    df = spark.createDataFrame([(i, y, x, v) for i, cells in images.items() for (y, x), v in cells.items()],
+                               "id int, y int, x int, v double").repartition(5)
+    kernel = [[rnd.randint(-2, 2) for _ in range(k)] for _ in range(k)]
+
+    def brute(step, fold):
+        out = {}
+        for i, cells in images.items():
+            for y, x in cells:
+                if y % step == 0 and x % step == 0:
+                    window = [(dy, dx, cells.get((y + dy, x + dx), "hole")) for dy in range(k) for dx in range(k)]
+                    if all(v != "hole" for _, _, v in window):
+                        known = [w for w in window if w[2] is not None]
+                        out[i, y // step, x // step] = fold(known) if known else None
+        return out
+
+    rows = lambda out: {(r.id, r.y, r.x): r.v for r in out.collect()}
+    assert rows(N.grid_maxpool(df, k, stride)) == brute(stride, lambda w: max(v for _, _, v in w))
+    want = brute(1, lambda w: sum(v * kernel[dy][dx] for dy, dx, v in w))
+    assert rows(N.grid_convolve(df, kernel)) == want and len(want) > 5000
+    copies = N._tiles(df, k, stride).agg(F.sum(F.size("cells"))).first()[0]
+    assert copies < 1.5 * df.count()
+    assert N.grid_convolve(df.limit(0), kernel).count() == 0
+
+
 def test_shapes(spark):
     grid = spark.range(1).select(V.to_grid(
         F.transform(F.sequence(F.lit(1), F.lit(1024)), lambda i: i.cast("double")), 32).alias("g"))

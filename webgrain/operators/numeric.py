@@ -41,40 +41,83 @@ def crop(df: DataFrame, x: int, y: int, size: int) -> DataFrame:
     )
 
 
+TILE = 64  # pixels along the edge of a tile, more for wide windows
+
+
+def _tiles(df: DataFrame, k: int, stride: int) -> DataFrame:
+    """(id, ty, tx, cells): the pixels of each tile, with the border that the windows which start in it
+    reach into. Only border pixels are copied, to the tiles before; places count from the tile's corner."""
+    edge = max(TILE, 8 * k) // stride * stride or stride
+
+    def tiles(c):
+        last = F.floor(F.col(c) / edge)
+        first = F.ceil((F.col(c) - (k - 1) - (edge - stride)) / edge)
+        return F.explode(F.when(first <= last, F.sequence(first, last)))
+
+    at = [(F.col(c) - F.col(t) * edge).cast("int").alias(c) for c, t in (("y", "ty"), ("x", "tx"))]
+    return df.select("id", "y", "x", F.col("v").cast("double").alias("v")).withColumn("ty", tiles("y")).withColumn(
+        "tx", tiles("x")).groupBy("id", "ty", "tx").agg(F.collect_list(F.struct(*at, "v")).alias("cells")).select(
+        "id", (F.col("ty") * edge).alias("ty"), (F.col("tx") * edge).alias("tx"), "cells")
+
+
+def _over_windows(df: DataFrame, k: int, stride: int, start: float, add) -> DataFrame:
+    """(id, y, x, v) of all full k x k windows, ``stride`` apart. ``add(total, values, dy, dx)`` folds the values
+    at one place of all windows of a tile into ``total``, which starts as ``start``; so do missing values."""
+
+    def fold(y, x, v, known):
+        shape = (y.max() + 1, x.max() + 1)
+        high, wide = [(n - k) // stride + 1 for n in shape]
+        if high < 1 or wide < 1:
+            return [np.zeros(0)] * 4
+        dense, there, number = np.full(shape, start), np.zeros(shape, bool), np.zeros(shape, bool)
+        there[y, x], number[y, x] = True, known
+        dense[y[known], x[known]] = v[known]
+        total, full, some = np.full((high, wide), start), np.ones((high, wide), bool), np.zeros((high, wide), bool)
+        for dy in range(k):
+            for dx in range(k):
+                part = np.s_[dy:dy + (high - 1) * stride + 1:stride, dx:dx + (wide - 1) * stride + 1:stride]
+                total = add(total, dense[part], dy, dx)
+                full &= there[part]
+                some |= number[part]
+        oy, ox = np.nonzero(full)
+        return oy, ox, total[oy, ox], some[oy, ox]
+
+    @F.arrow_udf("array<struct<y:int,x:int,v:double>>")
+    def run(cells: pa.Array) -> pa.Array:
+        if not len(cells):
+            return pa.array([], pa.list_(pa.struct([("y", pa.int32()), ("x", pa.int32()), ("v", pa.float64())])))
+        flat, ends = cells.flatten(), np.cumsum(cells.value_lengths().to_numpy(zero_copy_only=False))
+        y, x, v = (flat.field(i) for i in range(3))
+        known = np.asarray(v.is_valid())
+        y, x, v = (c.to_numpy(zero_copy_only=False) for c in (y, x, v))
+        found = [fold(y[first:end], x[first:end], v[first:end], known[first:end])
+                 for first, end in zip([0, *ends[:-1]], ends)]
+        oy, ox, out, some = (np.concatenate(c) for c in zip(*found))
+        rows = pa.StructArray.from_arrays(
+            [pa.array(oy, pa.int32()), pa.array(ox, pa.int32()), pa.array(out, pa.float64(), mask=~some.astype(bool))],
+            names=["y", "x", "v"])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *[len(f[0]) for f in found]]), pa.int32()), rows)
+
+    place = lambda t, c: (F.col(t) / stride + F.col(f"_w.{c}")).cast("int").alias(c)
+    return _tiles(df, k, stride).select("id", "ty", "tx", F.explode(run("cells")).alias("_w")).select(
+        "id", place("ty", "y"), place("tx", "x"), F.col("_w.v").alias("v"))
+
+
 def grid_convolve(df: DataFrame, kernel) -> DataFrame:
-    """Valid cross-correlation on a pixel table (id, y, x, v). Every pixel is sent to the
-    windows it lies in and summed there, partly before the shuffle; one huge image is spread
-    like many small ones."""
-    k = len(kernel)
-    parts = F.array(*[
-        F.struct((F.col("y") - dy).alias("oy"), (F.col("x") - dx).alias("ox"),
-                 (F.col("v") * float(kernel[dy][dx])).alias("part"))
-        for dy in range(k) for dx in range(k)
-    ])
-    return (
-        df.select("id", F.inline(parts)).groupBy("id", "oy", "ox")
-        .agg(F.sum("part").alias("v"), F.count("*").alias("_n"))
-        .filter(F.col("_n") == k * k)
-        .select("id", F.col("oy").alias("y"), F.col("ox").alias("x"), "v")
-    )
+    """Valid cross-correlation on a pixel table (id, y, x, v), one row per pixel. Missing values add nothing; a
+    window of missing values only gives null.
+
+    Pixels travel to their tile, and only those on its border to the neighbours as well, so about as many rows
+    are shuffled as there are pixels; one huge image is spread like many small ones.
+    """
+    weights = [[float(w) for w in row] for row in kernel]
+    return _over_windows(df, len(weights), 1, 0.0, lambda total, v, dy, dx: total + weights[dy][dx] * v)
 
 
 def grid_maxpool(df: DataFrame, k: int = 3, stride: int = 1) -> DataFrame:
-    """Maximum of each full k x k window of a pixel table, windows ``stride`` apart."""
-
-    def windows(c):
-        first = F.ceil((F.col(c) - (k - 1)) / stride)
-        return F.explode(F.when(
-            F.floor(F.col(c) / stride) >= first,
-            F.sequence(first, F.floor(F.col(c) / stride)),
-        ))
-
-    return (
-        df.withColumn("oy", windows("y")).withColumn("ox", windows("x"))
-        .groupBy("id", "oy", "ox").agg(F.max("v").alias("v"), F.count("*").alias("_n"))
-        .filter(F.col("_n") == k * k)
-        .select("id", F.col("oy").cast("int").alias("y"), F.col("ox").cast("int").alias("x"), "v")
-    )
+    """Maximum of each full k x k window of a pixel table, windows ``stride`` apart; tiles as above."""
+    out = _over_windows(df, k, stride, -math.inf, lambda total, v, dy, dx: np.maximum(total, v))
+    return out.withColumn("v", F.col("v").cast(df.schema["v"].dataType))
 
 
 def centroid_mean(df: DataFrame, key: str, vec: str) -> DataFrame:
