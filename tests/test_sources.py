@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from webgrain.plans import jobs
 from webgrain.plans.scale import fresh_path
 from webgrain.sources import readers as R
+from webgrain.sources import records as A
 from webgrain.sources import sinks as K
 
 
@@ -91,7 +92,7 @@ def test_items_round_trip(spark):
     assert K.read_items(spark, path).collect() == items.collect()
 
 
-def test_capture_job_cuts_many_records_from_one_file(spark):
+def test_capture_job_cuts_many_records_from_one_file(spark, tmp_path):
     html = "<title>T</title><p> one <script>x</script>\n\n two</p>"
     old, new, other = record("<p>old"), record(html), record("<title>O</title>")
     file = old + new + other
@@ -105,6 +106,52 @@ def test_capture_job_cuts_many_records_from_one_file(spark):
     files = spark.createDataFrame([("f", file), ("unused", b"x")], "filename string, payload binary")
     got = {r["urlkey"]: (r["html_parsed"], r["url_metadata"]) for r in jobs.capture_pages(captures, files, "filename").collect()}
     assert got == {"k1": ("T one\ntwo", "Home Page of the company | T"), "k2": ("O", "O")}
+    (tmp_path / "f").write_bytes(file)
+    from_folder = jobs.capture_pages(captures, str(tmp_path)).collect()
+    assert {r["urlkey"]: (r["html_parsed"], r["url_metadata"]) for r in from_folder} == got | {"k4": ("", None)}
+
+
+def test_records_beyond_two_gigabytes(spark, tmp_path):
+    """A sparse file with records at its start, beyond 2^31 and at its end; ranges that are none are null."""
+    far, member = (1 << 31) + 5, record("<p>far</p>")
+    with open(tmp_path / "big", "wb") as f:
+        f.write(b"first")
+        f.seek(far)
+        f.write(member)
+        f.seek(3 << 30)
+        f.write(b"last")
+    (tmp_path / "small").write_bytes(b"0123456789")
+    size = len(member)
+    rows = [(0, "big", "0", "5"), (1, "big", str(far), str(size)), (2, "big", str(3 << 30), "4"), (3, "big", str(3 << 30), "5"),
+            (4, "big", "-1", "3"), (5, "big", "x", "3"), (6, "big", None, "3"), (7, "absent", "0", "1"), (8, None, "0", "1"),
+            (9, "small", "2", "3"), (10, "small", "3", "0"), (11, "small", "2", "3"), (12, "small", "0", "10"), (13, "small", "1", "-4")]
+    wanted = spark.createDataFrame(rows, "i int, filename string, offset string, length string")
+    got = {r.i: r.payload and bytes(r.payload) for r in A.fetch_records(wanted, str(tmp_path), rows_per_task=2).collect()}
+    assert got == {0: b"first", 1: member, 2: b"last", 3: None, 4: None, 5: None, 6: None, 7: None, 8: None,
+                   9: b"234", 10: b"", 11: b"234", 12: b"0123456789", 13: None}
+    far_page = A.fetch_records(wanted.filter("i = 1"), f"file://{tmp_path}")
+    assert R.read_bodies(far_page).first()["html"] == "<p>far</p>"
+    assert A.fetch_records(wanted.limit(0), str(tmp_path)).count() == 0
+
+
+def test_records_written_and_read_by_filters(spark, tmp_path):
+    rows = [(i, f"http://h{i % 5}.org/{i}", f"2023-{i % 3}", f"f{i // 40}", None if i == 17 else bytes([i]) * i) for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, url string, crawl string, part string, payload binary").repartition(6)
+    index = A.write_records(df, str(tmp_path / "files"), "part", "i")
+    assert sorted(p.name for p in (tmp_path / "files").iterdir()) == [f"f{k}" for k in range(5)]
+    assert (tmp_path / "files" / "f0").read_bytes() == b"".join(r[4] or b"" for r in rows[:40])
+    path = str(tmp_path / "index")
+    index.write.partitionBy("crawl").parquet(path)
+    found = A.read_records(spark, path, str(tmp_path / "files"), rows_per_task=7)
+    assert {r.i: bytes(r.payload) for r in found.collect()} == {r[0]: r[4] or b"" for r in rows}
+    some = found.filter("crawl in ('2023-1', '2023-2') and url like 'http://h3.org/%' and i > 20 and length(payload) % 2 = 0")
+    assert {r.i for r in some.collect()} == {i for i in range(21, 200) if i % 3 and i % 5 == 3 and i % 2 == 0}
+    schema = found.schema
+    asked = [A.D.EqualTo(("crawl",), "2023-1"), A.D.StringStartsWith(("url",), "http://h3.org/"), A.D.StringContains(("url",), "x"),
+             A.D.IsNotNull(("payload",))]
+    reader = A._Reader({"index": path, "root": str(tmp_path / "files")}, schema)
+    assert list(reader.pushFilters(asked)) == asked[2:]
+    assert {r.path.split("crawl=")[1].split("/")[0] for r in reader.partitions()} == {"2023-1"}
 
 
 def test_split_extract_aggregate_writes_partitions(spark):

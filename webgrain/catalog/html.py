@@ -10,6 +10,8 @@ from webgrain.operators.domains import registered_domain
 from webgrain.plans import jobs
 from webgrain.plans.scale import fresh_path, materialize
 from webgrain.sources import sinks as K
+from webgrain.sources.readers import read_bodies
+from webgrain.sources.records import read_records, write_records
 
 ENTITIES = """regexp_replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'),
   '&amp;?', '&', 'g')"""
@@ -269,21 +271,21 @@ def site_page_counts(spark, sf):
         lambda df: registered_domain(df, "url", suffixes(spark), max_labels=2))
 
 
-@query(rf"""
+CAPTURE_PAGES = rf"""
 with c as (select page_id, html, regexp_replace(url, '^https?://|[?#].*$', '', 'g') as urlkey,
     regexp_extract(url, '/(en|de|fr|es)/', 1) as l from pages),
 k as (select page_id, html, urlkey, l from c qualify row_number() over (partition by urlkey order by page_id desc) = 1),
 m as (select urlkey, {BARE} as html from k where l <> 'fr'),
 t as (select urlkey, {ENTITIES.format("regexp_replace(html, '<[^>]*>', '', 'g')")} as t, {TITLE} as title from m)
 select urlkey, md5({lines('t')}) as digest, title as url_metadata from t
-""")
-def capture_pages(spark, sf):
-    """Captures made of the pages, ten records in a file: French ones have status 404 and must take
-    their key along."""
+"""
+
+
+def members(spark, sf):
+    """The pages as gzip records, ten to a file."""
     import gzip
 
     import pyarrow as pa
-    from pyspark.sql import Window
 
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
@@ -292,19 +294,55 @@ def capture_pages(spark, sf):
 
     key = F.regexp_replace("url", "^https?://|[?#].*$", "")
     file = F.floor(F.col("page_id") / 10)
-    source = materialize(table(spark, sf, "pages").select(
-        "page_id", "url", key.alias("urlkey"), file.alias("filename"), pack("html").alias("member")), "members")
+    return table(spark, sf, "pages").select(
+        "page_id", "url", key.alias("urlkey"), file.alias("filename"), pack("html").alias("member"))
+
+
+def captured(source, *place):
+    """Index rows of the records: French ones have status 404 and must take their key along."""
     number = F.lpad(F.col("page_id").cast("string"), 12, "0")
-    size = F.octet_length("member")
-    before = Window.partitionBy("filename").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
-    captures = source.select(
+    return source.select(
         "urlkey", "url", number.alias("timestamp"), F.lit("text/html").alias("mime"),
         F.when(F.col("url").contains("/fr/"), "404").otherwise("200").alias("status"),
-        F.lit("eng").alias("languages"), F.lit("UTF-8").alias("encoding"),
-        "filename", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("string").alias("offset"),
-        size.cast("string").alias("length"))
-    members = F.sort_array(F.collect_list(F.struct("page_id", "member")))
+        F.lit("eng").alias("languages"), F.lit("UTF-8").alias("encoding"), "filename", *place)
+
+
+@query(CAPTURE_PAGES)
+def capture_pages(spark, sf):
+    """Captures made of the pages, ten records in a file, the files as a table."""
+    from pyspark.sql import Window
+
+    source = materialize(members(spark, sf), "members")
+    size = F.octet_length("member")
+    before = Window.partitionBy("filename").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
+    captures = captured(source, F.coalesce(F.sum(size).over(before), F.lit(0)).cast("string").alias("offset"),
+                        size.cast("string").alias("length"))
+    parts = F.sort_array(F.collect_list(F.struct("page_id", "member")))
     records = source.groupBy("filename").agg(F.aggregate(
-        members, F.lit(b""), lambda file, m: F.concat(file, m["member"])).alias("payload"))
+        parts, F.lit(b""), lambda file, m: F.concat(file, m["member"])).alias("payload"))
     return jobs.capture_pages(captures, records, "filename").select(
         "urlkey", F.md5("html_parsed").alias("digest"), "url_metadata")
+
+
+@query(CAPTURE_PAGES)
+def capture_files(spark, sf):
+    """The same through archive files: the ranges of the wanted records are sought in them."""
+    root = fresh_path(spark, "archive")
+    index = write_records(members(spark, sf), root, "filename", "page_id", "member")
+    return jobs.capture_pages(captured(index, "offset", "length"), root).select(
+        "urlkey", F.md5("html_parsed").alias("digest"), "url_metadata")
+
+
+@query("""
+select page_id, regexp_extract(url, '/(en|de|fr|es)/', 1) as crawl, md5(html) as digest from pages
+where regexp_extract(url, '/(en|de|fr|es)/', 1) in ('de', 'es') and starts_with(url, 'https://')
+""")
+def record_scan(spark, sf):
+    """Records by snapshot (here the language) and start of the address: both tests reach the index."""
+    root, path = fresh_path(spark, "archive"), fresh_path(spark, "index")
+    index = write_records(members(spark, sf), root, "filename", "page_id", "member")
+    crawl = F.regexp_extract("url", "/(en|de|fr|es)/", 1)
+    index.withColumn("crawl", crawl).write.partitionBy("crawl").parquet(path)
+    found = read_records(spark, path, root).filter(
+        F.col("crawl").isin("de", "es") & F.col("url").startswith("https://"))
+    return read_bodies(found).select("page_id", "crawl", F.md5("html").alias("digest"))

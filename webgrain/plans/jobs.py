@@ -16,6 +16,7 @@ from webgrain.operators.joins import count_by
 from webgrain.operators.ordering import cap_per_key, latest_per_key, sample_exact
 from webgrain.plans.scale import materialize
 from webgrain.sources.readers import cut_ranges, read_bodies
+from webgrain.sources.records import fetch_records
 from webgrain.sources.sinks import append_table
 
 
@@ -57,15 +58,18 @@ def site_page_counts(pages: DataFrame, suffix_domain) -> DataFrame:
     )
 
 
-def capture_pages(captures: DataFrame, records: DataFrame, on: str, **where) -> DataFrame:
-    """Capture index and archive files (``on``, ``payload``) to clean text and metadata.
+def capture_pages(captures: DataFrame, records: DataFrame | str, on: str = "filename", **where) -> DataFrame:
+    """Capture index and archive files to clean text and metadata. The files are a table (``on``, ``payload``) or a
+    folder, in which the captures' ``filename`` are sought (files of any length). A capture of a file that is
+    absent from the table drops out; of one absent from the folder, and of a bad range, it gives an empty row.
 
     Latest capture per key first, then the exact filters, then the byte ranges of the files: only
     wanted records are decoded.
     """
     wanted = filter_captures(
         latest_per_key(captures, "urlkey", "timestamp", ["url", "filename", "offset"]))
-    bodies = read_bodies(cut_ranges(wanted, records, on, **where))
+    cut = fetch_records(wanted, records) if isinstance(records, str) else cut_ranges(wanted, records, on, **where)
+    bodies = read_bodies(cut)
     dom = shred(bodies, tags=["title", "meta"])
     d = F.col("dom")
     return filter_nonempty(
