@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -114,3 +115,29 @@ def test_chunks_property(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, v string").coalesce(1)
     got = df.select("i", S.partition_text(V, 7)).orderBy("i").collect()
     assert [r[1] for r in got] == [greedy_chunks(t, 7) for t in texts]
+
+
+def test_table_functions(spark):
+    """Chunks in SQL, of whole texts and of texts in pieces, against the column function."""
+    from webgrain.functions import tables as T
+
+    T.register(spark)
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice("ab é𝄞  ") for _ in range(rnd.randint(0, 60))) for _ in range(60)]
+    texts += ["", " ", "x" * 30, "x" * 30 + " y", None, "a\nb c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for n in (1, 4, 9):
+        want = {(r.id, r.chunk): r.body for r in df.select("id", F.posexplode(S.partition_text(F.col("text"), n)).alias("chunk", "body")).collect()}
+        found = spark.sql(f"select id, chunk, body from {{d}} d, lateral text_chunks(d.text, {n})", d=df).collect()
+        assert {(r.id, r.chunk): r.body for r in found} == want and len(found) == len(want)
+        parts = [(i, k, " ".join(t.split(" ")[k:k + 2])) for i, t in enumerate(texts) if t is not None
+                 for k in range(0, len(t.split(" ")), 2)] + [(0, 999, None), (len(texts), 0, None)]
+        rnd.shuffle(parts)
+        pieces = spark.createDataFrame(parts, "id int, k int, part string").repartition(4)
+        found = spark.sql(f"select * from chunks_of(table({{p}}), 'id', 'k', 'part', {n})", p=pieces).collect()
+        assert {(r.id, r.chunk): r.body for r in found} == want and len(found) == len(want)
+    with pytest.raises(Exception, match="no column 'nope'"):
+        spark.sql("select * from chunks_of(table({p}), 'id', 'k', 'nope', 5)", p=pieces)
+    page = spark.createDataFrame([("<P Class=x id='b>'><br><i a=1 a=2>t</i><",), (None,)], "html string")
+    rows = spark.sql("select element, tag, attributes from {p} p, lateral page_elements(p.html)", p=page).collect()
+    assert [tuple(r) for r in rows] == [(0, "p", {"class": "x", "id": "b>"}), (1, "br", {}), (2, "i", {"a": "2"})]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from webgrain.catalog.registry import query, table
 from webgrain.catalog.text import DOMAIN_CTE, SQL_SPACE, suffixes
 from webgrain.functions import dom as D
+from webgrain.functions.tables import register
 from webgrain.operators import crawl as C
 from webgrain.operators.domains import registered_domain
 from webgrain.plans import jobs
@@ -51,18 +52,29 @@ def pages(spark, sf, tags=None, html=None):
     return C.shred(df, tags=tags)
 
 
-@query(rf"""
+TAG_COUNTS = rf"""
 with m as (select {BARE} as html from pages),
 t as (select unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)[^>]*>', 1)) as tag from m
       union all select regexp_extract(s, '<([a-z]+)', 1) from
         (select unnest(regexp_extract_all(html, '<(script|style)>')) as s from pages))
 select tag, count(*) as n from t where tag <> 'x' group by 1
-""")
+"""
+
+
+@query(TAG_COUNTS)
 def shred_tag_counts(spark, sf):
     tags = pages(spark, sf).select(F.explode("dom.nodes.tag").alias("tag"))
     return tags.groupBy("tag").agg(F.count("*").alias("n"))
 
 
+@query(TAG_COUNTS)
+def elements_lateral(spark, sf):
+    """The tags by a table function behind LATERAL."""
+    register(spark)
+    return spark.sql("select tag, count(*) as n from {pages} p, lateral page_elements(p.html) group by tag",
+                     pages=table(spark, sf, "pages").select("html"))
+
+
 @query(rf"""
 with m as (select page_id, {BARE} as html from pages),
 t as (select page_id, {ENTITIES.format("regexp_replace(html, '<[^>]*>', '', 'g')")} as t from m)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from webgrain.catalog.registry import query, table
-from webgrain.functions import money, strings as S, urls as U
+from webgrain.functions import money, strings as S, tables as T, urls as U
 from webgrain.operators import filters as P
 from webgrain.operators import joins as J
 from webgrain.operators import ordering as O
@@ -62,6 +62,26 @@ def partition_text(spark, sf):
     ).select("doc_id", "chunk", F.md5("body").alias("digest"))
 
 
+@query(PARTITION_SQL.format(n=2048))
+def chunks_lateral(spark, sf):
+    """The chunks by a table function behind LATERAL."""
+    T.register(spark)
+    return spark.sql(
+        "select doc_id, chunk, md5(body) as digest from {docs} d, lateral text_chunks(d.text, 2048)", docs=texts(spark, sf))
+
+
+@query(PARTITION_SQL.format(n=2048))
+def chunks_of_pieces(spark, sf):
+    """The chunks of texts that come as rows of up to 200 words."""
+    T.register(spark)
+    words = F.split("text", " ")
+    starts = F.sequence(F.lit(1), F.size("words"), F.lit(200))
+    pieces = texts(spark, sf).select("doc_id", words.alias("words")).select(
+        "doc_id", F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("words", i, 200), " "))).alias("place", "part"))
+    return spark.sql(
+        "select doc_id, chunk, md5(body) as digest from chunks_of(table({pieces}), 'doc_id', 'place', 'part', 2048)", pieces=pieces)
+
+
 @query(rf"""
 select doc_id, md5(regexp_replace(text, '{SQL_SPACE}+$', '')) as digest from documents
 """)
