@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from webgrain.catalog.registry import query, table
 from webgrain.functions import vectors as V
 from webgrain.operators import numeric as N
+from webgrain.plans.scale import fresh_path
+from webgrain.sources.readers import scan_pixels
+from webgrain.sources.records import write_records
 
 # element i (from 1) of a vector, as a row source
 ELEMENTS = """
@@ -33,6 +36,45 @@ def grayscale(spark, sf):
     return N.grayscale(pixel).select("vec_id", F.round("gray", 6).alias("gray"))
 
 
+@query(ELEMENTS + """
+select 'image' || vec_id // 64 as image, cast(vec_id % 64 * 8 + pos // 8 as int) as y, cast(pos % 8 as int) as x,
+  cast(floor(abs(x) * 40) as int) % 256 as r, cast(pos * 3 as int) as g, cast(vec_id % 256 as int) as b from e
+""")
+def image_pixels(spark, sf):
+    """Images written of the vectors, 8 rows of pixels each and 64 vectors to an image, read as pixels."""
+    import struct
+    import zlib
+
+    import pyarrow as pa
+
+    @F.arrow_udf("binary")
+    def png(rows: pa.Array) -> pa.Array:
+        def chunk(kind, data):
+            return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+        def one(lines):
+            head = struct.pack(">IIBBBBB", 8, len(lines), 8, 2, 0, 0, 0)
+            data = zlib.compress(b"".join(b"\0" + bytes(line) for line in lines), 1)
+            return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", data) + chunk(b"IEND", b"")
+
+        return pa.array([one(r.as_py()) for r in rows], pa.binary())
+
+    def channels(x, i):
+        return F.array(F.floor(F.abs(x.cast("double")) * 40).cast("int") % 256, i * 3, (F.col("vec_id") % 256).cast("int"))
+
+    cells = F.transform("embedding", channels)
+    line = lambda k: F.flatten(F.slice(cells, k * 8 + 1, 8))
+    images = table(spark, sf, "embeddings").select(
+        "vec_id", F.transform(F.sequence(F.lit(0), F.lit(7)), line).alias("lines")).groupBy(
+        F.floor(F.col("vec_id") / 64).alias("n")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "lines"))).alias("rows"))
+    root = fresh_path(spark, "images")
+    files = images.select("n", F.concat(F.lit("image"), F.col("n").cast("string"), F.lit(".png")).alias("file"),
+                          png(F.flatten(F.col("rows.lines"))).alias("payload"))
+    write_records(files, root, "file", "n")
+    return scan_pixels(spark, root).select(
+        F.regexp_extract("path", r"([^/]+)\.png$", 1).alias("image"), "y", "x", "r", "g", "b")
+
+
 def grids(spark, sf):
     vec = F.transform("embedding", lambda x: x.cast("double"))
     return table(spark, sf, "embeddings").select("vec_id", V.to_grid(vec, 8).alias("grid"))

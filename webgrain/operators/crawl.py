@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from webgrain import lookups as L
 from webgrain.functions import dom as D
+from webgrain.functions.binding import let
 from webgrain.functions.strings import strip
 from webgrain.functions.urls import hostname, resolve
 
@@ -54,11 +55,21 @@ def first_links(df: DataFrame, css_class: str | None, n: int = 5, prefix: str =
     return df.select(*keep, F.posexplode(hrefs).alias("ord", "link"))
 
 
-def _first_word(text: Column, words) -> Column:
-    listed = F.array(*[F.lit(w) for w in words])
+def _first_word(text: Column, listed: Column) -> Column:
     return F.get(F.filter(listed, lambda w: F.contains(text, w)), F.lit(0))
 
 
+def _pieces(d: Column) -> Column:
+    """The text pieces of a page, stripped and in lower case: done once, elements are ranges of them."""
+    return F.transform(d["texts"], lambda t: F.lower(strip(t)))
+
+
+def _present(pieces: Column, keywords) -> Column:
+    """The keywords that the page holds at all, in their order: elements need not be asked for others."""
+    listed = F.array(*[F.lit(w) for w in keywords]).cast("array<string>")
+    return let(F.array_join(pieces, ""), lambda page: F.filter(listed, lambda w: F.contains(page, w)))
+
+
 def popup_evidence(df: DataFrame, tags=tuple(L.POPUP_TAGS), keywords=tuple(L.POPUP_WORDS),
                    selectors=tuple(L.POPUP_SELECTORS), keep: list[str] = (),
                    dom: str = "dom") -> DataFrame:
@@ -67,19 +78,24 @@ def popup_evidence(df: DataFrame, tags=tuple(L.POPUP_TAGS), keywords=tuple(L.POP
     d = F.col(dom)
     evidence = "struct<kind:string,tag:string,hit:string>"
 
-    def by_text(tag):
-        texts = F.transform(D.nodes_of(d, tag), lambda n: F.lower(D.node_stripped(d, n)))
-        words = F.filter(F.transform(texts, lambda t: _first_word(t, keywords)),
+    def by_text(tag, pieces, present):
+        texts = F.transform(D.nodes_of(d, tag), lambda n: F.array_join(
+            F.slice(pieces, n["t0"] + 1, n["t1"] - n["t0"]), ""))
+        words = F.filter(F.transform(texts, lambda t: _first_word(t, present)),
                          lambda w: w.isNotNull())
         return F.when(F.size(words) > 0,
                       F.struct(F.lit("text"), F.lit(tag), F.get(words, F.lit(0))).cast(evidence))
 
+    def in_texts(pieces):
+        return let(_present(pieces, keywords), lambda p: F.when(F.size(p) > 0, F.coalesce(*[by_text(t, pieces, p) for t in tags])))
+
     def by_selector(selector):
         node = F.get(F.filter(d["nodes"], lambda n: D.matches_selector(n, selector)), F.lit(0))
         return F.when(node.isNotNull(),
                       F.struct(F.lit("selector"), node["tag"], F.lit(selector)).cast(evidence))
 
-    first = F.coalesce(*[by_text(t) for t in tags], *[by_selector(s) for s in selectors])
+    found = [let(_pieces(d), in_texts)] if tags else []
+    first = F.coalesce(F.lit(None).cast(evidence), *found, *[by_selector(s) for s in selectors])
     return df.withColumn("_e", first).select(
         *keep, F.col("_e").isNotNull().alias("flag"), "_e.kind", "_e.tag", "_e.hit"
     )
@@ -116,12 +132,16 @@ def interaction_needed(df: DataFrame, selectors=tuple(L.INTERACTION_SELECTORS),
 
 
 def _interactive(d: Column, selectors, keywords) -> Column:
-    def rows(selector):
+    """Elements of the selectors with a keyword; pieces stripped and words of the page found once, as above."""
+    found = "array<struct<selector:string,ord:int,tag:string,text:string>>"
+
+    def rows(selector, pieces, present):
         nodes = F.filter(d["nodes"], lambda n: D.matches_selector(n, selector))
         texts = F.transform(nodes, lambda n: F.struct(
-            F.lit(selector).alias("selector"), n["ord"].alias("ord"), n["tag"].alias("tag"),
-            F.lower(D.node_stripped(d, n)).alias("text"),
-        ))
-        return F.filter(texts, lambda r: _first_word(r["text"], keywords).isNotNull())
+            F.lit(selector).alias("selector"), n["ord"].cast("int").alias("ord"), n["tag"].alias("tag"),
+            F.array_join(F.slice(pieces, n["t0"] + 1, n["t1"] - n["t0"]), "").alias("text")))
+        return F.filter(texts, lambda r: _first_word(r["text"], present).isNotNull())
 
-    return F.concat(*[rows(s) for s in selectors])
+    none = F.array().cast(found)
+    return let(_pieces(d), lambda pieces: let(_present(pieces, keywords), lambda p: F.when(
+        F.size(p) > 0, F.concat(none, *[rows(s, pieces, p) for s in selectors])).otherwise(none)))
