@@ -87,4 +87,4 @@ def register(spark: SparkSession) -> None:
     spark.udtf.register("text_chunks", F.udtf(TextChunks, returnType=chunks, useArrow=True))
     spark.udtf.register("page_elements", F.udtf(
         PageElements, returnType="element int, tag string, attributes map<string,string>", useArrow=True))
-    spark.udtf.register("chunks_of", F.udtf(ChunksOf))
+    spark.udtf.register("chunks_of", F.udtf(ChunksOf, useArrow=True))
