@@ -170,3 +170,55 @@ def test_every_gain_is_the_change_of_the_likelihood():
             moved[u] = b
             whole.append(likelihood(moved))
         assert np.allclose(gain - gain[0], np.array(whole) - whole[0])
+
+
+def test_gains_of_many_words_are_those_of_each():
+    rng = np.random.default_rng(8)
+    size, classes = 40, 6
+    pairs = rng.poisson(0.7, (size, size)).astype(float)
+    of = rng.integers(0, classes - 1, size)
+    of[-1] = classes - 1
+    member = np.eye(classes)[of]
+    both = member.T @ pairs @ member
+    contexts, want = [], []
+    for u in range(size - 1):
+        own = pairs[u, u]
+        r, c = pairs[u] @ member, pairs[:, u] @ member
+        r[of[u]] -= own
+        c[of[u]] -= own
+        contexts.append([*c, *r, own])
+        left = both.copy()
+        left[of[u]] -= r
+        left[:, of[u]] -= c
+        left[of[u], of[u]] -= own
+        gain = classlm.gains(left, r, c, own)
+        gain[-1] = -np.inf
+        want.append(of[u] if gain.max() <= gain[of[u]] + 1e-9 else gain.argmax())
+    assert classlm.best_classes(both, np.array(contexts), of[:-1]).tolist() == want
+
+
+def test_words_beyond_the_table_are_exchanged_too(spark):
+    """Two kinds of words with mixed endings: only their neighbours tell them apart."""
+    rng = random.Random(5)
+    kinds = [[f"{c}{k}" for k in range(900)] for c in "nv"]
+    texts = [" ".join(f"the {rng.choice(kinds[0])} did {rng.choice(kinds[1])} and" for _ in range(40)) for _ in range(400)]
+    texts += ["n1 n1 n1", "", "once"]
+    tokens = [t.split() for t in texts]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    _, rest, m = classlm.learn(docs, classes=6, frequent=1200)
+    words = {w: classlm._tokens(classlm.pa.array([w]))[0].view("int64")[0] for w in {w for t in tokens for w in t}}
+    got = {r.token: (r.c, r["class"]) for r in rest.collect()}
+    counts = collections.Counter(w for t in tokens for w in t)
+    own = set(m["own"].view("int64").tolist())
+    assert {words[w]: n for w, n in counts.items() if words[w] not in own} == {t: c for t, (c, _) in got.items()}
+    # classes by their neighbours: hardly any class holds words of both kinds
+    of = [collections.Counter(got[words[w]][1] for w in kind if words[w] in got) for kind in kinds]
+    assert sum(min(of[0][k], of[1][k]) for k in range(6)) <= 6
+    # n and v are the sums over the classes, and every token is in the class of its word
+    tags = classlm.tagged(docs, rest, m).collect()
+    n = collections.Counter(x for r in tags for x in r.seq)
+    assert [n[k] for k in range(6)] == m["n"].astype(int).tolist()
+    assert sum(r.n_tokens for r in tags) == sum(m["n"]) == sum(r.known for r in tags)
+    assert sum(m["v"]) == len(counts) + 1
+    back = {t: k for t, (_, k) in got.items()} | {int(t): int(m["of"][k]) for k, t in enumerate(m["own"].view("int64"))}
+    assert sorted(tuple(r.seq) for r in tags) == sorted((*(back[words[w]] for w in t), 5) for t in tokens)
