@@ -47,6 +47,16 @@ def test_records(spark):
         "ok": "<p>é</p>", "two parts": "", "bad text": "", "damaged": "", "none": ""}
 
 
+def test_decoded_records_are_handed_back_in_pieces(spark):
+    values = [b"x" * n for n in (10, 0, 95, 7)] + [None, b"y" * 300, b"z"]
+    pieces = [p.to_pylist() for p in R.in_pieces(iter(values), "binary", 100)]
+    assert [len(p) for p in pieces] == [3, 3, 1] and [v for p in pieces for v in p] == values
+    rows = [(k, gzip.compress(bytes([65 + k]) * 400_000)) for k in range(9)] + [(9, None), (10, b"no")]
+    got = {r.k: (r.n, r.c) for r in R.decode_records(spark.createDataFrame(rows, "k int, payload binary").coalesce(1)).selectExpr(
+        "k", "length(data) n", "left(data, 1) c").collect()}  # many pieces of one batch keep their rows
+    assert got == {k: (400_000, chr(65 + k)) for k in range(9)} | {9: (0, ""), 10: (0, "")}
+
+
 def test_places_that_no_payload_holds_give_empty_rows(spark):
     import gzip
 

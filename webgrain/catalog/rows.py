@@ -43,12 +43,14 @@ select doc_id, md5(text) as digest, length(text) as n_chars from documents
 """)
 def decode_gzip(spark, sf):
     import gzip
+    from collections.abc import Iterator
 
     import pyarrow as pa
 
     @F.arrow_udf("binary")
-    def pack(texts: pa.Array) -> pa.Array:
-        return pa.array([gzip.compress(t.as_py().encode(), 1) for t in texts], pa.binary())
+    def pack(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield from R.in_pieces((gzip.compress(t.as_buffer(), 1) for t in batch), pa.binary())
 
     packed = table(spark, sf, "documents").select("doc_id", "text").select(
         "doc_id", pack("text").alias("payload"))

@@ -1,5 +1,8 @@
 """Readers. Schemas are given, never inferred; missing places give empty tables."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ NULL_TOKENS = [
 ]
 # -------------------------------------------
 
+PIECE = 1 << 20  # bytes of decoded records that a Python worker hands back at a time
 _LISTING = "path string, length bigint, mtime timestamp"
 
 
@@ -43,22 +47,34 @@ def scan_captures(spark: SparkSession, path: str, url_prefix: str,
     )
 
 
+def in_pieces(values, kind, most: int = PIECE):
+    """Binary values as arrays of about ``most`` bytes, so that no more than these are held at a time."""
+    held, size = [], 0
+    for v in values:
+        held.append(v)
+        size += len(v or b"")
+        if size >= most:
+            yield pa.array(held, kind)
+            held, size = [], 0
+    if held:
+        yield pa.array(held, kind)
+
+
 def gunzip(payload: Column) -> Column:
     """Gzip member(s) to bytes; null when damaged."""
     import gzip
     import zlib
 
-    import pyarrow as pa
+    def one(v):
+        try:
+            return gzip.decompress(v.as_buffer()) if v.is_valid else None
+        except (OSError, EOFError, zlib.error):
+            return None
 
     @F.arrow_udf("binary")
-    def _gunzip(values: pa.Array) -> pa.Array:
-        def one(v):
-            try:
-                return None if v is None else gzip.decompress(v)
-            except (OSError, EOFError, zlib.error):
-                return None
-
-        return pa.array([one(v.as_py()) for v in values], pa.binary())
+    def _gunzip(values: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in values:
+            yield from in_pieces((one(v) for v in batch), pa.binary())
 
     return _gunzip.asNondeterministic()(payload)
 
