@@ -94,6 +94,19 @@ def test_closed_sessions_equal_those_of_a_batch(spark):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_keys_share_a_state_and_stay_apart(spark):
+    """Null keys, large numbers and text, all in one bucket, over three micro-batches."""
+    big = 2 ** 60
+    for kind, keys in (("long", [None, 0, big, big + 1]), ("string", [None, "", "a"])):
+        rows = [(k, at(10 * step + i)) for step in (0, 1, 5) for k in keys for i in range(3)]
+        path = X.replay(spark.createDataFrame(
+            rows + [(keys[1], at(10 ** 6))], f"k {kind}, ts timestamp_ntz"), "ts", 3, fresh_path(spark, "feed"))
+        stream = X.read_stream(spark, path, "*.parquet", files=1)
+        out = X.write_table(X.closed_sessions(stream, "k", 20, "8 seconds", buckets=1), fresh_path(spark, "out"), fresh_path(spark, "log"))
+        got = sorted(((r.k, r.session_start, r.last_event, r.n) for r in out.collect()), key=str)
+        assert got == sorted([(k, at(a), at(b), n) for k in keys for a, b, n in ((0, 12, 6), (50, 52, 3))], key=str)
+
+
 def test_cap_forgets_idle_keys(spark):
     feed = Feed(spark)
 

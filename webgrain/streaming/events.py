@@ -4,6 +4,9 @@ mode, sink and trigger.
 ``TIMESTAMP_NTZ`` columns are cast to timestamps (session zone UTC), since watermarks need them.
 """
 
+import pickle
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,35 +136,51 @@ def cap_stream(df: DataFrame, key: str, order: list[str], n: int = DOMAIN_CAP, t
 
 
 class _Sessions(StatefulProcessor):
-    """The open sessions of a key (start, last, rows), in microseconds, and one timer: a millisecond
-    behind the last moment at which a row may still continue the session that ends first."""
+    """The open sessions of the keys of a bucket (key, start, last, rows; times in microseconds), pickled in
+    one value, and one timer: a millisecond behind the last moment at which a row may still continue the
+    session that ends first."""
 
-    def __init__(self, key, ts, gap_us):
-        self.key, self.ts, self.gap_us = key, ts, gap_us
+    def __init__(self, key, gap_us):
+        self.key, self.gap_us = key, gap_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "start long, last long, n long")
-
-    def _timer(self, last: int) -> int:
-        return (last + self.gap_us) // 1000 + 1
+        self.open = handle.getValueState("open", "sessions binary")
+
+    def _held(self):
+        return pickle.loads(self.open.get()[0]) if self.open.exists() else None
+
+    def _timers(self, sessions):
+        return (sessions["last"].to_numpy() + self.gap_us) // 1000 + 1
+
+    def _merged(self, rows):
+        """Rows and sessions of any order as sessions."""
+        kind = rows["null"].to_numpy() + 2 * pd.factorize(rows["key"], use_na_sentinel=False)[0]
+        order = np.lexsort((rows["start"], kind))
+        rows, kind = rows.take(order), kind[order]
+        start, last = rows["start"].to_numpy(), rows["last"].to_numpy()
+        reached = pd.Series(last).groupby(kind).cummax().to_numpy()
+        new = np.ones(len(rows), bool)
+        new[1:] = (kind[1:] != kind[:-1]) | (start[1:] - reached[:-1] > self.gap_us)
+        first = np.flatnonzero(new)
+        return rows.iloc[first].assign(
+            last=np.maximum.reduceat(last, first), n=np.add.reduceat(rows["n"].to_numpy(), first)).reset_index(drop=True)
 
     def handleInputRows(self, key, rows, timerValues):
-        held = [tuple(x) for x in self.open.get()]
-        before = min((self._timer(x[1]) for x in held), default=None)
-        for pdf in rows:
-            times = pdf[self.ts].dropna().to_numpy("datetime64[us]").astype("int64")
-            held += [(int(t), int(t), 1) for t in times]
-        merged = []
-        for start, last, n in sorted(held):
-            if merged and start - merged[-1][1] <= self.gap_us:
-                merged[-1] = (merged[-1][0], max(last, merged[-1][1]), merged[-1][2] + n)
-            else:
-                merged.append((start, last, n))
-        if not merged:
+        held = self._held()
+        before = None if held is None else int(self._timers(held).min())
+        for pdf in rows:  # merged piece by piece: no more is held than a piece and the sessions
+            pdf.columns = ["bucket", "key", "null", "ts"]  # Spark may name them anew
+            pdf = pdf[pdf["ts"].notna()]
+            if len(pdf):
+                times = pdf["ts"].to_numpy("datetime64[us]").astype("int64")
+                new = self._merged(pd.DataFrame({
+                    "key": pdf["key"].to_numpy(), "null": pdf["null"].to_numpy(bool), "start": times, "last": times, "n": 1}))
+                held = new if held is None else self._merged(pd.concat([held, new], ignore_index=True))
+        if held is None:
             return
-        self.open.put(merged)
-        after = min(self._timer(x[1]) for x in merged)
+        self.open.update((pickle.dumps(held),))
+        after = int(self._timers(held).min())
         if before != after:
             if before is not None:
                 self.handle.deleteTimer(before)
@@ -170,34 +189,43 @@ class _Sessions(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        held = [tuple(x) for x in self.open.get()]
-        done = [x for x in held if self._timer(x[1]) <= now]
-        rest = [x for x in held if self._timer(x[1]) > now]
-        if rest:
-            self.open.put(rest)
-            self.handle.registerTimer(min(self._timer(x[1]) for x in rest))
+        held = self._held()
+        if held is None:
+            return
+        over = self._timers(held) <= now
+        done, rest = held[over], held[~over].reset_index(drop=True)
+        if len(rest):
+            self.open.update((pickle.dumps(rest),))
+            self.handle.registerTimer(int(self._timers(rest).min()))
         else:
             self.open.clear()
-        if done:
+        if len(done):
             yield pd.DataFrame({
-                self.key: [key[0]] * len(done),
-                "session_start": pd.to_datetime([x[0] for x in done], unit="us", utc=True),
-                "last_event": pd.to_datetime([x[1] for x in done], unit="us", utc=True),
-                "n": [x[2] for x in done]})
+                self.key: pd.Series([None if x else k for k, x in zip(done["key"], done["null"])], dtype=object),
+                "session_start": pd.to_datetime(done["start"].to_numpy(), unit="us", utc=True),
+                "last_event": pd.to_datetime(done["last"].to_numpy(), unit="us", utc=True),
+                "n": done["n"].to_numpy()})
 
     def close(self) -> None:
         pass
 
 
-def closed_sessions(df: DataFrame, key: str, gap_seconds: float, delay: str, ts: str = "ts") -> DataFrame:
+def closed_sessions(df: DataFrame, key: str, gap_seconds: float, delay: str, ts: str = "ts", buckets: int = 512) -> DataFrame:
     """(key, session_start, last_event, n) in append mode: a session is emitted once, by an event-time
     timer, when the watermark has passed the last moment at which a row could continue it (a row
     exactly ``gap_seconds`` later still does). Rows behind the watermark and rows without a time are
-    dropped. State is a list of the open sessions per key, a few within ``delay``."""
-    timed = df.select(key, F.col(ts).cast("timestamp").alias(ts)).withWatermark(ts, delay)
+    dropped. State is the open sessions, a few per key within ``delay``. Keys are dealt into ``buckets`` by their
+    hash, which share a state and a timer: reading and setting these costs far more than a row. Keep
+    ``buckets`` for the life of a checkpoint, and let a few thousand keys share one."""
+    at = F.col(key)
+    whole = df.schema[key].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    timed = df.select(
+        F.pmod(F.xxhash64(at), F.lit(buckets)).cast("int").alias("_bucket"),
+        (F.coalesce(at, F.lit(0).cast(df.schema[key].dataType)) if whole else at).alias("_key"),  # pandas has no null there
+        at.isNull().alias("_null"), F.col(ts).cast("timestamp").alias(ts)).withWatermark(ts, delay)
     kind = df.schema[key].dataType.simpleString()
-    return timed.groupBy(key).transformWithStateInPandas(
-        _Sessions(key, ts, round(gap_seconds * 1_000_000)),
+    return timed.groupBy("_bucket").transformWithStateInPandas(
+        _Sessions(key, round(gap_seconds * 1_000_000)),
         f"`{key}` {kind}, session_start timestamp, last_event timestamp, n long", "append", "eventTime")
 
 
