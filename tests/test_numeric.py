@@ -90,6 +90,23 @@ def test_knn_compares_few_pairs_of_clustered_rows(spark):
     assert sum(pairs) < 0.15 * len(x) * len(y)
 
 
+def test_knn_sends_rows_to_few_groups_where_nothing_can_be_pruned(spark, monkeypatch):
+    x = np.random.default_rng(9).normal(size=(400, 32))  # no clusters: every block is looked into
+    sent, pairs, kept = [], [], N.materialize
+
+    def counted(df, label="stage"):
+        out = kept(df, label)
+        sent.append(out.count() if label == "visits" else 0)
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    rows = vectors(spark, x, np.arange(400) % 3).repartition(4)
+    got = N.nearest_neighbours(rows, rows.drop("label"), 3, cell_rows=20, block_rows=8, measure=pairs).collect()
+    assert sum(pairs) > 0.9 * 400 * 400 and sum(sent) <= 2 * (N.GROUPS + 2) * 400
+    want = [(i, j) for i in range(400) for j in np.argsort(((x - x[i]) ** 2).sum(1), kind="stable")[:3]]
+    assert sorted((r.test_id, r.train_id) for r in got) == sorted(want)
+
+
 def test_knn_blocks_of_one_cell_are_bounded(spark):
     x = np.r_[np.zeros((300, 2)), np.random.default_rng(5).normal(size=(30, 2))]
     blocks, rings = N._ring_index(

@@ -196,6 +196,8 @@ def kmeans(df: DataFrame, vec: str, k: int, order: str, max_iter: int = 100, rto
 
 
 MAX_BLOCKS = 1 << 15  # blocks whose bounds every task holds
+GROUPS = 8  # groups of blocks that the train rows are exchanged in, if these are not larger than
+GROUP_CELLS = 1 << 22  # numbers in the vectors of a group
 _NEIGHBOUR = "test_id long, train_id long, label long, dist double"
 
 
@@ -302,9 +304,10 @@ class _Rings:
         return least, np.argmin(least + 1e-9 * most, axis=1), limit
 
 
-def _visits(test: DataFrame, rings: _Rings, k: int, cells: int, first: bool) -> DataFrame:
-    """(block, id, vec): the block that a test row looks into first, or all others that its kth
-    neighbour (within ``reach``, if it has one) may be in."""
+def _visits(test: DataFrame, rings: _Rings, k: int, cells: int, span: int, first: bool) -> DataFrame:
+    """(group, id, vec, blocks): the block that a test row looks into first, or all others that its kth
+    neighbour (within ``reach``, if it has one) may be in. A row goes once to each group of ``span``
+    blocks, with the list of those it looks into."""
     kind = test.schema["vec"].dataType
 
     def run(batches):
@@ -322,27 +325,50 @@ def _visits(test: DataFrame, rings: _Rings, k: int, cells: int, first: bool) ->
                     wanted = least <= limit[:, None]
                     wanted[np.arange(j - i), start] = False
                     row, col = np.nonzero(wanted)
-                part = batch.slice(i, j - i).select(["id", "vec"]).take(pa.array(row))
-                yield pa.record_batch([pa.array(rings.block[col]), *part.columns], names=["block", "id", "vec"])
-
-    return test.mapInArrow(run, f"block int, id long, vec {kind.simpleString()}")
-
-
-def _compared(blocks: DataFrame, visits: DataFrame, k: int, rows: int, cells: int) -> DataFrame:
-    """The k nearest of each visit inside its block. The visits of a block are dealt into groups of about
-    ``rows``, and the block goes to each of them, so that a block near many test rows is no hot key."""
+                blocks = rings.block[col]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (blocks[1:] // span != blocks[:-1] // span)
+                lead = np.flatnonzero(new)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(lead, len(row)).astype(np.int32)), pa.array(blocks))
+                part = batch.slice(i, j - i).select(["id", "vec"]).take(pa.array(row[lead]))
+                yield pa.record_batch([pa.array(blocks[lead] // span), *part.columns, lists],
+                                      names=["group", "id", "vec", "blocks"])
+
+    return test.mapInArrow(run, f"group int, id long, vec {kind.simpleString()}, blocks array<int>")
+
+
+def _group_neighbours(train: pa.Table, test: pa.Table, k: int, cells: int):
+    """k nearest of each test row in the blocks of its list."""
+    blocks = np.asarray(train["block"])
+    lists = test["blocks"].combine_chunks()
+    wanted = np.asarray(lists.flatten())
+    row = np.repeat(np.arange(test.num_rows), np.asarray(lists.value_lengths()))
+    best = None
+    for b in np.unique(blocks):
+        rows = row[wanted == b]
+        if len(rows):
+            found = _tile_neighbours(train.take(pa.array(np.flatnonzero(blocks == b))), test.take(pa.array(rows)), k, cells)
+            best = found if best is None else _best([best, found], k)
+    return best or [[], [], [], []]
+
+
+def _compared(blocks: DataFrame, visits: DataFrame, k: int, rows: int, cells: int, span: int) -> DataFrame:
+    """The k nearest of each visit inside its blocks. The visits of a group of ``span`` blocks are dealt into
+    parts of about ``rows``, and the group goes to each of them, so that a group near many test rows is no
+    hot key."""
     parts = F.broadcast(  # at most MAX_BLOCKS rows
-        visits.groupBy("block").agg(F.ceil(F.count("*") / rows).cast("int").alias("parts")))
-    left = blocks.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    right = visits.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts")).cast("int"))
+        visits.groupBy("group").agg(F.ceil(F.count("*") / rows).cast("int").alias("parts")))
+    left = blocks.withColumn("group", F.floor(F.col("block") / span).cast("int")).join(parts, "group").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    right = visits.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts")).cast("int"))
 
     def run(train: pa.Table, test: pa.Table) -> pa.Table:
-        found = _tile_neighbours(train, test, k, cells) if train.num_rows and test.num_rows else [[], [], [], []]
+        found = _group_neighbours(train, test, k, cells) if train.num_rows and test.num_rows else [[], [], [], []]
         types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("test_id", "train_id", "label", "dist"), found, types)})
 
-    return left.select("block", "part", "id", "label", "vec").groupBy("block", "part").cogroup(
-        right.select("block", "part", "id", "vec").groupBy("block", "part")).applyInArrow(run, _NEIGHBOUR)
+    return left.select("group", "part", "block", "id", "label", "vec").groupBy("group", "part").cogroup(
+        right.select("group", "part", "id", "vec", "blocks").groupBy("group", "part")).applyInArrow(run, _NEIGHBOUR)
 
 
 def _ring_index(train: DataFrame, total: int, pivots: int, cell_rows: int, block_rows: int, cells: int) -> tuple[DataFrame, _Rings]:
@@ -364,7 +390,7 @@ def _ring_index(train: DataFrame, total: int, pivots: int, cell_rows: int, block
 
 
 def nearest_neighbours(train: DataFrame, test: DataFrame, k: int, pivots: int = 512, cell_rows: int = 512,
-                       block_rows: int = 2048, visit_rows: int = 8192, cells: int = 1 << 20, measure: list | None = None) -> DataFrame:
+                       block_rows: int = 2048, visit_rows: int | None = None, cells: int = 1 << 20, measure: list | None = None) -> DataFrame:
     """Exact k nearest train rows (id, vec, label) for each test row (id, vec). Rows without a vector
     are left out; all vectors must have one width, ids of the test rows must be unique.
 
@@ -372,7 +398,10 @@ def nearest_neighbours(train: DataFrame, test: DataFrame, k: int, pivots: int =
     picked by hash) and, ordered by the distance to it, into blocks of ``block_rows``: a cell that
     holds a third of all rows, or of equal ones, is many blocks. A test row is first compared with the
     block it is nearest to; the kth distance found there, and the bounds of the blocks, leave only the
-    blocks that can hold something nearer, and it is sent to these alone. Only pivots and bounds of
+    blocks that can hold something nearer, and it is compared with these alone. Rows are exchanged by groups
+    of blocks: where nothing can be pruned, each row of both sides is sent about ``GROUPS`` times, until groups
+    and the ``visit_rows`` dealt to them (by default as many as a group has) are as large as ``GROUP_CELLS``
+    allows. Only pivots and bounds of
     the blocks (at most ``MAX_BLOCKS``) reach the driver. How much is pruned depends on the data: vectors
     without any clusters in many dimensions are all about equally far, and all pairs are compared.
 
@@ -385,17 +414,20 @@ def nearest_neighbours(train: DataFrame, test: DataFrame, k: int, pivots: int =
     if not total:
         return test.sparkSession.createDataFrame([], _NEIGHBOUR)
     blocks, rings = _ring_index(train, total, pivots, cell_rows, block_rows, cells)
-    start = materialize(_visits(test, rings, k, cells, first=True), "visits")
-    near = materialize(_compared(blocks, start, k, visit_rows, cells), "nearest")
+    group_rows = min(math.ceil(total / GROUPS), GROUP_CELLS // max(1, rings.pivots.shape[1]))
+    span = max(1, round(group_rows / rings.size.max()))
+    visit_rows = visit_rows or max(block_rows, group_rows)
+    start = materialize(_visits(test, rings, k, cells, span, first=True), "visits")
+    near = materialize(_compared(blocks, start, k, visit_rows, cells, span), "nearest")
     # a test row with fewer than k rows in its first block has no bound from there
     reach = near.groupBy("test_id").agg(F.sqrt(F.max("dist")).alias("reach"), F.count("*").alias("n")).filter(
         F.col("n") >= k).select(F.col("test_id").alias("id"), "reach")
-    rest = materialize(_visits(start.select("id", "vec").join(reach, "id", "left"), rings, k, cells, first=False), "visits")
+    rest = materialize(_visits(start.select("id", "vec").join(reach, "id", "left"), rings, k, cells, span, first=False), "visits")
     if measure is not None:
         for visits in (start, rest):
-            counts = visits.groupBy("block").count().toPandas()
+            counts = visits.select(F.explode("blocks").alias("block")).groupBy("block").count().toPandas()
             measure.append(int((rings.size[counts["block"]] * counts["count"]).sum()))
-    found = near.unionByName(_compared(blocks, rest, k, visit_rows, cells))
+    found = near.unionByName(_compared(blocks, rest, k, visit_rows, cells, span))
     return top_n_per_key(found, ["test_id"], ["dist", "train_id"], k)
 
 
